@@ -9,35 +9,41 @@ from pyspark.sql import types as T
 from ..operators.pages import latest_pages
 from ..operators.records import clean_index_lines
 from ..operators.upsert import unprocessed
-from ..session import fits_broadcast
+from ..session import checked_broadcast, stage
 from ..sinks.landing import read_landed, write_partitions
 from ..sources.blobs import is_parquet_blob, oldest_blobs, read_raw_pages
 from ..streaming.blobs import CLEANED, flatten_batch, loads
 from ..streaming.pages import LANDED, landed_pages, ledger
 
+# Open batches named one by one in the partition filter; more are joined.
+_LISTED = 1000
+
 PAGE_RECORDS = T.StructType([
     *(f for f in CLEANED.fields if f.name != "load_batch"),
     *(f for f in LANDED.fields if f.name in ("segment", "page", "source_path", "landed_at", "part", "load_batch")),
 ])
 
 
-def flatten_pages(spark: SparkSession, target: str) -> int:
-    """Clean the landed batches that were not cleaned yet; returns their number.
+def flatten_pages(spark: SparkSession, target: str) -> bool:
+    """Clean the landed batches that were not cleaned yet; False when there are none.
 
     A batch is cleaned into the partition of the same number, from its own folder only: no join, no shuffle,
     and a repeated run replaces what it had written.
     """
     done = read_landed(spark, f"{target}/flattened", T.StructType([T.StructField("load_batch", T.LongType())]))
     batches = ledger(spark, target).select("load_batch").distinct().join(done, "load_batch", "left_anti")
-    # Batch numbers, not rows: one per run of the landing stream.
-    if not fits_broadcast(batches, 100_000):
-        raise ValueError("more than 100,000 open batches; land with larger batches")
-    open_batches = sorted(row.load_batch for row in batches.collect())
-    if open_batches:
-        lines = landed_pages(spark, target).where(F.col("load_batch").isin(open_batches))
+    lines = landed_pages(spark, target)
+    first = sorted(row.load_batch for row in batches.limit(_LISTED + 1).collect())
+    if len(first) <= _LISTED:
+        lines = lines.where(F.col("load_batch").isin(first))
+    else:
+        batches = stage(batches, "batches")
+        lines = lines.join(checked_broadcast(batches), "load_batch", "left_semi")
+    if first:
         write_partitions(clean_index_lines(lines), f"{target}/records", "load_batch", "segment")
-        batches.coalesce(1).write.mode("append").parquet(f"{target}/flattened")
-    return len(open_batches)
+        marks = spark.createDataFrame([(b,) for b in first], "load_batch long") if len(first) <= _LISTED else batches
+        marks.write.mode("append").parquet(f"{target}/flattened")
+    return bool(first)
 
 
 def page_records(spark: SparkSession, target: str) -> DataFrame:
