@@ -19,7 +19,7 @@ _ISO = (
     r"(?:.([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,]([0-9]+))?)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
 )
 # Whole years a nanosecond clock can hold.
-_FIRST_YEAR, _YEAR_AFTER_LAST = "1678", "2262"
+_FIRST_YEAR, _LAST_YEAR = "1678", "2261"
 
 
 def _stamp(year: Column, month: Column, day: Column, hour=None, minute=None, second=None) -> Column:
@@ -32,35 +32,47 @@ def _stamp(year: Column, month: Column, day: Column, hour=None, minute=None, sec
     )
 
 
+def _known_year(year: Column) -> Column:
+    """The year, NULL outside the range; a NULL part makes the whole stamp NULL."""
+    return F.when(year.between(_FIRST_YEAR, _LAST_YEAR), year)
+
+
 def crawl_timestamp(raw: Column) -> Column:
-    """Capture time of an index record: 14 or more digits, else a date in one of the usual shapes, else NULL."""
+    """Capture time of an index record: 14 or more digits, else a date in one of the usual shapes, else NULL.
+
+    Index lines nearly always bring bare digits, so these are tested and cut first, without trimming.
+    """
     t = strip(raw)
     size = F.length(t)
 
-    def cut(start: int, width: int) -> Column:
-        return F.substring(t, start, width)
+    def digits(text: Column, *widths: int) -> Column:
+        starts = [1 + sum((4, 2, 2, 2, 2, 2)[:i]) for i in range(len(widths))]
+        year, *rest = (F.substring(text, start, width) for start, width in zip(starts, widths))
+        return _stamp(_known_year(year), *rest)
 
-    def group(pattern: str, k: int) -> Column:
-        return F.regexp_extract(t, pattern, k)
+    def slashed(year: int, month: int, day: int) -> Column:
+        return _stamp(*(F.regexp_extract(t, _SLASHED, k) for k in (year, month, day)))
 
-    day_first = group(_SLASHED, 1).cast("int") > 12
+    def dashed() -> Column:
+        year, *rest = (F.regexp_extract(t, _DATE_TIME, k) for k in range(1, 7))
+        return _stamp(_known_year(year), *rest)
+
+    day_first = F.regexp_extract(t, _SLASHED, 1).cast("int") > 12
+    in_range = F.regexp_extract(t, _SLASHED, 3).between(_FIRST_YEAR, _LAST_YEAR)
+    whole = (4, 2, 2, 2, 2, 2)
     text = (
-        F.when(
-            t.rlike("^[0-9]+$"),
-            F.when(size >= 14, _stamp(cut(1, 4), cut(5, 2), cut(7, 2), cut(9, 2), cut(11, 2), cut(13, 2)))
-            .when(size == 12, _stamp(cut(1, 4), cut(5, 2), cut(7, 2), cut(9, 2), cut(11, 2)))
-            .when(size == 8, _stamp(cut(1, 4), cut(5, 2), cut(7, 2)))
-            .when(size == 4, _stamp(t, F.lit("01"), F.lit("01"))),
-        )
+        F.when(raw.rlike("^[0-9]{14,}$"), digits(raw, *whole))
         .when(
-            t.rlike(_SLASHED),
-            F.when(day_first, _stamp(group(_SLASHED, 3), group(_SLASHED, 2), group(_SLASHED, 1)))
-            .otherwise(_stamp(group(_SLASHED, 3), group(_SLASHED, 1), group(_SLASHED, 2))),
+            t.rlike("^[0-9]+$"),
+            F.when(size >= 14, digits(t, *whole))
+            .when(size == 12, digits(t, *whole[:5]))
+            .when(size == 8, digits(t, *whole[:3]))
+            .when(size == 4, _stamp(_known_year(t), F.lit("01"), F.lit("01"))),
         )
-        .when(t.rlike(_DATE_TIME), _stamp(*(group(_DATE_TIME, k) for k in range(1, 7))))
+        .when(t.rlike(_SLASHED), F.when(in_range, F.when(day_first, slashed(3, 2, 1)).otherwise(slashed(3, 1, 2))))
+        .when(t.rlike(_DATE_TIME), dashed())
     )
-    in_range = (text >= _FIRST_YEAR) & (text < _YEAR_AFTER_LAST)
-    return F.when(in_range, text.try_cast("timestamp_ntz"))
+    return text.try_cast("timestamp_ntz")
 
 
 def _iso_stamp(t: Column) -> Column:
@@ -72,10 +84,15 @@ def _iso_stamp(t: Column) -> Column:
 def iso_date(raw: Column) -> Column:
     """ISO date text. Eight digits are only re-punctuated, not checked; other text must be valid ISO 8601."""
     t = strip(raw)
-    return F.when(
-        t.rlike("^[0-9]{8}$"),
-        F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2)),
-    ).otherwise(_iso_stamp(t).cast("date").cast("string"))
+
+    def punctuated(text: Column) -> Column:
+        return F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+
+    return (
+        F.when(raw.rlike("^[0-9]{8}$"), punctuated(raw))
+        .when(t.rlike("^[0-9]{8}$"), punctuated(t))
+        .otherwise(_iso_stamp(t).cast("date").cast("string"))
+    )
 
 
 def typed_date(iso_text: Column) -> Column:

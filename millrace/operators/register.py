@@ -19,6 +19,7 @@ HEADER_SALT = 32
 _RECORD_START = r"<ABR[\s/>]"
 _SELF_CLOSED = r"^(<ABR(?:\s[^>]*)?/>)"
 _CLOSED = r"(?s)^(.*</ABR\s*>)"
+_OPEN_TAG = r"^(?:>|\s[^>]*(?<!/)>)"
 _HEADER = r"(?s)<TransferInfo[\s>].*?</TransferInfo\s*>"
 _OTHER_ENTITY = r"(?s)<OtherEntity(?:\s[^>]*?)?(?:/>|>.*?</OtherEntity\s*>)"
 _XML = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "ignoreSurroundingSpaces": "false"}
@@ -28,67 +29,78 @@ def _first(array: Column) -> Column:
     return F.get(array, F.lit(0))
 
 
+def _headers(text: Column) -> Column:
+    found = F.array_join(F.regexp_extract_all(text, F.lit(_HEADER), F.lit(0)), "")
+    return F.when(text.contains("<TransferInfo"), empty_to_null(found))
+
+
 def register_events(chunks: DataFrame) -> DataFrame:
-    """One row per record or header-bearing stretch of text, in document order of (block, seq, pos)."""
-    text = F.when(
-        F.col("value").contains("<!--"), F.regexp_replace("value", "(?s)<!--.*?-->", "")
-    ).otherwise(F.col("value"))
-    pieces = chunks.select("source_file", "block", "seq", F.split(text, f"(?={_RECORD_START})").alias("pieces"))
-    piece = F.col("piece")
-    is_record = piece.rlike(f"^{_RECORD_START}")
-    # The reader cut the end tag off the last piece of a chunk; an earlier piece must bring its own.
-    record = (
-        F.when(piece.rlike(_SELF_CLOSED), F.regexp_extract(piece, _SELF_CLOSED, 1))
-        .when(piece.contains("</ABR"), F.regexp_extract(piece, _CLOSED, 1))
-        .when(F.col("pos") == F.col("n") - 1, F.concat(piece, F.lit(RECORD_END)))
-        .otherwise(piece)
-    )
-    headers = F.array_join(F.regexp_extract_all(piece, F.lit(_HEADER), F.lit(0)), "")
-    return (
-        pieces.select("source_file", "block", "seq", F.size("pieces").alias("n"), F.posexplode("pieces").alias("pos", "piece"))
-        .where(is_record | piece.contains("<TransferInfo"))
-        .select(
-            *PLACE,
-            F.when(is_record, record).alias("xml"),
-            F.when(piece.contains("<TransferInfo"), empty_to_null(headers)).alias("header_xml"),
+    """One row per record or header-bearing stretch of text, in document order of (block, seq, pos).
+
+    Nearly every chunk holds one record start; plain string functions cut it out. Chunks with comments, several
+    starts, self-closed records or loosely written end tags are split with regular expressions.
+    """
+    value, none = F.col("value"), F.lit(None).cast("string")
+    starts = F.octet_length(value) - F.octet_length(F.replace(value, F.lit("<ABR"), F.lit("")))
+    after = F.substring_index(value, "<ABR", -1)
+    plain = ~value.contains("</ABR") & ~value.contains("<!--")
+
+    def event(pos, xml, header) -> Column:
+        return F.struct(F.lit(pos).cast("int").alias("pos"), xml.alias("xml"), header.alias("header_xml"))
+
+    def cut(piece: Column, i: Column, n: Column) -> Column:
+        # The reader took the end tag off the last piece of a chunk; an earlier piece must bring its own.
+        record = (
+            F.when(piece.rlike(_SELF_CLOSED), F.regexp_extract(piece, _SELF_CLOSED, 1))
+            .when(piece.contains("</ABR"), F.regexp_extract(piece, _CLOSED, 1))
+            .when(i == n - 1, F.concat(piece, F.lit(RECORD_END)))
+            .otherwise(piece)
         )
+        return F.struct(
+            i.alias("pos"), F.when(piece.rlike(f"^{_RECORD_START}"), record).alias("xml"), _headers(piece).alias("header_xml")
+        )
+
+    bare = F.when(value.contains("<!--"), F.regexp_replace(value, "(?s)<!--.*?-->", "")).otherwise(value)
+    pieces = F.split(bare, f"(?={_RECORD_START})")
+    events = (
+        F.when((starts == 0) & plain, F.array(event(0, none, _headers(value))))
+        .when(
+            (starts == 4) & plain & after.rlike(_OPEN_TAG),
+            F.array(event(0, F.concat(F.lit("<ABR"), after, F.lit(RECORD_END)), _headers(value))),
+        )
+        .otherwise(F.transform(pieces, lambda piece, i: cut(piece, i, F.size(pieces))))
+    )
+    # The outer form adds no size filter that would evaluate the array twice.
+    return chunks.select("source_file", "block", "seq", F.inline_outer(events)).where(
+        F.col("xml").isNotNull() | F.col("header_xml").isNotNull()
     )
 
 
-def _join_names(entries: Column) -> Column:
-    """``type:text`` or ``text`` of every entry that has a text, joined by ``; ``."""
-    named = F.filter(entries, lambda e: e["text"].isNotNull())
-    labels = F.transform(
-        named,
-        lambda e: F.when(F.length(e["type"]) > 0, F.concat(e["type"], F.lit(":"), e["text"])).otherwise(e["text"]),
-    )
-    return empty_to_null(F.array_join(labels, "; "))
+def _label(kind: Column, text: Column) -> Column:
+    """``type:text`` or ``text``; NULL without a text."""
+    return F.when(F.length(kind) > 0, F.concat(kind, F.lit(":"), text)).otherwise(text)
 
 
 def other_entities(others: Column) -> Column:
-    """First name of each other entity, in order; no shuffle, all inside the row's array."""
-    return _join_names(
-        F.transform(
-            F.transform(others, lambda o: _first(o["NonIndividualName"])),
-            lambda n: F.struct(
-                n["_type"].alias("type"), safe_text(_first(n["NonIndividualNameText"])).alias("text")
-            ),
-        )
-    )
+    """First name of each other entity, in order, joined by ``; ``; no shuffle, all inside the row's array."""
+
+    def label(other: Column) -> Column:
+        name = _first(other["NonIndividualName"])
+        return _label(name["_type"], safe_text(_first(name["NonIndividualNameText"])))
+
+    return empty_to_null(F.array_join(F.transform(others, label), "; "))
 
 
 def _deep_other_entities(xml: Column) -> Column:
     """The same for names nested deeper: each other entity is searched in document order."""
     first = "(/OtherEntity//NonIndividualName)[1]"
-    return _join_names(
-        F.transform(
-            F.regexp_extract_all(xml, F.lit(_OTHER_ENTITY), F.lit(0)),
-            lambda o: F.struct(
-                _first(F.xpath(o, F.lit(f"{first}/@type"))).alias("type"),
-                safe_text(F.xpath_string(o, F.lit(f"{first}/NonIndividualNameText"))).alias("text"),
-            ),
-        )
-    )
+
+    def label(other: Column) -> Column:
+        text = safe_text(F.xpath_string(other, F.lit(f"{first}/NonIndividualNameText")))
+        return _label(_first(F.xpath(other, F.lit(f"{first}/@type"))), text)
+
+    found = F.regexp_extract_all(xml, F.lit(_OTHER_ENTITY), F.lit(0))
+    return empty_to_null(F.array_join(F.transform(found, label), "; "))
 
 
 def project_register(events: DataFrame) -> DataFrame:
@@ -106,17 +118,21 @@ def project_register(events: DataFrame) -> DataFrame:
     abn, entity, main = _first(rec["ABN"]), _first(rec["EntityType"]), _first(rec["MainEntity"])
     asic, gst, others = _first(rec["ASICNumber"]), _first(rec["GST"]), rec["OtherEntity"]
 
-    addresses = F.filter(F.transform(main["BusinessAddress"], lambda b: b["AddressDetails"]), lambda a: a.isNotNull())
-    address, name = _first(F.flatten(addresses)), _first(main["NonIndividualName"])
+    business, name = main["BusinessAddress"], _first(main["NonIndividualName"])
+    details = F.filter(business["AddressDetails"], lambda a: a.isNotNull())
+    address = F.when(F.size(business) == 1, _first(_first(business)["AddressDetails"])).otherwise(_first(F.flatten(details)))
     deep_main = main["xs_any"].isNotNull() | F.coalesce(
-        F.exists(main["BusinessAddress"], lambda b: b["xs_any"].isNotNull()), F.lit(False)
+        F.when(F.size(business) == 1, _first(business)["xs_any"].isNotNull()).otherwise(
+            F.exists(business, lambda b: b["xs_any"].isNotNull())
+        ),
+        F.lit(False),
     )
     deep_others = F.coalesce(F.exists(others, lambda o: o["xs_any"].isNotNull()), F.lit(False))
     found_name = "(/ABR/MainEntity[1]//NonIndividualName)[1]"
     found_address = "(/ABR/MainEntity[1]//BusinessAddress/AddressDetails)[1]"
 
     def searched(path: str, plain: Column) -> Column:
-        return F.when(deep_main, safe_text(F.xpath_string(xml, F.lit(path)))).otherwise(safe_text(plain))
+        return safe_text(F.when(deep_main, F.xpath_string(xml, F.lit(path))).otherwise(plain))
 
     columns = {
         "record_last_updated_date": iso_date(rec["_recordLastUpdatedDate"]),

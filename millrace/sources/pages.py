@@ -8,27 +8,25 @@ from pyspark.sql import functions as F
 from ..functions import page_file_name, page_raw_id
 from ..schemas import CORRUPT, PAGE_KEYS, PAGE_LINE
 
-# Where segment and page number stand in a path, by folder or by file name.
+# Where segment and page number stand, in folder names or in the file name.
 _IN_FOLDERS = r"/segment=([^/]+)/page=([0-9]+)/[^/]+$"
-_IN_NAME = r"/([^/]+)-([0-9]+)\.[^/]+$"
-
-IDENTITY = ["raw_id", "segment", "page", "source_file", "source_path", "landed_at", "part"]
+_IN_NAME = r"^(.+)-([0-9]+)\.[A-Za-z.]+$"
 
 
 def _with_identity(lines: DataFrame) -> DataFrame:
     path = F.col("source_path")
-    by_folder = path.rlike(_IN_FOLDERS)
+    name = F.substring_index(path, "/", -1)
+    by_folder = path.contains("/segment=")
+
+    def found(k: int) -> F.Column:
+        return F.when(by_folder, F.regexp_extract(path, _IN_FOLDERS, k)).otherwise(F.regexp_extract(name, _IN_NAME, k))
+
     lines = lines.select(
         "*",
         F.col("_metadata.file_path").alias("source_path"),
         F.col("_metadata.file_modification_time").alias("landed_at"),
         F.col("_metadata.file_block_start").alias("part"),
-    ).withColumns({
-        "segment": F.when(by_folder, F.regexp_extract(path, _IN_FOLDERS, 1))
-        .otherwise(F.nullif(F.regexp_extract(path, _IN_NAME, 1), F.lit(""))),
-        "page": F.when(by_folder, F.regexp_extract(path, _IN_FOLDERS, 2))
-        .otherwise(F.regexp_extract(path, _IN_NAME, 2)).try_cast("bigint"),
-    })
+    ).withColumns({"segment": F.nullif(found(1), F.lit("")), "page": found(2).try_cast("bigint")})
     unnamed = F.col("segment").isNull() | F.col("page").isNull()
     return lines.select(
         page_raw_id(F.col("segment"), F.col("page")).alias("raw_id"),

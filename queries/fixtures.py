@@ -30,6 +30,40 @@ def once(spark: SparkSession, folder: str, name: str, build: Callable[[str], Non
     return _built[key]
 
 
+def _file_writer(root: str):
+    def write(frame):
+        import gzip
+
+        import pandas as pd
+        from pyarrow import fs
+
+        name = frame["file"].iloc[0]
+        text = "\n".join(frame.sort_values("ord")["value"]).encode()
+        if name.lower().endswith(".gz"):
+            text = gzip.compress(text, mtime=0)
+        store, folder = fs.FileSystem.from_uri(root)
+        with store.open_output_stream(f"{folder}/{name}", compression=None) as stream:
+            stream.write(text)
+        return pd.DataFrame({"file": [name]})
+
+    return write
+
+
+def make_folder(path: str) -> str:
+    """Create a folder of the shared file system; gives its URI."""
+    from pyarrow import fs
+
+    uri = path if "://" in path else f"file://{path}"
+    store, folder = fs.FileSystem.from_uri(uri)
+    store.create_dir(folder, recursive=True)
+    return uri
+
+
+def write_files(lines: DataFrame, path: str) -> None:
+    """One file per value of ``file``, its lines (value) in order of ``ord``. Files have a fixed number of lines."""
+    lines.select("file", "ord", "value").groupBy("file").applyInPandas(_file_writer(make_folder(path)), "file string").count()
+
+
 # --- index lines -----------------------------------------------------------------------------------------------
 
 LINES_PER_PAGE = 512
@@ -160,10 +194,8 @@ def _write_pages(lines: DataFrame, path: str, faulty: bool, run: int = 1) -> Non
     if faulty:
         text = F.when(k % 101 == 7, F.substring(text, 1, 40)).otherwise(text)
     text = F.when(k % 50 == 0, F.concat(F.lit("\n"), text)).otherwise(text)
-    # A page has at most LINES_PER_PAGE lines, so clustering by page makes no large group.
-    lines.select("segment", "page", text.alias("value")).repartition("segment", "page").write.mode("append").partitionBy(
-        "segment", "page"
-    ).text(f"{path}/run={run}")
+    name = F.format_string("%s-%d.jsonl", "segment", "page")
+    write_files(lines.select(name.alias("file"), k.alias("ord"), text.alias("value")), f"{path}/run={run}")
 
 
 def index_pages(spark: SparkSession, folder: str) -> str:
@@ -254,7 +286,7 @@ def record_xml() -> F.Column:
         F.lit("<NonIndividualName"), F.when(k % 4 == 1, "").otherwise(' type="MN"'),
         F.lit(">\n<NonIndividualNameText>\t "), name, F.lit("  </NonIndividualNameText>\n</NonIndividualName>"),
     )
-    nested = k % 43 == 0
+    nested = k % 499 == 43
     return F.concat(
         F.lit('<ABR recordLastUpdatedDate="2025'), F.when(k % 2 == 0, "-01-").otherwise("01"), day, F.lit('"'),
         F.when(k % 7 == 0, "").when(k % 3 == 0, ' replaced=""').otherwise(' replaced=" N "'), F.lit(">\n <ABN status=\""),
@@ -277,8 +309,8 @@ def record_xml() -> F.Column:
         maybe(k % 6 == 0, '<ASICNumber ASICNumberType="undetermined">', number(9), "</ASICNumber>"),
         maybe(k % 4 == 0, '<GST status="ACT" GSTStatusFromDate="20000701" />'),
         F.when(k % 29 == 0, "<OtherEntity/>").otherwise(F.concat(
-            F.lit("<OtherEntity>"), F.when(k % 53 == 0, "<Deep>").otherwise(""), label("TRD", " t1"),
-            F.when(k % 53 == 0, "</Deep>").otherwise(""), F.lit("</OtherEntity>"),
+            F.lit("<OtherEntity>"), F.when(k % 503 == 53, "<Deep>").otherwise(""), label("TRD", " t1"),
+            F.when(k % 503 == 53, "</Deep>").otherwise(""), F.lit("</OtherEntity>"),
             maybe(k % 4 < 1, "<OtherEntity>", label("", " t2"), "</OtherEntity>"),
             maybe(k % 4 < 2, '<OtherEntity><NonIndividualName type="TRD"><NonIndividualNameText>  </NonIndividualNameText></NonIndividualName></OtherEntity>'),
             maybe(k % 4 < 3, "<OtherEntity>", label("BN", " t4"), "</OtherEntity>"),
@@ -310,25 +342,23 @@ def register_text(spark: SparkSession, folder: str, faulty: bool = False) -> Dat
     return head.unionByName(records).unionByName(second).unionByName(end)
 
 
-def _write_register(text: DataFrame, path: str, codec: str) -> None:
-    # A file has at most RECORDS_PER_FILE records, so clustering by file makes no large group.
-    text.repartition("grp").sortWithinPartitions("grp", "ord").select("grp", "value").write.partitionBy("grp").option(
-        "compression", codec
-    ).text(path)
+def _write_register(text: DataFrame, path: str, *endings: str) -> None:
+    """Files named by group, with each of the endings in turn."""
+    ending = F.element_at(F.array(*map(F.lit, endings)), (F.col("grp") % len(endings) + 1).cast("int"))
+    write_files(text.withColumn("file", F.concat(F.lit("register-"), F.col("grp").cast("string"), ending)), path)
 
 
 def register_files(spark: SparkSession, folder: str) -> str:
-    """Plain files (ending .txt: read them with ``all_files``)."""
-    return once(spark, folder, "register", lambda p: _write_register(register_text(spark, folder), p, "none"))
+    return once(spark, folder, "register", lambda p: _write_register(register_text(spark, folder), p, ".xml", ".XML"))
 
 
 def register_gz(spark: SparkSession, folder: str) -> str:
     """Gzipped files (any .gz is a register file)."""
-    return once(spark, folder, "register_gz", lambda p: _write_register(register_text(spark, folder), p, "gzip"))
+    return once(spark, folder, "register_gz", lambda p: _write_register(register_text(spark, folder), p, ".xml.gz", ".GZ"))
 
 
 def faulty_register(spark: SparkSession, folder: str) -> str:
-    return once(spark, folder, "faulty_register", lambda p: _write_register(register_text(spark, folder, True), p, "none"))
+    return once(spark, folder, "faulty_register", lambda p: _write_register(register_text(spark, folder, True), p, ".xml"))
 
 
 FILES_PER_ARCHIVE = 3
@@ -349,7 +379,7 @@ def _zip_writer(path: str):
                 out.writestr(f"data/part{grp}.XML", "\n".join(part["value"]))
                 out.writestr(f"data/part{grp}.txt", "not a register file")
         store, folder = fs.FileSystem.from_uri(path)
-        with store.open_output_stream(f"{folder}/archive-{archive}.zip") as stream:
+        with store.open_output_stream(f"{folder}/archive-{archive}.zip", compression=None) as stream:
             stream.write(held.getvalue())
         return pd.DataFrame({"archive": [archive]})
 
@@ -360,12 +390,7 @@ def register_zips(spark: SparkSession, folder: str) -> str:
     """ZIP archives of three register files each."""
 
     def build(path: str) -> None:
-        from pyarrow import fs
-
-        uri = path if "://" in path else f"file://{path}"
-        store, local = fs.FileSystem.from_uri(uri)
-        store.create_dir(local)
         text = register_text(spark, folder).withColumn("archive", F.floor(F.col("grp") / FILES_PER_ARCHIVE))
-        text.groupBy("archive").applyInPandas(_zip_writer(uri), "archive long").count()
+        text.groupBy("archive").applyInPandas(_zip_writer(make_folder(path)), "archive long").count()
 
     return once(spark, folder, "register_zips", build)

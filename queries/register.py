@@ -23,11 +23,11 @@ _parsed: dict[tuple, DataFrame] = {}
 
 
 def _group(path: str = "source_file") -> F.Column:
-    return F.regexp_extract(path, "grp=([0-9]+)", 1).cast("bigint").alias("grp")
+    return F.regexp_extract(path, "register-([0-9]+)[.]", 1).cast("bigint").alias("grp")
 
 
 def _chunks(spark: SparkSession, folder: str) -> DataFrame:
-    return read_register_chunks(spark, fx.register_files(spark, folder), all_files=True)
+    return read_register_chunks(spark, fx.register_files(spark, folder))
 
 
 def _projected(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,15 +38,16 @@ def _projected(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def xml_discover(spark, folder):
-    """Plain text files and gzipped files side by side: only the latter are register files by name."""
+    """Files with every ending side by side, some in sub-folders: texts and archives are no register files."""
 
     def build(path: str) -> None:
-        fx._write_register(fx.register_text(spark, folder), f"{path}/plain", "none")
-        fx._write_register(fx.register_text(spark, folder), f"{path}/packed", "gzip")
+        text = fx.register_text(spark, folder)
+        fx._write_register(text, f"{path}/plain", ".xml", ".XML", ".txt")
+        fx._write_register(text, f"{path}/packed/deep", ".XML.gz", ".GZ", ".zip")
 
     files = discover_register_files(spark, fx.once(spark, folder, "discover", build))
     return files.select(
-        F.regexp_extract("path", "(plain|packed)/grp=", 1).alias("kind"), _group("path"), (F.col("length") > 0).alias("filled")
+        F.regexp_extract("path", "(plain|packed)/", 1).alias("kind"), _group("path"), (F.col("length") > 0).alias("filled")
     )
 
 
@@ -83,7 +84,7 @@ def other_entities(spark, folder):
 
 
 def xml_rejects(spark, folder):
-    chunks = read_register_chunks(spark, fx.faulty_register(spark, folder), all_files=True)
+    chunks = read_register_chunks(spark, fx.faulty_register(spark, folder))
     flat = flatten_register(parse(chunks)).where(F.col("reject_reason").isNotNull())
     return flat.select(_group(), F.regexp_extract("raw", r"<ABN[^>]*>\s*([0-9]+)\s*</ABN>", 1).alias("key"), "reject_reason")
 
@@ -204,7 +205,9 @@ QUERIES = {
 _PAD = "' ' || chr(9) || chr(10) || chr(160) || chr(8195) || chr(12288)"
 
 ORACLE = {
-    "xml_discover": f"WITH {fx.ENTITY_SQL} SELECT DISTINCT 'packed' AS kind, grp, true AS filled FROM ent",
+    "xml_discover": f"""WITH {fx.ENTITY_SQL}
+        SELECT DISTINCT kind, grp, true AS filled FROM (SELECT grp FROM ent), (VALUES ('plain'), ('packed')) AS kinds(kind)
+        WHERE grp % 3 <> 2""",
     "register_scan": f"WITH {fx.REGISTER_SQL} SELECT grp, abn FROM reg",
     "register_header": f"""WITH {fx.ENTITY_SQL},
         files AS (SELECT DISTINCT grp FROM ent)
