@@ -13,16 +13,16 @@ def _wide(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast(_WIDE))
 
 
+def _whole(text: Column) -> Column:
+    return F.when(_wide(text) % 1 == 0, text.try_cast(_WIDE).try_cast("bigint"))
+
+
 def to_bigint(text: Column) -> Column:
     """Lenient 64-bit integer: ``' 200 '``, ``'200.0'`` and ``'1e3'`` count, anything else is NULL."""
-    wide = _wide(text)
-    return F.coalesce(text.try_cast("bigint"), F.when(wide == F.floor(wide), wide.try_cast("bigint")))
+    return F.coalesce(text.try_cast("bigint"), _whole(text))
 
 
 def is_unusable_number(text: Column) -> Column:
     """True for text that is a number but no 64-bit integer: a fraction, infinity, or out of range."""
-    number = text.rlike(_NUMBER) & _wide(text).isNotNull()
-    return F.coalesce(
-        text.try_cast("bigint").isNull() & ((number & to_bigint(text).isNull()) | text.rlike(_INFINITE)),
-        F.lit(False),
-    )
+    odd = F.when(text.rlike(_INFINITE), True).otherwise(_wide(text).isNotNull() & _whole(text).isNull())
+    return F.when(text.isNotNull() & text.try_cast("bigint").isNull(), odd).otherwise(False)

@@ -11,86 +11,60 @@ from pyspark.sql import functions as F
 
 from .text import empty_to_null, strip
 
-# Accepted shapes.
-_DATE_TIME = r"^([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})(?:[T ]([0-9]{1,2})(?::([0-9]{1,2})(?::([0-9]{1,2})(?:\.[0-9]+)?)?)?\s*(?:Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
-_SLASHED = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
+# Accepted shapes, and what they are rewritten to. Years are those a nanosecond clock can
+# hold in full, 1678 to 2261.
+_YEAR = r"(1(?:6(?:7[89]|[89][0-9])|[7-9][0-9]{2})|2(?:[01][0-9]{2}|2(?:[0-5][0-9]|6[01])))"
+_FULL_DIGITS = rf"^{_YEAR}[0-9]{{10,}}$"
+_SOME_DIGITS = rf"^{_YEAR}(?:[0-9]{{4}}|[0-9]{{8}}|[0-9]{{10,}})?$"
+_SPLIT_DIGITS = (r"^([0-9]{4})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})[0-9]*$", "$1-$2-$3 $4:$5:$6")
+_UNGIVEN_DIGITS = "00000101000000"
+_EIGHT_DIGITS = (r"^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3")
+_SLASHED = rf"^([0-9]{{1,2}})/([0-9]{{1,2}})/{_YEAR}$"
+_DATE_TIME = (
+    rf"^({_YEAR}([-/.])[0-9]{{1,2}}\3[0-9]{{1,2}})"
+    r"(?:([T ][0-9]{1,2}(?::[0-9]{1,2}(?::[0-9]{1,2})?)?)(?:(?<=:[0-9]{2})\.[0-9]+)?\s*(?:Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
+)
+_HOUR_ONLY = r"([T ][0-9]{1,2})$"
 _ISO = (
     r"(?s)^([0-9]{4})(-?)([0-9]{2})\2([0-9]{2})"
     r"(?:.([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,]([0-9]+))?)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
 )
-# Whole years a nanosecond clock can hold.
-_FIRST_YEAR, _LAST_YEAR = "1678", "2261"
-
-
-def _stamp(year: Column, month: Column, day: Column, hour=None, minute=None, second=None) -> Column:
-    def part(value):
-        return F.lit("00") if value is None else F.coalesce(empty_to_null(value), F.lit("00"))
-
-    return F.concat(
-        year, F.lit("-"), month, F.lit("-"), day, F.lit(" "),
-        part(hour), F.lit(":"), part(minute), F.lit(":"), part(second),
-    )
-
-
-def _known_year(year: Column) -> Column:
-    """The year, NULL outside the range; a NULL part makes the whole stamp NULL."""
-    return F.when(year.between(_FIRST_YEAR, _LAST_YEAR), year)
-
 
 def crawl_timestamp(raw: Column) -> Column:
     """Capture time of an index record: 14 or more digits, else a date in one of the usual shapes, else NULL.
 
-    Index lines nearly always bring bare digits, so these are tested and cut first, without trimming.
+    Index lines nearly always bring bare digits, so these are tested and cut first, without trimming. Each
+    branch is one rewrite by pattern, which keeps the generated code small enough to be compiled.
     """
     t = strip(raw)
-    size = F.length(t)
-
-    def digits(text: Column, *widths: int) -> Column:
-        starts = [1 + sum((4, 2, 2, 2, 2, 2)[:i]) for i in range(len(widths))]
-        year, *rest = (F.substring(text, start, width) for start, width in zip(starts, widths))
-        return _stamp(_known_year(year), *rest)
-
-    def slashed(year: int, month: int, day: int) -> Column:
-        return _stamp(*(F.regexp_extract(t, _SLASHED, k) for k in (year, month, day)))
-
-    def dashed() -> Column:
-        year, *rest = (F.regexp_extract(t, _DATE_TIME, k) for k in range(1, 7))
-        return _stamp(_known_year(year), *rest)
-
-    day_first = F.regexp_extract(t, _SLASHED, 1).cast("int") > 12
-    in_range = F.regexp_extract(t, _SLASHED, 3).between(_FIRST_YEAR, _LAST_YEAR)
-    whole = (4, 2, 2, 2, 2, 2)
+    filled = F.concat(t, F.substr(F.lit(_UNGIVEN_DIGITS), F.length(t) + 1))
+    day_first = F.substring_index(t, "/", 1).cast("int") > 12
+    plain = F.regexp_replace(F.regexp_replace(t, _DATE_TIME, "$1$4"), _HOUR_ONLY, "$1:00")
     text = (
-        F.when(raw.rlike("^[0-9]{14,}$"), digits(raw, *whole))
+        F.when(raw.rlike(_FULL_DIGITS), F.regexp_replace(raw, *_SPLIT_DIGITS))
+        .when(t.rlike(_SOME_DIGITS), F.regexp_replace(filled, *_SPLIT_DIGITS))
+        .when(t.rlike(_DATE_TIME), F.translate(plain, "/.", "--"))
         .when(
-            t.rlike("^[0-9]+$"),
-            F.when(size >= 14, digits(t, *whole))
-            .when(size == 12, digits(t, *whole[:5]))
-            .when(size == 8, digits(t, *whole[:3]))
-            .when(size == 4, _stamp(_known_year(t), F.lit("01"), F.lit("01"))),
+            t.rlike(_SLASHED),
+            F.when(day_first, F.regexp_replace(t, _SLASHED, "$3-$2-$1")).otherwise(F.regexp_replace(t, _SLASHED, "$3-$1-$2")),
         )
-        .when(t.rlike(_SLASHED), F.when(in_range, F.when(day_first, slashed(3, 2, 1)).otherwise(slashed(3, 1, 2))))
-        .when(t.rlike(_DATE_TIME), dashed())
     )
     return text.try_cast("timestamp_ntz")
 
 
 def _iso_stamp(t: Column) -> Column:
     """NTZ time of ISO 8601 text (calendar dates, extended or basic form); NULL when it is none."""
-    parts = [F.regexp_extract(t, _ISO, k) for k in (1, 3, 4, 5, 6, 7)]
-    return F.when(t.rlike(_ISO), _stamp(*parts).try_cast("timestamp_ntz"))
+    cut = F.regexp_replace(t, _ISO, "$1-$3-$4 $5:$6:$7")
+    filled = F.regexp_replace(F.regexp_replace(cut, ":(?=:|$)", ":00"), " :", " 00:")
+    return F.when(t.rlike(_ISO), filled.try_cast("timestamp_ntz"))
 
 
 def iso_date(raw: Column) -> Column:
     """ISO date text. Eight digits are only re-punctuated, not checked; other text must be valid ISO 8601."""
     t = strip(raw)
-
-    def punctuated(text: Column) -> Column:
-        return F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
-
     return (
-        F.when(raw.rlike("^[0-9]{8}$"), punctuated(raw))
-        .when(t.rlike("^[0-9]{8}$"), punctuated(t))
+        F.when(raw.rlike("^[0-9]{8}$"), F.regexp_replace(raw, *_EIGHT_DIGITS))
+        .when(t.rlike("^[0-9]{8}$"), F.regexp_replace(t, *_EIGHT_DIGITS))
         .otherwise(_iso_stamp(t).cast("date").cast("string"))
     )
 

@@ -19,7 +19,6 @@ HEADER_SALT = 32
 _RECORD_START = r"<ABR[\s/>]"
 _SELF_CLOSED = r"^(<ABR(?:\s[^>]*)?/>)"
 _CLOSED = r"(?s)^(.*</ABR\s*>)"
-_OPEN_TAG = r"^(?:>|\s[^>]*(?<!/)>)"
 _HEADER = r"(?s)<TransferInfo[\s>].*?</TransferInfo\s*>"
 _OTHER_ENTITY = r"(?s)<OtherEntity(?:\s[^>]*?)?(?:/>|>.*?</OtherEntity\s*>)"
 _XML = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "ignoreSurroundingSpaces": "false"}
@@ -43,6 +42,8 @@ def register_events(chunks: DataFrame) -> DataFrame:
     value, none = F.col("value"), F.lit(None).cast("string")
     starts = F.octet_length(value) - F.octet_length(F.replace(value, F.lit("<ABR"), F.lit("")))
     after = F.substring_index(value, "<ABR", -1)
+    tag = F.substring_index(after, ">", 1)
+    opened = ((tag == "") | F.substring(tag, 1, 1).isin(" ", "\t", "\n", "\r")) & ~tag.endswith("/")
     plain = ~value.contains("</ABR") & ~value.contains("<!--")
 
     def event(pos, xml, header) -> Column:
@@ -65,7 +66,7 @@ def register_events(chunks: DataFrame) -> DataFrame:
     events = (
         F.when((starts == 0) & plain, F.array(event(0, none, _headers(value))))
         .when(
-            (starts == 4) & plain & after.rlike(_OPEN_TAG),
+            (starts == 4) & plain & opened,
             F.array(event(0, F.concat(F.lit("<ABR"), after, F.lit(RECORD_END)), _headers(value))),
         )
         .otherwise(F.transform(pieces, lambda piece, i: cut(piece, i, F.size(pieces))))

@@ -15,6 +15,8 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # HotSpot does not compile methods beyond 8,000 bytes: let Spark split such stages instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A row of a blob table is a whole file: hand few of them to Python at once.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
