@@ -18,7 +18,7 @@ def _member_lister():
         import zipfile
 
         import pandas as pd
-        from pyarrow import fs
+        from pyarrow import ArrowInvalid, fs
 
         for frame in frames:
             out = []
@@ -27,7 +27,7 @@ def _member_lister():
                 try:
                     with store.open_input_file(path) as handle, zipfile.ZipFile(handle) as opened:
                         out += [(archive, m.filename, m.file_size, None) for m in opened.infolist() if not m.is_dir()]
-                except zipfile.BadZipFile:
+                except (zipfile.BadZipFile, ArrowInvalid):  # too short a file to seek in is none either
                     out.append((archive, None, None, "unreadable archive"))
             rows = pd.DataFrame(out, columns=["archive", "member", "member_bytes", "reject_reason"])
             yield rows.astype({"member_bytes": "Int64"})
@@ -96,7 +96,7 @@ def _member_reader(separator: bytes):
                                     seq, held, size = seq + len(held), [], 0
                     if held:
                         yield rows(name, seq, held)
-                except (zipfile.BadZipFile, zlib.error, EOFError, gzip.BadGzipFile) as error:
+                except (zipfile.BadZipFile, zlib.error, EOFError, gzip.BadGzipFile, pa.ArrowInvalid) as error:
                     if held:
                         yield rows(name, seq, held)
                     yield rows(name, seq + len(held), [None], f"unreadable member: {type(error).__name__}")
