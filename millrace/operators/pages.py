@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from ..session import BROADCAST_ROWS, fits_broadcast
 
 
-def latest_blobs(raw_pages: DataFrame) -> DataFrame:
+def latest_blobs(raw_pages: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Latest copy of every stored page by (uploaded_at, id).
 
     An aggregate with map-side partials finds the winners on narrow columns, so a page with very many copies
-    is no hot group; ids are unique, so the join back is even.
+    is no hot group. Superseded ids are broadcast when they are few, so that file contents are not shuffled.
     """
     winners = raw_pages.groupBy("file_name").agg(F.max(F.struct("uploaded_at", "id")).alias("top")).select("top.id")
+    superseded = raw_pages.select("id").join(winners, "id", "left_anti")
+    if fits_broadcast(superseded, max_rows):
+        return raw_pages.join(F.broadcast(superseded), "id", "left_anti")
     return raw_pages.join(winners, "id", "left_semi")
 
 

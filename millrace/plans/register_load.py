@@ -25,13 +25,13 @@ def parse(chunks: DataFrame) -> DataFrame:
     return stage(project_register(register_events(chunks)), "register")
 
 
-def load_register(spark: SparkSession, source: str, target: str, archived: bool = False, all_files: bool = False) -> None:
+def load_register(spark: SparkSession, source: str, target: str, archived: bool = False) -> None:
     """Load every register file below ``source``; what was stored for the same files before is replaced."""
     if archived:
         chunks = read_archived_register_chunks(spark, source)
         unreadable = chunks.where(F.col("reject_reason").isNotNull())
     else:
-        chunks, unreadable = read_register_chunks(spark, source, all_files), None
+        chunks, unreadable = read_register_chunks(spark, source), None
     projected = parse(chunks)
     flat = flatten_register(projected).unionByName(header_rejects(projected), allowMissingColumns=True)
     if unreadable is not None:

@@ -17,6 +17,8 @@ _SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # HotSpot does not compile methods beyond 8,000 bytes: let Spark split such stages instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Tasks write few partition folders each: no sort by partition value for up to this many open files.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     # A row of a blob table is a whole file: hand few of them to Python at once.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
@@ -63,8 +65,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most ``max_rows + 1`` rows of a staged or cheap table."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Count a staged or narrow table (distributed, no rows move) and compare."""
+    return df.count() <= max_rows
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .archives import expand_members, list_members
 
 RECORD_END = "</ABR>"
+# Endings of register files, in any case of letters.
+PLAIN_FILES, PACKED_FILES = "*.[xX][mM][lL]", "*.[gG][zZ]"
 # Row number inside a scan task: the low 33 bits of monotonically_increasing_id.
 _ROW_BITS = (1 << 33) - 1
 
@@ -20,22 +22,24 @@ def is_register_file(path: Column) -> Column:
 
 def discover_register_files(spark: SparkSession, path: str) -> DataFrame:
     """Register files below ``path``, all sub-folders included; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.where(is_register_file(F.col("_metadata.file_path"))).select(
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    return files.option("pathGlobFilter", f"{{{PLAIN_FILES},{PACKED_FILES}}}").load(path).select(
         F.col("_metadata.file_path").alias("path"), "length"
     )
 
 
-def read_register_chunks(spark: SparkSession, path: str, all_files: bool = False) -> DataFrame:
-    """Text between record end tags with its place: (source_file, block, seq, value).
+def spread(chunks: DataFrame, parallelism: int | None = None) -> DataFrame:
+    """Distribute chunks evenly by their place, whatever file they come from.
 
-    Plain files are split by size like any text file, so one huge file is read by many tasks; a gzipped file
-    is one task. (block, seq) orders the chunks of a file as in the document.
+    Parsing is far slower than inflating: a large packed file is inflated by one task and parsed by many.
     """
-    text = spark.read.option("lineSep", RECORD_END).option("recursiveFileLookup", True).text(path)
-    if not all_files:
-        text = text.where(is_register_file(F.col("_metadata.file_path")))
-    return text.select(
+    n = parallelism or int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return chunks.repartition(n, "source_file", "block", "seq")
+
+
+def _scan(spark: SparkSession, path: str, names: str) -> DataFrame:
+    text = spark.read.option("lineSep", RECORD_END).option("recursiveFileLookup", True)
+    return text.option("pathGlobFilter", names).text(path).select(
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("seq"),
@@ -43,8 +47,18 @@ def read_register_chunks(spark: SparkSession, path: str, all_files: bool = False
     )
 
 
+def read_register_chunks(spark: SparkSession, path: str, parallelism: int | None = None) -> DataFrame:
+    """Text between record end tags with its place: (source_file, block, seq, value).
+
+    Plain files are split by size like any text file, so one huge file is read by many tasks. A gzipped file
+    cannot be split; its chunks are spread after reading. (block, seq) orders the chunks as in the document.
+    """
+    packed = spread(_scan(spark, path, PACKED_FILES), parallelism)
+    return _scan(spark, path, PLAIN_FILES).unionByName(packed)
+
+
 def read_archived_register_chunks(spark: SparkSession, path: str, parallelism: int | None = None) -> DataFrame:
     """The same rows straight from ZIP archives; unreadable archives and members have a reject reason."""
     members = list_members(spark, path)
     wanted = members.where(F.col("member").isNull() | is_register_file(F.col("member")))
-    return expand_members(wanted, RECORD_END, parallelism)
+    return spread(expand_members(wanted, RECORD_END, parallelism), parallelism)
