@@ -36,45 +36,38 @@ def _headers(text: Column) -> Column:
 def register_events(chunks: DataFrame) -> DataFrame:
     """One row per record or header-bearing stretch of text, in document order of (block, seq, pos).
 
-    Nearly every chunk holds one record start; plain string functions cut it out. Chunks with comments, several
-    starts, self-closed records or loosely written end tags are split with regular expressions.
+    Nearly every chunk is one whole record once its start is found; plain string functions cut it out. Chunks
+    with headers, comments, several starts, self-closed records or loosely written end tags are split by pattern.
     """
-    value, none = F.col("value"), F.lit(None).cast("string")
+    value, piece, pos = F.col("value"), F.col("piece"), F.col("pos")
     starts = F.octet_length(value) - F.octet_length(F.replace(value, F.lit("<ABR"), F.lit("")))
     after = F.substring_index(value, "<ABR", -1)
     tag = F.substring_index(after, ">", 1)
     opened = ((tag == "") | F.substring(tag, 1, 1).isin(" ", "\t", "\n", "\r")) & ~tag.endswith("/")
-    plain = ~value.contains("</ABR") & ~value.contains("<!--")
-
-    def event(pos, xml, header) -> Column:
-        return F.struct(F.lit(pos).cast("int").alias("pos"), xml.alias("xml"), header.alias("header_xml"))
-
-    def cut(piece: Column, i: Column, n: Column) -> Column:
-        # The reader took the end tag off the last piece of a chunk; an earlier piece must bring its own.
-        record = (
-            F.when(piece.rlike(_SELF_CLOSED), F.regexp_extract(piece, _SELF_CLOSED, 1))
-            .when(piece.contains("</ABR"), F.regexp_extract(piece, _CLOSED, 1))
-            .when(i == n - 1, F.concat(piece, F.lit(RECORD_END)))
-            .otherwise(piece)
-        )
-        return F.struct(
-            i.alias("pos"), F.when(piece.rlike(f"^{_RECORD_START}"), record).alias("xml"), _headers(piece).alias("header_xml")
-        )
-
+    odd = value.contains("<TransferInfo") | value.contains("</ABR") | value.contains("<!--")
+    whole = (starts == 4) & opened & ~odd
     bare = F.when(value.contains("<!--"), F.regexp_replace(value, "(?s)<!--.*?-->", "")).otherwise(value)
-    pieces = F.split(bare, f"(?={_RECORD_START})")
-    events = (
-        F.when((starts == 0) & plain, F.array(event(0, none, _headers(value))))
-        .when(
-            (starts == 4) & plain & opened,
-            F.array(event(0, F.concat(F.lit("<ABR"), after, F.lit(RECORD_END)), _headers(value))),
-        )
-        .otherwise(F.transform(pieces, lambda piece, i: cut(piece, i, F.size(pieces))))
+    pieces = F.when(F.col("whole"), F.array(F.concat(F.lit("<ABR"), after, F.lit(RECORD_END)))).otherwise(
+        F.split(bare, f"(?={_RECORD_START})")
+    )
+    found = chunks.where((starts > 0) | odd).select("source_file", "block", "seq", "value", whole.alias("whole"))
+    found = found.select("source_file", "block", "seq", "whole", pieces.alias("pieces"))
+    # The outer form adds no filter on the size, which would make the array twice.
+    split = found.select(
+        "source_file", "block", "seq", "whole", F.size("pieces").alias("n"), F.posexplode_outer("pieces").alias("pos", "piece")
     )
-    # The outer form adds no size filter that would evaluate the array twice.
-    return chunks.select("source_file", "block", "seq", F.inline_outer(events)).where(
-        F.col("xml").isNotNull() | F.col("header_xml").isNotNull()
+    # The reader took the end tag off the last piece of a chunk; an earlier piece must bring its own.
+    record = (
+        F.when(piece.rlike(_SELF_CLOSED), F.regexp_extract(piece, _SELF_CLOSED, 1))
+        .when(piece.contains("</ABR"), F.regexp_extract(piece, _CLOSED, 1))
+        .when(pos == F.col("n") - 1, F.concat(piece, F.lit(RECORD_END)))
+        .otherwise(piece)
     )
+    return split.select(
+        *PLACE,
+        F.when(F.col("whole"), piece).when(piece.rlike(f"^{_RECORD_START}"), record).alias("xml"),
+        F.when(~F.col("whole"), _headers(piece)).alias("header_xml"),
+    ).where(F.col("xml").isNotNull() | F.col("header_xml").isNotNull())
 
 
 def _label(kind: Column, text: Column) -> Column:

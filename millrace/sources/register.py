@@ -10,6 +10,8 @@ from .archives import expand_members, list_members
 RECORD_END = "</ABR>"
 # Endings of register files, in any case of letters.
 PLAIN_FILES, PACKED_FILES = "*.[xX][mM][lL]", "*.[gG][zZ]"
+# Chunks of one packed file that stay together when it is spread, about 50 MB of text.
+TOGETHER = 50_000
 # Row number inside a scan task: the low 33 bits of monotonically_increasing_id.
 _ROW_BITS = (1 << 33) - 1
 
@@ -29,12 +31,13 @@ def discover_register_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spread(chunks: DataFrame, parallelism: int | None = None) -> DataFrame:
-    """Distribute chunks evenly by their place, whatever file they come from.
+    """Distribute stretches of ``TOGETHER`` chunks, whatever file they come from.
 
     Parsing is far slower than inflating: a large packed file is inflated by one task and parsed by many.
+    Stretches rather than single chunks keep the number of files per task, and so of written parts, low.
     """
     n = parallelism or int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return chunks.repartition(n, "source_file", "block", "seq")
+    return chunks.repartition(n, "source_file", "block", F.floor(F.col("seq") / TOGETHER))
 
 
 def _scan(spark: SparkSession, path: str, names: str) -> DataFrame:
