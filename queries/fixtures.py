@@ -225,7 +225,7 @@ REGISTER_SQL = ENTITY_SQL + """,
 reg AS (
   SELECT k, grp,
     CASE WHEN grp % 5 = 4 THEN NULL ELSE grp + 1 END AS file_sequence_number,
-    CASE WHEN grp % 5 = 4 OR grp % 3 = 1 THEN NULL ELSE 4096 END AS record_count,
+    CASE WHEN grp % 5 = 4 OR grp % 3 = 1 THEN NULL ELSE CAST(4096 AS BIGINT) END AS record_count,
     CASE WHEN grp % 4 = 2 AND k % 4096 >= 2048 THEN '2025-02-02T00:00:00.250000' WHEN grp % 5 = 4 THEN NULL
          WHEN grp % 2 = 1 THEN '2025-01-01T10:00:00' ELSE '2025-01-01T10:00:00+00:00' END AS extract_time,
     '2025-01-' || lpad(CAST(k % 28 + 1 AS VARCHAR), 2, '0') AS record_last_updated_date,

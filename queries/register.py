@@ -211,11 +211,11 @@ ORACLE = {
     "register_scan": f"WITH {fx.REGISTER_SQL} SELECT grp, abn FROM reg",
     "register_header": f"""WITH {fx.ENTITY_SQL},
         files AS (SELECT DISTINCT grp FROM ent)
-        SELECT grp, grp + 1 AS file_sequence_number, CASE WHEN grp % 3 = 1 THEN NULL ELSE 4096 END AS record_count,
+        SELECT grp, grp + 1 AS file_sequence_number, CASE WHEN grp % 3 = 1 THEN NULL ELSE CAST(4096 AS BIGINT) END AS record_count,
                CASE WHEN grp % 2 = 1 THEN '2025-01-01T10:00:00' ELSE '2025-01-01T10:00:00+00:00' END AS extract_time
         FROM files WHERE grp % 5 <> 4
         UNION ALL
-        SELECT grp, CASE WHEN grp % 5 <> 4 THEN grp + 1 END, CASE WHEN grp % 5 <> 4 AND grp % 3 <> 1 THEN 4096 END,
+        SELECT grp, CASE WHEN grp % 5 <> 4 THEN grp + 1 END, CASE WHEN grp % 5 <> 4 AND grp % 3 <> 1 THEN CAST(4096 AS BIGINT) END,
                '2025-02-02T00:00:00.250000' FROM files WHERE grp % 4 = 2""",
     "register_flatten": f"WITH {fx.REGISTER_SQL} SELECT {_COLUMNS_SQL} FROM reg",
     "register_header_join": f"WITH {fx.REGISTER_SQL} SELECT abn, file_sequence_number, record_count, extract_time FROM reg",
