@@ -38,7 +38,9 @@ def register_events(chunks: DataFrame) -> DataFrame:
 
     Nearly every chunk is one whole record once its start is found; plain string functions cut it out. Chunks
     with headers, comments, several starts, self-closed records or loosely written end tags are split by pattern.
+    Rows that stand for unreadable input (``reject_reason`` of the chunk) are passed on.
     """
+    reason = F.col("reject_reason") if "reject_reason" in chunks.columns else F.lit(None).cast("string")
     value, piece, pos = F.col("value"), F.col("piece"), F.col("pos")
     starts = F.octet_length(value) - F.octet_length(F.replace(value, F.lit("<ABR"), F.lit("")))
     after = F.substring_index(value, "<ABR", -1)
@@ -50,11 +52,14 @@ def register_events(chunks: DataFrame) -> DataFrame:
     pieces = F.when(F.col("whole"), F.array(F.concat(F.lit("<ABR"), after, F.lit(RECORD_END)))).otherwise(
         F.split(bare, f"(?={_RECORD_START})")
     )
-    found = chunks.where((starts > 0) | odd).select("source_file", "block", "seq", "value", whole.alias("whole"))
-    found = found.select("source_file", "block", "seq", "whole", pieces.alias("pieces"))
+    found = chunks.where((starts > 0) | odd | reason.isNotNull()).select(
+        "source_file", "block", "seq", "value", whole.alias("whole"), reason.alias("unreadable")
+    )
+    found = found.select("source_file", "block", "seq", "whole", "unreadable", pieces.alias("pieces"))
     # The outer form adds no filter on the size, which would make the array twice.
     split = found.select(
-        "source_file", "block", "seq", "whole", F.size("pieces").alias("n"), F.posexplode_outer("pieces").alias("pos", "piece")
+        "source_file", "block", "seq", "whole", "unreadable", F.size("pieces").alias("n"),
+        F.posexplode_outer("pieces").alias("pos", "piece"),
     )
     # The reader took the end tag off the last piece of a chunk; an earlier piece must bring its own.
     record = (
@@ -67,7 +72,8 @@ def register_events(chunks: DataFrame) -> DataFrame:
         *PLACE,
         F.when(F.col("whole"), piece).when(piece.rlike(f"^{_RECORD_START}"), record).alias("xml"),
         F.when(~F.col("whole"), _headers(piece)).alias("header_xml"),
-    ).where(F.col("xml").isNotNull() | F.col("header_xml").isNotNull())
+        "unreadable",
+    ).where(F.coalesce("xml", "header_xml", "unreadable").isNotNull())
 
 
 def _label(kind: Column, text: Column) -> Column:
@@ -107,7 +113,8 @@ def project_register(events: DataFrame) -> DataFrame:
         F.col("header_xml").isNotNull(),
         F.from_xml(F.concat(F.lit("<h>"), "header_xml", F.lit("</h>")), REGISTER_HEADER, _XML),
     )
-    parsed = events.select(*PLACE, "xml", F.from_xml("xml", REGISTER_RECORD, _XML).alias("rec"), head.alias("head"))
+    record = F.from_xml("xml", REGISTER_RECORD, _XML)
+    parsed = events.select(*PLACE, "xml", "unreadable", record.alias("rec"), head.alias("head"))
     rec, xml = F.col("rec"), F.col("xml")
     abn, entity, main = _first(rec["ABN"]), _first(rec["EntityType"]), _first(rec["MainEntity"])
     asic, gst, others = _first(rec["ASICNumber"]), _first(rec["GST"]), rec["OtherEntity"]
@@ -157,10 +164,10 @@ def project_register(events: DataFrame) -> DataFrame:
 
     return parsed.select(
         *PLACE,
-        xml.isNotNull().alias("is_record"),
+        (xml.isNotNull() | F.col("unreadable").isNotNull()).alias("is_record"),
         *(value.alias(name) for name, value in columns.items()),
         F.when(F.col("head").isNotNull(), F.struct(*(last_given(f).alias(f) for f in HEADER_FIELDS))).alias("header"),
-        F.when(broken, F.lit("malformed xml")).alias("reject_reason"),
+        F.coalesce("unreadable", F.when(broken, F.lit("malformed xml"))).alias("reject_reason"),
         F.when(broken, rec[CORRUPT]).alias("raw"),
     )
 

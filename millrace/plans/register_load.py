@@ -27,17 +27,9 @@ def parse(chunks: DataFrame) -> DataFrame:
 
 def load_register(spark: SparkSession, source: str, target: str, archived: bool = False) -> None:
     """Load every register file below ``source``; what was stored for the same files before is replaced."""
-    if archived:
-        chunks = read_archived_register_chunks(spark, source)
-        unreadable = chunks.where(F.col("reject_reason").isNotNull())
-    else:
-        chunks, unreadable = read_register_chunks(spark, source), None
-    projected = parse(chunks)
+    read = read_archived_register_chunks if archived else read_register_chunks
+    projected = parse(read(spark, source))
     flat = flatten_register(projected).unionByName(header_rejects(projected), allowMissingColumns=True)
-    if unreadable is not None:
-        flat = flat.unionByName(
-            unreadable.select("source_file", "reject_reason"), allowMissingColumns=True
-        )
     write_source_files(flat, target)
 
 
