@@ -24,13 +24,13 @@ from .text import WordTable, flatten, map_texts, name, ragged, sums
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 # (least, most) characters per token; most byte-fallback share; least token entropy in bits, asked of texts with
-# ENTROPY_TOKENS tokens or more. Languages written in Latin letters have about 2 to 5 characters a token in a vocabulary
-# of 32,000 pieces, others less; the bands are wide, as rejects should be junk and not style.
+# ENTROPY_TOKENS tokens or more. Set apart for each language, beyond what clean prose of it shows at any length: rejects
+# should be junk and not style. Languages in other scripts have far fewer characters a token.
 BANDS = {
-    "en": (1.4, 8.0, 0.10, 4.0),
-    "fr": (1.2, 8.0, 0.10, 4.0),
-    "de": (1.2, 8.0, 0.10, 4.0),
-    "es": (1.2, 8.0, 0.10, 4.0),
+    "en": (1.75, 8.0, 0.10, 5.0),
+    "fr": (1.65, 8.0, 0.10, 5.0),
+    "de": (1.80, 8.0, 0.10, 5.0),
+    "es": (1.60, 8.0, 0.10, 5.0),
     "*": (0.5, 8.0, 0.60, 4.0),
 }
 ENTROPY_TOKENS = 100

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, mixing, quality, unigram, urllists
+from . import bpe, licenses, minhash, mixing, quality, unigram, urllists
 from .text import unit_draw
 
 
@@ -130,9 +130,14 @@ def op6_word_bpe(spark, folder):
     return bpe.digests(_read(spark, folder, "documents"))
 
 
+def op10_minhash_dedup(spark, folder):
+    return minhash.near_duplicates(_read(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_url_lists, op3_source_mix, op4_token_counts, op5_license_rules, op6_word_bpe)
+    for f in (op1_quality_rules, op2_url_lists, op3_source_mix, op4_token_counts, op5_license_rules, op6_word_bpe,
+        op10_minhash_dedup)
 }
 
 ORACLE = {"op2_url_lists": _OP2, "op3_source_mix": _OP3}
