@@ -8,8 +8,8 @@ Rounds stop as soon as all bins are filled.
 
 Equal sets are one node, keyed by a 128-bit digest, before any banding: a group of copies of any size is one node. In
 each band's bucket all nodes are compared with the least one; nodes of a bucket that are still in several components are
-then compared across them (each node outside the bucket's largest component with those of other components), so no link
-between nodes of a bucket is lost. Candidates are confirmed on the full sets of 64-bit shingle hashes.
+then joined across them by prefix filter (similar sets share one of their rarest shingles), so no link between nodes of a
+bucket is lost and a family of texts just below the threshold does not meet pair by pair. Candidates are confirmed on the full sets of 64-bit shingle hashes.
 
 Nulls and odd input: a null, empty or blank text has an empty set and is linked with nothing; a null doc_id takes part,
 but never names a component; repeated rows and repeated ids are rows of their own; an empty table gives no rows.
@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import checked_broadcast, stage
 from .components import components
@@ -154,6 +155,45 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return both.select("a", "b", "set_a", "set_b").mapInArrow(check, "a binary, b binary")
 
 
+def _of_several(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the groups by ``keys`` that hold several roots, with the root most rows have as ``main``."""
+    parts = rows.groupBy(*keys, "root").agg(F.count("*").alias("size"))
+    main = parts.groupBy(*keys).agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("parts"))
+    return rows.join(main.where("parts > 1").drop("parts"), keys)
+
+
+def _prefixes(nodes: DataFrame, least: int) -> DataFrame:
+    """(node, n, root, set) -> (node, n, root, token, at, short): each set's rarest tokens with their place in the order.
+
+    Of two similar sets the larger one's tokens here (``short`` or not) hold one of the smaller one's short ones.
+    """
+    tokens = nodes.select("node", "n", "root", F.explode("set").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    rarest = Window.partitionBy("node").orderBy("df", "token")
+    own = F.col("n") - F.count("*").over(Window.partitionBy("node"))  # tokens of this set alone come first
+    ranked = tokens.join(shared, "token").select(
+        "node", "n", "root", "token", (own + F.row_number().over(rarest)).alias("at")
+    )
+    needed = lambda share, of: F.floor((F.lit(share) * F.col("n") + (of - 1)) / of)  # noqa: E731  rounded up
+    long, short = F.col("n") - needed(least, 100) + 1, F.col("n") - needed(2 * least, 100 + least) + 1
+    return ranked.where(F.col("at") <= long).withColumn("short", F.col("at") <= short)
+
+
+def _rare_pairs(rows: DataFrame, least: int) -> DataFrame:
+    """Pairs (a > b) with different roots that may be similar. Every pair meets at a short token of its smaller set; of
+    each token's rows, those of its main root meet the others only."""
+    rows = _of_several(rows, ["token"])
+    smaller = rows.where("short").select("token", "main", *(F.col(c).alias(f"{c}_s") for c in ("node", "n", "root", "at")))
+    foreign, main = (rows.where(w).drop("main") for w in ("root <> main", "root = main"))
+    few = smaller.where("root_s <> main").drop("main")
+    order = (F.col("n_s") < F.col("n")) | ((F.col("n_s") == F.col("n")) & (F.col("node_s") < F.col("node")))
+    overlap = F.ceil(least * (F.col("n") + F.col("n_s")) / (100 + least) - 1e-9)
+    left = 1 + F.least(F.col("n") - F.col("at"), F.col("n_s") - F.col("at_s"))  # if this is the first they share
+    meets = (F.col("root") != F.col("root_s")) & order & (100 * F.col("n_s") >= least * F.col("n")) & (left >= overlap)
+    pairs = smaller.drop("main").join(foreign, "token").where(meets).unionByName(few.join(main, "token").where(meets))
+    return pairs.select(F.greatest("node", "node_s").alias("a"), F.least("node", "node_s").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: int = LEAST, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -199,19 +239,8 @@ def near_duplicates(
     rooted = stage(
         members.join(roots, "node", "left").select("band", "key", "node", "n", F.coalesce("root", "node").alias("root")), "rooted"
     )
-    parts = rooted.groupBy("band", "key", "root").agg(F.count("*").alias("size"))
-    mixed = parts.groupBy("band", "key").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("parts"))
-    mixed = mixed.where("parts > 1")
-    open_members = rooted.join(mixed, ["band", "key"])
-    minor = open_members.where("root <> main").select(
-        "band", "key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a")
-    )
-    rest = (
-        minor.join(open_members, ["band", "key"])
-        .where((F.col("root") != F.col("root_a")) & fits(F.col("n"), F.col("n_a")))
-        .select(F.greatest("a", "node").alias("a"), F.least("a", "node").alias("b"))
-        .distinct()
-    )
+    unsettled = stage(_of_several(rooted, ["band", "key"]).select("node", "n", "root").distinct(), "open")
+    rest = _rare_pairs(stage(_prefixes(unsettled.join(sets, "node"), least), "prefixes"), least)
     again = rest.join(first, ["a", "b"], "left_anti")
     more = stage(_verified(again, sets, least), "more")
     roots = components(links.unionByName(more))
