@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, minhash, mixing, quality, unigram, urllists
+from . import bpe, hmm, licenses, lsh, minhash, mixing, quality, toxicity, unigram, urllists
 from .text import unit_draw
 
 
@@ -130,6 +130,19 @@ def op6_word_bpe(spark, folder):
     return bpe.digests(_read(spark, folder, "documents"))
 
 
+def op7_toxic_neighbours(spark, folder):
+    found = toxicity.scores(_read(spark, folder, "documents"), _read(spark, folder, "labels").select("doc_id", "toxic"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("evidence").alias("n_evidence"))
+
+
+def op8_multiprobe_lsh(spark, folder):
+    return lsh.nearest(_read(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op9_hmm_score(spark, folder):
+    return hmm.score(_read(spark, folder, "documents"))
+
+
 def op10_minhash_dedup(spark, folder):
     return minhash.near_duplicates(_read(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -137,7 +150,7 @@ def op10_minhash_dedup(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (op1_quality_rules, op2_url_lists, op3_source_mix, op4_token_counts, op5_license_rules, op6_word_bpe,
-        op10_minhash_dedup)
+        op7_toxic_neighbours, op8_multiprobe_lsh, op9_hmm_score, op10_minhash_dedup)
 }
 
 ORACLE = {"op2_url_lists": _OP2, "op3_source_mix": _OP3}
