@@ -9,8 +9,9 @@ The index holds the examples in blocks of like terms, for each term its postings
 document's blocks are visited from the highest bound on, until the k-th best cosine is above what is left; the result is
 that of comparing with every example, ties to the smaller example number (a hash order).
 
-The k nearest vote with weights that fall with their distance, drawn towards the share of toxic examples; examples
-without any term of the space are the neighbours of documents without any.
+The k nearest vote with weights that fall with their distance, drawn towards the share of toxic examples; what a vote is
+worth comes from the examples, each voted on by the others. Examples without any term of the space are the neighbours of
+documents without any.
 
 Nulls and odd input: a null or empty text has no terms; a null label or doc_id is no example; repeated rows are examples
 and scored one by one; without examples, or with one label alone, every score is the share of toxic examples (0 if none).
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -97,6 +98,8 @@ class Index:
     share: float
     empty: float  # score of a document without terms
     neighbours: int = NEIGHBOURS
+    votes: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
+    meaning: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
 
     @staticmethod
     def build(space: dict[str, int], idf: np.ndarray, rows: list[tuple[dict[int, int], int]], neighbours: int = NEIGHBOURS) -> Index:
@@ -118,14 +121,16 @@ class Index:
         starts = np.searchsorted(cell[order], np.arange(len(idf) * blocks + 1))
         most = np.zeros(len(idf) * blocks)
         np.maximum.at(most, cell, weight)
-        return Index(
+        index = Index(
             space, idf, starts, at[order], weight[order], most.reshape(len(idf), blocks), label[example], example, share, empty,
             neighbours,
         )
+        index.calibrate([vectors[i] for i in full])
+        return index
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the nearest examples, nearest first, ties to the smaller example number."""
-        blocks, size, k = self.most.shape[1], len(self.label), self.neighbours
+        blocks, size = self.most.shape[1], len(self.label)
         if not blocks:
             return np.zeros(0, np.int64), np.zeros(0)
         bound = weights @ self.most[terms]
@@ -151,17 +156,37 @@ class Index:
                 least = scores[-1]
         return found, scores
 
+    def vote(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, np.ndarray]:
+        """Share of toxic among the neighbours, weighted by nearness, and their places; ``without`` is no neighbour."""
+        places, cosine = self.nearest(terms, weights, self.neighbours + (without >= 0))
+        near = (cosine > 0) & (places != without)
+        places, cosine = places[near][: self.neighbours], np.minimum(cosine[near], 1.0)[: self.neighbours]
+        weight = 1 / (0.1 + np.sqrt(2 - 2 * cosine))  # distance of unit vectors
+        return (float(weight @ self.label[places]) + self.share) / (float(weight.sum()) + 1), places
+
+    def calibrate(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Each example is voted on by the others; the share of toxic ones by vote, made monotone, is what a vote says.
+        ``vectors`` by place."""
+        votes = np.array([self.vote(*v, without=i)[0] for i, v in enumerate(vectors)])
+        order = np.argsort(votes, kind="stable")
+        pools: list[list[float]] = []  # toxic, examples, least and largest vote; neighbours that fall are pooled
+        for vote, label in zip(votes[order], self.label[order]):
+            pools.append([float(label), 1.0, float(vote), float(vote)])
+            while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
+                toxic, size, _, most = pools.pop()
+                pools[-1] = [pools[-1][0] + toxic, pools[-1][1] + size, pools[-1][2], most]
+        share = [(toxic + self.share) / (size + 1) for toxic, size, *_ in pools]
+        self.votes = np.array([0.0, *(v for pool in pools for v in pool[2:]), 1.0])
+        self.meaning = np.array([0.0, *(s for s in share for _ in range(2)), 1.0])
+        self.meaning = np.maximum.accumulate(self.meaning)
+
     def score(self, counts: dict[int, int]) -> tuple[float, list[int]]:
         """Score of a document and the example numbers it rests on."""
         if not counts:
             return self.empty, []
-        places, cosine = self.nearest(*unit(counts, self.idf))
-        near = cosine > 0
-        places, cosine = places[near], np.minimum(cosine[near], 1.0)
-        weight = 1 / (0.1 + np.sqrt(2 - 2 * cosine))  # distance of unit vectors
-        prior = 1.0
-        value = (float(weight @ self.label[places]) + prior * self.share) / (float(weight.sum()) + prior)
-        return min(1.0, max(0.0, value)), self.number[places].tolist()
+        vote, places = self.vote(*unit(counts, self.idf))
+        sure = float(np.interp(vote, self.votes, self.meaning))
+        return min(1.0, max(0.0, 0.98 * sure + 0.02 * vote)), self.number[places].tolist()  # votes still order equal shares
 
 
 def unit(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,12 +198,13 @@ def unit(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def choose_terms(counts: DataFrame, clean: int, toxic: int) -> list[str]:
-    """Terms whose presence goes with the label, strongest first: at most TERMS."""
+    """Terms whose presence goes with the label, strongest first: at most TERMS. More than half of the examples with a term
+    must be toxic, as a passage that many texts share brings along words of its own."""
     n, a, b = F.lit(float(clean + toxic)), F.col("toxic").cast("double"), F.col("clean").cast("double")
     c, d = F.lit(float(toxic)) - a, F.lit(float(clean)) - b
     chi = n * F.pow(a * d - b * c, F.lit(2)) / ((a + b) * (c + d) * (a + c) * (b + d))
     least = max(LEAST_EXAMPLES, (clean + toxic) / RAREST)
-    rows = counts.where(F.col("toxic") + F.col("clean") >= least).select("term", chi.alias("chi"))
+    rows = counts.where((F.col("toxic") + F.col("clean") >= least) & (F.col("toxic") > F.col("clean"))).select("term", chi.alias("chi"))
     rows = rows.where(F.col("chi") >= CHI_SQUARE).orderBy(F.desc("chi"), "term").limit(TERMS).collect()
     return [r["term"] for r in rows]
 
