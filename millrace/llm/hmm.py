@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .text import map_texts, name, pieces
+from .text import CACHE_WORDS, map_texts, name, pieces, sums
 
-STATES, ROUNDS, HEAD = 8, 4, 131_072
+STATES, ROUNDS, HEAD = 8, 4, 65_536
 END = b"\n"  # no word holds a line feed
 _GROUP = 400_000  # tokens that run through the recursion together (one longer text may be more)
 
@@ -119,9 +119,16 @@ class Lockstep:
         return start, move, emitted
 
 
-def _groups(ids: pa.ListArray) -> Iterator[tuple[np.ndarray, Lockstep]]:
+def numbers(ids: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers of all rows end to end (4 bytes each), and the bounds of each row; nothing is copied."""
+    _, offsets, data = ids.buffers()
+    bounds = np.frombuffer(offsets, np.int32)[ids.offset : ids.offset + len(ids) + 1].astype(np.int64) // 4
+    return np.frombuffer(data, np.int32, data.size // 4) if data else np.zeros(0, np.int32), bounds
+
+
+def _groups(ids: pa.BinaryArray) -> Iterator[tuple[np.ndarray, Lockstep]]:
     """Rows of like length, about _GROUP tokens together."""
-    flat, bounds = np.asarray(ids.values), np.asarray(ids.offsets).astype(np.int64)
+    flat, bounds = numbers(ids)
     length = np.diff(bounds)
     order = np.argsort(length, kind="stable")
     total = np.cumsum(length[order])
@@ -136,18 +143,24 @@ def _groups(ids: pa.ListArray) -> Iterator[tuple[np.ndarray, Lockstep]]:
 
 
 def word_counts(docs: DataFrame, text: Column) -> DataFrame:
-    """(word, c) over all texts, one end token each; counted in each piece before the shuffle."""
+    """(word, c) over all texts, one end token each; counted in each task, some words at a time, before the shuffle."""
+
+    def rows(found: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], ["word", "n"]
+        )
 
     def count(batches):
+        found: Counter = Counter()
         for batch in batches:
             for piece in pieces(batch, "text"):
-                found = Counter()
                 for words in piece.column("text").to_pylist():
                     found.update(words.lower().split())
                 found[END] += piece.num_rows
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], ["word", "n"]
-                )
+                if len(found) > CACHE_WORDS:
+                    yield rows(found)
+                    found = Counter()
+        yield rows(found)
 
     texts = docs.select(F.coalesce(text, F.lit("")).cast("binary").alias("text"))
     return texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
@@ -166,7 +179,7 @@ def _encode(head: list[bytes]):
                 words = text.lower().split()
                 row = [number.get(w, rare) for w in words]
                 found = Counter(w for w, i in zip(words, row) if i == rare)
-                ids.append(np.array([*row, number[END]], np.int32))
+                ids.append(np.array([*row, number[END]], np.int32).tobytes())
                 others.append(list(found.keys()))
                 times.append(list(found.values()))
             return [*(piece.column(c) for c in ("rid", "doc_id", "held_out")), ids, others, times]
@@ -177,7 +190,7 @@ def _encode(head: list[bytes]):
 
 
 def _expect(model, states: int):
-    """One row for each word that occurs in a task, and rows -1 - k for moves from k, -1 - states for starts."""
+    """One row for each word that occurs in a task (32-bit, summed in 64), and rows -1 - k for moves from k, -1 - states for starts."""
 
     def expect(batches):
         start, move, emitted = np.zeros(states), np.zeros((states, states)), 0
@@ -189,7 +202,7 @@ def _expect(model, states: int):
             seen = np.flatnonzero(emitted.sum(1))
             key = np.concatenate([seen, -1 - np.arange(states + 1)])
             table = np.concatenate([emitted[seen], move, start[None]])
-            columns = [pa.array(key, pa.int32()), *(pa.array(table[:, k]) for k in range(states))]
+            columns = [pa.array(key, pa.int32()), *(pa.array(table[:, k].astype(np.float32)) for k in range(states))]
             yield pa.RecordBatch.from_arrays(columns, ["word", *(f"s{k}" for k in range(states))])
 
     return expect
@@ -198,7 +211,7 @@ def _expect(model, states: int):
 def train(encoded: DataFrame, counts: np.ndarray, states: int = STATES, rounds: int = ROUNDS) -> Hmm:
     """Baum-Welch over all rows of ``ids``. The driver sees the summed table: at most len(counts) + states + 1 rows."""
     model = Hmm.first(counts, states)
-    schema = ", ".join(["word int", *(f"s{k} double" for k in range(states))])
+    schema = ", ".join(["word int", *(f"s{k} float" for k in range(states))])
     context = encoded.sparkSession.sparkContext
     for _ in range(rounds):
         sent = context.broadcast(model)
@@ -222,9 +235,9 @@ def _score(model, head_logs):
             log = np.zeros(batch.num_rows)
             for rows, group in _groups(ids):
                 log[rows] = group.log10(model.value)
-            flat, bounds = np.asarray(ids.values), np.asarray(ids.offsets)
+            flat, bounds = numbers(ids)
             logs, known = head_logs.value
-            total = lambda v: np.add.reduceat(v[flat], bounds[:-1]) if batch.num_rows else np.zeros(0)
+            total = lambda v: sums(v[flat[: bounds[-1]]], bounds)
             made = [np.diff(bounds).astype(np.int64), total(known).astype(np.int64), total(logs), log]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("rid", "doc_id", "held_out")), *map(pa.array, made)],
@@ -260,7 +273,7 @@ def score(
     sent = spark.sparkContext.broadcast([w for w, _ in top])
     columns = {"rid": F.monotonically_increasing_id(), "doc_id": name(id_column), "held_out": aside}
     schema = (
-        f"rid long, doc_id {dict(docs.dtypes)[id_column]}, held_out boolean, ids array<int>, "
+        f"rid long, doc_id {dict(docs.dtypes)[id_column]}, held_out boolean, ids binary, "
         "rare array<binary>, times array<int>"
     )
     encoded = stage(map_texts(docs, columns, name(text), _encode(sent), schema), "encoded")
