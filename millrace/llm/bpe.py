@@ -15,7 +15,6 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -23,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .text import CACHE_WORDS, map_texts, name, ragged
+from .text import CACHE_WORDS, map_texts, name, ragged, worker_held
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 # White space of the library's patterns; Python's own \s has four more control characters.
@@ -165,10 +164,8 @@ class WordCache(dict):
                 end += n
 
 
-@cache
 def tokeniser(path: str) -> WordCache:
-    """One for each Python worker."""
-    return WordCache(Bpe(path))
+    return worker_held(("bpe", path), lambda: WordCache(Bpe(path)))
 
 
 def _split(model: Bpe, text: bytes) -> list[tuple[bool, str]]:

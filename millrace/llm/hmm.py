@@ -24,10 +24,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .text import CACHE_WORDS, map_texts, name, pieces, sums
+from .text import map_texts, name, pieces, sums
 
 STATES, ROUNDS, HEAD = 8, 4, 65_536
 END = b"\n"  # no word holds a line feed
+COUNTED_AT_ONCE = 400_000  # distinct words a task counts before it hands them on
 _GROUP = 400_000  # tokens that run through the recursion together (one longer text may be more)
 
 
@@ -157,7 +158,7 @@ def word_counts(docs: DataFrame, text: Column) -> DataFrame:
                 for words in piece.column("text").to_pylist():
                     found.update(words.lower().split())
                 found[END] += piece.num_rows
-                if len(found) > CACHE_WORDS:
+                if len(found) > COUNTED_AT_ONCE:
                     yield rows(found)
                     found = Counter()
         yield rows(found)

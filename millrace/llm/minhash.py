@@ -17,8 +17,6 @@ but never names a component; repeated rows and repeated ids are rows of their ow
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -28,7 +26,7 @@ from pyspark.sql.window import Window
 
 from ..session import checked_broadcast, stage
 from .components import components
-from .text import WordTable, flatten, map_texts, name
+from .text import WordTable, flatten, map_texts, name, worker_held
 
 SHINGLE = 5
 BANDS, ROWS = 24, 6
@@ -45,10 +43,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@cache
 def _word_hashes() -> WordTable:
-    """One for each Python worker."""
-
     def learn(words: list[str]):
         return np.ones(len(words), np.int64), np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
 
@@ -58,7 +53,7 @@ def _word_hashes() -> WordTable:
 def shingle_sets(texts: list[bytes], width: int = SHINGLE) -> list[np.ndarray]:
     """The set of each text: sorted distinct 64-bit hashes of its shingles."""
     words, bounds = flatten([t.lower() for t in texts])
-    table = _word_hashes()
+    table = worker_held(("minhash",), _word_hashes)
     rows = table.rows(words)
     hashes = table.values[0][rows]
     with np.errstate(over="ignore"):

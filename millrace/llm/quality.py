@@ -10,7 +10,6 @@ has the default bands. Repeated rows are judged alike, every row once.
 
 from __future__ import annotations
 
-from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -19,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import WordTable, flatten, map_texts, name, ragged, sums
+from .text import WordTable, flatten, map_texts, name, ragged, sums, worker_held
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -43,9 +42,8 @@ MEASURES = (
 )
 
 
-@cache
 def fertility(path: str) -> tuple[WordTable, np.ndarray]:
-    """Token ids of words and which ids are bytes; one for each Python worker."""
+    """Token ids of words and which ids are bytes."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -96,7 +94,7 @@ def entropy(tokens: np.ndarray) -> float:
 
 def _measure(path: str):
     def make():
-        table, byte = fertility(path)
+        table, byte = worker_held(("quality", path), lambda: fertility(path))
 
         def measure(piece: pa.RecordBatch, texts: list[bytes]):
             words, bounds = flatten(texts)

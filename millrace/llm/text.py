@@ -15,8 +15,19 @@ from pyspark.sql import functions as F
 # separates words in bytes.split(), so Python code splits UTF-8 bytes and needs no pattern.
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Words whose results one Python worker keeps (a matter of speed, not of results).
-CACHE_WORDS = 400_000
+# Words whose results one Python worker keeps (a matter of speed and memory, not of results).
+CACHE_WORDS = 120_000
+
+_held: dict = {}
+
+
+def worker_held(key: tuple, make: Callable):
+    """What a Python worker keeps from task to task: one operator's tables at a time, so that a worker that serves several
+    stages holds the tables of the last only."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
 
 
 def name(column: str) -> Column:
@@ -35,7 +46,7 @@ def unit_draw(seed: str, *keys: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
-def pieces(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``most`` bytes of text each (one row may be longer)."""
     size = np.asarray(pc.binary_length(batch.column(column))).cumsum()
     start = 0

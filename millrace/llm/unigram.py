@@ -12,14 +12,13 @@ any length are scanned whole, in time linear in their matches.
 from __future__ import annotations
 
 import math
-from functools import cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .text import WordTable, flatten, map_texts, name, sums
+from .text import WordTable, flatten, map_texts, name, sums, worker_held
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
@@ -76,9 +75,7 @@ class CountingViterbi:
         return tokens[-1], score[-1]
 
 
-@cache
 def zipf_counts(path: str) -> WordTable:
-    """One for each Python worker."""
     viterbi = CountingViterbi(zipf_vocabulary(path))
 
     def learn(words: list[str]):
@@ -92,7 +89,7 @@ def token_counts(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     """doc_id, n_words, n_tokens, score (log probability of the best pieces): one narrow pass."""
 
     def make():
-        counts = zipf_counts(vocabulary)
+        counts = worker_held(("unigram", vocabulary), lambda: zipf_counts(vocabulary))
 
         def count(piece: pa.RecordBatch, texts: list[bytes]):
             words, bounds = flatten(texts)
