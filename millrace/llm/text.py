@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 # Words whose results one Python worker keeps (a matter of speed and memory, not of results).
-CACHE_WORDS = 120_000
+CACHE_WORDS = 60_000
 
 _held: dict = {}
 
@@ -46,7 +46,7 @@ def unit_draw(seed: str, *keys: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
-def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``most`` bytes of text each (one row may be longer)."""
     size = np.asarray(pc.binary_length(batch.column(column))).cumsum()
     start = 0
