@@ -3,18 +3,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-_INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
-_WIDE = "decimal(38,9)"
-
-
-def _wide(text: Column) -> Column:
-    # Only reached for text that is not a plain integer; the pattern keeps junk away from the decimal parser.
-    return F.when(text.rlike(_NUMBER), text.try_cast(_WIDE))
+_NUMBER = r"^\s*([+-]?)(?:([0-9]+)\.?([0-9]*)|\.([0-9]+))(?:[eE]([+-]?[0-9]+))?\s*\z"
+_INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*\z"
+# Digits of the largest 64-bit integer.
+_DIGITS = 19
 
 
 def _whole(text: Column) -> Column:
-    return F.when(_wide(text) % 1 == 0, text.try_cast(_WIDE).try_cast("bigint"))
+    """64-bit value of a number that is whole, by its digits and the place of its point: exact at any length.
+
+    Only reached for text that is not a plain integer; NULL for fractions, numbers out of range and other text.
+    """
+    part = lambda k: F.regexp_extract(text, _NUMBER, k)
+    digits = F.concat(part(2), part(3), part(4))
+    leading = F.length(digits) - F.length(F.ltrim(digits, F.lit("0")))
+    significant = F.trim(digits, F.lit("0"))
+    power = F.when(part(5) == "", F.lit(0)).otherwise(part(5).try_cast("int"))
+    point = F.length(part(2)).cast("long") + power - leading
+    fits = (F.length(significant) <= point) & (point <= _DIGITS)
+    value = F.concat(F.regexp_replace(part(1), r"\+", ""), F.rpad(significant, F.least(point, F.lit(_DIGITS)).cast("int"), "0"))
+    return F.when(text.rlike(_NUMBER), F.when(significant == "", F.lit(0).cast("bigint")).when(fits, value.try_cast("bigint")))
 
 
 def to_bigint(text: Column) -> Column:
@@ -24,5 +32,5 @@ def to_bigint(text: Column) -> Column:
 
 def is_unusable_number(text: Column) -> Column:
     """True for text that is a number but no 64-bit integer: a fraction, infinity, or out of range."""
-    odd = F.when(text.rlike(_INFINITE), True).otherwise(_wide(text).isNotNull() & _whole(text).isNull())
+    odd = F.when(text.rlike(_INFINITE), True).otherwise(text.rlike(_NUMBER) & _whole(text).isNull())
     return F.when(text.isNotNull() & text.try_cast("bigint").isNull(), odd).otherwise(False)

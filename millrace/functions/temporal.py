@@ -14,22 +14,23 @@ from .text import empty_to_null, strip
 # Accepted shapes, and what they are rewritten to. Years are those a nanosecond clock can
 # hold in full, 1678 to 2261.
 _YEAR = r"(1(?:6(?:7[89]|[89][0-9])|[7-9][0-9]{2})|2(?:[01][0-9]{2}|2(?:[0-5][0-9]|6[01])))"
-_FULL_DIGITS = rf"^{_YEAR}[0-9]{{10,}}$"
-_SOME_DIGITS = rf"^{_YEAR}(?:[0-9]{{4}}|[0-9]{{8}}|[0-9]{{10,}})?$"
-_SPLIT_DIGITS = (r"^([0-9]{4})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})[0-9]*$", "$1-$2-$3 $4:$5:$6")
+_FULL_DIGITS = rf"^{_YEAR}[0-9]{{10,}}\z"
+_SOME_DIGITS = rf"^{_YEAR}(?:[0-9]{{4}}|[0-9]{{8}}|[0-9]{{10,}})?\z"
+_SPLIT_DIGITS = (r"^([0-9]{4})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})[0-9]*\z", "$1-$2-$3 $4:$5:$6")
 _UNGIVEN_DIGITS = "00000101000000"
-_EIGHT_DIGITS = (r"^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3")
-_SLASHED = rf"^([0-9]{{1,2}})/([0-9]{{1,2}})/{_YEAR}$"
+_EIGHT_DIGITS = (r"^([0-9]{4})([0-9]{2})([0-9]{2})\z", "$1-$2-$3")
+_SLASHED = rf"^([0-9]{{1,2}})/([0-9]{{1,2}})/{_YEAR}\z"
 _DATE_TIME = (
     rf"^({_YEAR}([-/.])[0-9]{{1,2}}\3[0-9]{{1,2}})"
-    r"(?:([T ][0-9]{1,2}(?::[0-9]{1,2}(?::[0-9]{1,2})?)?)(?:(?<=:[0-9]{2})\.[0-9]+)?\s*(?:Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
+    r"(?:([T ][0-9]{1,2}(?::[0-9]{1,2}(?::[0-9]{1,2})?)?)(?:(?<=:[0-9]{2})\.[0-9]+)?\s*(?:Z|[+-][0-9]{2}:?[0-9]{2})?)?\z"
 )
-_HOUR_ONLY = r"([T ][0-9]{1,2})$"
+_HOUR_ONLY = r"([T ][0-9]{1,2})\z"
 _ISO = (
     r"(?s)^([0-9]{4})(-?)([0-9]{2})\2([0-9]{2})"
-    r"(?:.([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,]([0-9]+))?)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
+    r"(?:.([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,]([0-9]+))?)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?\z"
 )
 
+
 def crawl_timestamp(raw: Column) -> Column:
     """Capture time of an index record: 14 or more digits, else a date in one of the usual shapes, else NULL.
 
@@ -55,7 +56,7 @@ def crawl_timestamp(raw: Column) -> Column:
 def _iso_stamp(t: Column) -> Column:
     """NTZ time of ISO 8601 text (calendar dates, extended or basic form); NULL when it is none."""
     cut = F.regexp_replace(t, _ISO, "$1-$3-$4 $5:$6:$7")
-    filled = F.regexp_replace(F.regexp_replace(cut, ":(?=:|$)", ":00"), " :", " 00:")
+    filled = F.regexp_replace(F.regexp_replace(cut, r":(?=:|\z)", ":00"), " :", " 00:")
     return F.when(t.rlike(_ISO), filled.try_cast("timestamp_ntz"))
 
 
@@ -63,8 +64,8 @@ def iso_date(raw: Column) -> Column:
     """ISO date text. Eight digits are only re-punctuated, not checked; other text must be valid ISO 8601."""
     t = strip(raw)
     return (
-        F.when(raw.rlike("^[0-9]{8}$"), F.regexp_replace(raw, *_EIGHT_DIGITS))
-        .when(t.rlike("^[0-9]{8}$"), F.regexp_replace(t, *_EIGHT_DIGITS))
+        F.when(raw.rlike(r"^[0-9]{8}\z"), F.regexp_replace(raw, *_EIGHT_DIGITS))
+        .when(t.rlike(r"^[0-9]{8}\z"), F.regexp_replace(t, *_EIGHT_DIGITS))
         .otherwise(_iso_stamp(t).cast("date").cast("string"))
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import BROADCAST_ROWS, fits_broadcast
 
@@ -14,11 +15,20 @@ def latest_blobs(raw_pages: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFr
     An aggregate with map-side partials finds the winners on narrow columns, so a page with very many copies
     is no hot group. Superseded ids are broadcast when they are few, so that file contents are not shuffled.
     """
-    winners = raw_pages.groupBy("file_name").agg(F.max(F.struct("uploaded_at", "id")).alias("top")).select("top.id")
-    superseded = raw_pages.select("id").join(winners, "id", "left_anti")
-    if fits_broadcast(superseded, max_rows):
-        return raw_pages.join(F.broadcast(superseded), "id", "left_anti")
-    return raw_pages.join(winners, "id", "left_semi")
+    key = ["file_name", "uploaded_at", "id"]
+    tops = raw_pages.groupBy("file_name").agg(F.max(F.struct("uploaded_at", "id")).alias("top"))
+    tops = tops.select(F.col("file_name").alias("page_name"), "top")
+    # Every copy of a page may bear the page's id: a copy is told by its name, time and id together.
+    older = (
+        raw_pages.select(*(F.col(c).alias(f"old_{c}") for c in key))
+        .join(tops, F.col("old_file_name").eqNullSafe(F.col("page_name")))
+        .where(~F.struct(F.col("old_uploaded_at").alias("uploaded_at"), F.col("old_id").alias("id")).eqNullSafe(F.col("top")))
+        .drop("page_name", "top")
+        .distinct()
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"old_{c}")) for c in key]
+    older = F.broadcast(older) if fits_broadcast(older, max_rows) else older
+    return raw_pages.join(older, same, "left_anti")
 
 
 def page_ledger(lines: DataFrame) -> DataFrame:
@@ -34,8 +44,10 @@ def page_ledger(lines: DataFrame) -> DataFrame:
 def _copies(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Winning and superseded (load_batch, source_path) keys; a page is landed anew when it was fetched twice."""
     version = F.struct("load_batch", "landed_at", "source_path")
+    unnamed = F.col("segment").isNull() | F.col("page").isNull()
+    alone = F.when(unnamed, F.col("source_path")).alias("alone")  # a file that names no page is a page of its own
     winners = (
-        ledger.groupBy("segment", "page").agg(F.max(version).alias("top")).select("top.load_batch", "top.source_path")
+        ledger.groupBy("segment", "page", alone).agg(F.max(version).alias("top")).select("top.load_batch", "top.source_path")
     )
     keys = ledger.select("load_batch", "source_path")
     return winners, keys.join(winners, ["load_batch", "source_path"], "left_anti")
@@ -59,9 +71,19 @@ def latest_ledger(ledger: DataFrame) -> DataFrame:
 
 
 def bookmarks_from_ledger(ledger: DataFrame) -> DataFrame:
-    """Last page with records of every crawl; a page without records ends a crawl and is not one."""
+    """Last page with records of every crawl, up to the first page that has not landed: a fetcher that goes on from there
+    leaves no gap. A page without records ends a crawl and is not one."""
+    landed = (
+        ledger.where(F.col("segment").isNotNull() & F.col("page").isNotNull())
+        .groupBy("segment", "page")
+        .agg(F.max("records").alias("records"))
+    )
+    in_order = Window.partitionBy("segment").orderBy("page")
+    run = F.col("page") - F.row_number().over(in_order)
+    first = F.min(F.col("page")).over(Window.partitionBy("segment")) - 1
     return (
-        ledger.where((F.col("records") > 0) & F.col("segment").isNotNull())
+        landed.withColumn("unbroken", run == first)
+        .where("unbroken AND records > 0")
         .groupBy(F.col("segment").alias("cc_index"))
         .agg(F.max("page").alias("bookmark"))
     )

@@ -11,6 +11,8 @@ from ..schemas import INDEX_RECORDS, PAGE_KEYS
 INDEX_COLUMNS = INDEX_RECORDS.fieldNames()
 # Fixed value: width of the digest column.
 DIGEST_WIDTH = 32
+# Narrow types of the analytics table.
+NARROW = {"status": "smallint", "length": "int"}
 
 
 def conform(df: DataFrame, columns: list[str] = PAGE_KEYS) -> DataFrame:
@@ -86,7 +88,11 @@ def broken_constraints(cleaned: DataFrame) -> DataFrame:
         for name, label in (("urlkey", "urlkey"), ("url", "url"), ("crawl_timestamp", "timestamp"))
     ]
     too_long = F.when(F.length("digest") > DIGEST_WIDTH, F.lit("digest is too long"))
-    return good(cleaned).withColumn("reject_reason", F.coalesce(*missing, too_long)).where(
+    too_large = [
+        F.when(F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull(), F.lit(f"{name} is out of range"))
+        for name, kind in NARROW.items()
+    ]
+    return good(cleaned).withColumn("reject_reason", F.coalesce(*missing, too_long, *too_large)).where(
         F.col("reject_reason").isNotNull()
     )
 
@@ -94,6 +100,8 @@ def broken_constraints(cleaned: DataFrame) -> DataFrame:
 def index_flat(cleaned: DataFrame, inserted_at: Column) -> DataFrame:
     """Analytics view: typed narrow numbers, derived domain and path, load stamp."""
     whole = F.coalesce(F.length("digest") <= DIGEST_WIDTH, F.lit(True))
+    for name, kind in NARROW.items():
+        whole = whole & (F.col(name).isNull() | F.col(name).try_cast(kind).isNotNull())
     return (
         good(cleaned)
         .where(F.col("urlkey").isNotNull() & F.col("url").isNotNull() & F.col("crawl_timestamp").isNotNull() & whole)
@@ -101,11 +109,11 @@ def index_flat(cleaned: DataFrame, inserted_at: Column) -> DataFrame:
             "urlkey",
             "url",
             F.col("crawl_timestamp").alias("timestamp"),
-            F.col("status").try_cast("smallint").alias("status"),
+            F.col("status").try_cast(NARROW["status"]).alias("status"),
             "mime",
             "mime_detected",
             "digest",
-            F.col("length").try_cast("int").alias("length"),
+            F.col("length").try_cast(NARROW["length"]).alias("length"),
             "file_offset",
             "filename",
             url_domain(F.col("url")).alias("domain"),

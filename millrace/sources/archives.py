@@ -96,7 +96,10 @@ def _member_reader(separator: bytes):
                                     seq, held, size = seq + len(held), [], 0
                     if held:
                         yield rows(name, seq, held)
-                except (zipfile.BadZipFile, zlib.error, EOFError, gzip.BadGzipFile, pa.ArrowInvalid) as error:
+                # RuntimeError: an encrypted member; NotImplementedError: an unknown method of compression
+                except (
+                    zipfile.BadZipFile, zlib.error, EOFError, gzip.BadGzipFile, pa.ArrowInvalid, RuntimeError, NotImplementedError
+                ) as error:
                     if held:
                         yield rows(name, seq, held)
                     yield rows(name, seq + len(held), [None], f"unreadable member: {type(error).__name__}")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import PAGE_KEYS, RAW_PAGES
+from ..session import checked_broadcast
 
 DECODED = T.StructType([
     T.StructField("raw_id", T.LongType()),
@@ -34,7 +35,7 @@ def oldest_blobs(raw_pages: DataFrame, limit: int | None = 10) -> DataFrame:
     """The ``limit`` oldest blobs (NULL times last, id as tie-break).
 
     The order is found on the narrow columns. File contents are read for the winners only: up to a thousand
-    keys become an IN list that the scan can skip row groups by, more are a broadcast bounded by ``limit``.
+    keys become an IN list that the scan can skip row groups by; more are broadcast if few by count, else joined.
     """
     limit = 10 if limit is None else limit
     winners = (
@@ -46,7 +47,7 @@ def oldest_blobs(raw_pages: DataFrame, limit: int | None = 10) -> DataFrame:
     )
     if limit <= 1000:
         return raw_pages.where(F.col("id").isin([row.id for row in winners.collect()]))
-    return raw_pages.join(F.broadcast(winners), "id", "left_semi")
+    return raw_pages.join(checked_broadcast(winners), "id", "left_semi")
 
 
 def _blob_decoder(keys: list[str]):

@@ -12,6 +12,9 @@ from ..schemas import CORRUPT, PAGE_KEYS, PAGE_LINE
 _IN_FOLDERS = r"/segment=([^/]+)/page=([0-9]+)/[^/]+$"
 _IN_NAME = r"^(.+)-([0-9]+)\.[A-Za-z.]+$"
 
+# Restored and back-filled files have old time stamps: none is too old to be landed.
+ANY_AGE = "36500d"
+
 
 def _with_identity(lines: DataFrame) -> DataFrame:
     path = F.col("source_path")
@@ -52,7 +55,7 @@ def read_index_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def stream_index_pages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """The same rows as a stream over newly landed files."""
-    reader = spark.readStream.schema(PAGE_LINE).option("columnNameOfCorruptRecord", CORRUPT)
+    reader = spark.readStream.schema(PAGE_LINE).option("columnNameOfCorruptRecord", CORRUPT).option("maxFileAge", ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return _with_identity(reader.option("recursiveFileLookup", True).json(path))

@@ -11,6 +11,7 @@ from ..operators.records import clean_index_lines
 from ..schemas import INDEX_RECORDS, RAW_PAGES
 from ..sinks.landing import read_batch, read_landed, write_batch, write_partitions
 from ..sources.blobs import decode_blobs, parquet_blobs
+from ..sources.pages import ANY_AGE
 
 CLEANED = T.StructType([
     *INDEX_RECORDS.fields,
@@ -52,7 +53,7 @@ def flatten_batch(blobs: DataFrame, target: str, load_batch: int) -> None:
 
 def flatten_blobs(spark: SparkSession, raw_pages: str, target: str, max_files: int | None = None) -> StreamingQuery:
     """Flatten every raw page file not flattened before, ``max_files`` table files per batch, then stop."""
-    reader = spark.readStream.schema(RAW_PAGES)
+    reader = spark.readStream.schema(RAW_PAGES).option("maxFileAge", ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
