@@ -59,17 +59,17 @@ def test_page_identity_and_bad_lines(spark, tmp_path):
 
 def test_clean_and_flat(spark, tmp_path):
     write_page(tmp_path, "S", 0, [
-        line(1, **{"mime-detected": "text/html", "status": "99999"}), line(2, length="1.5"), line(3, digest="D" * 33),
-        line(4, urlkey=""), line(5, timestamp="x"), line(6, length=None),
+        line(1, **{"mime-detected": "text/html"}), line(2, length="1.5"), line(3, digest="D" * 33),
+        line(4, urlkey=""), line(5, timestamp="x"), line(6, length=None), line(7, status="99999"),
     ])
     lines = clean_index_lines(read_index_pages(spark, str(tmp_path)))
     assert index_records(lines).columns == INDEX_COLUMNS
     assert [r.reject_reason for r in rejects(lines).collect()] == ["length is no integer"]
     broken = {r.url[-1]: r.reject_reason for r in broken_constraints(lines).collect()}
-    assert broken == {"3": "digest is too long", "4": "urlkey is null", "5": "timestamp is null"}
+    assert broken == {"3": "digest is too long", "4": "urlkey is null", "5": "timestamp is null", "7": "status is out of range"}
     flat = {r.path: r for r in index_flat(lines, F.lit("2025-01-01")).collect()}
     assert set(flat) == {"/1", "/6"}
-    assert flat["/1"].status is None and flat["/1"].mime is None and flat["/1"].mime_detected == "text/html"
+    assert flat["/1"].mime is None and flat["/1"].mime_detected == "text/html"
     assert flat["/6"].length is None and flat["/6"].domain == "a.au" and flat["/6"].status == 200
 
 
