@@ -92,10 +92,10 @@ class WordIndex(dict):
 
 class WordTable:
     """What ``learn(words)`` says of words: the number of values of each and the values, end to end, in one or more
-    arrays. A worker keeps up to CACHE_WORDS words; beyond that, those of the piece at hand that it knew before."""
+    arrays. A worker keeps up to ``most`` words; beyond that, those of the piece at hand that it knew before."""
 
-    def __init__(self, learn: Callable, types: tuple):
-        self.learn, self.index = learn, WordIndex()
+    def __init__(self, learn: Callable, types: tuple, most: int = CACHE_WORDS):
+        self.learn, self.most, self.index = learn, most, WordIndex()
         self.lengths, self.values = np.empty(0, np.int64), [np.empty(0, t) for t in types]
         self.starts = self.lengths
 
@@ -108,7 +108,7 @@ class WordTable:
 
     def rows(self, words: list[bytes]) -> np.ndarray:
         """Row of each word; its values are values[k][starts[row] : starts[row] + lengths[row]]."""
-        if len(self.index) > CACHE_WORDS:
+        if len(self.index) > self.most:
             self._keep(words)
         seen = len(self.index)
         rows = self.index.rows(words)

@@ -23,6 +23,7 @@ from .text import WordTable, flatten, map_texts, name, sums, worker_held
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
+MOST_WORDS = 200_000  # a word's result is two numbers, and finding it is slow: more are kept than elsewhere
 CONTROLS = 3  # <unk>, <s>, </s>
 
 
@@ -82,7 +83,7 @@ def zipf_counts(path: str) -> WordTable:
         found = [viterbi.count(MARK + w) for w in words]
         return np.ones(len(words), np.int64), np.array([t for t, _ in found], np.int64), np.array([s for _, s in found])
 
-    return WordTable(learn, (np.int64, np.float64))
+    return WordTable(learn, (np.int64, np.float64), MOST_WORDS)
 
 
 def token_counts(docs: DataFrame, id_column: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
