@@ -9,7 +9,9 @@ Rounds stop as soon as all bins are filled.
 Equal sets are one node, keyed by a 128-bit digest, before any banding: a group of copies of any size is one node. In
 each band's bucket all nodes are compared with the least one; nodes of a bucket that are still in several components are
 then joined across them by prefix filter (similar sets share one of their rarest shingles), so no link between nodes of a
-bucket is lost and a family of texts just below the threshold does not meet pair by pair. Candidates are confirmed on the full sets of 64-bit shingle hashes.
+bucket is lost and a family of texts just below the threshold does not meet pair by pair. A parity bitmap of each set
+bounds from below how far two sets differ, which spares most pairs just below the threshold the comparison (an exact bound:
+no link is lost). Candidates are confirmed on the full sets of 64-bit shingle hashes.
 
 Nulls and odd input: a null, empty or blank text has an empty set and is linked with nothing; a null doc_id takes part,
 but never names a component; repeated rows and repeated ids are rows of their own; an empty table gives no rows.
@@ -32,6 +34,9 @@ SHINGLE = 5
 BANDS, ROWS = 24, 6
 # A link: 100 * intersection >= LEAST * union.
 LEAST = 85
+# Words of 64 bits of a set's parity bitmap.
+BITMAP = 8
+SETS = "wanted binary, node binary, set array<long>, bits array<long>"
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -123,11 +128,19 @@ def _sketch_pass(bands: int, rows: int):
     return make
 
 
+def bitmap(found: np.ndarray, words: int = BITMAP) -> np.ndarray:
+    """Bit i tells whether an odd number of the set's elements fall to i. Two sets differ in at least as many elements as
+    their bitmaps in bits."""
+    at = (mix64(found ^ _M2) >> np.uint64(32)) * np.uint64(64 * words) >> np.uint64(32)
+    odd = np.bincount(at.astype(np.int64), minlength=64 * words).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def _sets_pass():
     def sets(piece: pa.RecordBatch, texts: list[bytes]):
         found = shingle_sets(texts)
         nodes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in found]
-        return [piece.column("wanted"), nodes, [s.view(np.int64) for s in found]]
+        return [piece.column("wanted"), nodes, [s.view(np.int64) for s in found], [bitmap(s) for s in found]]
 
     return sets
 
@@ -158,7 +171,8 @@ def _of_several(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _prefixes(nodes: DataFrame, least: int) -> DataFrame:
-    """(node, n, root, set) -> (node, n, root, token, at, short): each set's rarest tokens with their place in the order.
+    """(node, n, root, set, bits) -> (node, n, root, token, at, short, bits): each set's rarest tokens with their place in
+    the order.
 
     Of two similar sets the larger one's tokens here (``short`` or not) hold one of the smaller one's short ones.
     """
@@ -171,20 +185,25 @@ def _prefixes(nodes: DataFrame, least: int) -> DataFrame:
     )
     needed = lambda share, of: F.floor((F.lit(share) * F.col("n") + (of - 1)) / of)  # noqa: E731  rounded up
     long, short = F.col("n") - needed(least, 100) + 1, F.col("n") - needed(2 * least, 100 + least) + 1
-    return ranked.where(F.col("at") <= long).withColumn("short", F.col("at") <= short)
+    rare = ranked.where(F.col("at") <= long).withColumn("short", F.col("at") <= short)
+    return rare.join(nodes.select("node", "bits"), "node")  # dealt by node already
 
 
 def _rare_pairs(rows: DataFrame, least: int) -> DataFrame:
     """Pairs (a > b) with different roots that may be similar. Every pair meets at a short token of its smaller set; of
     each token's rows, those of its main root meet the others only."""
     rows = _of_several(rows, ["token"])
-    smaller = rows.where("short").select("token", "main", *(F.col(c).alias(f"{c}_s") for c in ("node", "n", "root", "at")))
+    smaller = rows.where("short").select("token", "main", *(F.col(c).alias(f"{c}_s") for c in ("node", "n", "root", "at", "bits")))
     foreign, main = (rows.where(w).drop("main") for w in ("root <> main", "root = main"))
     few = smaller.where("root_s <> main").drop("main")
     order = (F.col("n_s") < F.col("n")) | ((F.col("n_s") == F.col("n")) & (F.col("node_s") < F.col("node")))
     overlap = F.ceil(least * (F.col("n") + F.col("n_s")) / (100 + least) - 1e-9)
     left = 1 + F.least(F.col("n") - F.col("at"), F.col("n_s") - F.col("at_s"))  # if this is the first they share
-    meets = (F.col("root") != F.col("root_s")) & order & (100 * F.col("n_s") >= least * F.col("n")) & (left >= overlap)
+    word = lambda of, k: F.get(of, F.lit(k))
+    apart = sum(F.bit_count(word("bits", k).bitwiseXOR(word("bits_s", k))) for k in range(BITMAP))
+    alike = F.col("n") + F.col("n_s") - apart >= 2 * overlap
+    fits = (100 * F.col("n_s") >= least * F.col("n")) & (left >= overlap) & alike
+    meets = (F.col("root") != F.col("root_s")) & order & fits
     pairs = smaller.drop("main").join(foreign, "token").where(meets).unionByName(few.join(main, "token").where(meets))
     return pairs.select(F.greatest("node", "node_s").alias("a"), F.least("node", "node_s").alias("b")).distinct()
 
@@ -224,8 +243,8 @@ def near_duplicates(
     found = source.join(
         checked_broadcast(stage(wanted.withColumnRenamed("doc_id", "of"), "wanted")), F.col("doc_id").eqNullSafe(F.col("of"))
     )
-    sets = map_texts(found, {"wanted": F.col("node")}, F.col("text"), _sets_pass, "wanted binary, node binary, set array<long>")
-    sets = stage(sets.where("wanted = node").dropDuplicates(["node"]).select("node", "set"), "sets")
+    sets = map_texts(found, {"wanted": F.col("node")}, F.col("text"), _sets_pass, SETS)
+    sets = stage(sets.where("wanted = node").dropDuplicates(["node"]).select("node", "set", "bits"), "sets")
 
     links = stage(_verified(first, sets, least), "links")
     roots = components(links)

@@ -85,6 +85,17 @@ def test_sketches_fill_and_estimate():
     assert (table[0] == table[1]).mean() == pytest.approx(inner / (len(found[0]) + len(found[1]) - inner), abs=0.06)
 
 
+def test_bitmaps_never_overstate_the_difference():
+    rng = np.random.default_rng(3)
+    for size in (1, 40, 300, 5000):
+        x = rng.integers(0, 1 << 63, size, np.int64).astype(np.uint64)
+        y = np.concatenate([x[size // 6 :], rng.integers(0, 1 << 63, size // 5, np.int64).astype(np.uint64)])
+        bits = sum(int(w).bit_count() for w in (minhash.bitmap(x) ^ minhash.bitmap(y)).view(np.uint64))
+        assert bits <= len(np.setxor1d(x, y)) and len(minhash.bitmap(x)) == minhash.BITMAP
+        assert not (minhash.bitmap(x) ^ minhash.bitmap(x[::-1])).any()
+    assert not minhash.bitmap(x[:0]).any()
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 60)] + [(7, 7), (201, 200), (200, 201)]
     found = components.components(spark.createDataFrame(links, "a long, b long")).collect()
