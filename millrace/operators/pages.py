@@ -9,24 +9,31 @@ from pyspark.sql.window import Window
 from ..session import BROADCAST_ROWS, fits_broadcast
 
 
-def latest_blobs(raw_pages: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Latest copy of every stored page by (uploaded_at, id).
+_COPY = ["file_name", "uploaded_at", "id"]
 
-    An aggregate with map-side partials finds the winners on narrow columns, so a page with very many copies
-    is no hot group. Superseded ids are broadcast when they are few, so that file contents are not shuffled.
-    """
-    key = ["file_name", "uploaded_at", "id"]
+
+def superseded_copies(raw_pages: DataFrame) -> DataFrame:
+    """Copies (old_file_name, old_uploaded_at, old_id) of pages that have a later one."""
     tops = raw_pages.groupBy("file_name").agg(F.max(F.struct("uploaded_at", "id")).alias("top"))
     tops = tops.select(F.col("file_name").alias("page_name"), "top")
     # Every copy of a page may bear the page's id: a copy is told by its name, time and id together.
-    older = (
-        raw_pages.select(*(F.col(c).alias(f"old_{c}") for c in key))
+    return (
+        raw_pages.select(*(F.col(c).alias(f"old_{c}") for c in _COPY))
         .join(tops, F.col("old_file_name").eqNullSafe(F.col("page_name")))
         .where(~F.struct(F.col("old_uploaded_at").alias("uploaded_at"), F.col("old_id").alias("id")).eqNullSafe(F.col("top")))
         .drop("page_name", "top")
         .distinct()
     )
-    same = [F.col(c).eqNullSafe(F.col(f"old_{c}")) for c in key]
+
+
+def latest_blobs(raw_pages: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Latest copy of every stored page by (uploaded_at, id), with all its blobs.
+
+    An aggregate with map-side partials finds the winners on narrow columns, so a page with very many copies
+    is no hot group. Superseded ids are broadcast when they are few, so that file contents are not shuffled.
+    """
+    older = superseded_copies(raw_pages)
+    same = [F.col(c).eqNullSafe(F.col(f"old_{c}")) for c in _COPY]
     older = F.broadcast(older) if fits_broadcast(older, max_rows) else older
     return raw_pages.join(older, same, "left_anti")
 

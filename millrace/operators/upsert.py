@@ -63,16 +63,20 @@ def lookup_bookmarks(segments: DataFrame, bookmarks: DataFrame) -> DataFrame:
     )
 
 
-def unprocessed(files: DataFrame, done: DataFrame, key: str = "raw_id", file_key: str = "id") -> DataFrame:
-    """Files whose key is not in ``done``.
+def unprocessed(files: DataFrame, done: DataFrame, keys: dict[str, str] | None = None) -> DataFrame:
+    """Files whose key is not in ``done``. ``keys`` maps columns of ``files`` to columns of ``done``; a page that was
+    fetched again bears its id again, so upload times are compared as well where ``done`` has them (null equals null).
 
     ``files`` may carry file contents. When the list of done keys is too large to broadcast, the open keys are
     found on the key column alone, so that contents are shuffled only if the open list is too large as well.
     """
-    keys = done.select(F.col(key).alias(file_key)).distinct()
-    if fits_broadcast(keys):
-        return files.join(F.broadcast(keys), file_key, "left_anti")
-    open_keys = files.select(file_key).distinct().join(keys, file_key, "left_anti")
-    if fits_broadcast(open_keys):
-        return files.join(F.broadcast(open_keys), file_key, "left_semi")
-    return files.join(keys, file_key, "left_anti")
+    if keys is None:
+        keys = {"id": "raw_id"} | {c: c for c in ("uploaded_at",) if c in done.columns}
+    known = done.select(*(F.col(b).alias(f"{a}_") for a, b in keys.items())).distinct()
+    same = [F.col(a).eqNullSafe(F.col(f"{a}_")) for a in keys]
+    if fits_broadcast(known):
+        return files.join(F.broadcast(known), same, "left_anti")
+    left = files.select(*keys).distinct().join(known, same, "left_anti").toDF(*(f"{a}_" for a in keys))
+    if fits_broadcast(left):
+        return files.join(F.broadcast(left), same, "left_semi")
+    return files.join(known, same, "left_anti")

@@ -8,18 +8,17 @@ from pyspark.sql import types as T
 
 from ..operators.pages import latest_pages
 from ..operators.records import clean_index_lines
-from ..operators.upsert import unprocessed
 from ..session import checked_broadcast, stage
 from ..sinks.landing import read_landed, write_partitions
-from ..sources.blobs import is_parquet_blob, oldest_blobs, read_raw_pages
-from ..streaming.blobs import CLEANED, flatten_batch, loads
+from ..sources.blobs import oldest_blobs, read_raw_pages
+from ..streaming.blobs import CLEANED, flatten_copies, loads, open_copies
 from ..streaming.pages import LANDED, landed_pages, ledger
 
 # Open batches named one by one in the partition filter; more are joined.
 _LISTED = 1000
 
 PAGE_RECORDS = T.StructType([
-    *(f for f in CLEANED.fields if f.name != "load_batch"),
+    *(f for f in CLEANED.fields if f.name not in ("load_batch", "uploaded_at")),
     *(f for f in LANDED.fields if f.name in ("segment", "page", "source_path", "landed_at", "part", "load_batch")),
 ])
 
@@ -52,14 +51,10 @@ def page_records(spark: SparkSession, target: str) -> DataFrame:
 
 
 def flatten_blobs_once(spark: SparkSession, raw_pages: str, target: str, limit: int | None = None) -> int | None:
-    """Flatten the raw blobs not done yet (all, or the ``limit`` oldest) as one batch; None when there are none."""
-    done = loads(spark, target)
-    files = read_raw_pages(spark, raw_pages).where(is_parquet_blob(F.col("file_name")))
-    pending = unprocessed(files, done)
+    """Flatten the copies of pages not done yet by any route (all, or the ``limit`` oldest) as one batch; None when there
+    are none."""
+    files = read_raw_pages(spark, raw_pages)
+    copies = open_copies(files, loads(spark, target))
     if limit:
-        pending = oldest_blobs(pending, limit)
-    if pending.select("id").limit(1).count() == 0:
-        return None
-    batch = (done.agg(F.max("load_batch")).first()[0] or 0) + 1
-    flatten_batch(pending, target, batch)
-    return batch
+        copies = stage(oldest_blobs(copies, limit), "oldest")
+    return None if copies.isEmpty() else flatten_copies(files, copies, target, "batch")

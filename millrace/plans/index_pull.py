@@ -13,7 +13,7 @@ from ..schemas import BOOKMARKS
 from ..sinks.landing import write_partitions
 from ..sinks.versions import read_current, write_next
 from ..sources.catalog import endpoints, read_catalog
-from ..streaming.pages import land_pages, ledger
+from ..streaming.pages import land_changed, land_pages, ledger
 
 CATALOG = T.StructType([
     *(T.StructField(name, T.StringType()) for name in ("id", "name", "timegate", "cdx_api")),
@@ -50,4 +50,5 @@ def pull(
 ) -> None:
     load_catalog(spark, catalog, target, now)
     land_pages(spark, landing, target, max_files).awaitTermination()
+    land_changed(spark, landing, target)
     update_bookmarks(spark, target, now)

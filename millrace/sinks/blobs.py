@@ -9,7 +9,7 @@ from ..schemas import PAGE_KEYS
 
 # Lines of one blob. An index page has at most 15,000.
 BLOB_ROWS = 50_000
-_PACKED = "id long, file_name string, file_data binary, file_size long"
+_PACKED = "id long, file_name string, part long, nth long, file_data binary, file_size long"
 
 
 def _packer(keys: list[str], max_rows: int):
@@ -23,23 +23,20 @@ def _packer(keys: list[str], max_rows: int):
         import pyarrow as pa
         import pyarrow.parquet as pq
 
-        schema = pa.schema(
-            [("id", pa.int64()), ("file_name", pa.string()), ("file_data", pa.binary()), ("file_size", pa.int64())]
-        )
+        schema = pa.schema([
+            ("id", pa.int64()), ("file_name", pa.string()), ("part", pa.int64()), ("nth", pa.int64()),
+            ("file_data", pa.binary()), ("file_size", pa.int64()),
+        ])
 
         def blob(mark, nth, rows):
             raw_id, name, part = mark
-            if part or nth:  # a further blob of a page that is larger than one
-                stem, _, ending = name.partition(".")
-                name = f"{stem}.{part}.{nth}.{ending}"
-                raw_id = int(np.array([raw_id, part, nth]) @ np.array([1, 31, 1]))
             buffer = io.BytesIO()
             pq.write_table(pa.Table.from_batches(rows), buffer, compression="snappy")
             data = buffer.getvalue()
             if name.endswith(".gz"):
                 data = gzip.compress(data, mtime=0)
-            values = [pa.array([raw_id]), pa.array([name]), pa.array([data], pa.binary()), pa.array([len(data)])]
-            return pa.RecordBatch.from_arrays(values, schema=schema)
+            values = [[raw_id], [name], [part], [nth], [data], [len(data)]]
+            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
 
         mark, nth, rows, size = None, 0, [], 0
         for batch in batches:
@@ -75,12 +72,13 @@ def pack_blobs(
 
     Works on runs of lines as the page reader delivers them: a page file is read in order by one task, or by
     one task per file split (``part``), so nothing is shuffled and no page is gathered into a group. A page
-    beyond ``max_rows`` lines or one split becomes several blobs of that page; no line is lost. Lines that were
-    shuffled since they were read need ``clustered=False``: they are sorted by (page, part) again.
+    beyond ``max_rows`` lines or one split becomes several blobs, all with the page's own id and name and told
+    apart by (part, nth); no line is lost. Lines that were shuffled since they were read need
+    ``clustered=False``: they are sorted by (page, part) again.
     """
     if not clustered:
         lines = lines.repartition("raw_id", "part").sortWithinPartitions("raw_id", "part")
     named = lines.select("raw_id", file_name.alias("file_name"), "part", *(F.col(f"`{key}`") for key in PAGE_KEYS))
     return named.mapInArrow(_packer(PAGE_KEYS, max_rows), _PACKED).select(
-        "id", "file_name", "file_data", "file_size", uploaded_at.cast("timestamp_ntz").alias("uploaded_at")
+        "id", "file_name", "file_data", "file_size", uploaded_at.cast("timestamp_ntz").alias("uploaded_at"), "part", "nth"
     )

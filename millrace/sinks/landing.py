@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..session import checked_broadcast
+
 
 def write_partitions(df: DataFrame, path: str, *by: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
@@ -36,6 +38,24 @@ def read_batch(spark: SparkSession, path: str, schema: T.StructType, load_batch:
     return read_landed(spark, path, schema).where(F.col("load_batch") == load_batch)
 
 
+def next_batch(spark: SparkSession, target: str) -> int:
+    """A batch number never given before, whichever route asks; it is spent even if the batch fails. One writer a table."""
+    schema = T.StructType([T.StructField("load_batch", T.LongType())])
+    number = (read_landed(spark, f"{target}/numbers", schema).agg(F.max("load_batch")).first()[0] or 0) + 1
+    spark.createDataFrame([(number,)], schema).coalesce(1).write.mode("append").parquet(f"{target}/numbers")
+    return number
+
+
+def stream_id(spark: SparkSession, target: str) -> str:
+    """The identity that a stream keeps in its checkpoint; a stream whose checkpoint was lost has another one."""
+    return spark.read.schema("id string").json(f"{target}/_checkpoint/metadata").first().id
+
+
+def committed(df: DataFrame, marks: DataFrame) -> DataFrame:
+    """Rows of the batches named in ``marks``, which are written last: a batch that broke off does not count."""
+    return df.join(checked_broadcast(marks.select("load_batch").distinct()), "load_batch", "left_semi").select(*df.columns)
+
+
 def spread(df: DataFrame, *by: str) -> DataFrame:
     """Even out file sizes per partition value before a write: AQE splits the large and merges the small."""
     return df.hint("rebalance", *by)

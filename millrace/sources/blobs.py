@@ -12,6 +12,7 @@ from ..session import checked_broadcast
 DECODED = T.StructType([
     T.StructField("raw_id", T.LongType()),
     T.StructField("source_file", T.StringType()),
+    T.StructField("uploaded_at", T.TimestampNTZType()),
     *(T.StructField(key, T.StringType()) for key in PAGE_KEYS),
     T.StructField("reject_reason", T.StringType()),
 ])
@@ -22,17 +23,23 @@ def is_parquet_blob(file_name):
     return name.like("%.parquet") | name.like("%.parquet.gz")
 
 
+def _stamp(blobs: DataFrame):
+    """Upload time, null where the table has none."""
+    given = F.col("uploaded_at") if "uploaded_at" in blobs.columns else F.lit(None)
+    return given.cast("timestamp_ntz").alias("uploaded_at")
+
+
 def read_raw_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_PAGES).parquet(path)
 
 
 def parquet_blobs(raw_pages: DataFrame) -> DataFrame:
     """Blobs to flatten, by name; the suffix test is pushed to the scan."""
-    return raw_pages.where(is_parquet_blob(F.col("file_name"))).select("id", "file_name", "file_data")
+    return raw_pages.where(is_parquet_blob(F.col("file_name"))).select("id", "file_name", "file_data", _stamp(raw_pages))
 
 
 def oldest_blobs(raw_pages: DataFrame, limit: int | None = 10) -> DataFrame:
-    """The ``limit`` oldest blobs (NULL times last, id as tie-break).
+    """The ``limit`` oldest copies of pages (NULL times last, id as tie-break), each with all its blobs.
 
     The order is found on the narrow columns. File contents are read for the winners only: up to a thousand
     keys become an IN list that the scan can skip row groups by; more are broadcast if few by count, else joined.
@@ -40,14 +47,15 @@ def oldest_blobs(raw_pages: DataFrame, limit: int | None = 10) -> DataFrame:
     limit = 10 if limit is None else limit
     winners = (
         raw_pages.where(is_parquet_blob(F.col("file_name")))
-        .select("id", "uploaded_at")
-        .orderBy(F.col("uploaded_at").asc_nulls_last(), "id")
+        .select(F.col("id").alias("id_"), F.col("uploaded_at").alias("at_"))
+        .distinct()
+        .orderBy(F.col("at_").asc_nulls_last(), "id_")
         .limit(limit)
-        .select("id")
     )
+    same = [F.col("id").eqNullSafe(F.col("id_")), F.col("uploaded_at").eqNullSafe(F.col("at_"))]
     if limit <= 1000:
-        return raw_pages.where(F.col("id").isin([row.id for row in winners.collect()]))
-    return raw_pages.join(checked_broadcast(winners), "id", "left_semi")
+        raw_pages = raw_pages.where(F.col("id").isin([row.id_ for row in winners.collect()]))
+    return raw_pages.join(checked_broadcast(winners), same, "left_semi")
 
 
 def _blob_decoder(keys: list[str]):
@@ -61,8 +69,8 @@ def _blob_decoder(keys: list[str]):
         import pyarrow.compute as pc
         import pyarrow.parquet as pq
 
-        fields = ["raw_id", "source_file", *keys, "reject_reason"]
-        types = [pa.int64()] + [pa.string()] * (len(keys) + 2)
+        fields = ["raw_id", "source_file", "uploaded_at", *keys, "reject_reason"]
+        types = [pa.int64(), pa.string(), pa.timestamp("us")] + [pa.string()] * (len(keys) + 1)
         schema = pa.schema(list(zip(fields, types)))
 
         def as_text(column):
@@ -72,15 +80,15 @@ def _blob_decoder(keys: list[str]):
                 return pa.array([None if v is None else str(v) for v in column.to_pylist()], pa.string())
             return pc.cast(column, pa.string())
 
-        def rows(raw_id, name, count, columns, reason=None):
-            arrays = [pa.repeat(pa.scalar(raw_id, pa.int64()), count), pa.repeat(pa.scalar(name, pa.string()), count)]
+        def rows(mark, count, columns, reason=None):
+            arrays = [pa.repeat(pa.scalar(value, kind), count) for value, kind in zip(mark, types)]
             arrays += [columns.get(key, pa.nulls(count, pa.string())) for key in keys]
             arrays.append(pa.repeat(pa.scalar(reason, pa.string()), count))
             return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
         for batch in batches:
-            for raw_id, name, data in zip(*(batch.column(i) for i in range(3))):
-                raw_id, name, data = raw_id.as_py(), name.as_py(), data.as_buffer()
+            for raw_id, name, data, at in zip(*(batch.column(i) for i in range(4))):
+                mark, name, data = (raw_id.as_py(), name.as_py(), at.as_py()), name.as_py(), data.as_buffer()
                 try:
                     if data is None:
                         raise EOFError("no file data")
@@ -91,11 +99,11 @@ def _blob_decoder(keys: list[str]):
                     # The whole file is read before any row leaves: a file counts wholly or not at all.
                     table = file.read(columns=present)
                     parts = [
-                        rows(raw_id, name, part.num_rows, {key: as_text(part.column(key)) for key in present})
+                        rows(mark, part.num_rows, {key: as_text(part.column(key)) for key in present})
                         for part in table.to_batches(max_chunksize=16_384)
                     ]
                 except (OSError, EOFError, zlib.error, pa.ArrowException) as error:
-                    parts = [rows(raw_id, name, 1, {}, f"unreadable blob: {type(error).__name__}")]
+                    parts = [rows(mark, 1, {}, f"unreadable blob: {type(error).__name__}")]
                 yield from parts
 
     return decode
@@ -103,4 +111,4 @@ def _blob_decoder(keys: list[str]):
 
 def decode_blobs(blobs: DataFrame) -> DataFrame:
     """Rows of every blob (id, file_name, file_data) as text columns; an unreadable blob is one reject row."""
-    return blobs.select("id", "file_name", "file_data").mapInArrow(_blob_decoder(PAGE_KEYS), DECODED)
+    return blobs.select("id", "file_name", "file_data", _stamp(blobs)).mapInArrow(_blob_decoder(PAGE_KEYS), DECODED)

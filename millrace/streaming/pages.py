@@ -9,8 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.pages import page_ledger
 from ..schemas import PAGE_KEYS
-from ..sinks.landing import read_batch, read_landed, write_batch, write_partitions
-from ..sources.pages import stream_index_pages
+from ..session import checked_broadcast, stage
+from ..sinks.landing import committed, next_batch, read_batch, read_landed, stream_id, write_batch, write_partitions
+from ..sources.pages import read_index_pages, stream_index_pages
 
 
 def _text(*names: str) -> list[T.StructField]:
@@ -37,26 +38,70 @@ LEDGER = T.StructType([
     T.StructField("landed_at", T.TimestampType()),
     T.StructField("records", T.LongType()),
     T.StructField("rejects", T.LongType()),
+    *_text("route"),
 ])
 
+# Changed files named one by one in the filter of the scan; more are joined.
+LISTED = 1000
 
-def land_batch(lines: DataFrame, target: str, load_batch: int) -> None:
-    """Store one batch of lines and its ledger rows. Doing it again replaces the batch."""
+
+def land_batch(lines: DataFrame, target: str, load_batch: int, route: str = "batch", files: DataFrame | None = None) -> None:
+    """Store one batch of lines and its ledger rows. Doing it again replaces the batch. ``files`` names the files that are
+    entered even if they have no lines."""
     spark = lines.sparkSession
     write_batch(lines, f"{target}/pages", load_batch, "segment")
-    landed = read_batch(spark, f"{target}/pages", LANDED, load_batch)
-    write_partitions(page_ledger(landed), f"{target}/ledger", "load_batch")
+    entries = page_ledger(read_batch(spark, f"{target}/pages", LANDED, load_batch))
+    if files is not None:
+        empty = files.join(entries, "source_path", "left_anti").withColumns({
+            "load_batch": F.lit(load_batch).cast("bigint"), "records": F.lit(0).cast("bigint"), "rejects": F.lit(0).cast("bigint"),
+        })
+        entries = entries.unionByName(empty)
+    write_partitions(entries.withColumn("route", F.lit(route)), f"{target}/ledger", "load_batch")
+
+
+def land_changed(spark: SparkSession, landing: str, target: str) -> int | None:
+    """Land files anew that were overwritten in place since: their path is in the ledger with another time. The file
+    stream knows files by path and passes these over. A file of no bytes is not listed by Spark and leaves what was landed.
+    Returns the batch number, None if there are none."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing).select(
+        F.col("_metadata.file_path").alias("source_path"), F.col("_metadata.file_modification_time").alias("landed_at")
+    )
+    version = F.struct("load_batch", "landed_at", "raw_id", "segment", "page", "source_file")
+    known = ledger(spark, target).groupBy("source_path").agg(F.max(version).alias("last"))
+    changed = stage(
+        listed.join(known, "source_path").where(F.col("landed_at") != F.col("last.landed_at"))
+        .select("source_path", "landed_at", "last.raw_id", "last.segment", "last.page", "last.source_file"),
+        "changed",
+    )
+    paths = [row.source_path for row in changed.select("source_path").limit(LISTED + 1).collect()]
+    if not paths:
+        return None
+    lines = read_index_pages(spark, landing)
+    if len(paths) <= LISTED:  # a filter on paths keeps other files from being opened
+        lines = lines.where(F.col("source_path").isin(paths))
+    else:
+        lines = lines.join(checked_broadcast(changed.select("source_path")), "source_path", "left_semi")
+    number = next_batch(spark, target)
+    land_batch(lines.select(*(f.name for f in LANDED if f.name != "load_batch")), target, number, "changed", changed)
+    return number
 
 
 def land_pages(spark: SparkSession, landing: str, target: str, max_files: int | None = None) -> StreamingQuery:
     """Land every page file not landed before, ``max_files`` per batch, then stop.
 
-    The checkpoint lies beside the data it describes. A batch repeated after a failure has the same number
-    and replaces its own partitions, so each file counts once.
+    The checkpoint lies beside the data it describes. The ledger is written last and names the stream's batch, so a
+    batch repeated after a failure counts once; a stream whose checkpoint was lost leaves out what another has landed.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        land_batch(batch, target, batch_id)
+        spark = batch.sparkSession
+        own, done = stream_id(spark, target), ledger(spark, target)
+        if not done.where(F.col("route") == f"{own}/{batch_id}").isEmpty():
+            return
+        others = done.where(~F.col("route").startswith(f"{own}/")).select("source_path", "landed_at").distinct()
+        if not others.isEmpty():
+            batch = batch.join(checked_broadcast(others), ["source_path", "landed_at"], "left_anti")
+        land_batch(batch, target, next_batch(spark, target), f"{own}/{batch_id}")
 
     return (
         stream_index_pages(spark, landing, max_files)
@@ -68,7 +113,7 @@ def land_pages(spark: SparkSession, landing: str, target: str, max_files: int |
 
 
 def landed_pages(spark: SparkSession, target: str) -> DataFrame:
-    return read_landed(spark, f"{target}/pages", LANDED)
+    return committed(read_landed(spark, f"{target}/pages", LANDED), ledger(spark, target))
 
 
 def ledger(spark: SparkSession, target: str) -> DataFrame:

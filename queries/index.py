@@ -324,6 +324,19 @@ def batch_flatten(spark, folder):
     return blob_stream.loads(spark, target).select("raw_id", "source_file", "records", "rejects")
 
 
+def blob_refetch(spark, folder):
+    """All pages packed and flattened, then every third again with a third of its lines: ids are the library's own."""
+    raw, target = scratch_path(spark, "raw"), scratch_path(spark, "refetched")
+    lines = read_index_pages(spark, fx.index_pages(spark, folder))
+    for later, some in enumerate((lines, lines.where("page % 3 = 0 AND try_cast(offset AS bigint) % 3 = 0"))):
+        stamp = F.lit(f"2025-01-0{later + 1} 00:00:00")
+        pack_blobs(some, page_file_name(F.col("segment"), F.col("page")), stamp).write.mode("append").parquet(raw)
+        flatten_blobs_once(spark, raw, target)
+    return good(blob_stream.latest_cleaned(spark, target)).groupBy("source_file").agg(
+        F.count("*").alias("n"), F.sum("file_offset").cast("bigint").alias("offsets")
+    )
+
+
 def append_union(spark, folder):
     """Two loads of all lines, the second without one column; duplicates stay."""
     lines = fx.index_lines(spark, folder).select("segment", "url", "mime")
@@ -364,6 +377,7 @@ QUERIES = {
     "bookmark_from_pages": bookmark_from_pages,
     "incremental_pages": incremental_pages,
     "page_dedup": page_dedup,
+    "blob_refetch": blob_refetch,
     "incremental_flatten": incremental_flatten,
     "batch_flatten": batch_flatten,
     "append_union": append_union,
@@ -457,6 +471,10 @@ ORACLE = {
     "page_dedup": f"""WITH {fx.INDEX_SQL}
         SELECT segment, page, CASE WHEN page % 3 = 0 THEN 'second/copy' ELSE mime END AS mime, count(*) AS n
         FROM idx GROUP BY ALL""",
+    "blob_refetch": f"""WITH {fx.CLEAN_SQL}
+        SELECT source_file, count(*) AS n, CAST(sum(file_offset) AS BIGINT) AS offsets
+        FROM (SELECT *, count_if(page % 3 = 0 AND file_offset % 3 = 0) OVER (PARTITION BY source_file) AS again FROM clean)
+        WHERE again = 0 OR file_offset % 3 = 0 GROUP BY source_file""",
     "incremental_flatten": f"""WITH {fx.CLEAN_SQL}
         SELECT {_RECORD_SQL.replace('source_file', _BLOB_NAME_SQL + ' AS source_file')} FROM clean WHERE {_GOOD_BLOB}""",
     "batch_flatten": f"""WITH {_BLOB_SQL}

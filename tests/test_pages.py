@@ -3,6 +3,7 @@
 import gzip
 import io
 import json
+import os
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -112,10 +113,10 @@ def test_pack_splits_large_pages(spark, tmp_path, clustered):
     write_page(tmp_path, "S", 2, [line(i) for i in range(5)])
     lines = read_index_pages(spark, str(tmp_path))
     packed = pack_blobs(lines, F.col("source_file"), F.lit("2025-01-01"), max_rows=10, clustered=clustered).cache()
-    assert sorted(r.file_name for r in packed.collect()) == [
-        "S-1.0.1.parquet.gz", "S-1.0.2.parquet.gz", "S-1.parquet.gz", "S-2.parquet.gz"
+    assert sorted((r.file_name, r.part, r.nth) for r in packed.collect()) == [
+        ("S-1.parquet.gz", 0, 0), ("S-1.parquet.gz", 0, 1), ("S-1.parquet.gz", 0, 2), ("S-2.parquet.gz", 0, 0)
     ]
-    assert packed.select("id").distinct().count() == 4
+    assert packed.select("id").distinct().count() == 2
     urls = [r.url for r in good(decode_blobs(packed)).collect()]
     assert sorted(urls) == sorted([f"https://a.au/{i}" for i in range(25)] + [f"https://a.au/{i}" for i in range(5)])
 
@@ -196,6 +197,64 @@ def test_blob_streams_and_batches_do_each_file_once(spark, tmp_path):
         assert done == {**{i: (1, 1) for i in range(1, 6)}, 6: (0, 1), 7: (0, 0)}
 
 
+def test_page_packed_again_with_fewer_lines(spark, tmp_path):
+    """Library ids, pages of several blobs: the later copy replaces the earlier one, on both routes and across them."""
+    raw = str(tmp_path / "raw")
+
+    def pack(day, sizes):
+        for page, n in sizes.items():
+            write_page(tmp_path / day, "S.x", page, [line(100 * page + i) for i in range(n)])
+        lines = read_index_pages(spark, str(tmp_path / day))
+        pack_blobs(lines, F.col("source_file"), F.lit(day), max_rows=4).write.mode("append").parquet(raw)
+
+    def kept(target):
+        rows = good(blob_stream.latest_cleaned(spark, target)).groupBy("source_file").agg(F.count("*").alias("n"))
+        return {r.source_file: r.n for r in rows.collect()}
+
+    pack("2025-01-01", {1: 10, 2: 5})
+    stream, batch, both = (str(tmp_path / x) for x in ("stream", "batch", "both"))
+    blob_stream.flatten_blobs(spark, raw, stream, max_files=1).awaitTermination(120)
+    blob_stream.flatten_blobs(spark, raw, both).awaitTermination(120)
+    assert flatten_blobs_once(spark, raw, batch) == 1 and flatten_blobs_once(spark, raw, both) is None
+    pack("2025-01-02", {1: 3})
+    blob_stream.flatten_blobs(spark, raw, stream, max_files=1).awaitTermination(120)
+    assert flatten_blobs_once(spark, raw, batch) == 2 and flatten_blobs_once(spark, raw, both) == 2
+    blob_stream.flatten_blobs(spark, raw, both).awaitTermination(120)
+    for target in (stream, batch, both):
+        assert kept(target) == {"S.x-1.parquet.gz": 3, "S.x-2.parquet.gz": 5}
+        assert good(blob_stream.cleaned(spark, target)).count() == 18
+    assert good(decode_blobs(latest_blobs(read_raw_pages(spark, raw)))).count() == 8
+    late = str(tmp_path / "late")
+    flatten_blobs_once(spark, raw, late)  # both copies at once: the older one is not decoded
+    assert kept(late) == {"S.x-1.parquet.gz": 3, "S.x-2.parquet.gz": 5} and blob_stream.cleaned(spark, late).count() == 8
+
+
+def test_files_overwritten_in_place_and_lost_checkpoint(spark, tmp_path):
+    landing, target = tmp_path / "landing", str(tmp_path / "target")
+    for page in range(3):
+        write_page(landing, "S", page, [line(i) for i in range(3)])
+    page_stream.land_pages(spark, str(landing), target).awaitTermination(120)
+    assert page_stream.land_changed(spark, str(landing), target) is None
+    write_page(landing, "S", 1, [line(i) for i in range(4)])
+    (landing / "S-2.jsonl").write_text("\n")
+    for name, then in (("S-1.jsonl", 1_000_000), ("S-2.jsonl", 2_000_000)):  # restored files have old times
+        os.utime(landing / name, (then, then))
+    page_stream.land_pages(spark, str(landing), target).awaitTermination(120)
+    assert page_stream.land_changed(spark, str(landing), target) == 2
+    assert page_stream.land_changed(spark, str(landing), target) is None
+
+    def pages():
+        lines = latest_pages(page_stream.landed_pages(spark, target), page_stream.ledger(spark, target))
+        return {r.page: r.n for r in lines.groupBy("page").agg(F.count("*").alias("n")).collect()}
+
+    assert pages() == {0: 3, 1: 4}
+    os.rename(f"{target}/_checkpoint", tmp_path / "lost")
+    write_page(landing, "S", 3, [line(9)])
+    page_stream.land_pages(spark, str(landing), target).awaitTermination(120)
+    assert pages() == {0: 3, 1: 4, 3: 1}
+    assert page_stream.landed_pages(spark, target).count() == 3 * 3 + 4 + 1
+
+
 def test_append_keeps_duplicates(spark):
     a, b = spark.createDataFrame([(1, "x")], "i int, s string"), spark.createDataFrame([(1,), (1,)], "i int")
     assert sorted(append_all(a, b, b).collect(), key=str) == sorted(
