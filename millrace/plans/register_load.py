@@ -12,7 +12,10 @@ from ..operators.register import (
 from ..schemas import REGISTER_FLAT
 from ..session import stage
 from ..sinks.landing import read_landed, write_source_files
-from ..sources.register import read_archived_register_chunks, read_register_chunks
+from ..sources.archives import list_members
+from ..sources.register import (
+    discover_register_files, is_register_file, read_archived_register_chunks, read_register_chunks,
+)
 
 STORED = T.StructType([
     *REGISTER_FLAT.fields,
@@ -25,11 +28,23 @@ def parse(chunks: DataFrame) -> DataFrame:
     return stage(project_register(register_events(chunks)), "register")
 
 
+def _without_records(spark: SparkSession, source: str, archived: bool, projected: DataFrame) -> DataFrame:
+    """A reject row for each listed file that holds no record, so that a load replaces what was stored for it."""
+    if archived:
+        members = list_members(spark, source).where(is_register_file(F.col("member")))
+        files = members.select(F.concat_ws("/", "archive", "member").alias("source_file"))
+    else:
+        files = discover_register_files(spark, source).select(F.col("path").alias("source_file"))
+    filled = projected.where("is_record").select("source_file").distinct()
+    return files.join(filled, "source_file", "left_anti").withColumn("reject_reason", F.lit("no records"))
+
+
 def load_register(spark: SparkSession, source: str, target: str, archived: bool = False) -> None:
     """Load every register file below ``source``; what was stored for the same files before is replaced."""
     read = read_archived_register_chunks if archived else read_register_chunks
     projected = parse(read(spark, source))
     flat = flatten_register(projected).unionByName(header_rejects(projected), allowMissingColumns=True)
+    flat = flat.unionByName(_without_records(spark, source, archived, projected), allowMissingColumns=True)
     write_source_files(flat, target)
 
 

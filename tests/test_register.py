@@ -168,6 +168,19 @@ def test_load_replaces_by_file(spark, tmp_path):
     assert sorted(r.abn for r in table.collect()) == ["3", "4"] and table.columns == REGISTER_COLUMNS
 
 
+def test_load_of_an_emptied_file(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a.xml").write_text(f"<T>{header()}<ABR><ABN>1</ABN></ABR><ABR><ABN>2</ABN></ABR></T>")
+    (source / "b.xml").write_text(f"<T>{header()}<ABR><ABN>3</ABN></ABR></T>")
+    load_register(spark, str(source), target)
+    (source / "a.xml").write_text(f"<T>{header()}</T>")
+    load_register(spark, str(source), target)
+    assert [r.abn for r in read_register(spark, target).collect()] == ["3"]
+    rejects = [(r.source_file.rsplit("/", 1)[1], r.reject_reason) for r in read_register_rejects(spark, target).collect()]
+    assert rejects == [("a.xml", "no records")]
+
+
 def test_staged_and_lazy_agree(spark, long_file):
     lazy = project_register(register_events(read_register_chunks(spark, str(long_file))))
     columns = [c for c in flatten_register(lazy).columns if c != "source_file"]
