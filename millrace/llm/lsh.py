@@ -195,7 +195,10 @@ def nearest(df: DataFrame, queries: Column, id_column: str = "vec_id", vector: s
                 for q, v in zip(qi, qv):
                     score = np.sqrt(((cv - v) ** 2).sum(1))
                     other = np.flatnonzero(ci != q)
-                    best = other[np.lexsort((ci[other], score[other]))[: 2 * k]]  # tables repeat rows, not distances
+                    best = other[np.lexsort((ci[other], score[other]))]
+                    ids, apart = ci[best], score[best]
+                    again = (ids[1:] == ids[:-1]) & (apart[1:] == apart[:-1])  # repeated rows give one id and distance
+                    best = best[np.append(True, ~again)[: len(best)]][:k]
                     out[0].append(np.full(len(best), q))
                     out[1].append(ci[best])
                     out[2].append(score[best])

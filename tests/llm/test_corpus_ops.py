@@ -129,6 +129,13 @@ def test_nearest_neighbours(spark):
     assert hits >= 0.9 * 10 * len(queries)
 
 
+def test_repeated_rows_take_one_place(spark):
+    rows = [(0, [0.0, 1.0])] + [(1, [0.5, 1.0])] * 30 + [(i, [float(i), 1.0]) for i in range(2, 15)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = [(r.vec_id, r.score) for r in lsh.nearest(table, F.col("id") == 0).orderBy("rank").collect()]
+    assert got == [(1, 0.5)] + [(i, float(i)) for i in range(2, 11)]
+
+
 def test_few_vectors_are_all_found(spark):
     table = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(5)], "vec_id long, embedding array<float>")
     assert [(r.vec_id, r.score) for r in lsh.nearest(table, F.col("id") == 0).orderBy("rank").collect()] == [
