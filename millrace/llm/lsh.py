@@ -3,9 +3,14 @@
 A table hashes a vector by ``floor((a . v + b) / width)`` for some Gaussian directions a. A query visits the buckets of
 each table in the order of the probability that a neighbour at the expected distance lies there (each direction's
 difference is Gaussian), until these probabilities sum to the share that gives ``recall`` over all tables; so the number
-of probes follows from the query and is not capped. The expected distance is estimated on a bounded sample, on which
-neighbours are farther than in the whole table, so the estimate is on the safe side. The directions of a table grow with
-the logarithm of the row count.
+of probes follows from the query and is not capped. The first expected distance is the median over a bounded sample. The
+directions of a table grow with the logarithm of the row count.
+
+Each query's own result is checked: with fewer than k neighbours, or a k-th one beyond the distance probed for, it is
+probed again for its own distance, that of the k-th neighbour found or of the k-th in the sample, whichever is less; both
+are bounds of the true one. The tables of such a round are drawn for the median of these distances; queries with much
+larger ones wait for the next round. What is open after ``REPROBES`` rounds, or too little to index all rows again, is
+compared with every row, block by block.
 
 Rows and probes of a bucket are packed into blocks and joined on (table, bucket); a bucket with very many rows is many
 blocks, dealt over the cluster. A task measures all queries of one block against all rows of the other in 64-bit floats
@@ -14,7 +19,7 @@ and hands on the nearest of each query; a last window merges the tables.
 Nulls and odd input: vectors that are null, zero, or hold a null, NaN or infinite component take no part, nor do vectors
 of another length than most have, nor rows without an id. Of repeated ids each row is a candidate of its own (the same id
 and distance is given once). Ties go to the smaller id. With fewer candidates than k all are found only if they share
-buckets; tables up to ``SMALL`` rows are probed in full.
+buckets or in the last pass; tables up to ``SMALL`` rows are probed in full.
 """
 
 from __future__ import annotations
@@ -34,6 +39,9 @@ from .text import name
 
 K, TABLES, RECALL, SAMPLE, WIDTH, SMALL = 10, 4, 0.985, 2_000, 2.0, 2_000
 ROWS_A_BLOCK, QUERIES_A_BLOCK = 512, 256
+# Further rounds of probing; how far beyond the distance of a round its tables are probed; open queries that are compared
+# with every row at once, as this costs less than a round; most open queries that are broadcast for that.
+REPROBES, BEYOND, EXACT, SENT = 3, 1.25, 256, 16_384
 
 
 @dataclass
@@ -68,9 +76,9 @@ class Tables:
                 key ^= key >> np.uint64(29)
         return key.view(np.int64)
 
-    def probes(self, place: np.ndarray) -> np.ndarray:
-        """Slots of the buckets of one table to visit, likeliest first, for a query at ``place``."""
-        sigma = self.distance / self.width
+    def probes(self, place: np.ndarray, distance: float | None = None) -> np.ndarray:
+        """Slots of the buckets of one table to visit, likeliest first, for a query at ``place`` (and its own distance)."""
+        sigma = (self.distance if distance is None else distance) / self.width
         reach = max(1, math.ceil(4 * sigma))
         steps = np.arange(-reach, reach + 1)
         home = np.floor(place)
@@ -104,9 +112,14 @@ def valid_vectors(df: DataFrame, id_column: str, vector: str) -> DataFrame:
     return rows.where(F.coalesce(finite, F.lit(False)) & F.exists("v", lambda x: x != 0))
 
 
-def _sample_distance(rows: DataFrame, k: int) -> float:
-    """Median distance to the k-th neighbour within a bounded sample by hash."""
-    sample = np.array([r["v"] for r in rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()])
+def _sample(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of a bounded sample by hash."""
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("id", "v").collect()
+    return np.array([r["id"] for r in sample], np.int64), np.array([r["v"] for r in sample])
+
+
+def _sample_distance(sample: np.ndarray, k: int) -> float:
+    """Median distance to the k-th neighbour within the sample."""
     if len(sample) < 3:
         return 1.0
     square = (sample**2).sum(1)
@@ -115,6 +128,32 @@ def _sample_distance(rows: DataFrame, k: int) -> float:
     return float(np.median(kth)) or float(apart.mean()) or 1.0
 
 
+def _bounds(batches, sample, k: int):
+    """Rows (id, v, kth) -> with ``own``: no more than kth and the distance to the k-th other id of the sample."""
+    ids, vectors = sample.value
+    for batch in batches:
+        own = np.array(batch.column("kth"), np.float64)
+        at = np.asarray(batch.column("id"))
+        v = np.asarray(batch.column("v").flatten()).reshape(batch.num_rows, -1)
+        for i in range(batch.num_rows):
+            apart = ((vectors[ids != at[i]] - v[i]) ** 2).sum(1)
+            if len(apart) >= k:
+                own[i] = min(own[i], np.sqrt(np.partition(apart, k - 1)[k - 1]))
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(own)], ["id", "v", "own"])
+
+
+def _least(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> list[np.ndarray]:
+    """The k nearest of each query, repeated pairs once."""
+    order = np.lexsort((ids, score, query))
+    query, ids, score = query[order], ids[order], score[order]
+    same = query[1:] == query[:-1]
+    new = np.append(True, ~(same & (ids[1:] == ids[:-1]) & (score[1:] == score[:-1])))[: len(query)]
+    query, ids, score = query[new], ids[new], score[new]
+    first = np.flatnonzero(np.append(True, query[1:] != query[:-1])[: len(query)])
+    near = np.arange(len(query)) - np.repeat(first, np.diff(np.append(first, len(query)))) < k
+    return [query[near], ids[near], score[near]]
+
+
 def _pack(batches, size: int, names: tuple[str, str]):
     """Rows (tbl, bucket, id, v) -> a row for each bucket of a batch and at most ``size`` of its rows."""
     for batch in batches:
@@ -153,8 +192,43 @@ def nearest(df: DataFrame, queries: Column, id_column: str = "vec_id", vector: s
     rows = rows.where(F.size("v") == d)
     functions = max(2, round(math.log2(max(2, n))) - 5)
     whole = n <= SMALL
-    tables = Tables.draw(d, 1 if whole else functions, _sample_distance(rows, k), 1 if whole else TABLES, 1.0 if whole else recall)
-    sent = df.sparkSession.sparkContext.broadcast(tables)
+    context = df.sparkSession.sparkContext
+    ids, sample = _sample(rows)
+    distance = _sample_distance(sample, k)
+    asked = rows.where(queries).withColumn("probed", F.lit(distance))
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+
+    def best(found: DataFrame) -> DataFrame:
+        ranked = found.distinct().select("query_id", F.row_number().over(order).alias("rank"), "vec_id", "score")
+        return ranked.where(F.col("rank") <= k)
+
+    if whole:
+        return best(_probed(rows, asked, Tables.draw(d, 1, distance, 1, 1.0), k, True))
+    found = stage(best(_probed(rows, asked, Tables.draw(d, functions, distance, recall=recall), k)), "found")
+    _, one = np.unique(ids, return_index=True)
+    sent = context.broadcast((ids[one], sample[one]))
+    for again in range(REPROBES + 1):
+        kth = found.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("n"), F.max("score").alias("far"))
+        enough = F.coalesce(F.col("n") >= k, F.lit(False))
+        left = asked.join(kth, "id", "left").where(~(enough & (F.col("far") <= F.col("probed"))))
+        left = left.select("id", "v", F.when(enough, F.col("far")).otherwise(F.lit(float("inf"))).alias("kth"))
+        left = stage(left.mapInArrow(lambda b: _bounds(b, sent, k), "id long, v array<double>, own double"), "left")
+        many = left.count()
+        if not many:
+            return found
+        middle = max(distance, left.approxQuantile("own", [0.5], 0.01)[0])
+        if again == REPROBES or many <= EXACT or middle == float("inf"):
+            more = _compared(rows, left, many, k)
+            return best(found.drop("rank").unionByName(more))
+        asked = left.select("id", "v", F.least("own", F.lit(middle * BEYOND)).alias("probed"))
+        asked = asked.withColumn("probed", F.greatest("probed", F.lit(distance)))
+        tables = Tables.draw(d, functions, middle, recall=recall, seed=8 + again)
+        found = stage(best(found.drop("rank").unionByName(_probed(rows, asked, tables, k))), "found")
+
+
+def _probed(rows: DataFrame, asked: DataFrame, tables: Tables, k: int, whole: bool = False) -> DataFrame:
+    """(query_id, vec_id, score) of rows in the probed buckets; ``asked`` is (id, v, probed): for which distance."""
+    sent = rows.sparkSession.sparkContext.broadcast(tables)
 
     def hashed(batches, probe: bool):
         of = sent.value
@@ -165,7 +239,10 @@ def nearest(df: DataFrame, queries: Column, id_column: str = "vec_id", vector: s
                 row, table = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int32)
                 key = np.zeros(batch.num_rows, np.int64)
             elif probe:
-                parts = [(i, t, of.keys(of.probes(places[i, t]))) for i in range(len(places)) for t in range(places.shape[1])]
+                far = np.asarray(batch.column("probed"))
+                parts = [
+                    (i, t, of.keys(of.probes(places[i, t], far[i]))) for i in range(len(places)) for t in range(places.shape[1])
+                ]
                 row = np.concatenate([np.full(len(p), i) for i, _, p in parts] or [np.zeros(0, np.int64)])
                 table = np.concatenate([np.full(len(p), t, np.int32) for _, t, p in parts] or [np.zeros(0, np.int32)])
                 key = np.concatenate([p for *_, p in parts] or [np.zeros(0, np.int64)])
@@ -182,8 +259,21 @@ def nearest(df: DataFrame, queries: Column, id_column: str = "vec_id", vector: s
 
     schema = "tbl int, bucket long, id long, v array<double>"
     index = _blocks(rows.mapInArrow(lambda b: hashed(b, False), schema), ROWS_A_BLOCK, ("ids", "vectors"))
-    asked = rows.where(queries).mapInArrow(lambda b: hashed(b, True), schema)
-    asked = _blocks(asked, QUERIES_A_BLOCK, ("query_ids", "query_vectors"))
+    asked = _blocks(asked.mapInArrow(lambda b: hashed(b, True), schema), QUERIES_A_BLOCK, ("query_ids", "query_vectors"))
+    return _measured(stage(asked, "asked").join(stage(index, "index"), ["tbl", "bucket"]), k)
+
+
+def _compared(rows: DataFrame, asked: DataFrame, many: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score) of all rows, for each of ``many`` queries (id, v)."""
+    flat = lambda df: df.select(F.lit(0).alias("tbl"), F.lit(0).cast("long").alias("bucket"), "id", "v")
+    schema = "tbl int, bucket long, ids array<long>, vectors binary"
+    index = flat(rows).mapInArrow(lambda b: _pack(b, ROWS_A_BLOCK, ("ids", "vectors")), schema)
+    asked = stage(_blocks(flat(asked), QUERIES_A_BLOCK, ("query_ids", "query_vectors")), "asked").drop("tbl", "bucket")
+    return _measured(index.crossJoin(F.broadcast(asked) if many <= SENT else asked), k)
+
+
+def _measured(met: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score): of each batch of met blocks, the k nearest of each query."""
 
     def measure(batches):
         for batch in batches:
@@ -203,15 +293,8 @@ def nearest(df: DataFrame, queries: Column, id_column: str = "vec_id", vector: s
                     out[1].append(ci[best])
                     out[2].append(score[best])
             if out[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(o)) for o in out], ["query_id", "vec_id", "score"]
-                )
+                least = _least(*(np.concatenate(o) for o in out), k)
+                yield pa.RecordBatch.from_arrays([pa.array(o) for o in least], ["query_id", "vec_id", "score"])
 
-    met = stage(asked, "asked").join(stage(index, "index"), ["tbl", "bucket"])
-    found = met.select("query_ids", "query_vectors", "ids", "vectors").mapInArrow(measure, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return (
-        found.distinct()
-        .select("query_id", F.row_number().over(order).alias("rank"), "vec_id", "score")
-        .where(F.col("rank") <= k)
-    )
+    schema = "query_id long, vec_id long, score double"
+    return met.select("query_ids", "query_vectors", "ids", "vectors").mapInArrow(measure, schema)

@@ -136,6 +136,26 @@ def test_repeated_rows_take_one_place(spark):
     assert got == [(1, 0.5)] + [(i, float(i)) for i in range(2, 11)]
 
 
+@pytest.mark.parametrize("exact, spread", [(256, 0.02), (0, 0.02), (0, 0.0)])
+def test_sparse_rows_beside_dense_groups(spark, monkeypatch, exact, spread):
+    monkeypatch.setattr(lsh, "EXACT", exact, raising=False)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(20, 12))
+    dense = centres[np.arange(2400) % 20] + spread * rng.normal(size=(2400, 12))
+    points = np.concatenate([dense, rng.normal(size=(600, 12)), 5 * rng.normal(size=(300, 12))])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in lsh.nearest(table, F.col("id") % 10 == 0).collect():
+        got.setdefault(r.query_id, []).append(r.score)
+    parts = {"dense": [], "sparse": [], "far": []}
+    for q in range(0, 3300, 10):
+        apart = np.sqrt(((points - points[q]) ** 2).sum(1))
+        kth = np.sort(np.delete(apart, q))[9] * (1 + 1e-9)
+        found = sum(s <= kth for s in got.get(q, ()))
+        parts["dense" if q < 2400 else "sparse" if q < 3000 else "far"].append(found)
+    assert all(np.mean(found) >= 9.7 and min(found) >= 7 for found in parts.values()), {p: np.mean(f) for p, f in parts.items()}
+
+
 def test_few_vectors_are_all_found(spark):
     table = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(5)], "vec_id long, embedding array<float>")
     assert [(r.vec_id, r.score) for r in lsh.nearest(table, F.col("id") == 0).orderBy("rank").collect()] == [
