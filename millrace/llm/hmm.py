@@ -1,9 +1,9 @@
 """Hidden Markov language model: Baum-Welch counts summed across partitions, exact likelihoods by scaled forward passes.
 
-Words are lower-cased in A-Z; every text ends with one end token. The model emits one of the ``head`` most frequent words
-of the training texts (the end token among them) or the class of all other words; a word of that class has the share
-(c + 1) / (tokens + words + 1) of it, with its count c, so the probabilities of all words, seen or not, sum to one at most.
-Counts of all words are kept in a table and joined to the rare words of the texts; only the head is sent to the tasks.
+Words are lower-cased in A-Z; every text ends with one end token. The model emits every word of the training texts (the end
+token among them) or the class of all unseen words, so the probabilities of all words, seen or not, sum to one at most.
+Counts and emissions of all words are learnt. Only those of the ``head`` most frequent words go to every task; the rest,
+the tail, stays in staged tables and each round joins it to the texts that hold its words. The model is the same for any ``head``.
 
 A task encodes its texts once to word numbers, written to the shared folder; each round of training and the scoring read
 these. Texts of like length run through the recursion side by side, whole, whatever their length.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .text import map_texts, name, pieces, sums
 
-STATES, ROUNDS, HEAD = 8, 4, 65_536
+STATES, ROUNDS, HEAD = 8, 4, 131_072  # the head says what is broadcast, not what is learnt
 END = b"\n"  # no word holds a line feed
 COUNTED_AT_ONCE = 400_000  # distinct words a task counts before it hands them on
 _GROUP = 400_000  # tokens that run through the recursion together (one longer text may be more)
@@ -34,32 +34,12 @@ _GROUP = 400_000  # tokens that run through the recursion together (one longer t
 
 @dataclass
 class Hmm:
-    """start (K), move (K, K), emit (words, K): probabilities; the last word is the class of rare words."""
+    """start (K), move (K, K), emit (words, K): probabilities; of the words, the head and last the class of unseen words."""
 
     start: np.ndarray
     move: np.ndarray
     emit: np.ndarray
 
-    @staticmethod
-    def first(counts: np.ndarray, states: int, seed: int = 1) -> Hmm:
-        """Word shares of the whole corpus, shaken differently for each state; states tend to stay."""
-        rng = np.random.default_rng(seed)
-        share = (counts + 1) / (counts + 1).sum()
-        emit = share[:, None] * np.exp(rng.normal(0, 1, (len(counts), states)))
-        move = np.full((states, states), 0.1 / max(1, states - 1))
-        np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
-        return Hmm(np.full(states, 1 / states), move, emit / emit.sum(0))
-
-    def updated(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray, counts: np.ndarray) -> Hmm:
-        """From expected counts; every state keeps a little of the corpus' word shares, so that nothing is impossible."""
-        share = (counts + 1) / (counts + 1).sum()
-        weight = emit.sum(0)
-        return Hmm(
-            (start + 1) / (start + 1).sum(),
-            (move + 1) / (move + 1).sum(1, keepdims=True),
-            (emit + 0.001 * weight * share[:, None] + 1e-9 * share[:, None]) / (1.001 * weight + 1e-9),
-        )
-
 
 class Lockstep:
     """Texts side by side, longest first; tokens are laid out by position, so that each step is one slice."""
@@ -178,9 +158,9 @@ def _encode(head: list[bytes]):
             ids, others, times = [], [], []
             for text in texts:
                 words = text.lower().split()
-                row = [number.get(w, rare) for w in words]
-                found = Counter(w for w, i in zip(words, row) if i == rare)
-                ids.append(np.array([*row, number[END]], np.int32).tobytes())
+                found = Counter(w for w in words if w not in number)
+                own = dict(zip(found, range(rare + 1, rare + 1 + len(found))))  # the text's tail, after the unseen class
+                ids.append(np.array([*(number[w] if w in number else own[w] for w in words), number[END]], np.int32).tobytes())
                 others.append(list(found.keys()))
                 times.append(list(found.values()))
             return [*(piece.column(c) for c in ("rid", "doc_id", "held_out")), ids, others, times]
@@ -190,55 +170,141 @@ def _encode(head: list[bytes]):
     return make
 
 
+def _with_tail(batch: pa.RecordBatch, model: Hmm) -> tuple[pa.BinaryArray, Hmm, np.ndarray]:
+    """Word numbers that hold for the batch, the model with the rows of its tail words, and the keys of these (-1: unseen)."""
+    ids, head = batch.column("ids"), len(model.emit)
+    flat, bounds = numbers(ids)
+    flat = flat[: bounds[-1]]
+    if "wids" in batch.schema.names:
+        keys = np.asarray(batch.column("wids").flatten())
+        rows = np.asarray(batch.column("emits").flatten().flatten()).reshape(len(keys), -1)
+        if not len(keys):
+            return ids, model, keys
+        size = np.diff(np.asarray(batch.column("wids").offsets))
+        first = np.cumsum(size) - size
+        own = np.zeros(len(flat), np.int32)
+        own[bounds[0] :] = np.repeat(first, np.diff(bounds))
+        flat = np.where(flat >= head, flat + own, flat)
+        model = Hmm(model.start, model.move, np.concatenate([model.emit, rows]))
+    else:  # all words of the training texts are in the head
+        flat, keys = np.minimum(flat, np.int32(head - 1)), np.zeros(0, np.int64)
+    offsets = pa.py_buffer((bounds * 4).astype(np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(ids), [None, offsets, pa.py_buffer(flat.astype(np.int32).tobytes())]), model, keys
+
+
 def _expect(model, states: int):
-    """One row for each word that occurs in a task (32-bit, summed in 64), and rows -1 - k for moves from k, -1 - states for starts."""
+    """One row for each word of a batch's tail and of a task's head (32-bit, summed in 64): its key is the number in the head,
+    or beyond these that of the tail; rows -1 - k are for moves from k, -1 - states for starts."""
+
+    def rows(key: np.ndarray, table: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array(key, pa.int64()), *(pa.array(table[:, k].astype(np.float32)) for k in range(states))]
+        return pa.RecordBatch.from_arrays(columns, ["word", *(f"s{k}" for k in range(states))])
 
     def expect(batches):
-        start, move, emitted = np.zeros(states), np.zeros((states, states)), 0
+        head = len(model.value.emit)
+        start, move, emitted = np.zeros(states), np.zeros((states, states)), np.zeros((head, states))
         for batch in batches:
-            for _, group in _groups(batch.column("ids")):
-                more = group.expected(model.value)
-                start, move, emitted = start + more[0], move + more[1], emitted + more[2]
-        if np.ndim(emitted):
-            seen = np.flatnonzero(emitted.sum(1))
-            key = np.concatenate([seen, -1 - np.arange(states + 1)])
-            table = np.concatenate([emitted[seen], move, start[None]])
-            columns = [pa.array(key, pa.int32()), *(pa.array(table[:, k].astype(np.float32)) for k in range(states))]
-            yield pa.RecordBatch.from_arrays(columns, ["word", *(f"s{k}" for k in range(states))])
+            ids, own, keys = _with_tail(batch, model.value)
+            tail = np.zeros((len(own.emit) - head, states))
+            for _, group in _groups(ids):
+                more = group.expected(own)
+                start, move, emitted = start + more[0], move + more[1], emitted + more[2][:head]
+                tail += more[2][head:]
+            if len(tail):
+                yield rows(head + keys, tail)
+        seen = np.flatnonzero(emitted.sum(1))
+        if len(seen):
+            yield rows(np.concatenate([seen, -1 - np.arange(states + 1)]), np.concatenate([emitted[seen], move, start[None]]))
 
     return expect
 
 
-def train(encoded: DataFrame, counts: np.ndarray, states: int = STATES, rounds: int = ROUNDS) -> Hmm:
-    """Baum-Welch over all rows of ``ids``. The driver sees the summed table: at most len(counts) + states + 1 rows."""
-    model = Hmm.first(counts, states)
-    schema = ", ".join(["word int", *(f"s{k} float" for k in range(states))])
+def _noise(states: int, seed: int = 1) -> list[Column]:
+    """A normal number for each state, drawn by the word: two uniform ones by hash, then Box and Muller."""
+    draw = lambda k, what: (F.pmod(F.xxhash64(F.lit(seed), F.lit(what), F.lit(k), "word"), F.lit(2**40)) + 0.5) / float(2**40)
+    return [F.sqrt(-2 * F.log(draw(k, "a"))) * F.cos(2 * np.pi * draw(k, "b")) for k in range(states)]
+
+
+def _joined(encoded: DataFrame, uses: DataFrame | None, tail: DataFrame | None, unseen: np.ndarray) -> DataFrame:
+    """With (wids, emits) of each text's tail words, in their order; unseen ones (wid -1) have the class's emissions."""
+    if tail is None:
+        return encoded
+    of_class = F.array(*(F.lit(float(x)) for x in unseen))
+    used = uses.join(tail.select("wid", "e"), "wid", "left").select("rid", F.struct("pos", "wid", F.coalesce("e", of_class).alias("e")).alias("t"))
+    lists = used.groupBy("rid").agg(F.sort_array(F.collect_list("t")).alias("t"))
+    none = F.array().cast("array<long>"), F.array().cast("array<array<double>>")
+    return encoded.join(lists, "rid", "left").withColumns(
+        {"wids": F.coalesce("t.wid", none[0]), "emits": F.coalesce("t.e", none[1])}
+    ).drop("t")
+
+
+def train(
+    encoded: DataFrame, top: np.ndarray, noise: np.ndarray, every: int, uses: DataFrame | None, tail: DataFrame | None,
+    rounds: int = ROUNDS,
+) -> tuple[Hmm, DataFrame | None]:
+    """Baum-Welch over all rows of ``ids``: the model and the tail's emissions (wid, c, e). ``top`` and ``noise`` are for the
+    head and the class of unseen words. The driver sees the summed head: at most len(top) + states + 1 rows."""
+    states = noise.shape[1]
+    names = [f"s{k}" for k in range(states)]
+    share = (top + 1) / every
+    emit = share[:, None] * np.exp(noise)
+    weight = emit.sum(0)
+    if tail is not None:
+        shaken = [(F.col("c") + 1) / float(every) * F.exp(z) for z in _noise(states)]
+        tail = stage(tail.select("wid", "c", F.array(*shaken).alias("e")), "tail")
+        weight = weight + np.array(tail.agg(*(F.sum(F.col("e")[k]) for k in range(states))).first())
+        tail = tail.withColumn("e", F.array(*(F.col("e")[k] / float(weight[k]) for k in range(states))))
+    move = np.full((states, states), 0.1 / max(1, states - 1))
+    np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
+    model = Hmm(np.full(states, 1 / states), move, emit / weight)
+
+    schema = ", ".join(["word long", *(f"{s} float" for s in names)])
     context = encoded.sparkSession.sparkContext
+    columns = ["ids"] if tail is None else ["ids", "wids", "emits"]
     for _ in range(rounds):
         sent = context.broadcast(model)
-        parts = encoded.select("ids").mapInArrow(_expect(sent, states), schema)
-        table = parts.groupBy("word").agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(states))).toArrow()
+        parts = _joined(encoded, uses, tail, model.emit[-1]).select(*columns).mapInArrow(_expect(sent, states), schema)
+        summed = parts.groupBy("word").agg(*(F.sum(s).alias(s) for s in names))
+        if tail is not None:
+            summed = stage(summed, "summed")
+        table = summed.where(F.col("word") < len(top)).toArrow()
         word = np.asarray(table.column("word"))
-        values = np.stack([np.asarray(table.column(f"s{k}")) for k in range(states)], 1)
-        emit = np.zeros((len(counts), states))
+        values = np.stack([np.asarray(table.column(s)) for s in names], 1)
+        emit = np.zeros((len(top), states))
         emit[word[word >= 0]] = values[word >= 0]
         rest = dict(zip(word[word < 0].tolist(), values[word < 0]))
         if rest:
-            model = model.updated(rest[-1 - states], np.stack([rest[-1 - k] for k in range(states)]), emit, counts)
+            weight = emit.sum(0)
+            if tail is not None:
+                learnt = summed.where(F.col("word") >= len(top)).withColumn("wid", F.col("word") - len(top))
+                weight = weight + np.array(learnt.agg(*(F.coalesce(F.sum(s), F.lit(0.0)) for s in names)).first())
+                of = [
+                    (F.coalesce(F.col(s), F.lit(0.0)) + (F.col("c") + 1) / float(every) * float(0.001 * w + 1e-9)) / float(1.001 * w + 1e-9)
+                    for s, w in zip(names, weight)
+                ]
+                tail = stage(tail.select("wid", "c").join(learnt, "wid", "left").select("wid", "c", F.array(*of).alias("e")), "tail")
+            # every state keeps a little of the corpus' word shares, so that nothing is impossible
+            start, move = rest[-1 - states], np.stack([rest[-1 - k] for k in range(states)])
+            model = Hmm(
+                (start + 1) / (start + 1).sum(),
+                (move + 1) / (move + 1).sum(1, keepdims=True),
+                (emit + (0.001 * weight + 1e-9) * share[:, None]) / (1.001 * weight + 1e-9),
+            )
         sent.unpersist()
-    return model
+    return model, tail
 
 
 def _score(model, head_logs):
     def score(batches):
         for batch in batches:
-            ids = batch.column("ids")
             log = np.zeros(batch.num_rows)
+            ids, own, _ = _with_tail(batch, model.value)
             for rows, group in _groups(ids):
-                log[rows] = group.log10(model.value)
-            flat, bounds = numbers(ids)
+                log[rows] = group.log10(own)
+            flat, bounds = numbers(batch.column("ids"))
             logs, known = head_logs.value
-            total = lambda v: sums(v[flat[: bounds[-1]]], bounds)
+            flat = np.minimum(flat[: bounds[-1]], len(logs) - 1)
+            total = lambda v: sums(v[flat], bounds)
             made = [np.diff(bounds).astype(np.int64), total(known).astype(np.int64), total(logs), log]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("rid", "doc_id", "held_out")), *map(pa.array, made)],
@@ -264,12 +330,12 @@ def score(
     aside = held_out(name(id_column)) if aside is None else aside
     counts = stage(word_counts(docs.where(~aside), name(text)), "counts")
     tokens, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    end = {"word": END, "c": 0}
-    top = counts.orderBy(F.col("word") != F.lit(END), F.desc("c"), "word").limit(head).collect()  # a fixed number of rows
-    top = [(bytes(r["word"]), r["c"]) for r in top] or [(end["word"], end["c"])]
+    first = F.col("word") != F.lit(END), F.desc("c"), F.col("word")
+    top = counts.orderBy(*first).limit(head).select("word", "c", F.array(*_noise(states)).alias("z")).collect()  # a fixed number
+    noise = np.array([*(r["z"] for r in top), *([[0.0] * states] * (1 if top else 2))])
+    top = [(bytes(r["word"]), r["c"]) for r in top] or [(END, 0)]
     in_head = np.array([c for _, c in top], np.int64)
-    rare_tokens, rare_kinds = tokens - int(in_head.sum()), kinds - int((in_head > 0).sum())
-    class_counts = np.append(in_head, rare_tokens)
+    every = tokens + kinds + 1
 
     sent = spark.sparkContext.broadcast([w for w, _ in top])
     columns = {"rid": F.monotonically_increasing_id(), "doc_id": name(id_column), "held_out": aside}
@@ -278,26 +344,34 @@ def score(
         "rare array<binary>, times array<int>"
     )
     encoded = stage(map_texts(docs, columns, name(text), _encode(sent), schema), "encoded")
-    model = train(encoded.where("NOT held_out"), class_counts, states, rounds)
+    rare = encoded.select("rid", F.posexplode(F.arrays_zip("rare", "times")).alias("pos", "w")).select("rid", "pos", "w.rare", "w.times")
+    encoded = encoded.drop("rare", "times")
+    if kinds > len(top):
+        heads = spark.createDataFrame(top, "word binary, c long").select("word")
+        tail = counts.join(F.broadcast(heads), "word", "left_anti")
+        tail = stage(tail.withColumn("wid", F.monotonically_increasing_id()), "words")
+        uses = rare.join(tail.withColumnRenamed("word", "rare"), "rare", "left")
+        uses = stage(uses.select("rid", "pos", F.coalesce("wid", F.lit(-1)).alias("wid"), "c", "times"), "uses")
+    else:
+        tail, uses = None, None
+    learn = None if uses is None else uses.join(encoded.where("NOT held_out").select("rid"), "rid", "left_semi")
+    model, learnt = train(encoded.where("NOT held_out"), np.append(in_head, 0), noise, every, learn, tail, rounds)
 
-    every = tokens + kinds + 1
     logs = np.append(np.log10((in_head + 1) / every), 0.0)
     known = np.append((in_head > 0).astype(np.int64), 0)
     of_head = spark.sparkContext.broadcast((logs, known))
-    rows = encoded.select("rid", "doc_id", "held_out", "ids").mapInArrow(
+    rows = _joined(encoded, uses, learnt, model.emit[-1]).mapInArrow(
         _score(spark.sparkContext.broadcast(model), of_head),
         f"rid long, doc_id {dict(docs.dtypes)[id_column]}, held_out boolean, "
         "n_tokens long, n_known long, base double, log double",
     )
-    rare = encoded.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("rid", "w.rare", "w.times")
     c = F.coalesce("c", F.lit(0))
-    per_word = rare.join(counts.withColumnRenamed("word", "rare"), "rare", "left").select(
-        "rid", "times", (c > 0).alias("seen"), F.log10((c + 1) / F.lit(float(every))).alias("b"),
-        F.log10((c + 1) / F.lit(float(rare_tokens + rare_kinds + 1))).alias("q"),
+    per_word = (rare.withColumn("c", F.lit(0)) if uses is None else uses).select(
+        "rid", "times", (c > 0).alias("seen"), F.log10((c + 1) / F.lit(float(every))).alias("b")
     )
     of_rare = per_word.groupBy("rid").agg(
         F.sum(F.when(F.col("seen"), F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("times") * F.col("b")).alias("rare_base"), F.sum(F.col("times") * F.col("q")).alias("rare_log"),
+        F.sum(F.col("times") * F.col("b")).alias("rare_base"),
     )
     zero = F.lit(0.0)
     return rows.join(of_rare, "rid", "left").select(
@@ -305,5 +379,5 @@ def score(
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rare_base", zero)).alias("base_score"),
-        (F.col("log") + F.coalesce("rare_log", zero)).alias("score"),
+        F.col("log").alias("score"),
     )

@@ -264,6 +264,18 @@ def test_hmm_scores(spark):
     assert hmm.score(table.limit(0), states=2, rounds=1).count() == 0
 
 
+def test_hmm_is_the_same_for_any_head(spark):
+    draw = random.Random(16)
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{int(draw.paretovariate(0.6))}" for _ in range(30))) for i in range(200)]
+    rows += [(1000, None), (1001, "never seen words"), (1002, "never a1 seen b99999999 seen")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    runs = [{r.doc_id: r for r in hmm.score(table, states=3, rounds=3, head=h).collect()} for h in (20, 10**6)]
+    assert len(runs[0]) == len(runs[1]) == len(rows)
+    for i, r in runs[1].items():
+        assert runs[0][i][:5] == r[:5]
+        assert (runs[0][i].base_score, runs[0][i].score) == pytest.approx((r.base_score, r.score), rel=1e-5)
+
+
 def test_pipeline_stages(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("extra", F.lit(1))
