@@ -3,7 +3,8 @@
 Terms are words and the 4-letter runs of words (word ends marked), lower-cased. The space has the terms whose presence in
 the labelled examples goes with the label (chi-square), as other terms would only add the noise of chance neighbours; their
 document counts, for the inverse document frequency, are taken over all training documents. The examples are a bounded
-sample by hash (``examples`` rows); everything else covers all rows.
+sample by label and hash (``examples`` rows, of a rare label at least one in ``LEAST_SHARE`` or all there are), weighted
+back to the labels' shares in the calibration; everything else covers all rows.
 
 The index holds the examples in blocks of like terms, for each term its postings and the largest weight in each block. A
 document's blocks are visited from the highest bound on, until the k-th best cosine is above what is left; the result is
@@ -31,9 +32,9 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .text import CACHE_WORDS, map_texts, name, pieces
 
-# Most labelled rows that are examples; most terms of the space; least chi-square of a term, and in how many examples it
-# must stand: LEAST_EXAMPLES and one in RAREST of all (copies of one text make its rare words look telling).
-EXAMPLES, TERMS, CHI_SQUARE, LEAST_EXAMPLES, RAREST = 8_000, 4_096, 40.0, 4, 400
+# Most labelled rows that are examples; most terms of the space; least chi-square of a term, and in how many different texts
+# of the examples it must stand.
+EXAMPLES, TERMS, CHI_SQUARE, LEAST_EXAMPLES, LEAST_SHARE = 8_000, 4_096, 40.0, 4, 8
 NEIGHBOURS, BLOCK = 25, 64
 THRESHOLD = 0.3
 GRAM = 4
@@ -98,16 +99,18 @@ class Index:
     share: float
     empty: float  # score of a document without terms
     neighbours: int = NEIGHBOURS
+    odds: tuple[float, float] = (1.0, 1.0)  # what an example of each label stands for
     votes: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
     meaning: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
 
     @staticmethod
-    def build(space: dict[str, int], idf: np.ndarray, rows: list[tuple[dict[int, int], int]], neighbours: int = NEIGHBOURS) -> Index:
+    def build(space: dict[str, int], idf: np.ndarray, rows: list[tuple[dict[int, int], int]], neighbours: int = NEIGHBOURS, odds: tuple[float, float] = (1.0, 1.0)) -> Index:
         """From (term counts, label) of each example, in example order."""
         label = np.array([y for _, y in rows], np.int64)
-        share = float(label.mean()) if len(label) else 0.0
+        stands = np.array(odds)[label]
+        share = float(stands @ label / stands.sum()) if len(label) else 0.0
         bare = np.array([not t for t, _ in rows], bool)
-        empty = float((label[bare].sum() + share) / (bare.sum() + 1)) if len(rows) else 0.0
+        empty = float((stands[bare] @ label[bare] + share * min(odds)) / (stands[bare].sum() + min(odds))) if len(rows) else 0.0
         vectors = [unit(t, idf) for t, _ in rows]
         full = [i for i in range(len(rows)) if not bare[i]]
         full.sort(key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]), i))  # like terms side by side
@@ -123,7 +126,7 @@ class Index:
         np.maximum.at(most, cell, weight)
         index = Index(
             space, idf, starts, at[order], weight[order], most.reshape(len(idf), blocks), label[example], example, share, empty,
-            neighbours,
+            neighbours, odds,
         )
         index.calibrate([vectors[i] for i in full])
         return index
@@ -171,11 +174,12 @@ class Index:
         order = np.argsort(votes, kind="stable")
         pools: list[list[float]] = []  # toxic, examples, least and largest vote; neighbours that fall are pooled
         for vote, label in zip(votes[order], self.label[order]):
-            pools.append([float(label), 1.0, float(vote), float(vote)])
+            pools.append([self.odds[label] * label, self.odds[label], float(vote), float(vote)])
             while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
                 toxic, size, _, most = pools.pop()
                 pools[-1] = [pools[-1][0] + toxic, pools[-1][1] + size, pools[-1][2], most]
-        share = [(toxic + self.share) / (size + 1) for toxic, size, *_ in pools]
+        unit = min(self.odds)
+        share = [(toxic + self.share * unit) / (size + unit) for toxic, size, *_ in pools]
         self.votes = np.array([0.0, *(v for pool in pools for v in pool[2:]), 1.0])
         self.meaning = np.array([0.0, *(s for s in share for _ in range(2)), 1.0])
         self.meaning = np.maximum.accumulate(self.meaning)
@@ -198,13 +202,12 @@ def unit(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def choose_terms(counts: DataFrame, clean: int, toxic: int) -> list[str]:
-    """Terms whose presence goes with the label, strongest first: at most TERMS. More than half of the examples with a term
-    must be toxic, as a passage that many texts share brings along words of its own."""
+    """Terms whose presence goes with the label, strongest first: at most TERMS, each in a larger part of the toxic examples
+    than of the clean ones."""
     n, a, b = F.lit(float(clean + toxic)), F.col("toxic").cast("double"), F.col("clean").cast("double")
     c, d = F.lit(float(toxic)) - a, F.lit(float(clean)) - b
     chi = n * F.pow(a * d - b * c, F.lit(2)) / ((a + b) * (c + d) * (a + c) * (b + d))
-    least = max(LEAST_EXAMPLES, (clean + toxic) / RAREST)
-    rows = counts.where((F.col("toxic") + F.col("clean") >= least) & (F.col("toxic") > F.col("clean"))).select("term", chi.alias("chi"))
+    rows = counts.where((a + b >= LEAST_EXAMPLES) & (a * float(clean) > b * float(toxic))).select("term", chi.alias("chi"))
     rows = rows.where(F.col("chi") >= CHI_SQUARE).orderBy(F.desc("chi"), "term").limit(TERMS).collect()
     return [r["term"] for r in rows]
 
@@ -213,20 +216,37 @@ def held_out(doc_id: Column, parts: int = 4, part: int = 2) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts == part
 
 
+def _take(every: list[int], examples: int) -> list[int]:
+    """How many examples of each label: by its share, but of a rare one at least one in LEAST_SHARE or all there are."""
+    if sum(every) <= examples:
+        return every
+    rare = int(every[1] <= every[0])
+    some = min(every[rare], max(examples // LEAST_SHARE, round(examples * every[rare] / sum(every))))
+    return [some if label == rare else examples - some for label in (0, 1)]
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_column: str, text: str, aside, examples: int = EXAMPLES) -> Index:
     """The index over a sample of the labelled training rows; what the driver holds is bounded by examples and terms."""
     spark = docs.sparkSession
     known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").select(
         F.col("doc_id").alias("of"), F.col("toxic").cast("int").alias("toxic")
     )
-    chosen = known.where(~aside(F.col("of"))).orderBy(F.xxhash64("of"), "of").limit(examples)
+    known = known.where(~aside(F.col("of")))
+    every = dict(known.groupBy("toxic").count().collect())
+    every = [every.get(label, 0) for label in (0, 1)]
+    take = _take(every, examples)
+    odds = [n / max(1, t) * sum(take) / max(1, sum(every)) for n, t in zip(every, take)]
+    odds = tuple(o or 1.0 for o in odds)
+    first, second = (known.where(F.col("toxic") == y).orderBy(F.xxhash64("of"), "of").limit(t) for y, t in enumerate(take))
+    chosen = first.unionByName(second)
     rows = docs.select(name(id_column).alias("doc_id"), F.coalesce(name(text), F.lit("")).cast("binary").alias("text"))
     sample = stage(
         rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("of")).select("doc_id", "toxic", "text"), "examples"
     )
-    labels_seen = dict(sample.groupBy("toxic").count().collect())
+    texts = sample.select("toxic", "text").distinct()  # copies of one text would make its rare words look telling
+    labels_seen = dict(texts.groupBy("toxic").count().collect())
     clean, toxic = labels_seen.get(0, 0), labels_seen.get(1, 0)
-    found = sample.select("toxic", "text").mapInArrow(_term_rows, "term string, clean long, toxic long")
+    found = texts.mapInArrow(_term_rows, "term string, clean long, toxic long")
     counts = found.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     space = {t: i for i, t in enumerate(choose_terms(counts, clean, toxic) if clean and toxic else [])}
 
@@ -261,7 +281,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str, text: str, aside, ex
     )
     table = table.select(F.xxhash64("doc_id").alias("h"), "doc_id", "toxic", "terms", "times").collect()  # examples
     table.sort(key=lambda r: (r["h"], r["doc_id"], r["toxic"], sorted(zip(r["terms"], r["times"]))))
-    return Index.build(space, idf, [(dict(zip(r["terms"], r["times"])), r["toxic"]) for r in table])
+    return Index.build(space, idf, [(dict(zip(r["terms"], r["times"])), r["toxic"]) for r in table], odds=odds)
 
 
 def scores(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", aside=held_out, **how) -> DataFrame:

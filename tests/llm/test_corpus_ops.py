@@ -223,6 +223,24 @@ def test_toxicity_on_unseen_texts(spark):
     assert toxicity.scores(table.limit(0), labels).count() == 0
 
 
+def test_rare_toxic_labels_are_examples(spark):
+    draw = random.Random(18)
+    rows = []
+    for i in range(4000):
+        body = [f"w{draw.randrange(3000)}" for _ in range(12)] + (["grobnik"] if i % 100 == 0 else [])
+        rows.append((i, " ".join(body), int(i % 100 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = toxicity.scores(table, table.select("doc_id", "toxic"), examples=400).where("held_out")
+    marked = {r.doc_id: r.predicted for r in got.collect()}
+    toxic = [i for i in marked if i % 100 == 0]
+    assert toxic and all(marked[i] for i in toxic) and sum(marked.values()) <= len(toxic) + 0.01 * len(marked)
+
+
+def test_rare_and_shared_terms_are_chosen(spark):
+    counts = spark.createDataFrame([("rare", 0, 8), ("shared", 60, 40), ("clean", 90, 2)], "term string, clean long, toxic long")
+    assert sorted(toxicity.choose_terms(counts, 3520, 480)) == ["rare", "shared"]
+
+
 def test_hmm_recursions_by_enumeration():
     rng = np.random.default_rng(1)
     share = lambda *shape: (x := rng.uniform(0.1, 1, shape)) / x.sum(-1, keepdims=True)
