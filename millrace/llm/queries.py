@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hmm, licenses, lsh, minhash, mixing, quality, toxicity, unigram, urllists
+from . import bpe, hmm, licenses, lsh, minhash, mixing, quality, runs, toxicity, unigram, urllists
 from .text import unit_draw
 
 
@@ -147,10 +147,21 @@ def op10_minhash_dedup(spark, folder):
     return minhash.near_duplicates(_read(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op12_periodic_runs(spark, folder):
+    found = runs.periodic_runs(runs.with_planted_runs(_read(spark, folder, "documents")))
+    best = F.col("strongest")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *(best[c].alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_quality_rules, op2_url_lists, op3_source_mix, op4_token_counts, op5_license_rules, op6_word_bpe,
-        op7_toxic_neighbours, op8_multiprobe_lsh, op9_hmm_score, op10_minhash_dedup)
+        op7_toxic_neighbours, op8_multiprobe_lsh, op9_hmm_score, op10_minhash_dedup, op12_periodic_runs)
 }
 
 ORACLE = {"op2_url_lists": _OP2, "op3_source_mix": _OP3}
