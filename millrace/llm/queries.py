@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hmm, licenses, lsh, minhash, mixing, quality, runs, toxicity, unigram, urllists
+from . import bpe, hmm, licenses, lsh, minhash, mixing, passages, quality, runs, toxicity, unigram, urllists
 from .text import unit_draw
 
 
@@ -158,10 +158,19 @@ def op12_periodic_runs(spark, folder):
     )
 
 
+def op13_repeated_passages(spark, folder):
+    found = passages.repeated_passages(_read(spark, folder, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span[1] - span[0])
+    return found.select(
+        "doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_quality_rules, op2_url_lists, op3_source_mix, op4_token_counts, op5_license_rules, op6_word_bpe,
-        op7_toxic_neighbours, op8_multiprobe_lsh, op9_hmm_score, op10_minhash_dedup, op12_periodic_runs)
+        op7_toxic_neighbours, op8_multiprobe_lsh, op9_hmm_score, op10_minhash_dedup, op12_periodic_runs, op13_repeated_passages)
 }
 
 ORACLE = {"op2_url_lists": _OP2, "op3_source_mix": _OP3}
