@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hmm, licenses, lsh, minhash, mixing, passages, quality, runs, toxicity, unigram, urllists
+from . import bpe, hmm, licenses, lsh, minhash, mixing, passages, quality, repair, runs, toxicity, unigram, urllists
 from .text import unit_draw
 
 
@@ -147,6 +147,19 @@ def op10_minhash_dedup(spark, folder):
     return minhash.near_duplicates(_read(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_conversation_repair(spark, folder):
+    rows = _read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair.report(repair.edits(repair.damaged(rows)))
+    # Conversations of which nothing is left after the damage are in the report as well.
+    ids = rows.select(F.col("conv_id").alias("id")).distinct()
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return ids.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("id").alias("conv_id"), *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in numbers),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op12_periodic_runs(spark, folder):
     found = runs.periodic_runs(runs.with_planted_runs(_read(spark, folder, "documents")))
     best = F.col("strongest")
@@ -170,7 +183,7 @@ def op13_repeated_passages(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (op1_quality_rules, op2_url_lists, op3_source_mix, op4_token_counts, op5_license_rules, op6_word_bpe,
-        op7_toxic_neighbours, op8_multiprobe_lsh, op9_hmm_score, op10_minhash_dedup, op12_periodic_runs, op13_repeated_passages)
+        op7_toxic_neighbours, op8_multiprobe_lsh, op9_hmm_score, op10_minhash_dedup, op11_conversation_repair, op12_periodic_runs, op13_repeated_passages)
 }
 
 ORACLE = {"op2_url_lists": _OP2, "op3_source_mix": _OP3}
