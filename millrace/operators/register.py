@@ -41,38 +41,43 @@ def register_events(chunks: DataFrame) -> DataFrame:
     Rows that stand for unreadable input (``reject_reason`` of the chunk) are passed on.
     """
     reason = F.col("reject_reason") if "reject_reason" in chunks.columns else F.lit(None).cast("string")
+    closed = F.col("closed") if "closed" in chunks.columns else F.lit(True)
     value, piece, pos = F.col("value"), F.col("piece"), F.col("pos")
     starts = F.octet_length(value) - F.octet_length(F.replace(value, F.lit("<ABR"), F.lit("")))
     after = F.substring_index(value, "<ABR", -1)
     tag = F.substring_index(after, ">", 1)
     opened = ((tag == "") | F.substring(tag, 1, 1).isin(" ", "\t", "\n", "\r")) & ~tag.endswith("/")
     odd = value.contains("<TransferInfo") | value.contains("</ABR") | value.contains("<!--")
-    whole = (starts == 4) & opened & ~odd
+    whole = (starts == 4) & opened & ~odd & closed & reason.isNull()
     bare = F.when(value.contains("<!--"), F.regexp_replace(value, "(?s)<!--.*?-->", "")).otherwise(value)
-    pieces = F.when(F.col("whole"), F.array(F.concat(F.lit("<ABR"), after, F.lit(RECORD_END)))).otherwise(
-        F.split(bare, f"(?={_RECORD_START})")
+    pieces = (
+        F.when(F.col("whole"), F.array(F.concat(F.lit("<ABR"), after, F.lit(RECORD_END))))
+        .when(F.col("unreadable").isNotNull(), F.array(F.coalesce(value, F.lit(""))))
+        .otherwise(F.split(bare, f"(?={_RECORD_START})"))
     )
     found = chunks.where((starts > 0) | odd | reason.isNotNull()).select(
-        "source_file", "block", "seq", "value", whole.alias("whole"), reason.alias("unreadable")
+        "source_file", "block", "seq", "value", whole.alias("whole"), closed.alias("closed"), reason.alias("unreadable")
     )
-    found = found.select("source_file", "block", "seq", "whole", "unreadable", pieces.alias("pieces"))
+    found = found.select("source_file", "block", "seq", "whole", "closed", "unreadable", pieces.alias("pieces"))
     # The outer form adds no filter on the size, which would make the array twice.
     split = found.select(
-        "source_file", "block", "seq", "whole", "unreadable", F.size("pieces").alias("n"),
+        "source_file", "block", "seq", "whole", "closed", "unreadable", F.size("pieces").alias("n"),
         F.posexplode_outer("pieces").alias("pos", "piece"),
     )
-    # The reader took the end tag off the last piece of a chunk; an earlier piece must bring its own.
+    # The reader took the end tag off the last piece of a closed chunk; an earlier piece must bring its own.
     record = (
         F.when(piece.rlike(_SELF_CLOSED), F.regexp_extract(piece, _SELF_CLOSED, 1))
         .when(piece.contains("</ABR"), F.regexp_extract(piece, _CLOSED, 1))
-        .when(pos == F.col("n") - 1, F.concat(piece, F.lit(RECORD_END)))
+        .when((pos == F.col("n") - 1) & F.col("closed"), F.concat(piece, F.lit(RECORD_END)))
         .otherwise(piece)
     )
+    readable = F.col("unreadable").isNull()
     return split.select(
         *PLACE,
-        F.when(F.col("whole"), piece).when(piece.rlike(f"^{_RECORD_START}"), record).alias("xml"),
-        F.when(~F.col("whole"), _headers(piece)).alias("header_xml"),
+        F.when(F.col("whole"), piece).when(readable & piece.rlike(f"^{_RECORD_START}"), record).alias("xml"),
+        F.when(~F.col("whole") & readable, _headers(piece)).alias("header_xml"),
         "unreadable",
+        F.when(~readable, F.nullif(piece, F.lit(""))).alias("shown"),
     ).where(F.coalesce("xml", "header_xml", "unreadable").isNotNull())
 
 
@@ -114,7 +119,14 @@ def project_register(events: DataFrame) -> DataFrame:
         F.from_xml(F.concat(F.lit("<h>"), "header_xml", F.lit("</h>")), REGISTER_HEADER, _XML),
     )
     record = F.from_xml("xml", REGISTER_RECORD, _XML)
-    parsed = events.select(*PLACE, "xml", "unreadable", record.alias("rec"), head.alias("head"))
+    # Bytes that are no UTF-8 would be parsed with other characters in their place.
+    foreign = F.col("xml").isNotNull() & ~F.is_valid_utf8("xml")
+    events = events.withColumns({
+        "unreadable": F.when(foreign, "record is not utf-8").otherwise(F.col("unreadable")),
+        "shown": F.when(foreign, F.make_valid_utf8("xml")).otherwise(F.col("shown")),
+        "xml": F.when(~foreign, F.col("xml")),
+    })
+    parsed = events.select(*PLACE, "xml", "unreadable", "shown", record.alias("rec"), head.alias("head"))
     rec, xml = F.col("rec"), F.col("xml")
     abn, entity, main = _first(rec["ABN"]), _first(rec["EntityType"]), _first(rec["MainEntity"])
     asic, gst, others = _first(rec["ASICNumber"]), _first(rec["GST"]), rec["OtherEntity"]
@@ -168,7 +180,7 @@ def project_register(events: DataFrame) -> DataFrame:
         *(value.alias(name) for name, value in columns.items()),
         F.when(F.col("head").isNotNull(), F.struct(*(last_given(f).alias(f) for f in HEADER_FIELDS))).alias("header"),
         F.coalesce("unreadable", F.when(broken, F.lit("malformed xml"))).alias("reject_reason"),
-        F.when(broken, rec[CORRUPT]).alias("raw"),
+        F.coalesce("shown", F.when(broken, rec[CORRUPT])).alias("raw"),
     )
 
 

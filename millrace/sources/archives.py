@@ -1,7 +1,7 @@
 """ZIP archives of register files.
 
 A deflated member cannot be split, but members are independent: one row per member is spread over the
-cluster and each task streams its member, so neither an archive nor a member is ever held as one value.
+cluster and each task streams its member in bounded pieces, so neither an archive nor a member is ever held as one value.
 """
 
 from __future__ import annotations
@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .streams import BROKEN, RAW_CHUNK, is_packed, open_input, read_stream
+
 MEMBER = "archive string, member string, member_bytes long, reject_reason string"
-PIECE = "source_file string, block long, seq long, value string, reject_reason string"
 
 
 def _member_lister():
@@ -18,14 +19,13 @@ def _member_lister():
         import zipfile
 
         import pandas as pd
-        from pyarrow import ArrowInvalid, fs
+        from pyarrow import ArrowInvalid
 
         for frame in frames:
             out = []
             for archive in frame["archive"]:
-                store, path = fs.FileSystem.from_uri(archive)
                 try:
-                    with store.open_input_file(path) as handle, zipfile.ZipFile(handle) as opened:
+                    with open_input(archive) as handle, zipfile.ZipFile(handle) as opened:
                         out += [(archive, m.filename, m.file_size, None) for m in opened.infolist() if not m.is_dir()]
                 except (zipfile.BadZipFile, ArrowInvalid):  # too short a file to seek in is none either
                     out.append((archive, None, None, "unreadable archive"))
@@ -47,77 +47,40 @@ def list_members(spark: SparkSession, path: str) -> DataFrame:
     return archives.mapInPandas(_member_lister(), MEMBER)
 
 
-def _member_reader(separator: bytes):
+def _member_reader(pieces):
     def read(batches):
-        import gzip
         import zipfile
-        import zlib
+        from contextlib import contextmanager
 
         import pyarrow as pa
-        from pyarrow import fs
-
-        schema = pa.schema([
-            ("source_file", pa.string()), ("block", pa.int64()), ("seq", pa.int64()),
-            ("value", pa.string()), ("reject_reason", pa.string()),
-        ])
-
-        def pieces(stream):
-            rest = b""
-            while data := stream.read(1 << 20):
-                *whole, rest = (rest + data).split(separator)
-                yield from whole
-            if rest:
-                yield rest
-
-        def rows(name, first, values, reason=None):
-            n = len(values)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.repeat(pa.scalar(name, pa.string()), n), pa.repeat(pa.scalar(0, pa.int64()), n),
-                    pa.array(range(first, first + n), pa.int64()), pa.array(values, pa.string()),
-                    pa.repeat(pa.scalar(reason, pa.string()), n),
-                ],
-                schema=schema,
-            )
 
+        # RuntimeError: an encrypted member; NotImplementedError: an unknown method of compression
+        broken = (*BROKEN, zipfile.BadZipFile, pa.ArrowInvalid, RuntimeError, NotImplementedError)
         for batch in batches:
             for archive, member in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                name, seq, held, size = f"{archive}/{member}", 0, [], 0
-                store, path = fs.FileSystem.from_uri(archive)
-                try:
-                    with store.open_input_file(path) as handle, zipfile.ZipFile(handle) as opened:
-                        with opened.open(member) as stream:
-                            text = gzip.GzipFile(fileobj=stream) if member.lower().endswith(".gz") else stream
-                            for piece in pieces(text):
-                                held.append(piece.decode("utf-8", "replace"))
-                                size += len(piece)
-                                if size >= 4 << 20:
-                                    yield rows(name, seq, held)
-                                    seq, held, size = seq + len(held), [], 0
-                    if held:
-                        yield rows(name, seq, held)
-                # RuntimeError: an encrypted member; NotImplementedError: an unknown method of compression
-                except (
-                    zipfile.BadZipFile, zlib.error, EOFError, gzip.BadGzipFile, pa.ArrowInvalid, RuntimeError, NotImplementedError
-                ) as error:
-                    if held:
-                        yield rows(name, seq, held)
-                    yield rows(name, seq + len(held), [None], f"unreadable member: {type(error).__name__}")
+                @contextmanager
+                def opened(archive=archive, member=member):
+                    with open_input(archive) as handle, zipfile.ZipFile(handle) as found, found.open(member) as stream:
+                        yield stream
+
+                yield from read_stream(f"{archive}/{member}", opened, is_packed(member), pieces, "member", True, broken)
 
     return read
 
 
-def expand_members(members: DataFrame, separator: str, parallelism: int | None = None) -> DataFrame:
-    """Contents of the listed members, one row per separator-ended piece, in the order of the member."""
+def expand_members(members: DataFrame, pieces, parallelism: int | None = None) -> DataFrame:
+    """Contents of the listed members in rows (source_file, block, seq, value, closed, reject_reason), in the order of the
+    member; ``pieces`` cuts the blocks of one. A member that cannot be read to its end is one reject row."""
     spark = members.sparkSession
     spread = parallelism or 4 * spark.sparkContext.defaultParallelism
     readable = members.where(F.col("reject_reason").isNull()).select("archive", "member")
-    pieces = readable.repartition(spread, "archive", "member").mapInArrow(_member_reader(separator.encode()), PIECE)
+    found = readable.repartition(spread, "archive", "member").mapInArrow(_member_reader(pieces), RAW_CHUNK)
     broken = members.where(F.col("reject_reason").isNotNull()).select(
         F.col("archive").alias("source_file"),
         F.lit(0).cast("long").alias("block"),
         F.lit(0).cast("long").alias("seq"),
         F.lit(None).cast("string").alias("value"),
+        F.lit(False).alias("closed"),
         "reject_reason",
     )
-    return pieces.unionByName(broken)
+    return found.withColumn("value", F.col("value").cast("string")).unionByName(broken)

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checked_broadcast, stage
 from .archives import expand_members, list_members
+from .streams import as_utf8, cut, declared_encoding, is_native, list_files, open_input, read_files
 
 RECORD_END = "</ABR>"
 # Endings of register files, in any case of letters.
@@ -14,6 +19,12 @@ PLAIN_FILES, PACKED_FILES = "*.[xX][mM][lL]", "*.[gG][zZ]"
 TOGETHER = 50_000
 # Row number inside a scan task: the low 33 bits of monotonically_increasing_id.
 _ROW_BITS = (1 << 33) - 1
+_END, _START = re.compile(rb"</ABR\s*>"), re.compile(rb"<ABR[\s/>]")
+_OPENED = re.compile(rb"<ABR(?:\s[^>]*)?(?<!/)>")
+# Bytes looked at from both ends of a file, and most of all.
+_LOOK, _LOOK_MOST = 64 << 10, 16 << 20
+# Odd files named one by one in the filter of the scan; more are joined.
+_LISTED = 1000
 
 
 def is_register_file(path: Column) -> Column:
@@ -40,28 +51,90 @@ def spread(chunks: DataFrame, parallelism: int | None = None) -> DataFrame:
     return chunks.repartition(n, "source_file", "block", F.floor(F.col("seq") / TOGETHER))
 
 
-def _scan(spark: SparkSession, path: str, names: str) -> DataFrame:
+def _is_odd(path: str) -> bool:
+    """Whether a plain file needs the streaming reader: another encoding than UTF-8, record ends written loosely or not within
+    reach, or a last record that is not closed. Looks at the file's beginning and end only."""
+    with open_input(path) as file:
+        size, look = file.size(), _LOOK
+        head = file.read_at(min(size, look), 0)
+        try:
+            if not is_native(declared_encoding(head)):
+                return True
+        except LookupError:
+            return True
+        while _START.search(head) and not _END.search(head) and look < min(size, _LOOK_MOST):
+            look *= 4
+            head = file.read_at(min(size, look), 0)
+        first = _END.search(head)
+        if first is None:
+            return _START.search(head) is not None
+        look = _LOOK
+        while True:
+            tail = file.read_at(min(size, look), max(0, size - look))
+            ends = list(_END.finditer(tail))
+            if ends or look >= min(size, _LOOK_MOST):
+                break
+            look *= 4
+        if not ends or first[0] != RECORD_END.encode() or ends[-1][0] != RECORD_END.encode():
+            return True
+        return _OPENED.search(tail, ends[-1].end()) is not None
+
+
+def _odd_files(spark: SparkSession, path: str) -> DataFrame:
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            paths = [p for p in batch.column(0).to_pylist() if _is_odd(p)]
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string())], ["path"])
+
+    files = list_files(spark, path, PLAIN_FILES)
+    if "content" in files.columns:  # nothing can be looked at without reading it all: all are taken as they should be
+        return files.select("path").limit(0)
+    n = 4 * spark.sparkContext.defaultParallelism
+    return stage(files.repartition(n, "path").mapInArrow(run, "path string"), "odd_files")
+
+
+def record_chunks(found: Iterable[bytes]) -> Iterator[tuple[bytes, bool, bool]]:
+    """Text of one file between record end tags, as UTF-8."""
+    return cut(as_utf8(found), _END, _START)
+
+
+def _scan(spark: SparkSession, path: str, odd: DataFrame) -> DataFrame:
     text = spark.read.option("lineSep", RECORD_END).option("recursiveFileLookup", True)
-    return text.option("pathGlobFilter", names).text(path).select(
+    text = text.option("pathGlobFilter", PLAIN_FILES).text(path)
+    names = [row.path for row in odd.limit(_LISTED + 1).collect()]
+    if len(names) > _LISTED:
+        text = text.join(checked_broadcast(odd), F.col("_metadata.file_path") == F.col("path"), "left_anti")
+    elif names:  # on the path alone: the files are not opened
+        text = text.where(~F.col("_metadata.file_path").isin(names))
+    return text.select(
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("seq"),
         "value",
+        F.lit(True).alias("closed"),
+        F.lit(None).cast("string").alias("reject_reason"),
     )
 
 
 def read_register_chunks(spark: SparkSession, path: str, parallelism: int | None = None) -> DataFrame:
-    """Text between record end tags with its place: (source_file, block, seq, value).
+    """Text between record end tags with its place: (source_file, block, seq, value, closed, reject_reason).
 
-    Plain files are split by size like any text file, so one huge file is read by many tasks. A gzipped file
-    cannot be split; its chunks are spread after reading. (block, seq) orders the chunks as in the document.
+    Plain files are split by size like any text file, so one huge file is read by many tasks; ``closed`` says that the end tag
+    was there. Gzipped files, and plain ones in other encodings, with loose end tags or cut off in a record, are streamed by a
+    task each and their chunks spread after reading. (block, seq) orders the chunks as in the document. A packed file that is
+    damaged, or an encoding nobody knows, is one row with a reject reason.
     """
-    packed = spread(_scan(spark, path, PACKED_FILES), parallelism)
-    return _scan(spark, path, PLAIN_FILES).unionByName(packed)
+    odd = _odd_files(spark, path)
+    streamed = read_files(list_files(spark, path, PACKED_FILES), record_chunks, parallelism)
+    if not odd.isEmpty():
+        streamed = streamed.unionByName(read_files(odd, record_chunks, parallelism))
+    return _scan(spark, path, odd).unionByName(spread(streamed, parallelism))
 
 
 def read_archived_register_chunks(spark: SparkSession, path: str, parallelism: int | None = None) -> DataFrame:
     """The same rows straight from ZIP archives; unreadable archives and members have a reject reason."""
     members = list_members(spark, path)
     wanted = members.where(F.col("member").isNull() | is_register_file(F.col("member")))
-    return spread(expand_members(wanted, RECORD_END, parallelism), parallelism)
+    return spread(expand_members(wanted, record_chunks, parallelism), parallelism)

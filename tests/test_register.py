@@ -1,6 +1,8 @@
 """Register XML: splitting, awkward documents, headers, loads."""
 
 import gzip
+import random
+import re
 import zipfile
 
 import pytest
@@ -11,6 +13,7 @@ from millrace.operators.register import (
 )
 from millrace.plans.register_load import load_register, parse, read_register, read_register_rejects
 from millrace.session import stage
+from millrace.sources import streams
 from millrace.sources.register import (
     discover_register_files, read_archived_register_chunks, read_register_chunks,
 )
@@ -185,3 +188,95 @@ def test_staged_and_lazy_agree(spark, long_file):
     lazy = project_register(register_events(read_register_chunks(spark, str(long_file))))
     columns = [c for c in flatten_register(lazy).columns if c != "source_file"]
     assert flatten_register(lazy).select(columns).exceptAll(flatten_register(stage(lazy, "x")).select(columns)).count() == 0
+
+
+def test_damaged_packed_files_are_one_reject_each(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    whole = gzip.compress(f"<T>{header()}{''.join(f'<ABR><ABN>{i}</ABN><x>{i * 7919}</x></ABR>' for i in range(3000))}</T>".encode())
+    (source / "good.xml.gz").write_bytes(whole)
+    (source / "twice.xml.gz").write_bytes(gzip.compress(b"<T><ABR><ABN>a</ABN></ABR>") + gzip.compress(b"<ABR><ABN>b</ABN></ABR></T>"))
+    (source / "cut.xml.gz").write_bytes(whole[:-2000])
+    (source / "flipped.xml.gz").write_bytes(whole[:5000] + bytes([whole[5000] ^ 255]) + whole[5001:])
+    (source / "junk.gz").write_bytes(b"no gzip at all")
+    (source / "nothing.gz").write_bytes(gzip.compress(b""))
+    load_register(spark, str(source), target)
+    assert {r.abn for r in read_register(spark, target).collect()} == {*map(str, range(3000)), "a", "b"}
+    rejects = sorted((r.source_file.rsplit("/", 1)[1], r.reject_reason) for r in read_register_rejects(spark, target).collect())
+    assert [r[0] for r in rejects] == ["cut.xml.gz", "flipped.xml.gz", "junk.gz", "nothing.gz"]
+    assert rejects[0][1] == "unreadable file: EOFError" and rejects[2][1] == "unreadable file: BadGzipFile"
+    assert rejects[1][1].startswith("unreadable file: ") and rejects[3][1] == "no records"
+
+
+@pytest.mark.parametrize("packed", [False, True])
+@pytest.mark.parametrize("encoding", ["ISO-8859-1", "windows-1252", "UTF-16", "UTF-8", "us-ascii", "utf-8-sig"])
+def test_declared_encodings(spark, tmp_path, encoding, packed):
+    name_ = "Café & Söhne" if encoding != "us-ascii" else "Cafe"
+    said = "UTF-8" if encoding == "utf-8-sig" else encoding
+    text = f"<?xml version='1.0' encoding='{said}'?><T><ABR><ABN>1</ABN><MainEntity>{name(name_.replace('&', '&amp;'))}</MainEntity></ABR></T>"
+    data = text.encode(encoding)
+    (tmp_path / ("a.xml.gz" if packed else "a.xml")).write_bytes(gzip.compress(data) if packed else data)
+    assert flatten(spark, tmp_path)["1"].mainentity_name_text == name_
+
+
+def test_bytes_that_are_not_what_they_are_said_to_be(spark, tmp_path):
+    (tmp_path / "a.xml").write_bytes(b"<T><ABR><ABN>1</ABN></ABR><ABR><ABN>2</ABN><x>Caf\xe9</x></ABR></T>")
+    (tmp_path / "b.xml").write_text("<?xml version='1.0' encoding='klingon'?><T><ABR><ABN>3</ABN></ABR></T>")
+    rows = flatten_register(parse(read_register_chunks(spark, str(tmp_path)))).collect()
+    assert [r.abn for r in rows if r.reject_reason is None] == ["1"]
+    assert sorted(r.reject_reason for r in rows if r.reject_reason) == ["record is not utf-8", "unreadable file: unknown encoding: klingon"]
+
+
+def test_files_cut_off_in_a_record(spark, tmp_path):
+    records = "".join(f"<ABR><ABN>{i}</ABN><x/></ABR>" for i in range(3))
+    (tmp_path / "between.xml").write_text(f"<T>{records}<ABR><ABN>3</ABN>")
+    (tmp_path / "inside.xml").write_text(f"<T>{records}<ABR><ABN>4</")
+    (tmp_path / "after.xml").write_text(f"<T>{records}")
+    (tmp_path / "bare.xml").write_text(f"<T>{records}<ABR/><ABR a='1'/>\n</T>")
+    (tmp_path / "packed.xml.gz").write_bytes(gzip.compress(f"<T>{records}<ABR><ABN>5</ABN>\n".encode()))
+    rows = flatten_register(parse(read_register_chunks(spark, str(tmp_path)))).collect()
+    kinds = {}
+    for r in rows:
+        kinds.setdefault(r.source_file.rsplit("/", 1)[1], []).append(r.reject_reason or "good")
+    cut_off = ["good"] * 3 + ["malformed xml"]
+    assert {k: sorted(v) for k, v in kinds.items()} == {
+        "between.xml": cut_off, "inside.xml": cut_off, "packed.xml.gz": cut_off, "after.xml": ["good"] * 3, "bare.xml": ["good"] * 5,
+    }
+
+
+def test_loosely_closed_files_are_read_in_pieces(spark, tmp_path, monkeypatch):
+    records = "\n".join(f"<ABR><ABN>{i}</ABN>{'y' * 300}</ABR{' ' * (i % 3 + 1)}>" for i in range(2000))
+    (tmp_path / "loose.xml").write_text(f"<T>{records}</T>")
+    chunks = read_register_chunks(spark, str(tmp_path))
+    assert chunks.agg(F.max(F.length("value"))).first()[0] < 400
+    rows = flatten_register(parse(chunks))
+    assert rows.where("reject_reason is null").select("abn").distinct().count() == rows.count() == 2000
+
+
+def test_pieces_have_a_bound():
+    start, end = re.compile(rb"<R[\s/>]"), re.compile(rb"</R\s*>")
+    text = b"<R>" + b"a" * 500 + b"</R><R>ok</R><R>" + b"b" * 100 + b"<R>c</R><R>d</R >e"
+    for k in (1, 7, 50, 1000):
+        found = list(streams.cut((text[i : i + k] for i in range(0, len(text), k)), end, start, longest=60))
+        assert [(p, closed) for p, closed, fits in found if fits] == [
+            (b"<R>ok", True), (b"<R>c", True), (b"<R>d", True), (b"e", False)
+        ]
+        assert [p[:5] for p, _, fits in found if not fits] == [b"<R>aa", b"<R>bb"]
+    parts = [b"</R>", b"</R  >", b"<R>", b"abc", b"x", b"</RX>", b"<R a>"]
+    draw = random.Random(2)
+    for _ in range(500):
+        text, k = b"".join(draw.choices(parts, k=draw.randrange(20))), draw.randrange(1, 9)
+        whole = end.split(text)
+        want = [(p, True, True) for p in whole[:-1]] + [(p, False, True) for p in whole[-1:] if p]
+        assert list(streams.cut((text[i : i + k] for i in range(0, len(text), k)), end, start)) == want
+
+
+def test_member_without_an_end_is_one_reject(spark, tmp_path, monkeypatch):
+    with zipfile.ZipFile(tmp_path / "one.zip", "w", zipfile.ZIP_DEFLATED) as out:
+        out.writestr("flat.xml", "<T><ABR>" + "z" * (streams.LONGEST + (2 << 20)))
+        out.writestr("good.xml", f"<T>{header()}<ABR><ABN>1</ABN></ABR></T>")
+    target = str(tmp_path / "out")
+    load_register(spark, str(tmp_path), target, archived=True)
+    assert [r.abn for r in read_register(spark, target).collect()] == ["1"]
+    rejects = read_register_rejects(spark, target).collect()
+    assert [(r.source_file.rsplit("/", 1)[1], r.reject_reason, len(r.raw)) for r in rejects] == [("flat.xml", "record too long", 1000)]
