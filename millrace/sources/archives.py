@@ -82,5 +82,6 @@ def expand_members(members: DataFrame, pieces, parallelism: int | None = None) -
         F.lit(None).cast("string").alias("value"),
         F.lit(False).alias("closed"),
         "reject_reason",
+        F.lit(None).cast("timestamp").alias("landed_at"),
     )
     return found.withColumn("value", F.col("value").cast("string")).unionByName(broken)

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from ..session import checked_broadcast, stage
 from .archives import expand_members, list_members
-from .streams import as_utf8, cut, declared_encoding, is_native, list_files, open_input, read_files
+from .streams import PACKED_FILES, as_utf8, cut, declared_encoding, is_native, list_files, open_input, read_files
 
 RECORD_END = "</ABR>"
-# Endings of register files, in any case of letters.
-PLAIN_FILES, PACKED_FILES = "*.[xX][mM][lL]", "*.[gG][zZ]"
+# Fixed value: ending of plain register files, in any case of letters.
+PLAIN_FILES = "*.[xX][mM][lL]"
 # Chunks of one packed file that stay together when it is spread, about 50 MB of text.
 TOGETHER = 50_000
 # Row number inside a scan task: the low 33 bits of monotonically_increasing_id.
@@ -85,14 +85,13 @@ def _odd_files(spark: SparkSession, path: str) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            paths = [p for p in batch.column(0).to_pylist() if _is_odd(p)]
-            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string())], ["path"])
+            yield batch.filter(pa.array([_is_odd(p) for p in batch.column(0).to_pylist()], pa.bool_()))
 
     files = list_files(spark, path, PLAIN_FILES)
     if "content" in files.columns:  # nothing can be looked at without reading it all: all are taken as they should be
-        return files.select("path").limit(0)
+        return files.drop("content").limit(0)
     n = 4 * spark.sparkContext.defaultParallelism
-    return stage(files.repartition(n, "path").mapInArrow(run, "path string"), "odd_files")
+    return stage(files.repartition(n, "path").mapInArrow(run, files.schema), "odd_files")
 
 
 def record_chunks(found: Iterable[bytes]) -> Iterator[tuple[bytes, bool, bool]]:
@@ -115,6 +114,7 @@ def _scan(spark: SparkSession, path: str, odd: DataFrame) -> DataFrame:
         "value",
         F.lit(True).alias("closed"),
         F.lit(None).cast("string").alias("reject_reason"),
+        F.col("_metadata.file_modification_time").alias("landed_at"),
     )
 
 

@@ -25,7 +25,7 @@ _OVERLAP = 256
 # Bytes of a piece that is too long which the reject row shows.
 _SHOWN = 1000
 
-CHUNK = "source_file string, block long, seq long, value string, closed boolean, reject_reason string"
+CHUNK = "source_file string, block long, seq long, value string, closed boolean, reject_reason string, landed_at timestamp"
 # What says that packed bytes are not whole. Other errors of a store end the task, which Spark tries again.
 BROKEN = (gzip.BadGzipFile, EOFError, zlib.error)
 
@@ -135,7 +135,9 @@ def cut(
         yield bytes(held), False, True
 
 
-def piece_batches(name: str, pieces: Iterable[tuple[bytes, bool, bool]], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def piece_batches(
+    name: str, pieces: Iterable[tuple[bytes, bool, bool]], landed_at=None, most: int = 4 << 20
+) -> Iterator[pa.RecordBatch]:
     """Rows of ``CHUNK``, a few MB at a time. Values are bytes as they are: Spark says whether they are UTF-8."""
     held, size, seq = [], 0, 0
 
@@ -145,7 +147,7 @@ def piece_batches(name: str, pieces: Iterable[tuple[bytes, bool, bool]], most: i
         return pa.RecordBatch.from_arrays([
             pa.array([name] * n, pa.string()), pa.array([0] * n, pa.int64()), pa.array(range(seq, seq + n), pa.int64()), text,
             pa.array([p[1] for p in held], pa.bool_()),
-            pa.array([None if p[2] else "record too long" for p in held], pa.string()),
+            pa.array([None if p[2] else "record too long" for p in held], pa.string()), pa.array([landed_at] * n, _TIME),
         ], schema=_ARROW)
 
     for piece in pieces:
@@ -158,22 +160,23 @@ def piece_batches(name: str, pieces: Iterable[tuple[bytes, bool, bool]], most: i
         yield rows()
 
 
-def refused(name: str, reason: str) -> pa.RecordBatch:
+def refused(name: str, reason: str, landed_at=None) -> pa.RecordBatch:
     """The one row of a file that cannot be read."""
-    values = [[name], [0], [0], [None], [False], [reason]]
+    values = [[name], [0], [0], [None], [False], [reason], [landed_at]]
     return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, _ARROW)], schema=_ARROW)
 
 
+_TIME = pa.timestamp("us", "UTC")
 _ARROW = pa.schema([
     ("source_file", pa.string()), ("block", pa.int64()), ("seq", pa.int64()), ("value", pa.binary()), ("closed", pa.bool_()),
-    ("reject_reason", pa.string()),
+    ("reject_reason", pa.string()), ("landed_at", _TIME),
 ])
 RAW_CHUNK = CHUNK.replace("value string", "value binary")
 
 
 def read_stream(
     name: str, opened: Callable, packed: bool, pieces: Callable[[Iterable[bytes]], Iterable], what: str = "file",
-    verify: bool = False, broken: tuple = BROKEN,
+    verify: bool = False, broken: tuple = BROKEN, landed_at=None,
 ) -> Iterator[pa.RecordBatch]:
     """Rows of one file, or one reject row. ``opened()`` gives the stream; it is read through beforehand where it is packed or
     ``verify`` is set. ``what`` names its kind in a reject reason."""
@@ -183,36 +186,49 @@ def read_stream(
                 for _ in blocks(stream, packed):
                     pass
         with opened() as stream:
-            yield from piece_batches(name, pieces(blocks(stream, packed)))
+            yield from piece_batches(name, pieces(blocks(stream, packed)), landed_at)
     except broken as error:
-        yield refused(name, f"unreadable {what}: {type(error).__name__}")
+        yield refused(name, f"unreadable {what}: {type(error).__name__}", landed_at)
     except LookupError as error:
-        yield refused(name, f"unreadable {what}: {error}")
+        yield refused(name, f"unreadable {what}: {error}", landed_at)
 
 
 def is_packed(path: str) -> bool:
     return path.lower().endswith(".gz")
 
 
+# Fixed value: columns of Spark's reader of whole files, which a stream must be told.
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
+# Fixed value: names of packed files.
+PACKED_FILES = "*.[gG][zZ]"
+
+
+def listed(files: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+    """Path and time of whole files and, in a store that the tasks cannot open by themselves, their bytes."""
+    scheme = path.partition("://")[0] if "://" in path else spark.conf.get("spark.hadoop.fs.defaultFS", "file:///").split(":")[0]
+    return files.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("landed_at"),
+        *([] if scheme in _OPENED else ["content"]),
+    )
+
+
 def list_files(spark: SparkSession, path: str, names: str | None = None) -> DataFrame:
-    """Files below ``path``: their path and, in a store that the tasks cannot open by themselves, their bytes."""
+    """The files below ``path``, all sub-folders included; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    files = (files.option("pathGlobFilter", names) if names else files).load(path)
-    scheme = path.partition("://")[0] if "://" in path else spark.conf.get("spark.hadoop.fs.defaultFS", "file:///").split(":")[0]
-    return files.select(F.col("_metadata.file_path").alias("path"), *([] if scheme in _OPENED else ["content"]))
+    return listed((files.option("pathGlobFilter", names) if names else files).load(path), spark, path)
 
 
 def read_files(files: DataFrame, pieces: Callable[[Iterable[bytes]], Iterable], parallelism: int | None = None) -> DataFrame:
-    """Pieces of the listed files, each streamed by one task: (source_file, block, seq, value, closed, reject_reason)."""
+    """Pieces of the listed files, each streamed by one task, in rows of ``CHUNK``."""
 
     def run(batches):
         for batch in batches:
-            given = batch.column(1) if batch.num_columns > 1 else [None] * batch.num_rows
-            for path, content in zip(batch.column(0).to_pylist(), given):
+            given = batch.column(2) if batch.num_columns > 2 else [None] * batch.num_rows
+            for path, landed_at, content in zip(batch.column(0).to_pylist(), batch.column(1), given):
                 def opened(path=path, content=content):
                     return open_input(path) if content is None else io.BytesIO(content.as_buffer())
 
-                yield from read_stream(path, opened, is_packed(path), pieces)
+                yield from read_stream(path, opened, is_packed(path), pieces, landed_at=landed_at)
 
     n = parallelism or 4 * files.sparkSession.sparkContext.defaultParallelism
     found = files.repartition(n, "path").mapInArrow(run, RAW_CHUNK)

@@ -260,3 +260,27 @@ def test_append_keeps_duplicates(spark):
     assert sorted(append_all(a, b, b).collect(), key=str) == sorted(
         append_all(a, b).collect() + spark.createDataFrame([(1, None), (1, None)], "i int, s string").collect(), key=str
     )
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_damaged_packed_pages_are_one_reject_each(spark, tmp_path, streamed):
+    landing, target = tmp_path / "in", str(tmp_path / "out")
+    write_page(landing, "S", 0, [line(1), line(2)])
+    text = "\n".join(["", line(3), '{"cut', line(4, status=200), " "]).encode()
+    (landing / "S-1.jsonl.gz").write_bytes(gzip.compress(text))
+    (landing / "S-2.jsonl.GZ").write_bytes(gzip.compress(text)[:-9])
+    (landing / "S-3.json.gz").write_bytes(b"junk")
+    (landing / "S-4.json.gz").write_bytes(gzip.compress(b""))
+    if streamed:
+        for _ in range(2):
+            page_stream.land_pages(spark, str(landing), target, 1).awaitTermination()
+        rows = page_stream.landed_pages(spark, target).collect()
+    else:
+        rows = read_index_pages(spark, str(landing)).collect()
+    found = sorted((r.page, r.reject_reason or "good", r.url or "") for r in rows)
+    assert found == [
+        (0, "good", "https://a.au/1"), (0, "good", "https://a.au/2"), (1, "good", "https://a.au/3"), (1, "good", "https://a.au/4"),
+        (1, "malformed json", ""), (2, "unreadable file: EOFError", ""), (3, "unreadable file: BadGzipFile", ""),
+    ]
+    assert {r.raw for r in rows if r.reject_reason == "malformed json"} == {'{"cut'}
+    assert all(r.landed_at is not None and r.source_path.startswith("file:") for r in rows)
