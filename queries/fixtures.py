@@ -37,10 +37,12 @@ def _file_writer(root: str):
         import pandas as pd
         from pyarrow import fs
 
-        name = frame["file"].iloc[0]
-        text = "\n".join(frame.sort_values("ord")["value"]).encode()
+        name, encoding, spoiled = frame["file"].iloc[0], frame["encoding"].iloc[0], frame["spoiled"].iloc[0]
+        text = "\n".join(frame.sort_values("ord")["value"]).encode(encoding)
         if name.lower().endswith(".gz"):
             text = gzip.compress(text, mtime=0)
+        if spoiled:
+            text = text[:-5]
         store, folder = fs.FileSystem.from_uri(root)
         with store.open_output_stream(f"{folder}/{name}", compression=None) as stream:
             stream.write(text)
@@ -60,8 +62,11 @@ def make_folder(path: str) -> str:
 
 
 def write_files(lines: DataFrame, path: str) -> None:
-    """One file per value of ``file``, its lines (value) in order of ``ord``. Files have a fixed number of lines."""
-    lines.select("file", "ord", "value").groupBy("file").applyInPandas(_file_writer(make_folder(path)), "file string").count()
+    """One file per value of ``file``, its lines (value) in order of ``ord``. Files have a fixed number of lines. Optional
+    columns say in which encoding a file is written and whether its end is cut off."""
+    given = {"encoding": F.lit("utf-8"), "spoiled": F.lit(False)}
+    lines = lines.withColumns({c: v for c, v in given.items() if c not in lines.columns})
+    lines.select("file", "ord", "value", *given).groupBy("file").applyInPandas(_file_writer(make_folder(path)), "file string").count()
 
 
 # --- index lines -----------------------------------------------------------------------------------------------
@@ -198,6 +203,20 @@ def _write_pages(lines: DataFrame, path: str, faulty: bool, run: int = 1) -> Non
     write_files(lines.select(name.alias("file"), k.alias("ord"), text.alias("value")), f"{path}/run={run}")
 
 
+def packed_pages(spark: SparkSession, folder: str) -> str:
+    """Gzipped pages; of every fifth the end is missing."""
+
+    def build(path: str) -> None:
+        lines = index_lines(spark, folder)
+        names = [c for c in lines.columns if c not in ("k", "segment", "page")]
+        name = F.format_string("%s-%d.jsonl.gz", "segment", "page")
+        text = F.to_json(F.struct(*(F.col(f"`{c}`") for c in names)))
+        rows = lines.select(name.alias("file"), F.col("k").alias("ord"), text.alias("value"), (F.col("page") % 5 == 2).alias("spoiled"))
+        write_files(rows, path)
+
+    return once(spark, folder, "packed_pages", build)
+
+
 def index_pages(spark: SparkSession, folder: str) -> str:
     return once(spark, folder, "pages", lambda p: _write_pages(index_lines(spark, folder), p, False))
 
@@ -338,7 +357,10 @@ def register_text(spark: SparkSession, folder: str, faulty: bool = False) -> Dat
         "grp", (first + 2047.5).alias("ord"),
         F.lit("<TransferInfo><ExtractTime>2025-02-02T00:00:00.25</ExtractTime></TransferInfo>").alias("value"),
     )
-    end = files.select("grp", (first + RECORDS_PER_FILE).alias("ord"), F.lit("</Transfer>").alias("value"))
+    last = F.lit("</Transfer>")
+    if faulty:  # the file breaks off between two elements of a record
+        last = F.when(grp % 4 == 1, F.format_string("<ABR><ABN> 99%d </ABN>", "grp")).otherwise(last)
+    end = files.select("grp", (first + RECORDS_PER_FILE).alias("ord"), last.alias("value"))
     return head.unionByName(records).unionByName(second).unionByName(end)
 
 
@@ -357,6 +379,29 @@ def register_gz(spark: SparkSession, folder: str) -> str:
     return once(spark, folder, "register_gz", lambda p: _write_register(register_text(spark, folder), p, ".xml.gz", ".GZ"))
 
 
+def odd_register(spark: SparkSession, folder: str) -> str:
+    """Files in another encoding (grp % 4 = 1), with loosely written end tags (2), others as usual; each record has a note."""
+
+    def build(path: str) -> None:
+        kind, value = F.col("grp") % 4, F.col("value")
+        note = F.concat(F.lit("<Note>Café Ñ "), F.col("ord").cast("long").cast("string"), F.lit("</Note></ABR"))
+        value = F.replace(value, F.lit('version="1.0"?'), F.when(kind == 1, 'version="1.0" encoding="ISO-8859-1"?').otherwise('version="1.0"?'))
+        value = F.replace(value, F.lit("</ABR"), note)
+        value = F.when(kind == 2, F.replace(value, F.lit("</ABR>"), F.lit("</ABR\n >"))).otherwise(value)
+        text = register_text(spark, folder).withColumns({
+            "value": value, "encoding": F.when(kind == 1, "iso-8859-1").otherwise("utf-8"),
+        })
+        _write_register(text, path, ".xml", ".XML")
+
+    return once(spark, folder, "odd_register", build)
+
+
+def spoiled_register(spark: SparkSession, folder: str) -> str:
+    """Gzipped files; of every third the end is missing."""
+    return once(spark, folder, "spoiled_register", lambda p: _write_register(
+        register_text(spark, folder).withColumn("spoiled", F.col("grp") % 3 == 1), p, ".xml.gz"))
+
+
 def faulty_register(spark: SparkSession, folder: str) -> str:
     return once(spark, folder, "faulty_register", lambda p: _write_register(register_text(spark, folder, True), p, ".xml"))
 

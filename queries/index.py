@@ -16,6 +16,7 @@ from millrace.operators.records import (
 )
 from millrace.operators.upsert import unprocessed
 from millrace.plans.index_flatten import flatten_blobs_once, flatten_pages, page_records
+from millrace.plans.register_load import load_register, read_register_rejects
 from millrace.schemas import PAGE_KEYS
 from millrace.session import scratch_path
 from millrace.sinks.blobs import pack_blobs
@@ -120,11 +121,21 @@ def json_rejects(spark, folder):
     )
 
 
+def packed_page_scan(spark, folder):
+    """Gzipped pages, some damaged: the good ones load."""
+    lines = read_index_pages(spark, fx.packed_pages(spark, folder))
+    return good(lines).select("segment", "page", *_keys())
+
+
 def file_rejects(spark, folder):
-    """Unreadable blobs beside rows whose numbers cannot be kept."""
+    """Unreadable blobs, gzipped pages and register files beside rows whose numbers cannot be kept."""
     blobs = rejects(clean_index_lines(decode_blobs(parquet_blobs(_raw_pages(spark, folder)))))
     rows = rejects(clean_index_lines(_faulty(spark, folder))).where("raw is null")
-    return append_all(blobs, rows).groupBy("source_file", "reject_reason").agg(F.count("*").alias("n"))
+    pages = rejects(clean_index_lines(read_index_pages(spark, fx.packed_pages(spark, folder))))
+    target = scratch_path(spark, "spoiled_register_table")
+    load_register(spark, fx.spoiled_register(spark, folder), target)
+    files = read_register_rejects(spark, target).withColumn("source_file", F.substring_index("source_file", "/", -1))
+    return append_all(blobs, rows, pages, files).groupBy("source_file", "reject_reason").agg(F.count("*").alias("n"))
 
 
 # --- scalar functions ------------------------------------------------------------------------------------------
@@ -348,6 +359,7 @@ def append_union(spark, folder):
 QUERIES = {
     "domain_status": domain_status,
     "index_page_scan": index_page_scan,
+    "packed_page_scan": packed_page_scan,
     "conform_schema": conform_schema,
     "lineage_columns": lineage_columns,
     "index_records": index_records_query,
@@ -401,6 +413,7 @@ ORACLE = {
         SELECT "domain", CAST(status AS BIGINT) AS status, count(*) AS captures, CAST(sum(length) AS BIGINT) AS bytes
         FROM flat GROUP BY ALL""",
     "index_page_scan": f"WITH {fx.INDEX_SQL} SELECT segment, page, {_RAW_SQL} FROM idx",
+    "packed_page_scan": f"WITH {fx.INDEX_SQL} SELECT segment, page, {_RAW_SQL} FROM idx WHERE page % 5 <> 2",
     "conform_schema": f"""WITH {fx.INDEX_SQL}
         SELECT urlkey, "timestamp", CASE k % 5 WHEN 1 THEN '404.0' WHEN 0 THEN NULL ELSE '200.0' END AS status, url,
                filename, length, mime, "offset", CAST(NULL AS VARCHAR) AS digest FROM idx""",
@@ -426,14 +439,18 @@ ORACLE = {
         SELECT segment || '-' || page || '.parquet.gz' AS source_file, 'malformed json' AS reject_reason, count(*) AS n,
                CAST(40 AS BIGINT) AS raw_length
         FROM idx WHERE k % 101 = 7 GROUP BY ALL""",
-    "file_rejects": f"""WITH {_BLOB_SQL}
+    "file_rejects": f"""WITH {_BLOB_SQL}, {fx.ENTITY_SQL}
         SELECT file_name AS source_file,
                'unreadable blob: ' || CASE WHEN page % 2 = 0 THEN 'BadGzipFile' ELSE 'ArrowInvalid' END AS reject_reason,
                CAST(1 AS BIGINT) AS n
         FROM blob WHERE page % 7 = 5
         UNION ALL
         SELECT segment || '-' || page || '.parquet.gz', 'length is no integer', count(*)
-        FROM idx WHERE k % 103 = 5 AND k % 101 <> 7 GROUP BY ALL""",
+        FROM idx WHERE k % 103 = 5 AND k % 101 <> 7 GROUP BY ALL
+        UNION ALL
+        SELECT DISTINCT segment || '-' || page || '.parquet.gz', 'unreadable file: EOFError', 1 FROM idx WHERE page % 5 = 2
+        UNION ALL
+        SELECT DISTINCT 'register-' || grp || '.xml.gz', 'unreadable file: EOFError', 1 FROM ent WHERE grp % 3 = 1""",
     "page_file_name": f"WITH {fx.INDEX_SQL} SELECT k, segment || '-' || page || '.parquet.gz' AS file_name FROM idx",
     "crawl_timestamp": f"WITH {fx.CLEAN_SQL} SELECT k, {_STAMP_SQL.format('crawl_timestamp')} FROM clean",
     "numeric_coerce": f"""WITH {fx.CLEAN_SQL}

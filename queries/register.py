@@ -52,8 +52,13 @@ def xml_discover(spark, folder):
 
 
 def register_scan(spark, folder):
-    events = register_events(_chunks(spark, folder)).where(F.col("xml").isNotNull())
-    return events.select(_group(), F.regexp_extract("xml", r"<ABN[^>]*>\s*([0-9]+)\s*</ABN>", 1).alias("abn"))
+    """Records of usual files, of some in another encoding and of some with loosely written end tags."""
+    chunks = read_register_chunks(spark, fx.odd_register(spark, folder))
+    events = register_events(chunks).where(F.col("xml").isNotNull())
+    return events.select(
+        _group(), F.regexp_extract("xml", r"<ABN[^>]*>\s*([0-9]+)\s*</ABN>", 1).alias("abn"),
+        F.regexp_extract("xml", "<Note>([^<]*)</Note>", 1).alias("note"),
+    )
 
 
 def register_header(spark, folder):
@@ -208,7 +213,7 @@ ORACLE = {
     "xml_discover": f"""WITH {fx.ENTITY_SQL}
         SELECT DISTINCT kind, grp, true AS filled FROM (SELECT grp FROM ent), (VALUES ('plain'), ('packed')) AS kinds(kind)
         WHERE grp % 3 <> 2""",
-    "register_scan": f"WITH {fx.REGISTER_SQL} SELECT grp, abn FROM reg",
+    "register_scan": f"WITH {fx.REGISTER_SQL} SELECT grp, abn, 'Café Ñ ' || k AS note FROM reg",
     "register_header": f"""WITH {fx.ENTITY_SQL},
         files AS (SELECT DISTINCT grp FROM ent)
         SELECT grp, grp + 1 AS file_sequence_number, CASE WHEN grp % 3 = 1 THEN NULL ELSE CAST(4096 AS BIGINT) END AS record_count,
@@ -223,7 +228,8 @@ ORACLE = {
         SELECT abn, mainentity_name_type, mainentity_name_text, businessaddress_state, businessaddress_postcode FROM reg""",
     "other_entities": f"WITH {fx.REGISTER_SQL} SELECT abn, other_entities FROM reg",
     "xml_rejects": f"""WITH {fx.REGISTER_SQL}
-        SELECT grp, abn AS key, 'malformed xml' AS reject_reason FROM reg WHERE k % 97 = 5""",
+        SELECT grp, abn AS key, 'malformed xml' AS reject_reason FROM reg WHERE k % 97 = 5
+        UNION ALL SELECT DISTINCT grp, '99' || grp, 'malformed xml' FROM reg WHERE grp % 4 = 1""",
     "header_rejects": """SELECT 'supplier-' || s_suppkey AS source_file, 'FileSequenceNumber is no integer' AS reject_reason,
         'x' || s_suppkey AS raw FROM supplier WHERE s_suppkey % 3 = 0""",
     "register_append": f"WITH {fx.REGISTER_SQL} SELECT {_COLUMNS_SQL} FROM reg",
