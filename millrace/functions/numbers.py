@@ -3,6 +3,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .rare import rarely
+
 _NUMBER = r"^\s*([+-]?)(?:([0-9]+)\.?([0-9]*)|\.([0-9]+))(?:[eE]([+-]?[0-9]+))?\s*\z"
 _INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*\z"
 # Digits of the largest 64-bit integer.
@@ -25,12 +27,22 @@ def _whole(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER), F.when(significant == "", F.lit(0).cast("bigint")).when(fits, value.try_cast("bigint")))
 
 
+def judge_number(text: Column) -> tuple[Column, Column]:
+    """Value of a text that is no plain integer, and whether it is a number that no 64-bit integer holds."""
+    return _whole(text), text.rlike(_INFINITE) | (text.rlike(_NUMBER) & _whole(text).isNull())
+
+
+def is_plain(text: Column) -> Column:
+    """Whether a plain cast says all of a number: true for NULL as well."""
+    return text.isNull() | text.try_cast("bigint").isNotNull()
+
+
 def to_bigint(text: Column) -> Column:
     """Lenient 64-bit integer: ``' 200 '``, ``'200.0'`` and ``'1e3'`` count, anything else is NULL."""
-    return F.coalesce(text.try_cast("bigint"), _whole(text))
+    plain = text.try_cast("bigint")
+    return F.coalesce(plain, F.when(text.isNotNull(), rarely(text, _whole)))
 
 
 def is_unusable_number(text: Column) -> Column:
     """True for text that is a number but no 64-bit integer: a fraction, infinity, or out of range."""
-    odd = F.when(text.rlike(_INFINITE), True).otherwise(text.rlike(_NUMBER) & _whole(text).isNull())
-    return F.when(text.isNotNull() & text.try_cast("bigint").isNull(), odd).otherwise(False)
+    return F.when(is_plain(text), False).otherwise(rarely(text, lambda t: judge_number(t)[1]))

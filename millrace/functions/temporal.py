@@ -9,48 +9,79 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .rare import rarely
 from .text import empty_to_null, strip
 
-# Accepted shapes, and what they are rewritten to. Years are those a nanosecond clock can
-# hold in full, 1678 to 2261.
+# Accepted shapes. Years are those a nanosecond clock can hold in full, 1678 to 2261.
 _YEAR = r"(1(?:6(?:7[89]|[89][0-9])|[7-9][0-9]{2})|2(?:[01][0-9]{2}|2(?:[0-5][0-9]|6[01])))"
 _FULL_DIGITS = rf"^{_YEAR}[0-9]{{10,}}\z"
 _SOME_DIGITS = rf"^{_YEAR}(?:[0-9]{{4}}|[0-9]{{8}}|[0-9]{{10,}})?\z"
 _SPLIT_DIGITS = (r"^([0-9]{4})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})[0-9]*\z", "$1-$2-$3 $4:$5:$6")
 _UNGIVEN_DIGITS = "00000101000000"
 _EIGHT_DIGITS = (r"^([0-9]{4})([0-9]{2})([0-9]{2})\z", "$1-$2-$3")
-_SLASHED = rf"^([0-9]{{1,2}})/([0-9]{{1,2}})/{_YEAR}\z"
-_DATE_TIME = (
-    rf"^({_YEAR}([-/.])[0-9]{{1,2}}\3[0-9]{{1,2}})"
-    r"(?:([T ][0-9]{1,2}(?::[0-9]{1,2}(?::[0-9]{1,2})?)?)(?:(?<=:[0-9]{2})\.[0-9]+)?\s*(?:Z|[+-][0-9]{2}:?[0-9]{2})?)?\z"
-)
-_HOUR_ONLY = r"([T ][0-9]{1,2})\z"
+# Shapes of a date, and how its parts and what follows (the last group) are put in the order year-month-day.
+_REST = r"(?:[Tt ](.*))?\z"
+_DATES = [
+    (rf"(?s)^{_YEAR}[-/. ]([0-9]{{1,2}})[-/. ]([0-9]{{1,2}}){_REST}", "$1-$2-$3 $4"),
+    (rf"(?s)^{_YEAR}([0-9]{{2}})([0-9]{{2}})[Tt ](.*)\z", "$1-$2-$3 $4"),
+    (rf"(?s)^(1[3-9]|[2-9][0-9])[-/. ]([0-9]{{1,2}})[-/. ]({_YEAR}|[0-9]{{2}}){_REST}", "$3-$2-$1 $5"),
+    (rf"(?s)^([0-9]{{1,2}})[-/. ]([0-9]{{1,2}})[-/. ]({_YEAR}|[0-9]{{2}}){_REST}", "$3-$1-$2 $5"),
+    (rf"^{_YEAR}[-/.]([0-9]{{1,2}})\z", "$1-$2-1 "),
+    (rf"^([0-9]{{1,2}})[-/]{_YEAR}\z", "$2-$1-1 "),
+]
+_ZONE = r"\s*(?:[Zz]|UTC|GMT|[+-][0-9]{2}(?::?[0-9]{2})?)?\s*\z"
+_CLOCK = rf"^(\S+) ([0-9]{{1,2}})(?::([0-9]{{1,2}})(?::([0-9]{{1,2}})(?:[.,][0-9]+)?)?)?{_ZONE}"
+_CLOCK_DIGITS = rf"^(\S+) ([0-9]{{2}})([0-9]{{2}})([0-9]{{2}})?(?:(?<=[0-9]{{6}})[.,][0-9]+)?{_ZONE}"
 _ISO = (
     r"(?s)^([0-9]{4})(-?)([0-9]{2})\2([0-9]{2})"
     r"(?:.([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,]([0-9]+))?)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?\z"
 )
 
 
-def crawl_timestamp(raw: Column) -> Column:
-    """Capture time of an index record: 14 or more digits, else a date in one of the usual shapes, else NULL.
+def general_timestamp(raw: Column) -> Column:
+    """Time of a text in one of the usual shapes, else NULL.
 
-    Index lines nearly always bring bare digits, so these are tested and cut first, without trimming. Each
-    branch is one rewrite by pattern, which keeps the generated code small enough to be compiled.
+    A date with the year first (``2025-1-3``, ``20250103``) or last (month first, unless the first number is beyond 12; two
+    digits of a year are those within fifty years of today), a year, a year and a month; then a clock time, plain or with
+    colons. Fractions of a second and the zone are dropped, the wall clock is kept.
     """
     t = strip(raw)
     filled = F.concat(t, F.substr(F.lit(_UNGIVEN_DIGITS), F.length(t) + 1))
-    day_first = F.substring_index(t, "/", 1).cast("int") > 12
-    plain = F.regexp_replace(F.regexp_replace(t, _DATE_TIME, "$1$4"), _HOUR_ONLY, "$1:00")
-    text = (
-        F.when(raw.rlike(_FULL_DIGITS), F.regexp_replace(raw, *_SPLIT_DIGITS))
-        .when(t.rlike(_SOME_DIGITS), F.regexp_replace(filled, *_SPLIT_DIGITS))
-        .when(t.rlike(_DATE_TIME), F.translate(plain, "/.", "--"))
-        .when(
-            t.rlike(_SLASHED),
-            F.when(day_first, F.regexp_replace(t, _SLASHED, "$3-$2-$1")).otherwise(F.regexp_replace(t, _SLASHED, "$3-$1-$2")),
-        )
+    dated = F.coalesce(*(F.when(t.rlike(shape), F.regexp_replace(t, shape, order)) for shape, order in _DATES))
+    digits = F.regexp_replace(filled, *_SPLIT_DIGITS).try_cast("timestamp_ntz")
+    # A function of its own, so that the date is put in order once and not wherever the clock looks at it.
+    return F.when(t.rlike(_SOME_DIGITS), digits).otherwise(rarely(dated, _timed))
+
+
+def _timed(dated: Column) -> Column:
+    """NTZ time of ``year-month-day clock``."""
+    this_year = F.year(F.current_date())
+    short = F.substring_index(dated, "-", 1).cast("int") + F.floor(this_year / 100) * 100
+    near = F.when(short >= this_year + 50, short - 100).when(short < this_year - 50, short + 100).otherwise(short)
+    full = F.when(
+        F.length(F.substring_index(dated, "-", 1)) == 2, F.concat(near.cast("string"), F.substring(dated, 3, 1 << 20))
+    ).otherwise(dated)
+    clock = (
+        F.when(full.endswith(" "), F.concat(full, F.lit("0:0:0")))
+        .when(full.rlike(_CLOCK), F.regexp_replace(full, _CLOCK, "$1 $2:$3:$4"))
+        .when(full.rlike(_CLOCK_DIGITS), F.regexp_replace(full, _CLOCK_DIGITS, "$1 $2:$3:$4"))
     )
-    return text.try_cast("timestamp_ntz")
+    return F.regexp_replace(clock, r":(?=:|\z)", ":00").try_cast("timestamp_ntz")
+
+
+def is_full_digits(raw: Column) -> Column:
+    """Whether a capture time is 14 or more digits, as in nearly all index lines; false for NULL."""
+    return F.coalesce(raw.rlike(_FULL_DIGITS), F.lit(False))
+
+
+def digits_timestamp(raw: Column) -> Column:
+    """Time of 14 or more digits; further ones are ignored."""
+    return F.regexp_replace(raw, *_SPLIT_DIGITS).try_cast("timestamp_ntz")
+
+
+def crawl_timestamp(raw: Column) -> Column:
+    """Capture time of an index record: 14 or more digits, else a date in one of the usual shapes, else NULL."""
+    return F.when(is_full_digits(raw), digits_timestamp(raw)).otherwise(rarely(raw, general_timestamp))
 
 
 def _iso_stamp(t: Column) -> Column:

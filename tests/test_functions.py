@@ -98,3 +98,30 @@ def test_text(spark):
 
 def test_segment_name(spark):
     assert dict(zip(SEGMENTS, apply(spark, SEGMENTS, fn.segment_name(F.col(S))))) == SEGMENTS
+
+
+# What a general date parser makes of these shapes; NULL where it refuses them.
+SHAPES = {
+    "20250101T101010": "2025-01-01 10:10:10", "20250101T101010Z": "2025-01-01 10:10:10", "20250101 101010": "2025-01-01 10:10:10",
+    "20250101T1010": "2025-01-01 10:10:00", "20250101T10": "2025-01-01 10:00:00", "20250101 10:11:12": "2025-01-01 10:11:12",
+    "20250101 10:11:12.5": "2025-01-01 10:11:12", "20250101T10:11:12+0930": "2025-01-01 10:11:12",
+    "20250101T101010+09:30": "2025-01-01 10:10:10", "202501011010": "2025-01-01 10:10:00", "2025010110": None,
+    "01/02/2025 10:00": "2025-01-02 10:00:00", "01/02/2025 10:00:05.25": "2025-01-02 10:00:05", "1/2/2025 1:02": "2025-01-02 01:02:00",
+    "13/02/2025 10:00": "2025-02-13 10:00:00", "13/13/2025": None, "01-02-2025": "2025-01-02 00:00:00",
+    "13-02-2025": "2025-02-13 00:00:00", "1.2.2025": "2025-01-02 00:00:00", "01 02 2025": "2025-01-02 00:00:00",
+    "01-02-2025 10:00": "2025-01-02 10:00:00", "01/02/25": "2025-01-02 00:00:00", "25/02/13": "2013-02-25 00:00:00",
+    "01-02-25": "2025-01-02 00:00:00", "01/02/99": "1999-01-02 00:00:00", "2025-03": "2025-03-01 00:00:00",
+    "2025/03": "2025-03-01 00:00:00", "2025.03": "2025-03-01 00:00:00", "03/2025": "2025-03-01 00:00:00",
+    "3/2025": "2025-03-01 00:00:00", "03.2025": None, "2025-13": None, "202503": None, "2025 1 3": "2025-01-03 00:00:00",
+    "2025-01-02 10:5": "2025-01-02 10:05:00", "2025-01-02 10:11:12 +0100": "2025-01-02 10:11:12",
+    "2025-01-02 10:11:12 UTC": "2025-01-02 10:11:12", "2025-01-02T10:11-05": "2025-01-02 10:11:00",
+    "2025-01-02T101010": "2025-01-02 10:10:10", "2025-01-02T10:11:12z": "2025-01-02 10:11:12", "2025-W03": None,
+    "2025-01-02 10:11:12,5": "2025-01-02 10:11:12", "20250101T": "2025-01-01 00:00:00", "2025-01-02T24:00:00": None,
+    "02/30/2025": None, "2025-02-30": None, "99999": None, "12": None, "1677-01-01": None, "01/02/1500": None, "10:11:12x": None,
+}
+
+
+def test_general_shapes_of_time(spark):
+    rows = spark.createDataFrame([(k,) for k in SHAPES], "s string")
+    got = {r.s: r.t for r in rows.select("s", fn.crawl_timestamp(F.col("s")).cast("string").alias("t")).collect()}
+    assert got == SHAPES
