@@ -273,9 +273,9 @@ def _emit_phrases(length: int, trigger: int, buckets: int):
 
 def merged(ranges: np.ndarray) -> np.ndarray:
     """The ranges in order, those that touch made one."""
-    ranges = np.sort(ranges, order=["doc_id", "mark", "first"])
     if not len(ranges):
         return ranges
+    ranges = ranges[np.lexsort((ranges["first"], ranges["mark"], ranges["doc_id"]))]
     new = np.ones(len(ranges), bool)
     end = ranges["first"] + ranges["n"]
     same = (ranges["doc_id"][1:] == ranges["doc_id"][:-1]) & (ranges["mark"][1:] == ranges["mark"][:-1])
@@ -302,10 +302,10 @@ def _sorted_rows(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def earlier_elsewhere(
     ids: np.ndarray, ahead: np.ndarray, strings: np.ndarray, content: np.ndarray, length: int
-) -> tuple[np.ndarray, np.ndarray]:
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Phrases are in order of ``ids``; phrase k has ``ahead[k]`` bytes before its trigger and stands for ``strings[k]``
-    strings, whose bytes lie end to end in ``content``. Returns (phrase, string) pairs of the strings that a phrase of a
-    smaller id has as well."""
+    strings, whose bytes lie end to end in ``content``. Returns the runs (phrase, first string, number) of the strings that a
+    phrase of a smaller id has as well."""
     n = len(ids)
     size = strings + length - 1
     start = np.cumsum(size) - size
@@ -317,7 +317,7 @@ def earlier_elsewhere(
     suffix_order, suffix_shared = _sorted_rows(padded[np.where(back < ahead[:, None], cells, len(content))])
     cells = trigger[:, None] + on
     parse_order, parse_shared = _sorted_rows(padded[np.where(cells < (start + size)[:, None], cells, len(content))])
-    found = []
+    found = np.zeros((n, int(strings.max(initial=0)) + 2), bool)  # by place, after an empty column and before another
     suffix_rank, parse_rank = np.empty(n, np.int64), np.empty(n, np.int64)
     for depth in range(int(ahead.max(initial=0)) + 1):
         mine = np.flatnonzero((ahead - strings < depth) & (depth <= ahead))
@@ -329,9 +329,10 @@ def earlier_elsewhere(
         heads = np.flatnonzero(np.diff(key, prepend=-1))
         least = np.repeat(ids[mine[heads]], np.diff(heads, append=len(mine)))
         hit = mine[ids[mine] > least]
-        found.append(np.stack([hit, ahead[hit] - depth], 1))
-    found = np.concatenate(found)
-    return found[:, 0], found[:, 1]
+        found[hit, ahead[hit] - depth + 1] = True
+    phrase, first = np.nonzero(found[:, 1:] & ~found[:, :-1])
+    last = np.nonzero(found[:, :-1] & ~found[:, 1:])[1]
+    return phrase, first, last - first
 
 
 def _resolve(length: int, dests: int):
@@ -347,9 +348,11 @@ def _resolve(length: int, dests: int):
             size = strings.astype(np.int64) + length - 1
             content = content[ragged((np.cumsum(size) - size)[order], size[order])]
             ids, marks, first = ids[order], marks[order], first[order]
-            phrase, string = earlier_elsewhere(ids, ahead[order].astype(np.int64), strings[order].astype(np.int64), content, length)
+            phrase, string, number = earlier_elsewhere(
+                ids, ahead[order].astype(np.int64), strings[order].astype(np.int64), content, length
+            )
             ranges = np.empty(len(phrase), _RANGE)
-            ranges["doc_id"], ranges["mark"], ranges["n"] = ids[phrase], marks[phrase], 1
+            ranges["doc_id"], ranges["mark"], ranges["n"] = ids[phrase], marks[phrase], number
             ranges["first"] = first[phrase] + string
             made.append(merged(ranges))
         made = np.concatenate(made)
