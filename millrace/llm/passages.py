@@ -38,7 +38,9 @@ LENGTH, TRIGGER = 50, 20
 # Pieces with one trigger from which its strings are dealt out one by one (a matter of memory, not of results).
 CROWD = 2_000
 # Bytes of text that share a bucket of fingerprints, of documents, of phrases; bytes of ranges that are broadcast.
-_FINGERPRINTS, _DOCUMENTS, _PHRASES, _BROADCAST = 32 << 20, 32 << 20, 8 << 20, 64 << 20
+_FINGERPRINTS, _DOCUMENTS, _PHRASES, _BROADCAST = 128 << 20, 32 << 20, 8 << 20, 64 << 20
+# Phrases that a task remembers, so as to hand on the first document's only (a matter of memory, not of results).
+_REMEMBERED = 200_000
 # Bytes hashed at once, and documents of a piece.
 _STRETCH, _ROWS = 1 << 20, 1 << 16
 _BASE, _MIX, _WORD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, (1 << 64) - 1
@@ -131,6 +133,14 @@ def _blobs(key: np.ndarray, *columns: np.ndarray):
     return key[heads], [[c[a:b].tobytes() for a, b in zip(heads, ends)] for c in columns]
 
 
+def _packed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", 3).compress(data, asbytes=True)
+
+
+def _unpacked(data: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+
+
 def _join(column: pa.ChunkedArray, kind) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in column.to_pylist() if x), kind)
 
@@ -222,11 +232,14 @@ def _emit_phrases(length: int, trigger: int, buckets: int):
     known to stand there."""
 
     def run(batches):
+        own = {}
         for part, ids, marks, texts in _cut_rows(batches):
             n = [len(x.as_buffer()) // 8 for x in part.column("prints")]
             seen = np.repeat(np.arange(len(n)), n) << 48 | _join(part.column("prints"), np.int64)
             crowded = _join(part.column("crowded"), np.bool_)
-            rows, known, own = [], [], {}
+            rows, known = [], []
+            if len(own) > _REMEMBERED:
+                own.clear()
             by_id = np.argsort(ids, kind="stable")  # the smallest id of the piece comes first
             repeated = {}
             for i in by_id:
@@ -248,6 +261,7 @@ def _emit_phrases(length: int, trigger: int, buckets: int):
                         if owner < ids[i]:
                             known.append((ids[i], marks[i], start - shift, end - start + 1))
                         else:
+                            own[content, ahead] = ids[i]
                             bucket = zlib.crc32(content) if many else int(p.hash[k])
                             rows.append((bucket % buckets, ids[i], marks[i], start - shift, ahead, end - start + 1, content))
             out = {}
@@ -258,10 +272,11 @@ def _emit_phrases(length: int, trigger: int, buckets: int):
                 out[int(ids[0]) % buckets] = []
             columns = []
             for bucket, found in out.items():
+                found.sort(key=lambda r: r[5])  # like beside like: the bytes are packed
                 c = list(zip(*found)) or [[]] * 6
                 columns.append((
                     bucket, np.array(c[0], np.int64).tobytes(), np.array(c[1], np.int32).tobytes(), np.array(c[2], np.int64).tobytes(),
-                    np.array(c[3], np.int32).tobytes(), np.array(c[4], np.int32).tobytes(), b"".join(c[5]), ranges,
+                    np.array(c[3], np.uint16).tobytes(), np.array(c[4], np.uint16).tobytes(), _packed(b"".join(c[5])), ranges,
                 ))
                 ranges = b""
             columns = list(zip(*columns)) or [[]] * 8
@@ -339,9 +354,10 @@ def _resolve(length: int, dests: int):
     def run(table: pa.Table) -> pa.Table:
         ids, marks = _join(table.column("ids"), np.int64), _join(table.column("marks"), np.int32)
         first, ahead, strings = (
-            _join(table.column(c), t) for c, t in (("first", np.int64), ("ahead", np.int32), ("strings", np.int32))
+            _join(table.column(c), t) for c, t in (("first", np.int64), ("ahead", np.uint16), ("strings", np.uint16))
         )
-        content, known = _join(table.column("content"), np.uint8), _join(table.column("known"), _RANGE)
+        content = np.frombuffer(b"".join(map(_unpacked, table.column("content").to_pylist())), np.uint8)
+        known = _join(table.column("known"), _RANGE)
         made = [known]
         if len(ids):
             order = np.argsort(ids, kind="stable")
