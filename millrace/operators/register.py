@@ -13,8 +13,8 @@ from ..sources.register import RECORD_END
 REGISTER_COLUMNS = REGISTER_FLAT.fieldNames()
 HEADER_FIELDS = ["FileSequenceNumber", "RecordCount", "ExtractTime"]
 PLACE = ["source_file", "block", "seq", "pos"]
-# Copies of the header table when it is too large to broadcast; spreads the records of one huge file.
-HEADER_SALT = 32
+# Chunks of a file that meet its headers in one task when these are too many to broadcast.
+STRETCH = 50_000
 
 _RECORD_START = r"<ABR[\s/>]"
 _SELF_CLOSED = r"^(<ABR(?:\s[^>]*)?/>)"
@@ -184,6 +184,18 @@ def project_register(events: DataFrame) -> DataFrame:
     )
 
 
+def split_heads(projected: DataFrame) -> DataFrame:
+    """The same rows with those that bring a header once more, told apart by ``is_head``: staged by it, the few headers are a
+    table of their own, and the records are read once."""
+    roles = F.array_compact(F.array(F.when(F.col("is_record"), False), F.when(F.col("header").isNotNull(), True)))
+    return projected.withColumn("is_head", F.explode(roles))
+
+
+def _records(projected: DataFrame) -> DataFrame:
+    kept = projected.where("NOT is_head").drop("is_head") if "is_head" in projected.columns else projected
+    return kept.where("is_record").drop("header", "is_record")
+
+
 def header_spans(projected: DataFrame) -> DataFrame:
     """Header values and the stretch of the document they hold for.
 
@@ -191,6 +203,8 @@ def header_spans(projected: DataFrame) -> DataFrame:
     """
     at = F.struct("block", "seq", "pos")
     order = Window.partitionBy("source_file").orderBy("at")
+    if "is_head" in projected.columns:
+        projected = projected.where("is_head")
     heads = projected.where(F.col("header").isNotNull()).select("source_file", at.alias("at"), "header.*")
 
     def current(field: str) -> Column:
@@ -215,36 +229,34 @@ def header_spans(projected: DataFrame) -> DataFrame:
 def attach_headers(records: DataFrame, spans: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """Give each record the header values in force at its place; NULLs before the first header of a file.
 
-    The header table is broadcast when its counted size allows. Otherwise it is copied ``HEADER_SALT`` times
-    and joined by (file, salt), so that the records of one file are spread over many tasks.
+    The header table is broadcast when its counted size allows. Otherwise the file is taken in stretches of ``STRETCH``
+    chunks: each gets the spans that reach into it, and meets them by (file, stretch), so that neither a huge file nor one
+    with very many headers is a hot key.
     """
     if broadcast is None:
         broadcast = fits_broadcast(spans)
     heads = spans.select(
         F.col("source_file").alias("h_file"), "from_at", "to_at", "file_sequence_number", "record_count", "extract_time"
     )
-    at = F.struct("block", "seq", "pos")
-    inside = (
-        (F.col("source_file") == F.col("h_file"))
-        & (at >= F.col("from_at"))
-        & (F.col("to_at").isNull() | (at < F.col("to_at")))
-    )
+    at, same_file = F.struct("block", "seq", "pos"), F.col("source_file") == F.col("h_file")
+    inside = (at >= F.col("from_at")) & (F.col("to_at").isNull() | (at < F.col("to_at")))
     if broadcast:
-        joined = records.join(F.broadcast(heads), inside, "left")
-    else:
-        salted = records.withColumn("salt", F.pmod(F.hash("block", "seq", "pos"), F.lit(HEADER_SALT)))
-        copies = heads.withColumn("h_salt", F.explode(F.sequence(F.lit(0), F.lit(HEADER_SALT - 1))))
-        joined = salted.join(copies, inside & (F.col("salt") == F.col("h_salt")), "left")
-    return joined.drop("h_file", "from_at", "to_at", "salt", "h_salt")
+        return records.join(F.broadcast(heads), same_file & inside, "left").drop("h_file", "from_at", "to_at")
+    records = records.withColumn("stretch", F.floor(F.col("seq") / STRETCH))
+    stretches = records.groupBy("source_file", "block", "stretch").agg(F.min(at).alias("lowest"), F.max(at).alias("highest"))
+    reaches = (F.col("from_at") <= F.col("highest")) & (F.col("to_at").isNull() | (F.col("to_at") > F.col("lowest")))
+    reaching = stretches.join(heads, same_file & reaches).drop("source_file", "lowest", "highest")
+    reaching = reaching.withColumnsRenamed({"block": "h_block", "stretch": "h_stretch"})
+    same = same_file & (F.col("block") == F.col("h_block")) & (F.col("stretch") == F.col("h_stretch"))
+    return records.join(reaching, same & inside, "left").drop("h_file", "from_at", "to_at", "stretch", "h_block", "h_stretch")
 
 
 def flatten_register(projected: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """Nineteen columns per record, plus source_file and the reject columns.
 
-    ``projected`` feeds both sides of the header join: pass a staged table so that the text is read once.
+    ``projected`` feeds both sides of the header join: pass a table staged by ``split_heads`` so that the text is read once.
     """
-    records = projected.where("is_record").drop("header", "is_record")
-    joined = attach_headers(records, header_spans(projected), broadcast)
+    joined = attach_headers(_records(projected), header_spans(projected), broadcast)
     return joined.select(*REGISTER_COLUMNS, "source_file", "reject_reason", "raw")
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,16 +55,38 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path in the shared folder."""
-    return f"{shared_dir(spark)}/millrace/{uuid.uuid4().hex}/{name}"
+_stages: ContextVar[str | None] = ContextVar("stages", default=None)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new, unused path in the shared folder."""
+    return f"{_stages.get() or f'{shared_dir(spark)}/millrace'}/{uuid.uuid4().hex}/{name}"
+
+
+@contextmanager
+def passing_stages(spark: SparkSession) -> Iterator[str]:
+    """Everything staged inside is deleted at the end, in stores that can be reached from here."""
+    from pyarrow import ArrowInvalid, fs
+
+    folder = f"{shared_dir(spark)}/millrace/passing-{uuid.uuid4().hex}"
+    token = _stages.set(folder)
+    try:
+        yield folder
+    finally:
+        _stages.reset(token)
+        try:
+            store, path = fs.FileSystem.from_uri(folder)
+            if store.get_file_info(path).type == fs.FileType.Directory:
+                store.delete_dir(path)
+        except ArrowInvalid:  # a store that only Spark knows
+            pass
+
+
+def stage(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """Write ``df`` to the shared folder, in partitions by ``by``, and read it back: cuts the lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:

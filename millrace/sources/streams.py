@@ -42,15 +42,27 @@ _PROLOG = re.compile(rb"""^\s*<\?xml[^>]*?encoding\s*=\s*["']([A-Za-z0-9._:-]+)[
 _NATIVE = {"utf-8", "ascii"}
 
 
-def open_input(uri: str):
-    """A seekable file of the shared file system, by Spark's name for it."""
+def open_store(uri: str):
+    """The Arrow file system of a name that Spark gives, and the path in it."""
     from pyarrow import fs
 
     scheme, mark, rest = uri.partition("://")
-    store, path = fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}{mark}{rest}")
+    return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}{mark}{rest}")
+
+
+def open_input(uri: str):
+    """A seekable file of the shared file system, by Spark's name for it."""
+    store, path = open_store(uri)
     return store.open_input_file(path)
 
 
+def scheme_of(spark: SparkSession, path: str) -> str | None:
+    """The scheme of a path if tasks can open its store by themselves."""
+    default = spark.conf.get("spark.hadoop.fs.defaultFS", "file:///")
+    scheme = (path if "://" in path else default).partition(":")[0]
+    return scheme if scheme in _OPENED else None
+
+
 def declared_encoding(head: bytes) -> str:
     """Python's name of the encoding that the first bytes of an XML text declare; LookupError if there is none of that name."""
     for mark, encoding in _MARKS:
@@ -205,10 +217,9 @@ PACKED_FILES = "*.[gG][zZ]"
 
 def listed(files: DataFrame, spark: SparkSession, path: str) -> DataFrame:
     """Path and time of whole files and, in a store that the tasks cannot open by themselves, their bytes."""
-    scheme = path.partition("://")[0] if "://" in path else spark.conf.get("spark.hadoop.fs.defaultFS", "file:///").split(":")[0]
     return files.select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("landed_at"),
-        *([] if scheme in _OPENED else ["content"]),
+        *([] if scheme_of(spark, path) else ["content"]),
     )
 
 

@@ -1,8 +1,10 @@
 """Register XML: splitting, awkward documents, headers, loads."""
 
 import gzip
+import os
 import random
 import re
+import shutil
 import zipfile
 
 import pytest
@@ -11,8 +13,8 @@ from pyspark.sql import functions as F
 from millrace.operators.register import (
     REGISTER_COLUMNS, attach_headers, flatten_register, header_rejects, header_spans, project_register, register_events,
 )
-from millrace.plans.register_load import load_register, parse, read_register, read_register_rejects
-from millrace.session import stage
+from millrace.plans.register_load import load_register, parse, read_register, read_register_rejects, register_files
+from millrace.session import shared_dir, stage
 from millrace.sources import streams
 from millrace.sources.register import (
     discover_register_files, read_archived_register_chunks, read_register_chunks,
@@ -280,3 +282,40 @@ def test_member_without_an_end_is_one_reject(spark, tmp_path, monkeypatch):
     assert [r.abn for r in read_register(spark, target).collect()] == ["1"]
     rejects = read_register_rejects(spark, target).collect()
     assert [(r.source_file.rsplit("/", 1)[1], r.reject_reason, len(r.raw)) for r in rejects] == [("flat.xml", "record too long", 1000)]
+
+
+def test_a_file_of_no_bytes_loses_its_rows(spark, tmp_path):
+    source, target = tmp_path / "in" / "deep er", str(tmp_path / "out")
+    source.mkdir(parents=True)
+    (source / "a b.xml").write_text(f"<T>{header()}<ABR><ABN>1</ABN></ABR></T>")
+    (source / "b.xml").write_text(f"<T>{header()}<ABR><ABN>2</ABN></ABR></T>")
+    load_register(spark, str(tmp_path / "in"), target)
+    (source / "a b.xml").write_bytes(b"")
+    load_register(spark, str(tmp_path / "in"), target)
+    assert [r.abn for r in read_register(spark, target).collect()] == ["2"]
+    rejects = [(r.source_file.rsplit("/", 1)[1], r.reject_reason) for r in read_register_rejects(spark, target).collect()]
+    assert rejects == [("a%20b.xml", "no records")]
+    found = {(r.source_file.rsplit("/", 1)[1], r.records, r.load) for r in register_files(spark, target).collect()}
+    assert found == {("a%20b.xml", 1, 1), ("b.xml", 1, 1), ("a%20b.xml", 0, 2), ("b.xml", 1, 2)}
+
+
+def test_a_load_that_broke_off_does_not_count_and_stages_go(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a.xml").write_text(f"<T>{header()}<ABR><ABN>1</ABN></ABR></T>")
+    load_register(spark, str(source), target)
+    (source / "a.xml").write_text(f"<T>{header()}<ABR><ABN>2</ABN></ABR></T>")
+    load_register(spark, str(source), target)
+    shutil.rmtree(tmp_path / "out" / "rows_log")  # as if neither had come to its end
+    assert read_register(spark, target).count() == 0
+    assert load_register(spark, str(source), target) == 3
+    assert [r.abn for r in read_register(spark, target).collect()] == ["2"]
+    assert not [d for d in os.listdir(f"{shared_dir(spark)}/millrace") if d.startswith("passing-")]
+
+
+def test_many_headers_without_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("millrace.operators.register.STRETCH", 7)
+    parts = [f"{header(str(i), '', '') if i % 3 == 0 else ''}<ABR><ABN>{i}</ABN></ABR>" for i in range(200)]
+    (tmp_path / "a.xml").write_text(f"<T>{''.join(parts)}</T>")
+    rows = flatten_register(parse(read_register_chunks(spark, str(tmp_path))), broadcast=False).collect()
+    assert len(rows) == 200 and all(r.file_sequence_number == int(r.abn) // 3 * 3 for r in rows)
