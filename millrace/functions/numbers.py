@@ -6,43 +6,52 @@ from pyspark.sql import functions as F
 from .rare import rarely
 
 _NUMBER = r"^\s*([+-]?)(?:([0-9]+)\.?([0-9]*)|\.([0-9]+))(?:[eE]([+-]?[0-9]+))?\s*\z"
+_PARTS = "$1;$2;$3$4;$5"
 _INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*\z"
 # Digits of the largest 64-bit integer.
 _DIGITS = 19
 
 
-def _whole(text: Column) -> Column:
-    """64-bit value of a number that is whole, by its digits and the place of its point: exact at any length.
-
-    Only reached for text that is not a plain integer; NULL for fractions, numbers out of range and other text.
-    """
-    part = lambda k: F.regexp_extract(text, _NUMBER, k)
-    digits = F.concat(part(2), part(3), part(4))
+def _whole(parts: Column) -> Column:
+    """64-bit value of a number that is whole, by its digits and the place of its point: exact at any length. ``parts`` are
+    sign, digits before and after the point, and exponent; NULL for fractions and numbers out of range."""
+    sign, before, after, exponent = (F.get(parts, F.lit(i)) for i in range(4))
+    digits = F.concat(before, after)
     leading = F.length(digits) - F.length(F.ltrim(digits, F.lit("0")))
     significant = F.trim(digits, F.lit("0"))
-    power = F.when(part(5) == "", F.lit(0)).otherwise(part(5).try_cast("int"))
-    point = F.length(part(2)).cast("long") + power - leading
+    power = F.when(exponent == "", F.lit(0)).otherwise(exponent.try_cast("int"))
+    point = F.length(before).cast("long") + power - leading
     fits = (F.length(significant) <= point) & (point <= _DIGITS)
-    value = F.concat(F.regexp_replace(part(1), r"\+", ""), F.rpad(significant, F.least(point, F.lit(_DIGITS)).cast("int"), "0"))
-    return F.when(text.rlike(_NUMBER), F.when(significant == "", F.lit(0).cast("bigint")).when(fits, value.try_cast("bigint")))
+    size = F.least(point, F.lit(_DIGITS)).cast("int")
+    value = F.concat(F.when(sign == "-", sign).otherwise(""), F.rpad(significant, size, "0"))
+    return F.when(significant == "", F.lit(0).cast("bigint")).when(fits, value.try_cast("bigint"))
+
 
+def _judged(value: Column, unusable: Column) -> Column:
+    return F.struct(value.alias("value"), unusable.alias("unusable"))
 
-def judge_number(text: Column) -> tuple[Column, Column]:
-    """Value of a text that is no plain integer, and whether it is a number that no 64-bit integer holds."""
-    return _whole(text), text.rlike(_INFINITE) | (text.rlike(_NUMBER) & _whole(text).isNull())
 
+def _judge(text: Column) -> Column:
+    """The same of a text that is no plain integer."""
+    parts = F.split(F.regexp_replace(text, _NUMBER, _PARTS), ";")
+    number = rarely(rarely(parts, _whole), lambda value: _judged(value, value.isNull()))
+    other = _judged(F.lit(None).cast("bigint"), text.rlike(_INFINITE))
+    return F.when(text.rlike(_NUMBER), number).otherwise(other)
 
-def is_plain(text: Column) -> Column:
-    """Whether a plain cast says all of a number: true for NULL as well."""
-    return text.isNull() | text.try_cast("bigint").isNotNull()
+
+def judge_number(text: Column) -> Column:
+    """Struct of the value of a lenient 64-bit integer and whether the text is a number that no such integer holds."""
+    plain = text.try_cast("bigint")
+    settled = _judged(plain, F.lit(False))
+    return F.when(plain.isNotNull() | text.isNull(), settled).otherwise(rarely(text, _judge))
 
 
 def to_bigint(text: Column) -> Column:
     """Lenient 64-bit integer: ``' 200 '``, ``'200.0'`` and ``'1e3'`` count, anything else is NULL."""
-    plain = text.try_cast("bigint")
-    return F.coalesce(plain, F.when(text.isNotNull(), rarely(text, _whole)))
+    return F.coalesce(text.try_cast("bigint"), F.when(text.isNotNull(), rarely(text, _judge)["value"]))
 
 
 def is_unusable_number(text: Column) -> Column:
     """True for text that is a number but no 64-bit integer: a fraction, infinity, or out of range."""
-    return F.when(is_plain(text), False).otherwise(rarely(text, lambda t: judge_number(t)[1]))
+    plain = text.isNull() | text.try_cast("bigint").isNotNull()
+    return F.when(plain, False).otherwise(rarely(text, _judge)["unusable"])

@@ -45,28 +45,32 @@ def general_timestamp(raw: Column) -> Column:
     digits of a year are those within fifty years of today), a year, a year and a month; then a clock time, plain or with
     colons. Fractions of a second and the zone are dropped, the wall clock is kept.
     """
-    t = strip(raw)
-    filled = F.concat(t, F.substr(F.lit(_UNGIVEN_DIGITS), F.length(t) + 1))
-    dated = F.coalesce(*(F.when(t.rlike(shape), F.regexp_replace(t, shape, order)) for shape, order in _DATES))
-    digits = F.regexp_replace(filled, *_SPLIT_DIGITS).try_cast("timestamp_ntz")
-    # A function of its own, so that the date is put in order once and not wherever the clock looks at it.
-    return F.when(t.rlike(_SOME_DIGITS), digits).otherwise(rarely(dated, _timed))
+
+    def found(t: Column) -> Column:
+        filled = F.concat(t, F.substr(F.lit(_UNGIVEN_DIGITS), F.length(t) + 1))
+        dated = F.coalesce(*(F.when(t.rlike(shape), F.regexp_replace(t, shape, order)) for shape, order in _DATES))
+        digits = F.regexp_replace(filled, *_SPLIT_DIGITS)
+        return F.when(t.rlike(_SOME_DIGITS), digits).otherwise(rarely(rarely(dated, _with_century), _with_clock))
+
+    return rarely(strip(raw), found).try_cast("timestamp_ntz")
 
 
-def _timed(dated: Column) -> Column:
-    """NTZ time of ``year-month-day clock``."""
-    this_year = F.year(F.current_date())
-    short = F.substring_index(dated, "-", 1).cast("int") + F.floor(this_year / 100) * 100
+def _with_century(dated: Column) -> Column:
+    """``year-month-day clock`` with a full year."""
+    this_year, year = F.year(F.current_date()), F.substring_index(dated, "-", 1)
+    short = year.cast("int") + F.floor(this_year / 100) * 100
     near = F.when(short >= this_year + 50, short - 100).when(short < this_year - 50, short + 100).otherwise(short)
-    full = F.when(
-        F.length(F.substring_index(dated, "-", 1)) == 2, F.concat(near.cast("string"), F.substring(dated, 3, 1 << 20))
-    ).otherwise(dated)
+    return F.when(F.length(year) == 2, F.concat(near.cast("string"), F.substring(dated, 3, 1 << 20))).otherwise(dated)
+
+
+def _with_clock(dated: Column) -> Column:
+    """``year-month-day hour:minute:second``."""
     clock = (
-        F.when(full.endswith(" "), F.concat(full, F.lit("0:0:0")))
-        .when(full.rlike(_CLOCK), F.regexp_replace(full, _CLOCK, "$1 $2:$3:$4"))
-        .when(full.rlike(_CLOCK_DIGITS), F.regexp_replace(full, _CLOCK_DIGITS, "$1 $2:$3:$4"))
+        F.when(dated.endswith(" "), F.concat(dated, F.lit("0:0:0")))
+        .when(dated.rlike(_CLOCK), F.regexp_replace(dated, _CLOCK, "$1 $2:$3:$4"))
+        .when(dated.rlike(_CLOCK_DIGITS), F.regexp_replace(dated, _CLOCK_DIGITS, "$1 $2:$3:$4"))
     )
-    return F.regexp_replace(clock, r":(?=:|\z)", ":00").try_cast("timestamp_ntz")
+    return F.when(clock.rlike(r":(?::|\z)"), F.regexp_replace(clock, r":(?=:|\z)", ":00")).otherwise(clock)
 
 
 def is_full_digits(raw: Column) -> Column:

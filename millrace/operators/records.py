@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
-    digits_timestamp, empty_to_null, general_timestamp, is_full_digits, is_plain, judge_number, url_domain, url_path,
+    digits_timestamp, empty_to_null, general_timestamp, is_full_digits, judge_number, rarely, url_domain, url_path,
 )
 from ..schemas import INDEX_RECORDS, PAGE_KEYS
 
@@ -44,33 +44,19 @@ def clean_index_lines(lines: DataFrame) -> DataFrame:
     """
     numbers = {"status": "status", "length": "length", "offset": "file_offset"}
     kept = [c for c in lines.columns if c not in {*INDEX_COLUMNS, *PAGE_KEYS, "reject_reason", "raw"}]
-    # What a plain cast does not settle is judged in a projection of its own, by one function for all four columns: the long
-    # expressions stand once and outside the generated method of the main projection.
-    whole, odd = F.col("timestamp"), F.col("_odd")
-    settled = F.coalesce(is_full_digits(whole) | whole.isNull(), F.lit(True))
-    for key in numbers:
-        settled = settled & is_plain(F.col(key))
-
-    def judge(text: Column, i: Column) -> Column:
-        value, unusable = judge_number(text)
-        number = i < len(numbers)
-        return F.struct(
-            F.when(number, value).alias("value"), F.when(number, unusable).alias("unusable"),
-            F.when(~number, general_timestamp(text)).alias("time"),
-        )
-
-    judged = F.transform(F.array(*map(F.col, numbers), whole), judge)
-    lines = lines.withColumn("_odd", F.when(~settled, judged))
-    value, reasons = {}, [F.col("reject_reason")] if "reject_reason" in lines.columns else []
-    for i, (key, name) in enumerate(numbers.items()):
-        found, text = F.get(odd, F.lit(i)), F.col(key)
-        value[name] = F.coalesce(text.try_cast("bigint"), found["value"])
-        reasons.append(F.when(~is_plain(text) & found["unusable"], f"{key} is no integer"))
+    # Judged once for each row in an operator of its own, below which no filter on the results is pushed: written out in the
+    # main projection, the rare long cases would outgrow the method that is compiled, and a filter would do them again.
+    stamp = F.col("timestamp")
+    when = F.when(is_full_digits(stamp), digits_timestamp(stamp)).otherwise(rarely(stamp, general_timestamp))
+    fields = [judge_number(F.col(key)).alias(f"_{name}") for key, name in numbers.items()]
+    lines = lines.select("*", F.inline(F.array(F.struct(*fields, when.alias("_time")))))
+    reasons = [F.col("reject_reason")] if "reject_reason" in lines.columns else []
+    reasons += [F.when(F.col(f"_{name}.unusable"), f"{key} is no integer") for key, name in numbers.items()]
     cleaned = {
         "raw_id": F.col("raw_id"),
         "source_file": F.col("source_file"),
-        "crawl_timestamp": F.when(is_full_digits(whole), digits_timestamp(whole)).otherwise(F.get(odd, F.lit(len(numbers)))["time"]),
-        **value,
+        "crawl_timestamp": F.col("_time"),
+        **{name: F.col(f"_{name}.value") for name in numbers.values()},
         **{name: empty_to_null(F.col(name)) for name in ("urlkey", "url", "filename", "mime", "digest")},
     }
     return lines.select(
