@@ -77,20 +77,25 @@ def latest_ledger(ledger: DataFrame) -> DataFrame:
     return ledger.join(winners, ["load_batch", "source_path"], "left_semi")
 
 
-def bookmarks_from_ledger(ledger: DataFrame) -> DataFrame:
+def bookmarks_from_ledger(ledger: DataFrame, bookmarks: DataFrame | None = None) -> DataFrame:
     """Last page with records of every crawl, up to the first page that has not landed: a fetcher that goes on from there
-    leaves no gap. A page without records ends a crawl and is not one."""
+    leaves no gap. The run starts behind the stored bookmark of a crawl, or at page 0; a crawl whose next page has not landed
+    has no row. A page without records ends a crawl and is not one."""
     landed = (
         ledger.where(F.col("segment").isNotNull() & F.col("page").isNotNull())
-        .groupBy("segment", "page")
+        .groupBy(F.col("segment").alias("cc_index"), "page")
         .agg(F.max("records").alias("records"))
     )
-    in_order = Window.partitionBy("segment").orderBy("page")
-    run = F.col("page") - F.row_number().over(in_order)
-    first = F.min(F.col("page")).over(Window.partitionBy("segment")) - 1
+    if bookmarks is None:
+        landed = landed.withColumn("done", F.lit(-1).cast("long"))
+    else:
+        stored = bookmarks.select("cc_index", F.col("bookmark").alias("stored"))
+        landed = landed.join(stored, "cc_index", "left").withColumn("done", F.coalesce("stored", F.lit(-1).cast("long")))
+    in_order = Window.partitionBy("cc_index").orderBy("page")
     return (
-        landed.withColumn("unbroken", run == first)
-        .where("unbroken AND records > 0")
-        .groupBy(F.col("segment").alias("cc_index"))
+        landed.where("page > done")
+        .withColumn("nth", F.row_number().over(in_order))
+        .where("page = done + nth AND records > 0")
+        .groupBy("cc_index")
         .agg(F.max("page").alias("bookmark"))
     )

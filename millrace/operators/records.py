@@ -128,3 +128,13 @@ def index_flat(cleaned: DataFrame, inserted_at: Column) -> DataFrame:
             inserted_at.cast("timestamp_ntz").alias("inserted_at"),
         )
     )
+
+
+def repeated_keys(rows: DataFrame, keys: list[str], stored: DataFrame | None = None) -> DataFrame:
+    """Key values that more than one row has, in ``rows`` alone or with those ``stored`` before, and how many (n).
+
+    Exact counts with partial sums in the tasks: a key that very many rows have is no hot group. Of the stored table only the
+    keys are read. A key with a NULL in it is not counted: that is a broken constraint of its own.
+    """
+    parts = rows.select(*keys) if stored is None else rows.select(*keys).unionByName(stored.select(*keys))
+    return parts.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)).groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")

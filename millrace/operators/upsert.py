@@ -17,8 +17,11 @@ _ENTRY = ["name", "timegate", "cdx_api", "crawl_start", "crawl_end"]
 
 
 def reduce_catalog(incoming: DataFrame) -> DataFrame:
-    """One row per id: for each column the last non-NULL value in order of ``ord``."""
-    return incoming.where(F.col("id").isNotNull()).groupBy("id").agg(
+    """One row per id: for each column the last non-NULL value in order of ``ord``. Refused entries do not count."""
+    good = F.col("id").isNotNull()
+    if "reject_reason" in incoming.columns:
+        good = good & F.col("reject_reason").isNull()
+    return incoming.where(good).groupBy("id").agg(
         *(F.max_by(name, F.when(F.col(name).isNotNull(), F.col("ord"))).alias(name) for name in _ENTRY)
     )
 
@@ -35,8 +38,10 @@ def upsert_catalog(current: DataFrame, incoming: DataFrame, now: Column) -> Data
 
 
 def catalog_rejects(incoming: DataFrame) -> DataFrame:
-    """Entries without the required id."""
-    return incoming.where(F.col("id").isNull()).withColumn("reject_reason", F.lit("id is null"))
+    """Entries without the required id or with a date that is none, and the reason."""
+    if "reject_reason" not in incoming.columns:
+        incoming = incoming.withColumn("reject_reason", F.when(F.col("id").isNull(), "id is null"))
+    return incoming.where(F.col("reject_reason").isNotNull())
 
 
 def upsert_bookmarks(current: DataFrame, incoming: DataFrame, now: Column) -> DataFrame:

@@ -34,7 +34,7 @@ def load_catalog(spark: SparkSession, source: str, target: str, now: Column) ->
 def update_bookmarks(spark: SparkSession, target: str, now: Column) -> int:
     """Move the bookmark of every crawl to its last landed page."""
     current = read_current(spark, f"{target}/bookmarks", BOOKMARKS)
-    moved = upsert_bookmarks(current, bookmarks_from_ledger(ledger(spark, target)), now)
+    moved = upsert_bookmarks(current, bookmarks_from_ledger(ledger(spark, target), current), now)
     return write_next(moved, f"{target}/bookmarks", BOOKMARKS)
 
 

@@ -15,8 +15,8 @@ from .streams import PACKED_FILES, as_utf8, cut, declared_encoding, is_native, l
 RECORD_END = "</ABR>"
 # Fixed value: ending of plain register files, in any case of letters.
 PLAIN_FILES = "*.[xX][mM][lL]"
-# Chunks of one packed file that stay together when it is spread, about 50 MB of text.
-TOGETHER = 50_000
+# Chunks of one packed file that stay together when it is spread, about 1 MB of text.
+TOGETHER = 1_000
 # Row number inside a scan task: the low 33 bits of monotonically_increasing_id.
 _ROW_BITS = (1 << 33) - 1
 _END, _START = re.compile(rb"</ABR\s*>"), re.compile(rb"<ABR[\s/>]")
@@ -44,8 +44,8 @@ def discover_register_files(spark: SparkSession, path: str) -> DataFrame:
 def spread(chunks: DataFrame, parallelism: int | None = None) -> DataFrame:
     """Distribute stretches of ``TOGETHER`` chunks, whatever file they come from.
 
-    Parsing is far slower than inflating: a large packed file is inflated by one task and parsed by many.
-    Stretches rather than single chunks keep the number of files per task, and so of written parts, low.
+    Parsing is far slower than inflating: a large packed file is inflated by one task and parsed by many, and many small files
+    are evened out.
     """
     n = parallelism or int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return chunks.repartition(n, "source_file", "block", F.floor(F.col("seq") / TOGETHER))

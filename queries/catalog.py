@@ -58,7 +58,12 @@ def _second(spark: SparkSession, folder: str) -> DataFrame:
         n.alias("n"), (n * 2 + 1).alias("place"), F.when(n % 27 != 0, F.format_string("CC-NEW-%d", n)).alias("id"),
         F.col("c_name").alias("name"), none.alias("timegate"), none.alias("cdx-api"), none.alias("from"), none.alias("to"),
     )
-    return renamed.unionByName(twice).unionByName(new)
+    undated = customers.where(n % 11 == 3).select(
+        n.alias("n"), (n * 2 + 1).alias("place"), F.format_string("CC-UNDATED-%d", n).alias("id"), F.col("c_name").alias("name"),
+        none.alias("timegate"), none.alias("cdx-api"), F.when(n % 2 == 0, "soon").otherwise("2025-01-01").alias("from"),
+        F.when(n % 2 == 1, "2025-02-30T00:00:00").alias("to"),
+    )
+    return renamed.unionByName(twice).unionByName(new).unionByName(undated)
 
 
 def _catalog(spark, folder):
@@ -72,7 +77,7 @@ def _update(spark, folder):
 
 
 def _stored(spark, folder):
-    return _catalog(spark, folder).drop("ord").withColumn("created_at", F.lit(BEFORE).cast("timestamp_ntz"))
+    return _catalog(spark, folder).drop("ord", "reject_reason").withColumn("created_at", F.lit(BEFORE).cast("timestamp_ntz"))
 
 
 def _text(df: DataFrame, *stamps: str) -> DataFrame:
@@ -80,7 +85,7 @@ def _text(df: DataFrame, *stamps: str) -> DataFrame:
 
 
 def catalog_load(spark, folder):
-    return _text(_catalog(spark, folder).drop("ord"), "crawl_start", "crawl_end")
+    return _text(_catalog(spark, folder).drop("ord", "reject_reason"), "crawl_start", "crawl_end")
 
 
 def catalog_endpoints(spark, folder):
@@ -168,7 +173,10 @@ ORACLE = {
         UNION ALL
         SELECT 'CC-NEW-' || c_custkey, c_name, NULL, NULL, NULL, NULL, '{NOW}'
         FROM customer WHERE c_custkey % 9 = 0 AND c_custkey % 27 <> 0""",
-    "catalog_rejects": "SELECT c_name AS name, 'id is null' AS reject_reason FROM customer WHERE c_custkey % 27 = 0",
+    "catalog_rejects": """SELECT c_name AS name, 'id is null' AS reject_reason FROM customer WHERE c_custkey % 27 = 0
+        UNION ALL
+        SELECT c_name, CASE WHEN c_custkey % 2 = 0 THEN 'from' ELSE 'to' END || ' is no date'
+        FROM customer WHERE c_custkey % 11 = 3""",
     "bookmark_lookup": f"""WITH {_CATALOG_SQL}, {_BOOKMARK_SQL}
         SELECT cat.id AS cc_index, coalesce(bm.bookmark, 0) AS bookmark FROM cat LEFT JOIN bm ON bm.cc_index = cat.id""",
     "bookmark_upsert": f"""WITH {_BOOKMARK_SQL},

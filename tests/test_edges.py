@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import crawl_timestamp, is_unusable_number, iso_date, to_bigint
 from millrace.operators.pages import bookmarks_from_ledger, latest_blobs, latest_pages
-from millrace.operators.records import broken_constraints, index_flat
+from millrace.operators.records import broken_constraints, index_flat, repeated_keys
 from millrace.sources.blobs import oldest_blobs
 from millrace.streaming.pages import land_pages, landed_pages
 
@@ -54,8 +54,18 @@ def test_files_without_a_page_are_pages_of_their_own(spark):
 
 def test_bookmark_stops_before_a_gap(spark):
     rows = [("A", 0, 5), ("A", 1, 5), ("A", 5, 5), ("B", 0, 3), ("B", 1, 0), ("C", 4, 2), ("C", 4, 2), (None, 1, 1)]
-    found = bookmarks_from_ledger(spark.createDataFrame(rows, "segment string, page long, records long"))
-    assert {tuple(r) for r in found.collect()} == {("A", 1), ("B", 0), ("C", 4)}
+    ledger = spark.createDataFrame(rows, "segment string, page long, records long")
+    assert {tuple(r) for r in bookmarks_from_ledger(ledger).collect()} == {("A", 1), ("B", 0)}
+    stored = spark.createDataFrame([("A", 4), ("B", None), ("C", 3), ("D", 7)], "cc_index string, bookmark long")
+    assert {tuple(r) for r in bookmarks_from_ledger(ledger, stored).collect()} == {("A", 5), ("B", 0), ("C", 4)}
+
+
+def test_repeated_keys(spark):
+    kind = "k string, v long, w int"
+    rows = spark.createDataFrame([("a", 1, 0), ("a", 1, 1), ("b", 1, 0), ("c", 2, 0), (None, 1, 0), (None, 1, 0)], kind)
+    stored = spark.createDataFrame([("b", 1, 9), ("d", 5, 9), ("b", 2, 9)], kind)
+    assert {tuple(r) for r in repeated_keys(rows, ["k", "v"]).collect()} == {("a", 1, 2)}
+    assert {tuple(r) for r in repeated_keys(rows, ["k", "v"], stored).collect()} == {("a", 1, 2), ("b", 1, 2)}
 
 
 def test_values_beyond_the_narrow_types_are_rejects(spark):

@@ -101,3 +101,17 @@ def test_a_version_without_an_entry_does_not_count(spark, tmp_path):
     assert current_version(spark, path) == 1 and read_current(spark, path, schema).count() == 3
     assert write_next(spark.range(4).toDF("k"), path, schema) == 3
     assert read_current(spark, path, schema).count() == 4
+
+
+def test_entries_with_dates_that_are_none_are_rejects(spark, tmp_path):
+    target = str(tmp_path / "target")
+    source = write(tmp_path / "one", "c.json", [
+        {"id": "A", "from": "soon"}, {"id": "B", "to": "2025-02-30T00:00:00"}, {"id": "C", "from": "2025-01-01T00:00:00Z", "to": None},
+        {"from": "x"}, {"id": "D", "from": ""},
+    ])
+    load_catalog(spark, source, target, F.lit("2025-01-01"))
+    assert [r.id for r in read_current(spark, f"{target}/catalog", CATALOG).collect()] == ["C"]
+    refused = spark.read.parquet(f"{target}/catalog_rejects").select("id", "reject_reason").collect()
+    assert {tuple(r) for r in refused} == {
+        ("A", "from is no date"), ("B", "to is no date"), (None, "id is null"), ("D", "from is no date"),
+    }
