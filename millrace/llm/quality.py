@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import WordTable, flatten, map_texts, name, ragged, sums, worker_held
+from .text import WordTable, flatten, map_texts, name, ragged, sums, with_row, worker_held
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -154,8 +154,7 @@ def quality(
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", **how) -> DataFrame:
     """The documents that pass, with the columns of ``docs``; whole rows go through the same narrow pass."""
     rows = docs.select(F.struct(*map(name, docs.columns)).alias("row"), name(text).alias("text"), name(lang).alias("lang"))
-    kind = dict(rows.dtypes)["row"]
     columns = {"row": F.col("row"), "lang": F.col("lang").cast("string")}
-    schema = f"row {kind}, lang string, {MEASURES}"
+    schema = with_row(rows, f"lang string, {MEASURES}")
     measured = map_texts(rows, columns, F.col("text"), _measure(how.pop("vocabulary", VOCABULARY)), schema)
     return judged(measured, **how).where("kept").select("row.*")

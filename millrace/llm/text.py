@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
@@ -10,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # A word: a longest run without space, tab, line feed, vertical tab, form feed, carriage return. The same set
 # separates words in bytes.split(), so Python code splits UTF-8 bytes and needs no pattern.
@@ -26,6 +28,8 @@ def worker_held(key: tuple, make: Callable):
     stages holds the tables of the last only."""
     if key not in _held:
         _held.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _held[key] = make()
     return _held[key]
 
@@ -57,12 +61,21 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[
         start = end
 
 
+def schema_of(df: DataFrame, schema: str | StructType) -> StructType:
+    return schema if isinstance(schema, StructType) else df.sparkSession.createDataFrame([], schema).schema
+
+
+def with_row(rows: DataFrame, more: str) -> StructType:
+    """The type of column ``row`` as it is, whatever its fields are called, and further columns."""
+    return StructType([rows.schema["row"], *schema_of(rows, more).fields])
+
+
 def map_texts(
-    df: DataFrame, columns: dict[str, Column], text: Column, make: Callable[[], Callable], schema: str
+    df: DataFrame, columns: dict[str, Column], text: Column, make: Callable[[], Callable], schema: str | StructType
 ) -> DataFrame:
     """A narrow pass over whole texts. ``make()`` runs once a task and gives ``f(piece, texts) -> columns`` where
     ``piece`` holds ``columns`` and ``texts`` the UTF-8 bytes (null: empty); rows keep their order."""
-    out = df.sparkSession.createDataFrame([], schema).schema
+    out = schema_of(df, schema)
     narrow = df.select(*(c.alias(n) for n, c in columns.items()), F.coalesce(text, F.lit("")).cast("binary").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,6 +21,7 @@ and scored one by one; without examples, or with one label alone, every score is
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .text import CACHE_WORDS, map_texts, name, pieces
+from .text import CACHE_WORDS, map_texts, name, pieces, with_row, worker_held
 
 # Most labelled rows that are examples; most terms of the space; least chi-square of a term, and in how many different texts
 # of the examples it must stand.
@@ -230,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str, text: str, aside, ex
     spark = docs.sparkSession
     known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").select(
         F.col("doc_id").alias("of"), F.col("toxic").cast("int").alias("toxic")
-    )
+    ).distinct()
     known = known.where(~aside(F.col("of")))
     every = dict(known.groupBy("toxic").count().collect())
     every = [every.get(label, 0) for label in (0, 1)]
@@ -240,9 +241,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str, text: str, aside, ex
     first, second = (known.where(F.col("toxic") == y).orderBy(F.xxhash64("of"), "of").limit(t) for y, t in enumerate(take))
     chosen = first.unionByName(second)
     rows = docs.select(name(id_column).alias("doc_id"), F.coalesce(name(text), F.lit("")).cast("binary").alias("text"))
-    sample = stage(
-        rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("of")).select("doc_id", "toxic", "text"), "examples"
+    found = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("of")).select("doc_id", "toxic", "text").distinct()
+    # An id may have many rows of different texts: the bound holds for the examples themselves.
+    first, second = (
+        found.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(t) for y, t in enumerate(take)
     )
+    sample = stage(first.unionByName(second), "examples")
     texts = sample.select("toxic", "text").distinct()  # copies of one text would make its rare words look telling
     labels_seen = dict(texts.groupBy("toxic").count().collect())
     clean, toxic = labels_seen.get(0, 0), labels_seen.get(1, 0)
@@ -298,10 +302,12 @@ def scores(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text:
 
 def _scorer(docs, labels, id_column, text, aside, how, keep: tuple[str, ...] = ("doc_id", "held_out")):
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_column, text, aside, **how))
+    mark = uuid.uuid4().hex
 
     def make():
+        # What other operators left in this worker goes before the index comes.
+        terms = worker_held(("toxicity", mark), lambda: Terms(sent.value.space))
         index = sent.value
-        terms = Terms(index.space)
 
         def one_piece(piece: pa.RecordBatch, texts: list[bytes]):
             found = [index.score(terms.of_text(t)) for t in texts]
@@ -315,7 +321,7 @@ def _scorer(docs, labels, id_column, text, aside, how, keep: tuple[str, ...] = (
 def keep_clean(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", aside=held_out, **how) -> DataFrame:
     """The documents that are not predicted toxic, with the columns of ``docs``."""
     rows = docs.select(F.struct(*map(name, docs.columns)).alias("row"), name(text).alias("text"))
-    schema = f"row {dict(rows.dtypes)['row']}, score double, evidence array<int>"
+    schema = with_row(rows, "score double, evidence array<int>")
     scorer = _scorer(docs, labels, id_column, text, aside, how, ("row",))
     made = map_texts(rows, {"row": F.col("row")}, F.col("text"), scorer, schema)
     return made.where(F.col("score") < THRESHOLD).select("row.*")

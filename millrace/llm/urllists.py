@@ -63,13 +63,12 @@ def listed_captures(captures: DataFrame, intervals: DataFrame, url: str, day: st
         url_host(name(url)).alias("host"),
         name(day).cast("date").alias("fetched"),
     )
-    last = captures.agg(F.max(name(day).cast("date"))).first()[0]
-    horizon = F.lit(last).cast("date")
-    ends = F.least(F.coalesce(F.date_sub("until", 1), horizon), horizon)
-    months = (
-        intervals.where(F.col("since") <= horizon)
-        .select("list", "key", "since", "until", F.explode(F.sequence(_month(F.col("since")), _month(ends))).alias("month"))
-    )
+    # Months that captures were made in: no more than the calendar has, and one far date adds one.
+    fetched = captures.select(_month(name(day).cast("date")).alias("month")).where("month IS NOT NULL").distinct()
+    seen = F.lit(sorted(row.month for row in fetched.collect())).cast("array<int>")
+    first, last = _month(F.col("since")), _month(F.date_sub("until", 1))
+    valid = F.filter(seen, lambda month: (month >= first) & (F.col("until").isNull() | (month <= last)))
+    months = intervals.select("list", "key", "since", "until", F.explode(valid).alias("month"))
     keyed = rows.select(
         "*", F.explode_outer(F.when(F.col("host").isNotNull(), host_keys(F.col("host")))).alias("key"),
         _month(F.col("fetched")).alias("month"),
