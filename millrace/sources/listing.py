@@ -65,7 +65,8 @@ def snapshot(spark: SparkSession, path: str) -> DataFrame:
     while True:
         found = folders.repartition(tasks, "folder").mapInArrow(_lister(root), f"is_folder boolean, folder string, {LISTING}")
         found = stage(found, "listing")
-        levels.append(found.where("NOT is_folder").select("path", "size", "landed_at"))
+        at = F.date_trunc("millisecond", "landed_at").alias("landed_at")  # as exact as Spark's readers tell it
+        levels.append(found.where("NOT is_folder").select("path", "size", at))
         folders = found.where("is_folder").select("folder")
         if folders.isEmpty():
             break

@@ -11,6 +11,7 @@ from ..operators.pages import page_ledger
 from ..schemas import PAGE_KEYS
 from ..session import checked_broadcast, stage
 from ..sinks.landing import committed, next_batch, read_batch, read_landed, stream_id, write_batch, write_partitions
+from ..sources.listing import snapshot
 from ..sources.pages import read_index_pages, stream_index_pages
 
 
@@ -61,11 +62,9 @@ def land_batch(lines: DataFrame, target: str, load_batch: int, route: str = "bat
 
 def land_changed(spark: SparkSession, landing: str, target: str) -> int | None:
     """Land files anew that were overwritten in place since: their path is in the ledger with another time. The file
-    stream knows files by path and passes these over. A file of no bytes is not listed by Spark and leaves what was landed.
-    Returns the batch number, None if there are none."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing).select(
-        F.col("_metadata.file_path").alias("source_path"), F.col("_metadata.file_modification_time").alias("landed_at")
-    )
+    stream knows files by path and passes these over. The folders are listed by tasks; a file that has no bytes any more is
+    entered without lines, and so replaces what it had. Returns the batch number, None if there are none."""
+    listed = snapshot(spark, landing).select(F.col("path").alias("source_path"), "landed_at")
     version = F.struct("load_batch", "landed_at", "raw_id", "segment", "page", "source_file")
     known = ledger(spark, target).groupBy("source_path").agg(F.max(version).alias("last"))
     changed = stage(

@@ -19,6 +19,7 @@ from millrace.operators.upsert import unprocessed
 from millrace.plans.index_flatten import flatten_blobs_once, flatten_pages, page_records
 from millrace.sinks.blobs import pack_blobs
 from millrace.sources.blobs import decode_blobs, oldest_blobs, parquet_blobs, read_raw_pages
+from millrace.sources.listing import snapshot
 from millrace.sources.pages import read_index_pages
 from millrace.streaming import blobs as blob_stream
 from millrace.streaming import pages as page_stream
@@ -248,6 +249,7 @@ def test_files_overwritten_in_place_and_lost_checkpoint(spark, tmp_path):
         return {r.page: r.n for r in lines.groupBy("page").agg(F.count("*").alias("n")).collect()}
 
     assert pages() == {0: 3, 1: 4}
+    assert {r.path for r in snapshot(spark, str(landing)).collect()} == {r.source_path for r in page_stream.ledger(spark, target).collect()}
     os.rename(f"{target}/_checkpoint", tmp_path / "lost")
     write_page(landing, "S", 3, [line(9)])
     page_stream.land_pages(spark, str(landing), target).awaitTermination(120)
@@ -284,3 +286,16 @@ def test_damaged_packed_pages_are_one_reject_each(spark, tmp_path, streamed):
     ]
     assert {r.raw for r in rows if r.reject_reason == "malformed json"} == {'{"cut'}
     assert all(r.landed_at is not None and r.source_path.startswith("file:") for r in rows)
+
+
+def test_a_page_overwritten_with_no_bytes_loses_its_lines(spark, tmp_path):
+    landing, target = tmp_path / "in" / "day 1", str(tmp_path / "out")
+    write_page(landing, "S", 0, [line(1)])
+    write_page(landing, "S", 1, [line(2), line(3)])
+    page_stream.land_pages(spark, str(tmp_path / "in"), target).awaitTermination(120)
+    assert page_stream.land_changed(spark, str(tmp_path / "in"), target) is None
+    (landing / "S-1.jsonl").write_bytes(b"")
+    assert page_stream.land_changed(spark, str(tmp_path / "in"), target) == 2
+    assert page_stream.land_changed(spark, str(tmp_path / "in"), target) is None
+    lines = latest_pages(page_stream.landed_pages(spark, target), page_stream.ledger(spark, target))
+    assert [r.page for r in lines.collect()] == [0]
