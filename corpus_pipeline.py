@@ -4,7 +4,8 @@ Each stage is a function (spark, docs, sf_dir) -> DataFrame over all rows its pr
 columns of the documents, whatever these are. A stage's result is written as Parquet in the shared folder and read again.
 
 Nulls and odd input: a text that is null or empty fails the quality rules; repeated rows pass these and the toxicity stage
-alike, and one of them passes the near-duplicate stage; the mix gives a document as often as its source's rate says.
+alike, and one of them passes the near-duplicate stage; the mix gives a document as often as its source's rate says. Further
+columns may have any name. Near duplicates are linked as the operator links them: five words, 85 of 100 shingles in common.
 """
 
 from __future__ import annotations
@@ -48,7 +49,8 @@ STAGES = [
     ("word BPE", word_bpe),
 ]
 
-# Tokenisers, nearest examples and sketches are beyond SQL: tests compare each stage with a brute-force version.
+# Tokenisers, nearest examples and sketches are beyond SQL. tests/llm/test_pipeline.py holds the base rules, near duplicates,
+# the mix and the tokens against brute force, and the verdicts of the token bands and of toxicity against the operators' scores.
 ORACLE_SQL = None
 
 
