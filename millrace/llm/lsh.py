@@ -3,8 +3,9 @@
 A table hashes a vector by ``floor((a . v + b) / width)`` for some Gaussian directions a. A query visits the buckets of
 each table in the order of the probability that a neighbour at the expected distance lies there (each direction's
 difference is Gaussian), until these probabilities sum to the share that gives ``recall`` over all tables; so the number
-of probes follows from the query and is not capped. The first expected distance is the median over a bounded sample. The
-directions of a table grow with the logarithm of the row count.
+of probes follows from the query and is not capped. The first expected distance is one that nine of ten rows of a bounded
+sample have their k-th neighbour within. The numbers of tables and of directions a table are those of the least cost, by the
+probes and candidates of some queries of the sample.
 
 Each query's own result is checked: with fewer than k neighbours, or a k-th one beyond the distance probed for, it is
 probed again for its own distance, that of the k-th neighbour found or of the k-th in the sample, whichever is less; both
@@ -37,11 +38,16 @@ from pyspark.sql.window import Window
 from ..session import stage
 from .text import name
 
-K, TABLES, RECALL, SAMPLE, WIDTH, SMALL = 10, 4, 0.985, 2_000, 2.0, 2_000
+K, TABLES, RECALL, SAMPLE, WIDTH, SMALL = 10, (1, 2, 4), 0.985, 2_000, 2.0, 2_000
+# Seconds for a probe, for measuring a candidate and for a row in a table of the index; queries tried for the choice of tables,
+# and probes beyond which a choice is out of the question.
+A_PROBE, A_CANDIDATE, AN_ENTRY, TRIED, PROBES = 60e-6, 0.2e-6, 30e-6, 24, 500
 ROWS_A_BLOCK, QUERIES_A_BLOCK = 512, 256
 # Further rounds of probing; how far beyond the distance of a round its tables are probed; open queries that are compared
 # with every row at once, as this costs less than a round; most open queries that are broadcast for that.
 REPROBES, BEYOND, EXACT, SENT = 3, 1.25, 256, 16_384
+# Part of the sample's queries whose distance to the k-th neighbour the first round is made for.
+FIRST = 0.9
 
 
 @dataclass
@@ -55,7 +61,7 @@ class Tables:
     share: float  # of the neighbours, in the probed buckets of one table
 
     @staticmethod
-    def draw(dimensions: int, functions: int, distance: float, tables: int = TABLES, recall: float = RECALL, seed: int = 7) -> Tables:
+    def draw(dimensions: int, functions: int, distance: float, tables: int = 4, recall: float = RECALL, seed: int = 7) -> Tables:
         rng = np.random.default_rng(seed)
         width = WIDTH * distance
         return Tables(
@@ -76,8 +82,9 @@ class Tables:
                 key ^= key >> np.uint64(29)
         return key.view(np.int64)
 
-    def probes(self, place: np.ndarray, distance: float | None = None) -> np.ndarray:
-        """Slots of the buckets of one table to visit, likeliest first, for a query at ``place`` (and its own distance)."""
+    def probes(self, place: np.ndarray, distance: float | None = None, most: float = math.inf) -> np.ndarray:
+        """Slots of the buckets of one table to visit, likeliest first, for a query at ``place`` (and its own distance); for an
+        estimate of the cost no more than ``most``."""
         sigma = (self.distance if distance is None else distance) / self.width
         reach = max(1, math.ceil(4 * sigma))
         steps = np.arange(-reach, reach + 1)
@@ -91,7 +98,7 @@ class Tables:
         base = math.exp(-loss[:, 0].sum())
         # function by function, the ranks of the next best step: states in order of their probability
         found, total, heap, seen = [], 0.0, [(0.0, (0,) * len(place))], {(0,) * len(place)}
-        while heap and total < self.share:
+        while heap and total < self.share and len(found) < most:
             lost, ranks = heapq.heappop(heap)
             found.append(ranks)
             total += base * math.exp(-lost)
@@ -104,6 +111,28 @@ class Tables:
         return home + steps[order[np.arange(len(place)), np.array(found)]]
 
 
+def choose(sample: np.ndarray, distance: float, rows: int, asked: int, recall: float = RECALL) -> tuple[int, int]:
+    """Tables and functions a table of the least cost: what ``TRIED`` queries of the sample need in probes and find in candidates,
+    and what the index costs. More functions make smaller buckets, of which more must be visited: where vectors have little
+    contrast the probes multiply and the candidates hardly fall."""
+    tried = sample[:: max(1, len(sample) // TRIED)][:TRIED]
+    best = (math.inf, 1, 1)
+    for tables in TABLES:
+        least = math.inf
+        for functions in range(1, max(2, round(math.log2(max(2, rows))) - 4)):
+            of = Tables.draw(sample.shape[1], functions, distance, 1, 1 - (1 - recall) ** (1 / tables))
+            there, places = of.keys(np.floor(of.places(sample)))[:, 0], of.places(tried)[:, 0]
+            probes = [of.keys(of.probes(p, most=PROBES)) for p in places]
+            share = np.mean([np.isin(there, p).mean() for p in probes])
+            visited = np.mean([len(p) for p in probes])
+            cost = tables * (asked * (visited * A_PROBE + share * rows * A_CANDIDATE) + rows * AN_ENTRY)
+            best = min(best, (cost, tables, functions))
+            if cost > 2 * least or visited >= PROBES:  # the probes outgrow what they save
+                break
+            least = min(least, cost)
+    return best[1:]
+
+
 def valid_vectors(df: DataFrame, id_column: str, vector: str) -> DataFrame:
     """(id, v array<double>) of the rows that take part."""
     v = F.transform(name(vector), lambda x: x.cast("double"))
@@ -122,10 +151,14 @@ def _sample_distance(sample: np.ndarray, k: int) -> float:
     """Median distance to the k-th neighbour within the sample."""
     if len(sample) < 3:
         return 1.0
+    return float(np.median(_kth(sample, k))) or float(_kth(sample, len(sample)).mean()) or 1.0
+
+
+def _kth(sample: np.ndarray, k: int) -> np.ndarray:
+    """Distance of each row of the sample to its k-th neighbour there."""
     square = (sample**2).sum(1)
     apart = np.sqrt(np.maximum(square[:, None] + square - 2 * sample @ sample.T, 0))
-    kth = np.sort(apart, axis=1)[:, min(k, len(sample) - 1)]
-    return float(np.median(kth)) or float(apart.mean()) or 1.0
+    return np.sort(apart, axis=1)[:, min(k, len(sample) - 1)]
 
 
 def _bounds(batches, sample, k: int):
@@ -190,7 +223,6 @@ def nearest(df: DataFrame, queries: Column, id_column: str = "vec_id", vector: s
     lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     d, n = (lengths[0]["d"], lengths[0]["n"]) if lengths else (1, 0)
     rows = rows.where(F.size("v") == d)
-    functions = max(2, round(math.log2(max(2, n))) - 5)
     whole = n <= SMALL
     context = df.sparkSession.sparkContext
     ids, sample = _sample(rows)
@@ -204,7 +236,11 @@ def nearest(df: DataFrame, queries: Column, id_column: str = "vec_id", vector: s
 
     if whole:
         return best(_probed(rows, asked, Tables.draw(d, 1, distance, 1, 1.0), k, True))
-    found = stage(best(_probed(rows, asked, Tables.draw(d, functions, distance, recall=recall), k)), "found")
+    many = asked.count()
+    first = max(distance, float(np.quantile(_kth(sample, k), FIRST)))  # most queries are done after the first round
+    asked = asked.withColumn("probed", F.lit(first))
+    tables, functions = choose(sample, first, n, many, recall)
+    found = stage(best(_probed(rows, asked, Tables.draw(d, functions, first, tables, recall), k)), "found")
     _, one = np.unique(ids, return_index=True)
     sent = context.broadcast((ids[one], sample[one]))
     for again in range(REPROBES + 1):
@@ -216,14 +252,15 @@ def nearest(df: DataFrame, queries: Column, id_column: str = "vec_id", vector: s
         many = left.count()
         if not many:
             return found
-        middle = max(distance, left.approxQuantile("own", [0.5], 0.01)[0])
+        middle = max(first, left.approxQuantile("own", [0.5], 0.01)[0])
         if again == REPROBES or many <= EXACT or middle == float("inf"):
             more = _compared(rows, left, many, k)
             return best(found.drop("rank").unionByName(more))
         asked = left.select("id", "v", F.least("own", F.lit(middle * BEYOND)).alias("probed"))
-        asked = asked.withColumn("probed", F.greatest("probed", F.lit(distance)))
-        tables = Tables.draw(d, functions, middle, recall=recall, seed=8 + again)
-        found = stage(best(found.drop("rank").unionByName(_probed(rows, asked, tables, k))), "found")
+        asked = asked.withColumn("probed", F.greatest("probed", F.lit(first)))
+        tables, functions = choose(sample, middle, n, many, recall)
+        drawn = Tables.draw(d, functions, middle, tables, recall, seed=8 + again)
+        found = stage(best(found.drop("rank").unionByName(_probed(rows, asked, drawn, k))), "found")
 
 
 def _probed(rows: DataFrame, asked: DataFrame, tables: Tables, k: int, whole: bool = False) -> DataFrame:
