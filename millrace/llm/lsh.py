@@ -38,7 +38,7 @@ from pyspark.sql.window import Window
 from ..session import stage
 from .text import name
 
-K, TABLES, RECALL, SAMPLE, WIDTH, SMALL = 10, (1, 2, 4), 0.985, 2_000, 2.0, 2_000
+K, TABLES, FUNCTIONS, RECALL, SAMPLE, WIDTH, SMALL = 10, (2, 4), 4, 0.985, 2_000, 2.0, 2_000
 # Seconds for a probe, for measuring a candidate and for a row in a table of the index; queries tried for the choice of tables,
 # and probes beyond which a choice is out of the question.
 A_PROBE, A_CANDIDATE, AN_ENTRY, TRIED, PROBES = 60e-6, 0.2e-6, 30e-6, 24, 500
@@ -116,10 +116,10 @@ def choose(sample: np.ndarray, distance: float, rows: int, asked: int, recall: f
     and what the index costs. More functions make smaller buckets, of which more must be visited: where vectors have little
     contrast the probes multiply and the candidates hardly fall."""
     tried = sample[:: max(1, len(sample) // TRIED)][:TRIED]
-    best = (math.inf, 1, 1)
+    best = (math.inf, TABLES[0], FUNCTIONS)
     for tables in TABLES:
         least = math.inf
-        for functions in range(1, max(2, round(math.log2(max(2, rows))) - 4)):
+        for functions in range(FUNCTIONS, max(FUNCTIONS + 1, round(math.log2(max(2, rows))) - 4)):
             of = Tables.draw(sample.shape[1], functions, distance, 1, 1 - (1 - recall) ** (1 / tables))
             there, places = of.keys(np.floor(of.places(sample)))[:, 0], of.places(tried)[:, 0]
             probes = [of.keys(of.probes(p, most=PROBES)) for p in places]
