@@ -119,14 +119,15 @@ class WordTable:
         self.values, self.lengths = [v[at] for v in self.values], self.lengths[rows]
         self.index = WordIndex(zip(kept, range(len(kept))))
 
-    def rows(self, words: list[bytes]) -> np.ndarray:
+    def rows(self, words: list[bytes] | list[str]) -> np.ndarray:
         """Row of each word; its values are values[k][starts[row] : starts[row] + lengths[row]]."""
         if len(self.index) > self.most:
             self._keep(words)
         seen = len(self.index)
         rows = self.index.rows(words)
         if len(self.index) > seen:
-            lengths, *values = self.learn([w.decode() for w in islice(self.index, seen, None)])
+            new = islice(self.index, seen, None)
+            lengths, *values = self.learn([w if isinstance(w, str) else w.decode() for w in new])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.values = [np.concatenate([old, new]) for old, new in zip(self.values, values)]
         self.starts = np.cumsum(self.lengths) - self.lengths

@@ -1,7 +1,8 @@
 """Toxicity from the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, weighted votes.
 
-Terms are words and the 4-letter runs of words (word ends marked), lower-cased. The space has the terms whose presence in
-the labelled examples goes with the label (chi-square), as other terms would only add the noise of chance neighbours; their
+Terms are words and the 4-letter runs of words (word ends marked), lower-cased. The space has every term whose presence in
+the labelled examples goes with the label: rare or frequent, as many as there are, so that of those chosen at most one in a
+hundred (``FALSE_SHARE``) is expected to be there by chance. Other terms would only add the noise of chance neighbours. Their
 document counts, for the inverse document frequency, are taken over all training documents. The examples are a bounded
 sample by label and hash (``examples`` rows, of a rare label at least one in ``LEAST_SHARE`` or all there are), weighted
 back to the labels' shares in the calibration; everything else covers all rows.
@@ -31,11 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .text import CACHE_WORDS, map_texts, name, pieces, with_row, worker_held
+from .text import WordTable, map_texts, name, pieces, ragged, with_row, worker_held
 
-# Most labelled rows that are examples; most terms of the space; least chi-square of a term, and in how many different texts
-# of the examples it must stand.
-EXAMPLES, TERMS, CHI_SQUARE, LEAST_EXAMPLES, LEAST_SHARE = 8_000, 4_096, 40.0, 4, 8
+# Most labelled rows that are examples; of a rare label at least one in LEAST_SHARE.
+EXAMPLES, LEAST_SHARE = 8_000, 8
+# Terms of the space: the share that may be there by chance, and how many times the share of toxic examples a term must have
+# among the texts that hold it.
+FALSE_SHARE, LIFT = 0.01, 2.0
 NEIGHBOURS, BLOCK = 25, 64
 THRESHOLD = 0.3
 GRAM = 4
@@ -43,41 +46,50 @@ GRAM = 4
 _WORDS = re.compile(r"[^\W_]+")
 
 
+def terms_of(word: str) -> set[str]:
+    marked = f"<{word}>"
+    return {marked, *(marked[i : i + GRAM] for i in range(len(marked) - GRAM + 1))}
+
+
+def words_of(text: bytes) -> list[str]:
+    return _WORDS.findall(text.decode().lower())
+
+
 class Terms:
-    """Terms of words, with a bounded memory of words already split."""
-
-    def __init__(self, space: dict[str, int] | None = None):
-        self.space, self.known = space, {}
-
-    def of_word(self, word: str) -> tuple:
-        found = self.known.get(word)
-        if found is None:
-            marked = f"<{word}>"
-            found = {marked, *(marked[i : i + GRAM] for i in range(len(marked) - GRAM + 1))}
-            if self.space is not None:
-                found = [self.space[t] for t in found if t in self.space]
-            found = tuple(found)
-            if len(self.known) > CACHE_WORDS:
-                self.known.clear()
-            self.known[word] = found
-        return found
-
-    def of_text(self, text: bytes) -> Counter:
-        out: Counter = Counter()
-        for word, n in Counter(_WORDS.findall(text.decode().lower())).items():
-            for term in self.of_word(word):
-                out[term] += n
-        return out
+    """Numbers of the terms of texts, with a bounded memory of words already split."""
+
+    def __init__(self, space: dict[str, int]):
+        self.space = space
+        self.table = WordTable(self._learn, (np.int64,))
+
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [[self.space[t] for t in terms_of(w) if t in self.space] for w in words]
+        return np.array([len(f) for f in found], np.int64), np.array([t for f in found for t in f], np.int64)
+
+    def counts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bounds of each text, its terms in ascending order and how often it has them, end to end."""
+        words: list[str] = []
+        size = np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            own = words_of(text)
+            size[i] = len(own)
+            words += own
+        rows = self.table.rows(words)
+        lengths = self.table.lengths[rows]
+        at = ragged(self.table.starts[rows], lengths)
+        text = np.repeat(np.repeat(np.arange(len(texts)), size), lengths)
+        every = max(1, len(self.space))
+        key, times = np.unique(text * every + self.table.values[0][at], return_counts=True)
+        return np.searchsorted(key // every, np.arange(len(texts) + 1)), key % every, times
 
 
 def _term_rows(batches):
     """(term, clean, toxic): how many texts of each label hold a term, for each piece."""
-    terms = Terms()
     for batch in batches:
         for piece in pieces(batch, "text"):
             found = (Counter(), Counter())
             for text, label in zip(piece.column("text").to_pylist(), piece.column("toxic").to_pylist()):
-                found[label].update(terms.of_text(text).keys())
+                found[label].update(set().union(*map(terms_of, set(words_of(text)))))
             every = list(found[0].keys() | found[1].keys())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(every, pa.string()), *(pa.array([f[t] for t in every], pa.int64()) for f in found)],
@@ -132,37 +144,38 @@ class Index:
         index.calibrate([vectors[i] for i in full])
         return index
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the nearest examples, nearest first, ties to the smaller example number."""
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, above: float = -1.0) -> tuple[np.ndarray, np.ndarray]:
+        """Places and cosines of the nearest examples, nearest first, ties to the smaller example number; blocks that cannot
+        reach ``above`` are left out."""
         blocks, size = self.most.shape[1], len(self.label)
-        if not blocks:
-            return np.zeros(0, np.int64), np.zeros(0)
         bound = weights @ self.most[terms]
         order = np.argsort(-bound, kind="stable")
-        found, scores, least = np.zeros(0, np.int64), np.zeros(0), -1.0
-        for first in range(0, blocks, 4):
-            some = order[first : first + 4]
+        order = order[: np.count_nonzero(bound >= above)]
+        found, scores, least = np.zeros(0, np.int64), np.zeros(0), above
+        first, step = 0, 4
+        while first < len(order):
+            some = order[first : first + step]
+            first, step = first + step, 2 * step
             some = some[bound[some] + 1e-9 >= least]
             if not len(some):
                 break
-            for b in some:
-                sums = np.zeros(min(BLOCK, size - b * BLOCK))
-                for t, w in zip(terms, weights):
-                    cell = t * blocks + b
-                    a, z = self.starts[cell], self.starts[cell + 1]
-                    if z > a:
-                        sums[self.place[a:z] - b * BLOCK] += w * self.weight[a:z]
-                found = np.concatenate([found, b * BLOCK + np.arange(len(sums))])
-                scores = np.concatenate([scores, sums])
+            cells = (terms[:, None] * blocks + some).ravel()
+            starts = self.starts[cells]
+            lengths = self.starts[cells + 1] - starts
+            at = ragged(starts, lengths)
+            sums = np.bincount(self.place[at], np.repeat(np.repeat(weights, len(some)), lengths) * self.weight[at], size)
+            places = (some[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            places = places[places < size]
+            found, scores = np.concatenate([found, places]), np.concatenate([scores, sums[places]])
             best = np.lexsort((self.number[found], -np.round(scores, 12)))[:k]
             found, scores = found[best], scores[best]
             if len(found) == k:
-                least = scores[-1]
+                least = max(above, scores[-1])
         return found, scores
 
     def vote(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, np.ndarray]:
         """Share of toxic among the neighbours, weighted by nearness, and their places; ``without`` is no neighbour."""
-        places, cosine = self.nearest(terms, weights, self.neighbours + (without >= 0))
+        places, cosine = self.nearest(terms, weights, self.neighbours + (without >= 0), above=1e-12)
         near = (cosine > 0) & (places != without)
         places, cosine = places[near][: self.neighbours], np.minimum(cosine[near], 1.0)[: self.neighbours]
         weight = 1 / (0.1 + np.sqrt(2 - 2 * cosine))  # distance of unit vectors
@@ -185,32 +198,73 @@ class Index:
         self.meaning = np.array([0.0, *(s for s in share for _ in range(2)), 1.0])
         self.meaning = np.maximum.accumulate(self.meaning)
 
-    def score(self, counts: dict[int, int]) -> tuple[float, list[int]]:
+    def score(self, terms: np.ndarray, times: np.ndarray) -> tuple[float, list[int]]:
         """Score of a document and the example numbers it rests on."""
-        if not counts:
+        if not len(terms):
             return self.empty, []
-        vote, places = self.vote(*unit(counts, self.idf))
+        vote, places = self.vote(terms, _weights(terms, times, self.idf))
         sure = float(np.interp(vote, self.votes, self.meaning))
         return min(1.0, max(0.0, 0.98 * sure + 0.02 * vote)), self.number[places].tolist()  # votes still order equal shares
 
+    def scores(self, bounds: np.ndarray, terms: np.ndarray, times: np.ndarray) -> list[tuple[float, list[int]]]:
+        """Scores of the texts of a piece; those with the same terms are scored once."""
+        known: dict[bytes, tuple[float, list[int]]] = {}
+        out = []
+        for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            key = terms[a:z].tobytes() + times[a:z].tobytes()
+            if key not in known:
+                known[key] = self.score(terms[a:z], times[a:z])
+            out.append(known[key])
+        return out
+
+
+def _weights(terms: np.ndarray, times: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Weights of length 1: (1 + log tf) * idf."""
+    weight = (1 + np.log(times)) * idf[terms]
+    length = np.sqrt((weight**2).sum())
+    return weight / length if length else weight
+
 
 def unit(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(terms, weights) of length 1: (1 + log tf) * idf."""
+    """(terms, weights) of length 1."""
     terms = np.array(sorted(counts), np.int64)
-    weight = (1 + np.log(np.array([counts[t] for t in terms.tolist()], float))) * idf[terms] if len(terms) else np.zeros(0)
-    length = np.sqrt((weight**2).sum())
-    return terms, weight / length if length else weight
+    return terms, _weights(terms, np.array([counts[t] for t in terms.tolist()], float), idf)
+
+
+def _by_chance(texts: int, share: float, logs: np.ndarray) -> np.ndarray:
+    """Chance that at least 0, 1, ..., ``texts`` of a term's texts are toxic if each is with chance ``share``; ``logs`` are
+    the logarithms of the factorials."""
+    n = np.arange(texts + 1)
+    each = logs[texts] - logs[n] - logs[texts - n] + n * np.log(share) + (texts - n) * np.log1p(-share)
+    return np.minimum(np.cumsum(np.exp(each)[::-1])[::-1], 1.0)
 
 
 def choose_terms(counts: DataFrame, clean: int, toxic: int) -> list[str]:
-    """Terms whose presence goes with the label, strongest first: at most TERMS, each in a larger part of the toxic examples
-    than of the clean ones."""
-    n, a, b = F.lit(float(clean + toxic)), F.col("toxic").cast("double"), F.col("clean").cast("double")
-    c, d = F.lit(float(toxic)) - a, F.lit(float(clean)) - b
-    chi = n * F.pow(a * d - b * c, F.lit(2)) / ((a + b) * (c + d) * (a + c) * (b + d))
-    rows = counts.where((a + b >= LEAST_EXAMPLES) & (a * float(clean) > b * float(toxic))).select("term", chi.alias("chi"))
-    rows = rows.where(F.col("chi") >= CHI_SQUARE).orderBy(F.desc("chi"), "term").limit(TERMS).collect()
-    return [r["term"] for r in rows]
+    """Terms that go with the label more often than chance lets them: the bound on the chance of a term is the largest one
+    at which FALSE_SHARE of the chosen terms are expected to be no better than any other, counted by how many texts hold a
+    term (a term of two texts cannot be as sure as one of twenty). ``counts``: a row a term of the examples."""
+    share = toxic / (clean + toxic)
+    alike = counts.groupBy("clean", "toxic").count().collect()  # by the examples at most as many as their terms
+    logs = np.concatenate([np.zeros(1), np.cumsum(np.log(np.arange(1, clean + toxic + 1)))])
+    held: Counter = Counter()
+    for r in alike:
+        held[r["clean"] + r["toxic"]] += r["count"]
+    chances = {n: _by_chance(n, share, logs) for n in held}
+    bounds = np.logspace(-1, -12, 111)
+    expected = np.zeros(len(bounds))
+    for n, chance in chances.items():
+        reached = chance[np.minimum(len(chance) - 1, np.searchsorted(-chance, -bounds))]
+        expected += held[n] * np.where(reached <= bounds, reached, 0.0)
+    better = [r for r in alike if r["toxic"] > 1 and r["toxic"] >= min(LIFT * share, (1 + share) / 2) * (r["clean"] + r["toxic"])]
+    reached = np.array([chances[r["clean"] + r["toxic"]][r["toxic"]] for r in better])
+    terms = np.array([r["count"] for r in better])
+    chosen = (reached[:, None] <= bounds).T @ terms if better else np.zeros(len(bounds))
+    sure = np.flatnonzero((expected <= FALSE_SHARE * chosen) & (chosen > 0))
+    if not len(sure):
+        return []
+    pairs = [(r["clean"], r["toxic"]) for r, chance in zip(better, reached) if chance <= bounds[sure[0]]]
+    of = counts.sparkSession.createDataFrame(pairs, counts.select("clean", "toxic").schema)
+    return sorted(r["term"] for r in counts.join(F.broadcast(of), ["clean", "toxic"], "left_semi").select("term").collect())
 
 
 def held_out(doc_id: Column, parts: int = 4, part: int = 2) -> Column:
@@ -251,7 +305,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str, text: str, aside, ex
     labels_seen = dict(texts.groupBy("toxic").count().collect())
     clean, toxic = labels_seen.get(0, 0), labels_seen.get(1, 0)
     found = texts.mapInArrow(_term_rows, "term string, clean long, toxic long")
-    counts = found.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = stage(found.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "counts")
     space = {t: i for i, t in enumerate(choose_terms(counts, clean, toxic) if clean and toxic else [])}
 
     # document counts of the terms over all training documents: a row a term and task at most
@@ -260,9 +314,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str, text: str, aside, ex
     def count(batches):
         terms, n, seen = Terms(space), 0, np.zeros(len(space), np.int64)
         for batch in batches:
-            for body in batch.column("text").to_pylist():
-                n += 1
-                seen[list(terms.of_text(body))] += 1
+            for piece in pieces(batch, "text"):
+                n += piece.num_rows
+                seen += np.bincount(terms.counts(piece.column("text").to_pylist())[1], minlength=len(seen))
         held = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(held, -1), pa.int32()), pa.array(np.append(seen[held], n), pa.int64())], ["term", "n"]
@@ -274,9 +328,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str, text: str, aside, ex
     idf = np.array([np.log((1 + every) / (1 + df.get(t, 0))) + 1 for t in range(len(space))])
 
     def vectors(piece: pa.RecordBatch, texts: list[bytes]):
-        terms = Terms(space)
-        found = [terms.of_text(t) for t in texts]
-        return [piece.column("doc_id"), piece.column("toxic"), [list(f) for f in found], [list(f.values()) for f in found]]
+        bounds, terms, times = Terms(space).counts(texts)
+        lists = (pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(x, pa.int32())) for x in (terms, times))
+        return [piece.column("doc_id"), piece.column("toxic"), *lists]
 
     kind = dict(rows.dtypes)["doc_id"]
     table = map_texts(
@@ -310,7 +364,7 @@ def _scorer(docs, labels, id_column, text, aside, how, keep: tuple[str, ...] = (
         index = sent.value
 
         def one_piece(piece: pa.RecordBatch, texts: list[bytes]):
-            found = [index.score(terms.of_text(t)) for t in texts]
+            found = index.scores(*terms.counts(texts))
             return [*(piece.column(c) for c in keep), [s for s, _ in found], [e for _, e in found]]
 
         return one_piece
