@@ -1,8 +1,8 @@
 """Toxicity from the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, weighted votes.
 
 Terms are words and the 4-letter runs of words (word ends marked), lower-cased. The space has every term whose presence in
-the labelled examples goes with the label: rare or frequent, as many as there are, so that of those chosen at most one in a
-hundred (``FALSE_SHARE``) is expected to be there by chance. Other terms would only add the noise of chance neighbours. Their
+the labelled examples goes with the label: rare or frequent, as many as there are, so that of those chosen at most one in
+twenty (``FALSE_SHARE``) is expected to be there by chance. Other terms would only add the noise of chance neighbours. Their
 document counts, for the inverse document frequency, are taken over all training documents. The examples are a bounded
 sample by label and hash (``examples`` rows, of a rare label at least one in ``LEAST_SHARE`` or all there are), weighted
 back to the labels' shares in the calibration; everything else covers all rows.
@@ -38,7 +38,7 @@ from .text import WordTable, map_texts, name, pieces, ragged, with_row, worker_h
 EXAMPLES, LEAST_SHARE = 8_000, 8
 # Terms of the space: the share that may be there by chance, and how many times the share of toxic examples a term must have
 # among the texts that hold it.
-FALSE_SHARE, LIFT = 0.01, 2.0
+FALSE_SHARE, LIFT = 0.05, 2.0
 NEIGHBOURS, BLOCK = 25, 64
 THRESHOLD = 0.3
 GRAM = 4
