@@ -22,6 +22,9 @@ _SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Tasks write few partition folders each: no sort by partition value for up to this many open files.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
+    # Shuffle files go when their query has ended, not when the driver next collects garbage: a job of many rounds would keep
+    # those of all its rounds. A result that is run again is computed again.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # A row of a blob table is a whole file: hand few of them to Python at once.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
@@ -66,20 +69,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 @contextmanager
 def passing_stages(spark: SparkSession) -> Iterator[str]:
     """Everything staged inside is deleted at the end, in stores that can be reached from here."""
-    from pyarrow import ArrowInvalid, fs
-
     folder = f"{shared_dir(spark)}/millrace/passing-{uuid.uuid4().hex}"
     token = _stages.set(folder)
     try:
         yield folder
     finally:
         _stages.reset(token)
-        try:
-            store, path = fs.FileSystem.from_uri(folder)
-            if store.get_file_info(path).type == fs.FileType.Directory:
-                store.delete_dir(path)
-        except ArrowInvalid:  # a store that only Spark knows
-            pass
+        _delete(folder)
+
+
+def _delete(folder: str) -> None:
+    from pyarrow import ArrowInvalid, fs
+
+    try:
+        store, path = fs.FileSystem.from_uri(folder)
+        if store.get_file_info(path).type == fs.FileType.Directory:
+            store.delete_dir(path)
+    except ArrowInvalid:  # a store that only Spark knows
+        pass
 
 
 def stage(df: DataFrame, name: str, *by: str) -> DataFrame:
@@ -89,6 +96,13 @@ def stage(df: DataFrame, name: str, *by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*(F.col(f"`{c}`") for c in df.columns))
 
 
+def drop_staged(df: DataFrame) -> None:
+    """Delete a table that ``stage`` wrote without partitions and nothing reads any more."""
+    file = next(iter(df.inputFiles()), "")
+    if "/millrace/" in file:
+        _delete(file.rsplit("/", 1)[0])
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Count a staged or narrow table (distributed, no rows move) and compare."""
     return df.count() <= max_rows
