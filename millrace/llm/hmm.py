@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import drop_staged, stage
 from .text import map_texts, name, pieces, sums
 
 STATES, ROUNDS, HEAD = 8, 4, 131_072  # the head says what is broadcast, not what is learnt
@@ -229,10 +229,10 @@ def _joined(encoded: DataFrame, uses: DataFrame | None, tail: DataFrame | None,
     """With (wids, emits) of each text's tail words, in their order; unseen ones (wid -1) have the class's emissions."""
     if tail is None:
         return encoded
-    of_class = F.array(*(F.lit(float(x)) for x in unseen))
+    of_class = F.array(*(F.lit(float(x)).cast("float") for x in unseen))
     used = uses.join(tail.select("wid", "e"), "wid", "left").select("rid", F.struct("pos", "wid", F.coalesce("e", of_class).alias("e")).alias("t"))
     lists = used.groupBy("rid").agg(F.sort_array(F.collect_list("t")).alias("t"))
-    none = F.array().cast("array<long>"), F.array().cast("array<array<double>>")
+    none = F.array().cast("array<long>"), F.array().cast("array<array<float>>")
     return encoded.join(lists, "rid", "left").withColumns(
         {"wids": F.coalesce("t.wid", none[0]), "emits": F.coalesce("t.e", none[1])}
     ).drop("t")
@@ -242,18 +242,19 @@ def train(
     encoded: DataFrame, top: np.ndarray, noise: np.ndarray, every: int, uses: DataFrame | None, tail: DataFrame | None,
     rounds: int = ROUNDS,
 ) -> tuple[Hmm, DataFrame | None]:
-    """Baum-Welch over all rows of ``ids``: the model and the tail's emissions (wid, c, e). ``top`` and ``noise`` are for the
+    """Baum-Welch over all rows of ``ids``: the model and the tail's emissions (wid, e; 32 bits). ``top`` and ``noise`` are for the
     head and the class of unseen words. The driver sees the summed head: at most len(top) + states + 1 rows."""
     states = noise.shape[1]
     names = [f"s{k}" for k in range(states)]
     share = (top + 1) / every
     emit = share[:, None] * np.exp(noise)
     weight = emit.sum(0)
+    words = tail
     if tail is not None:
-        shaken = [(F.col("c") + 1) / float(every) * F.exp(z) for z in _noise(states)]
-        tail = stage(tail.select("wid", "c", F.array(*shaken).alias("e")), "tail")
+        shaken = F.array(*((F.col("c") + 1) / float(every) * F.exp(z) for z in _noise(states)))
+        tail = tail.select("wid", shaken.alias("e"))
         weight = weight + np.array(tail.agg(*(F.sum(F.col("e")[k]) for k in range(states))).first())
-        tail = tail.withColumn("e", F.array(*(F.col("e")[k] / float(weight[k]) for k in range(states))))
+        tail = tail.select("wid", F.array(*((F.col("e")[k] / float(weight[k])).cast("float") for k in range(states))).alias("e"))
     move = np.full((states, states), 0.1 / max(1, states - 1))
     np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
     model = Hmm(np.full(states, 1 / states), move, emit / weight)
@@ -261,28 +262,33 @@ def train(
     schema = ", ".join(["word long", *(f"{s} float" for s in names)])
     context = encoded.sparkSession.sparkContext
     columns = ["ids"] if tail is None else ["ids", "wids", "emits"]
+    before = None
     for _ in range(rounds):
         sent = context.broadcast(model)
         parts = _joined(encoded, uses, tail, model.emit[-1]).select(*columns).mapInArrow(_expect(sent, states), schema)
         summed = parts.groupBy("word").agg(*(F.sum(s).alias(s) for s in names))
-        if tail is not None:
-            summed = stage(summed, "summed")
+        if tail is not None:  # with the counts of its words this is what the next round's tail is made of
+            of_tail = words.select((F.col("wid") + len(top)).alias("word"), "c")
+            summed = stage(summed.join(of_tail, "word", "left").select("word", "c", *(F.col(s).cast("float") for s in names)), "summed")
+            if before is not None:
+                drop_staged(before)
+            before = summed
         table = summed.where(F.col("word") < len(top)).toArrow()
         word = np.asarray(table.column("word"))
-        values = np.stack([np.asarray(table.column(s)) for s in names], 1)
+        values = np.stack([np.asarray(table.column(s), float) for s in names], 1)
         emit = np.zeros((len(top), states))
         emit[word[word >= 0]] = values[word >= 0]
         rest = dict(zip(word[word < 0].tolist(), values[word < 0]))
         if rest:
             weight = emit.sum(0)
             if tail is not None:
-                learnt = summed.where(F.col("word") >= len(top)).withColumn("wid", F.col("word") - len(top))
+                learnt = summed.where(F.col("word") >= len(top))
                 weight = weight + np.array(learnt.agg(*(F.coalesce(F.sum(s), F.lit(0.0)) for s in names)).first())
                 of = [
-                    (F.coalesce(F.col(s), F.lit(0.0)) + (F.col("c") + 1) / float(every) * float(0.001 * w + 1e-9)) / float(1.001 * w + 1e-9)
+                    ((F.col(s) + (F.col("c") + 1) / float(every) * float(0.001 * w + 1e-9)) / float(1.001 * w + 1e-9)).cast("float")
                     for s, w in zip(names, weight)
                 ]
-                tail = stage(tail.select("wid", "c").join(learnt, "wid", "left").select("wid", "c", F.array(*of).alias("e")), "tail")
+                tail = learnt.select((F.col("word") - len(top)).alias("wid"), F.array(*of).alias("e"))
             # every state keeps a little of the corpus' word shares, so that nothing is impossible
             start, move = rest[-1 - states], np.stack([rest[-1 - k] for k in range(states)])
             model = Hmm(
@@ -344,17 +350,18 @@ def score(
         "rare array<binary>, times array<int>"
     )
     encoded = stage(map_texts(docs, columns, name(text), _encode(sent), schema), "encoded")
-    rare = encoded.select("rid", F.posexplode(F.arrays_zip("rare", "times")).alias("pos", "w")).select("rid", "pos", "w.rare", "w.times")
+    rare = encoded.select("rid", "held_out", F.posexplode(F.arrays_zip("rare", "times")).alias("pos", "w"))
+    rare = rare.select("rid", "held_out", "pos", "w.rare", "w.times")
     encoded = encoded.drop("rare", "times")
     if kinds > len(top):
         heads = spark.createDataFrame(top, "word binary, c long").select("word")
         tail = counts.join(F.broadcast(heads), "word", "left_anti")
         tail = stage(tail.withColumn("wid", F.monotonically_increasing_id()), "words")
         uses = rare.join(tail.withColumnRenamed("word", "rare"), "rare", "left")
-        uses = stage(uses.select("rid", "pos", F.coalesce("wid", F.lit(-1)).alias("wid"), "c", "times"), "uses")
+        uses = stage(uses.select("rid", "held_out", "pos", F.coalesce("wid", F.lit(-1)).alias("wid"), "c", "times"), "uses")
     else:
         tail, uses = None, None
-    learn = None if uses is None else uses.join(encoded.where("NOT held_out").select("rid"), "rid", "left_semi")
+    learn = None if uses is None else uses.where("NOT held_out")
     model, learnt = train(encoded.where("NOT held_out"), np.append(in_head, 0), noise, every, learn, tail, rounds)
 
     logs = np.append(np.log10((in_head + 1) / every), 0.0)
