@@ -266,7 +266,8 @@ def train(
     for _ in range(rounds):
         sent = context.broadcast(model)
         parts = _joined(encoded, uses, tail, model.emit[-1]).select(*columns).mapInArrow(_expect(sent, states), schema)
-        summed = parts.groupBy("word").agg(*(F.sum(s).alias(s) for s in names))
+        # a task has each word of the head once and few of the tail more often: the 32-bit rows are shuffled as they are
+        summed = parts.repartition("word").groupBy("word").agg(*(F.sum(s).alias(s) for s in names))
         if tail is not None:  # with the counts of its words this is what the next round's tail is made of
             of_tail = words.select((F.col("wid") + len(top)).alias("word"), "c")
             summed = stage(summed.join(of_tail, "word", "left").select("word", "c", *(F.col(s).cast("float") for s in names)), "summed")
@@ -361,6 +362,7 @@ def score(
         uses = stage(uses.select("rid", "held_out", "pos", F.coalesce("wid", F.lit(-1)).alias("wid"), "c", "times"), "uses")
     else:
         tail, uses = None, None
+    drop_staged(counts)
     learn = None if uses is None else uses.where("NOT held_out")
     model, learnt = train(encoded.where("NOT held_out"), np.append(in_head, 0), noise, every, learn, tail, rounds)
 
