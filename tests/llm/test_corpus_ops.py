@@ -236,6 +236,22 @@ def test_rare_toxic_labels_are_examples(spark):
     assert toxic and all(marked[i] for i in toxic) and sum(marked.values()) <= len(toxic) + 0.01 * len(marked)
 
 
+def test_words_of_few_toxic_texts_are_learnt(spark):
+    draw = random.Random(3)
+    names = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(75)]
+    rows = []
+    for i in range(3000):
+        body = [f"w{draw.randrange(3000)}" for _ in range(12)]
+        if i % 10 == 0:  # each word in four texts
+            body[draw.randrange(12)] = names[i // 40]
+        rows.append((i, " ".join(body), int(i % 10 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = toxicity.scores(table, table.select("doc_id", "toxic")).where("held_out").collect()
+    toxic = [r.predicted for r in got if r.doc_id % 10 == 0]
+    assert sum(toxic) >= 0.93 * len(toxic) > 0
+    assert sum(r.predicted for r in got if r.doc_id % 10) <= 0.01 * len(got)
+
+
 def test_rare_and_shared_terms_are_chosen(spark):
     counts = spark.createDataFrame([("rare", 0, 8), ("shared", 60, 40), ("clean", 90, 2)], "term string, clean long, toxic long")
     assert sorted(toxicity.choose_terms(counts, 3520, 480)) == ["rare", "shared"]
