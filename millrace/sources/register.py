@@ -103,11 +103,10 @@ def _scan(spark: SparkSession, path: str, odd: DataFrame) -> DataFrame:
     text = spark.read.option("lineSep", RECORD_END).option("recursiveFileLookup", True)
     text = text.option("pathGlobFilter", PLAIN_FILES).text(path)
     names = [row.path for row in odd.limit(_LISTED + 1).collect()]
-    if len(names) > _LISTED:
-        text = text.join(checked_broadcast(odd), F.col("_metadata.file_path") == F.col("path"), "left_anti")
-    elif names:  # on the path alone: the files are not opened
+    if 0 < len(names) <= _LISTED:  # on the path alone: the files are not opened
         text = text.where(~F.col("_metadata.file_path").isin(names))
-    return text.select(
+    # Name and place are taken first: a joined row has no file of its own, and another number.
+    chunks = text.select(
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("seq"),
@@ -116,6 +115,10 @@ def _scan(spark: SparkSession, path: str, odd: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("reject_reason"),
         F.col("_metadata.file_modification_time").alias("landed_at"),
     )
+    if len(names) <= _LISTED:
+        return chunks
+    left_out = odd.select(F.col("path").alias("odd_path"))
+    return chunks.join(checked_broadcast(left_out), F.col("source_file") == F.col("odd_path"), "left_anti")
 
 
 def read_register_chunks(spark: SparkSession, path: str, parallelism: int | None = None) -> DataFrame:

@@ -319,3 +319,15 @@ def test_many_headers_without_broadcast(spark, tmp_path, monkeypatch):
     (tmp_path / "a.xml").write_text(f"<T>{''.join(parts)}</T>")
     rows = flatten_register(parse(read_register_chunks(spark, str(tmp_path))), broadcast=False).collect()
     assert len(rows) == 200 and all(r.file_sequence_number == int(r.abn) // 3 * 3 for r in rows)
+
+
+def test_many_odd_files_are_joined_out(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("millrace.sources.register._LISTED", 1)
+    for i in range(6):
+        end, first = ("</ABR >", "") if i % 2 else ("</ABR>", "<?xml version='1.0'?>")
+        records = "".join(f"<ABR><ABN>{i}{j}</ABN>{end}" for j in range(3))
+        (tmp_path / f"f{i}.xml").write_text(f"{first}<T>{records}</T>")
+    chunks = read_register_chunks(spark, str(tmp_path))
+    rows = flatten_register(parse(chunks)).collect()
+    assert sorted(r.abn for r in rows) == sorted(f"{i}{j}" for i in range(6) for j in range(3))
+    assert not [r for r in rows if r.reject_reason]
