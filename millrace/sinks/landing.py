@@ -7,6 +7,8 @@ input is read once and nothing is cached.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,10 +25,10 @@ def write_batch(df: DataFrame, path: str, load_batch: int, *by: str) -> None:
     write_partitions(df.withColumn("load_batch", F.lit(load_batch).cast("bigint")), path, "load_batch", *by)
 
 
-def read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table with its declared types; an empty one before the first load."""
+def read_landed(spark: SparkSession, path: str, schema: T.StructType, part: str | None = None) -> DataFrame:
+    """The table, or what lies in the folder ``part`` of it, with its declared types; an empty one before the first load."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("basePath", path).parquet(part or path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -34,18 +36,33 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 
 def read_batch(spark: SparkSession, path: str, schema: T.StructType, load_batch: int) -> DataFrame:
-    """Rows of one batch; only its folder is read."""
-    return read_landed(spark, path, schema).where(F.col("load_batch") == load_batch)
+    """Rows of one batch; only its folder is listed and read."""
+    return read_landed(spark, path, schema, f"{path}/load_batch={load_batch}").where(F.col("load_batch") == load_batch)
 
 
-def next_batch(spark: SparkSession, target: str) -> int:
-    """A batch number never given before, whichever route asks; it is spent even if the batch fails. One writer a table."""
+def next_batch(spark: SparkSession, target: str, count: int = 1) -> int:
+    """A batch number never given before, whichever route asks, the first of ``count``; they are spent even if the batch fails.
+    One writer a table."""
     schema = T.StructType([T.StructField("load_batch", T.LongType())])
     number = (read_landed(spark, f"{target}/numbers", schema).agg(F.max("load_batch")).first()[0] or 0) + 1
-    spark.createDataFrame([(number,)], schema).coalesce(1).write.mode("append").parquet(f"{target}/numbers")
+    spark.createDataFrame([(number + count - 1,)], schema).coalesce(1).write.mode("append").parquet(f"{target}/numbers")
     return number
 
 
+# Most numbers that a run of batches claims at a time.
+_CLAIMED = 256
+
+
+def batch_numbers(spark: SparkSession, target: str) -> Iterator[int]:
+    """Numbers of ``next_batch`` for a run of batches: one, then twice as many at a time, so that the table of numbers is not
+    read for every batch. Those left over are spent."""
+    count = 1
+    while True:
+        first = next_batch(spark, target, count)
+        yield from range(first, first + count)
+        count = min(2 * count, _CLAIMED)
+
+
 def stream_id(spark: SparkSession, target: str) -> str:
     """The identity that a stream keeps in its checkpoint; a stream whose checkpoint was lost has another one."""
     return spark.read.schema("id string").json(f"{target}/_checkpoint/metadata").first().id

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.pages import page_ledger
 from ..schemas import PAGE_KEYS
 from ..session import checked_broadcast, stage
-from ..sinks.landing import committed, next_batch, read_batch, read_landed, stream_id, write_batch, write_partitions
+from ..sinks.landing import batch_numbers, committed, next_batch, read_batch, read_landed, stream_id, write_batch, write_partitions
 from ..sources.listing import snapshot
 from ..sources.pages import read_index_pages, stream_index_pages
 
@@ -46,10 +46,14 @@ LEDGER = T.StructType([
 LISTED = 1000
 
 
-def land_batch(lines: DataFrame, target: str, load_batch: int, route: str = "batch", files: DataFrame | None = None) -> None:
+def land_batch(
+    lines: DataFrame, target: str, load_batch: int, route: str = "batch", files: DataFrame | None = None,
+    spark: SparkSession | None = None,
+) -> None:
     """Store one batch of lines and its ledger rows. Doing it again replaces the batch. ``files`` names the files that are
-    entered even if they have no lines."""
-    spark = lines.sparkSession
+    entered even if they have no lines. The ledger is made in session ``spark`` if given: that of a stream does not plan
+    adaptively, and would write as many files as the shuffle has partitions."""
+    spark = spark or lines.sparkSession
     write_batch(lines, f"{target}/pages", load_batch, "segment")
     entries = page_ledger(read_batch(spark, f"{target}/pages", LANDED, load_batch))
     if files is not None:
@@ -89,18 +93,28 @@ def land_pages(spark: SparkSession, landing: str, target: str, max_files: int |
     """Land every page file not landed before, ``max_files`` per batch, then stop.
 
     The checkpoint lies beside the data it describes. The ledger is written last and names the stream's batch, so a
-    batch repeated after a failure counts once; a stream whose checkpoint was lost leaves out what another has landed.
+    batch repeated after a failure counts once; a stream whose checkpoint was lost leaves out what another has landed. The
+    ledger is read in the first batch of a run only: with one writer a table, the run itself makes all later entries, and what
+    a batch costs does not grow with those before it.
     """
+    run = {}
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        own, done = stream_id(spark, target), ledger(spark, target)
-        if not done.where(F.col("route") == f"{own}/{batch_id}").isEmpty():
+        if not run:
+            own, done = stream_id(spark, target), ledger(spark, target)
+            mine = done.where(F.col("route").startswith(f"{own}/")).select(F.substring_index("route", "/", -1).cast("long").alias("id"))
+            others = done.where(~F.col("route").startswith(f"{own}/")).select("source_path", "landed_at").distinct()
+            others = stage(others, "others")
+            run.update(
+                own=own, numbers=batch_numbers(spark, target), others=None if others.isEmpty() else others,
+                done={row.id for row in mine.where(F.col("id") >= batch_id).distinct().collect()},
+            )
+        if batch_id in run["done"]:
             return
-        others = done.where(~F.col("route").startswith(f"{own}/")).select("source_path", "landed_at").distinct()
-        if not others.isEmpty():
+        if run["others"] is not None:
+            others = batch.sparkSession.read.schema(run["others"].schema).parquet(*run["others"].inputFiles())
             batch = batch.join(checked_broadcast(others), ["source_path", "landed_at"], "left_anti")
-        land_batch(batch, target, next_batch(spark, target), f"{own}/{batch_id}")
+        land_batch(batch, target, next(run["numbers"]), f"{run['own']}/{batch_id}", spark=spark)
 
     return (
         stream_index_pages(spark, landing, max_files)

@@ -299,3 +299,22 @@ def test_a_page_overwritten_with_no_bytes_loses_its_lines(spark, tmp_path):
     assert page_stream.land_changed(spark, str(tmp_path / "in"), target) is None
     lines = latest_pages(page_stream.landed_pages(spark, target), page_stream.ledger(spark, target))
     assert [r.page for r in lines.collect()] == [0]
+
+
+def test_a_run_of_many_batches_reads_the_ledger_once(spark, tmp_path, monkeypatch):
+    landing, target, read = tmp_path / "landing", str(tmp_path / "target"), []
+    known = page_stream.ledger
+
+    def ledger(*given):
+        read.append(given)
+        return known(*given)
+
+    monkeypatch.setattr(page_stream, "ledger", ledger)
+    for run in range(2):
+        for page in range(4):
+            write_page(landing / f"day{run}", "S", 4 * run + page, [line(page)])
+        page_stream.land_pages(spark, str(landing), target, max_files=1).awaitTermination(120)
+        assert len(read) == run + 1
+    entries = known(spark, target).collect()
+    assert sorted(r.page for r in entries) == list(range(8)) and len({r.load_batch for r in entries}) == 8
+    assert page_stream.landed_pages(spark, target).count() == 8
