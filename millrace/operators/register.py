@@ -243,9 +243,13 @@ def attach_headers(records: DataFrame, spans: DataFrame, broadcast: bool | None
     if broadcast:
         return records.join(F.broadcast(heads), same_file & inside, "left").drop("h_file", "from_at", "to_at")
     records = records.withColumn("stretch", F.floor(F.col("seq") / STRETCH))
-    stretches = records.groupBy("source_file", "block", "stretch").agg(F.min(at).alias("lowest"), F.max(at).alias("highest"))
-    reaches = (F.col("from_at") <= F.col("highest")) & (F.col("to_at").isNull() | (F.col("to_at") > F.col("lowest")))
-    reaching = stretches.join(heads, same_file & reaches).drop("source_file", "lowest", "highest")
+    # A stretch is bounded by its number: its records are neither sorted nor compared to find its ends.
+    stretches = records.select("source_file", "block", "stretch").distinct()
+    first, least = F.col("stretch") * STRETCH, F.lit(-(1 << 31))
+    lowest = F.struct(F.col("block"), first.alias("seq"), least.alias("pos"))
+    beyond = F.struct(F.col("block"), (first + STRETCH).alias("seq"), least.alias("pos"))
+    reaches = (F.col("from_at") < beyond) & (F.col("to_at").isNull() | (F.col("to_at") > lowest))
+    reaching = stretches.join(heads, same_file & reaches).drop("source_file")
     reaching = reaching.withColumnsRenamed({"block": "h_block", "stretch": "h_stretch"})
     same = same_file & (F.col("block") == F.col("h_block")) & (F.col("stretch") == F.col("h_stretch"))
     return records.join(reaching, same & inside, "left").drop("h_file", "from_at", "to_at", "stretch", "h_block", "h_stretch")

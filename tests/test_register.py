@@ -331,3 +331,14 @@ def test_many_odd_files_are_joined_out(spark, tmp_path, monkeypatch):
     rows = flatten_register(parse(chunks)).collect()
     assert sorted(r.abn for r in rows) == sorted(f"{i}{j}" for i in range(6) for j in range(3))
     assert not [r for r in rows if r.reject_reason]
+
+
+def test_ends_of_stretches_need_no_sort(spark):
+    places = "source_file string, block long, seq long, pos int"
+    records = spark.createDataFrame([("a", 0, i, 0) for i in range(9)], places)
+    spans = spark.sql("""SELECT 'a' AS source_file, struct(0L AS block, 3L AS seq, 0 AS pos) AS from_at,
+        CAST(NULL AS struct<block: bigint, seq: bigint, pos: int>) AS to_at, 1L AS file_sequence_number, 2L AS record_count,
+        'x' AS extract_time""")
+    joined = attach_headers(records, spans, broadcast=False)
+    assert "SortAggregate" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert {r.seq: r.file_sequence_number for r in joined.collect()} == {i: 1 if i >= 3 else None for i in range(9)}
