@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import scratch_path
@@ -30,23 +30,50 @@ def once(spark: SparkSession, folder: str, name: str, build: Callable[[str], Non
     return _built[key]
 
 
+def _runs(batches, key: str):
+    """Stretches of rows with the same ``key``, in the order the rows come in: (value, batch of them)."""
+    import numpy as np
+
+    for batch in batches:
+        codes = batch.column(key).dictionary_encode()
+        at = codes.indices.to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist(), len(at)]
+        for start, end in zip(cuts, cuts[1:]):
+            if start < end:
+                yield codes.dictionary[int(at[start])].as_py(), batch.slice(start, end - start)
+
+
 def _file_writer(root: str):
-    def write(frame):
+    """Task body: rows clustered by file and in order -> the files, one held at a time."""
+
+    def store(name, encoding, spoiled, lines):
         import gzip
 
-        import pandas as pd
         from pyarrow import fs
 
-        name, encoding, spoiled = frame["file"].iloc[0], frame["encoding"].iloc[0], frame["spoiled"].iloc[0]
-        text = "\n".join(frame.sort_values("ord")["value"]).encode(encoding)
+        text = "\n".join(lines).encode(encoding)
         if name.lower().endswith(".gz"):
             text = gzip.compress(text, mtime=0)
         if spoiled:
             text = text[:-5]
-        store, folder = fs.FileSystem.from_uri(root)
-        with store.open_output_stream(f"{folder}/{name}", compression=None) as stream:
+        opened, folder = fs.FileSystem.from_uri(root)
+        with opened.open_output_stream(f"{folder}/{name}", compression=None) as stream:
             stream.write(text)
-        return pd.DataFrame({"file": [name]})
+
+    def write(batches):
+        import pyarrow as pa
+
+        current, lines = None, []
+        for name, rows in _runs(batches, "file"):
+            given = (name, rows.column("encoding")[0].as_py(), rows.column("spoiled")[0].as_py())
+            if lines and current != given:
+                store(*current, lines)
+                lines = []
+            current = given
+            lines += rows.column("value").to_pylist()
+        if lines:
+            store(*current, lines)
+        yield pa.RecordBatch.from_arrays([pa.array([len(lines)], pa.int64())], ["n"])
 
     return write
 
@@ -61,12 +88,23 @@ def make_folder(path: str) -> str:
     return uri
 
 
+# Rows of the source tables that one task makes files of.
+ROWS_PER_TASK = 65_536
+
+
+def clustered(rows: DataFrame, count: int, by: Column, *order: str) -> DataFrame:
+    """``rows``, some ``count``, with those of the same ``by`` in one task and in order: the number of tasks grows with the
+    rows, and texts are made of the narrow rows after the shuffle."""
+    n = max(rows.sparkSession.sparkContext.defaultParallelism, -(-count // ROWS_PER_TASK))
+    return rows.repartition(n, by).sortWithinPartitions(*order)
+
+
 def write_files(lines: DataFrame, path: str) -> None:
-    """One file per value of ``file``, its lines (value) in order of ``ord``. Files have a fixed number of lines. Optional
-    columns say in which encoding a file is written and whether its end is cut off."""
+    """One file per value of ``file``, of its lines (value) as they come: ``lines`` are ``clustered``. Files have a fixed number
+    of lines. Optional columns say in which encoding a file is written and whether its end is cut off."""
     given = {"encoding": F.lit("utf-8"), "spoiled": F.lit(False)}
     lines = lines.withColumns({c: v for c, v in given.items() if c not in lines.columns})
-    lines.select("file", "ord", "value", *given).groupBy("file").applyInPandas(_file_writer(make_folder(path)), "file string").count()
+    lines.select("file", "value", *given).mapInArrow(_file_writer(make_folder(path)), "n long").count()
 
 
 # --- index lines -----------------------------------------------------------------------------------------------
@@ -135,6 +173,16 @@ clean AS (
 
 def index_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Raw index lines of ``INDEX_SQL``."""
+    return _index_lines(_index_rows(spark, folder))
+
+
+def clustered_index_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, those of a page in one task and in order."""
+    rows = _index_rows(spark, folder)
+    return _index_lines(clustered(rows, rows.count(), F.floor(F.col("k") / LINES_PER_PAGE), "k"))
+
+
+def _index_rows(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select(
         (F.col("page_id") * 2).alias("k"),
         "url",
@@ -159,10 +207,14 @@ def index_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.format_string("au,example,%s)/%s/%d", host, "event_type", key).alias("surt"),
         (key + 1).alias("size"),
     )
+    return pages.unionByName(events)
+
+
+def _index_lines(rows: DataFrame) -> DataFrame:
     k = F.col("k")
     group = F.floor(k / LINES_PER_PAGE)
     stamp = F.translate(F.expr("cast(timestamp_ntz'2025-01-01 00:00:00' + make_dt_interval(0, 0, 0, k) as string)"), "-: ", "")
-    keyed = pages.unionByName(events).select(
+    keyed = rows.select(
         "*",
         F.floor(group / 3).alias("page"),
         F.concat(F.lit("CC-MAIN-2025-"), F.lpad((group % 3 * 8 + 5).cast("string"), 2, "0")).alias("segment"),
@@ -189,7 +241,7 @@ def index_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _write_pages(lines: DataFrame, path: str, faulty: bool, run: int = 1) -> None:
-    """JSON lines, one file per (segment, page); an extra key, blank lines and, if wanted, faults by key."""
+    """JSON lines, one file per (segment, page), of clustered lines; an extra key, blank lines and, if wanted, faults by key."""
     k = F.col("k")
     names = [c for c in lines.columns if c not in ("k", "segment", "page")]
     values = [F.col(f"`{c}`") for c in names]
@@ -200,29 +252,29 @@ def _write_pages(lines: DataFrame, path: str, faulty: bool, run: int = 1) -> Non
         text = F.when(k % 101 == 7, F.substring(text, 1, 40)).otherwise(text)
     text = F.when(k % 50 == 0, F.concat(F.lit("\n"), text)).otherwise(text)
     name = F.format_string("%s-%d.jsonl", "segment", "page")
-    write_files(lines.select(name.alias("file"), k.alias("ord"), text.alias("value")), f"{path}/run={run}")
+    write_files(lines.select(name.alias("file"), text.alias("value")), f"{path}/run={run}")
 
 
 def packed_pages(spark: SparkSession, folder: str) -> str:
     """Gzipped pages; of every fifth the end is missing."""
 
     def build(path: str) -> None:
-        lines = index_lines(spark, folder)
+        lines = clustered_index_lines(spark, folder)
         names = [c for c in lines.columns if c not in ("k", "segment", "page")]
         name = F.format_string("%s-%d.jsonl.gz", "segment", "page")
         text = F.to_json(F.struct(*(F.col(f"`{c}`") for c in names)))
-        rows = lines.select(name.alias("file"), F.col("k").alias("ord"), text.alias("value"), (F.col("page") % 5 == 2).alias("spoiled"))
+        rows = lines.select(name.alias("file"), text.alias("value"), (F.col("page") % 5 == 2).alias("spoiled"))
         write_files(rows, path)
 
     return once(spark, folder, "packed_pages", build)
 
 
 def index_pages(spark: SparkSession, folder: str) -> str:
-    return once(spark, folder, "pages", lambda p: _write_pages(index_lines(spark, folder), p, False))
+    return once(spark, folder, "pages", lambda p: _write_pages(clustered_index_lines(spark, folder), p, False))
 
 
 def faulty_pages(spark: SparkSession, folder: str) -> str:
-    return once(spark, folder, "faulty_pages", lambda p: _write_pages(index_lines(spark, folder), p, True))
+    return once(spark, folder, "faulty_pages", lambda p: _write_pages(clustered_index_lines(spark, folder), p, True))
 
 
 # --- register documents ----------------------------------------------------------------------------------------
@@ -339,29 +391,32 @@ def record_xml() -> F.Column:
 
 
 def register_text(spark: SparkSession, folder: str, faulty: bool = False) -> DataFrame:
-    """Lines (grp, ord, value) of the register files: head, records, some with a second header half way, end."""
-    ents, grp = entities(spark, folder), F.col("grp")
+    """Lines (grp, ord, value) of the register files: head, records, some with a second header half way, end. The files of an
+    archive are in one task, and their lines in order."""
+    ents, grp, role = entities(spark, folder), F.col("grp"), F.col("role")
+    first = (grp * RECORDS_PER_FILE).cast("double")
+    files = ents.select("grp").distinct().withColumn("role", F.explode(F.array(*map(F.lit, ("head", "second", "end")))))
+    place = F.when(role == "head", first - 1).when(role == "second", first + 2047.5).otherwise(first + RECORDS_PER_FILE)
+    marks = files.where((role != "second") | (grp % 4 == 2)).withColumn("ord", place)
+    records = ents.withColumns({"role": F.lit("record"), "ord": F.col("k").cast("double")})
+    rows = clustered(
+        records.unionByName(marks, allowMissingColumns=True), ents.count(), F.floor(grp / FILES_PER_ARCHIVE), "grp", "ord"
+    )
     record = record_xml()
     if faulty:
         record = F.when(F.col("k") % 97 == 5, F.replace(record, F.lit("</EntityType>"), F.lit(""))).otherwise(record)
-    records = ents.select("grp", F.col("k").cast("double").alias("ord"), record.alias("value"))
-    files = ents.select("grp").distinct()
-    first = (grp * RECORDS_PER_FILE).cast("double")
     header = F.when(grp % 5 == 4, "").otherwise(F.concat(
         F.lit("<TransferInfo><FileSequenceNumber> "), (grp + 1).cast("string"), F.lit(" </FileSequenceNumber><RecordCount>"),
         F.when(grp % 3 == 1, " ").otherwise(str(RECORDS_PER_FILE)), F.lit("</RecordCount><Sender>x</Sender><ExtractTime>"),
         F.when(grp % 2 == 1, "2025-01-01 10:00").otherwise("2025-01-01T10:00:00Z"), F.lit("</ExtractTime></TransferInfo>"),
     ))
-    head = files.select("grp", (first - 1).alias("ord"), F.concat(F.lit('<?xml version="1.0"?>\n<Transfer>'), header).alias("value"))
-    second = files.where(grp % 4 == 2).select(
-        "grp", (first + 2047.5).alias("ord"),
-        F.lit("<TransferInfo><ExtractTime>2025-02-02T00:00:00.25</ExtractTime></TransferInfo>").alias("value"),
-    )
+    head = F.concat(F.lit('<?xml version="1.0"?>\n<Transfer>'), header)
+    second = F.lit("<TransferInfo><ExtractTime>2025-02-02T00:00:00.25</ExtractTime></TransferInfo>")
     last = F.lit("</Transfer>")
     if faulty:  # the file breaks off between two elements of a record
         last = F.when(grp % 4 == 1, F.format_string("<ABR><ABN> 99%d </ABN>", "grp")).otherwise(last)
-    end = files.select("grp", (first + RECORDS_PER_FILE).alias("ord"), last.alias("value"))
-    return head.unionByName(records).unionByName(second).unionByName(end)
+    value = F.when(role == "record", record).when(role == "head", head).when(role == "second", second).otherwise(last)
+    return rows.select("grp", "ord", value.alias("value"))
 
 
 def _write_register(text: DataFrame, path: str, *endings: str) -> None:
@@ -410,23 +465,38 @@ FILES_PER_ARCHIVE = 3
 
 
 def _zip_writer(path: str):
-    def write(frame):
+    """Task body: lines of register files in order -> archives, one held at a time."""
+
+    def members(batches):
+        grp, lines = None, []
+        for found, rows in _runs(batches, "grp"):
+            if lines and grp != found:
+                yield grp, lines
+                lines = []
+            grp = found
+            lines += rows.column("value").to_pylist()
+        if lines:
+            yield grp, lines
+
+    def write(batches):
         import io
+        import itertools
         import zipfile
 
-        import pandas as pd
+        import pyarrow as pa
         from pyarrow import fs
 
-        archive = int(frame["archive"].iloc[0])
-        held = io.BytesIO()
-        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as out:
-            for grp, part in frame.sort_values(["grp", "ord"]).groupby("grp"):
-                out.writestr(f"data/part{grp}.XML", "\n".join(part["value"]))
-                out.writestr(f"data/part{grp}.txt", "not a register file")
         store, folder = fs.FileSystem.from_uri(path)
-        with store.open_output_stream(f"{folder}/archive-{archive}.zip", compression=None) as stream:
-            stream.write(held.getvalue())
-        return pd.DataFrame({"archive": [archive]})
+        n = 0
+        for archive, found in itertools.groupby(members(batches), lambda member: member[0] // FILES_PER_ARCHIVE):
+            held, n = io.BytesIO(), n + 1
+            with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as out:
+                for grp, lines in found:
+                    out.writestr(f"data/part{grp}.XML", "\n".join(lines))
+                    out.writestr(f"data/part{grp}.txt", "not a register file")
+            with store.open_output_stream(f"{folder}/archive-{archive}.zip", compression=None) as stream:
+                stream.write(held.getvalue())
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
     return write
 
@@ -435,7 +505,7 @@ def register_zips(spark: SparkSession, folder: str) -> str:
     """ZIP archives of three register files each."""
 
     def build(path: str) -> None:
-        text = register_text(spark, folder).withColumn("archive", F.floor(F.col("grp") / FILES_PER_ARCHIVE))
-        text.groupBy("archive").applyInPandas(_zip_writer(make_folder(path)), "archive long").count()
+        text = register_text(spark, folder).select("grp", "value")
+        text.mapInArrow(_zip_writer(make_folder(path)), "n long").count()
 
     return once(spark, folder, "register_zips", build)

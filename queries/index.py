@@ -19,7 +19,7 @@ from millrace.operators.upsert import unprocessed
 from millrace.plans.index_flatten import flatten_blobs_once, flatten_pages, page_records
 from millrace.plans.register_load import load_register, read_register_rejects
 from millrace.schemas import PAGE_KEYS
-from millrace.session import scratch_path
+from millrace.session import scratch_path, stage
 from millrace.sinks.blobs import pack_blobs
 from millrace.sources.blobs import decode_blobs, oldest_blobs, parquet_blobs, read_raw_pages
 from millrace.sources.pages import read_index_pages
@@ -100,7 +100,7 @@ def domain_status(spark, folder):
 
 def constraint_rejects(spark, folder):
     """Rows that break a constraint, and record places that a stored load (every seventh record, some twice) has as well."""
-    cleaned = _cleaned(spark, folder)
+    cleaned = stage(_cleaned(spark, folder), "cleaned")  # four branches read it: the pages are parsed once
     stored = cleaned.where("file_offset % 7000 = 0")
     stored = append_all(stored, stored.where("file_offset % 35000 = 0"))
     repeated = repeated_keys(good(cleaned), ["filename", "file_offset"], good(stored)).select(
@@ -312,7 +312,7 @@ def bookmark_from_pages(spark, folder):
 def incremental_pages(spark, folder):
     """Two deliveries and a run without any; every line is landed once."""
     source, target = scratch_path(spark, "deliveries"), scratch_path(spark, "incremental")
-    lines = fx.index_lines(spark, folder)
+    lines = fx.clustered_index_lines(spark, folder)
     for run, delivery in enumerate((lines.where("page % 2 = 0"), lines.where("page % 2 = 1"), None)):
         if delivery is not None:
             fx._write_pages(delivery, source, False, run)
@@ -323,7 +323,7 @@ def incremental_pages(spark, folder):
 def page_dedup(spark, folder):
     """All pages, then every third again with other content: the later copy counts."""
     source, target = scratch_path(spark, "refetch"), scratch_path(spark, "dedup")
-    lines = fx.index_lines(spark, folder)
+    lines = fx.clustered_index_lines(spark, folder)
     fx._write_pages(lines, source, False, 1)
     page_stream.land_pages(spark, source, target).awaitTermination()
     fx._write_pages(lines.where("page % 3 = 0").withColumn("mime", F.lit("second/copy")), source, False, 2)
