@@ -51,6 +51,13 @@ def spread(chunks: DataFrame, parallelism: int | None = None) -> DataFrame:
     return chunks.repartition(n, "source_file", "block", F.floor(F.col("seq") / TOGETHER))
 
 
+def _is_even(sizes: DataFrame, parallelism: int | None = None) -> bool:
+    """Whether files of these sizes (size) are spread well enough by being dealt out whole: many, and none that stands out."""
+    tasks = parallelism or 4 * sizes.sparkSession.sparkContext.defaultParallelism
+    total, largest = sizes.agg(F.sum("size"), F.max("size")).first()
+    return bool(total) and 2 * tasks * largest <= total
+
+
 def _is_odd(path: str) -> bool:
     """Whether a plain file needs the streaming reader: another encoding than UTF-8, record ends written loosely or not within
     reach, or a last record that is not closed. Looks at the file's beginning and end only."""
@@ -126,18 +133,20 @@ def read_register_chunks(spark: SparkSession, path: str, parallelism: int | None
 
     Plain files are split by size like any text file, so one huge file is read by many tasks; ``closed`` says that the end tag
     was there. Gzipped files, and plain ones in other encodings, with loose end tags or cut off in a record, are streamed by a
-    task each and their chunks spread after reading. (block, seq) orders the chunks as in the document. A packed file that is
+    task each and their chunks spread after reading, unless the packed files are many and alike. (block, seq) orders the chunks as in the document. A packed file that is
     damaged, or an encoding nobody knows, is one row with a reject reason.
     """
     odd = _odd_files(spark, path)
-    streamed = read_files(list_files(spark, path, PACKED_FILES), record_chunks, parallelism)
-    if not odd.isEmpty():
-        streamed = streamed.unionByName(read_files(odd, record_chunks, parallelism))
-    return _scan(spark, path, odd).unionByName(spread(streamed, parallelism))
+    packed = read_files(list_files(spark, path, PACKED_FILES), record_chunks, parallelism)
+    sizes = discover_register_files(spark, path).where(F.lower("path").endswith(".gz")).select(F.col("length").alias("size"))
+    chunks = _scan(spark, path, odd).unionByName(packed if _is_even(sizes, parallelism) else spread(packed, parallelism))
+    return chunks if odd.isEmpty() else chunks.unionByName(spread(read_files(odd, record_chunks, parallelism), parallelism))
 
 
 def read_archived_register_chunks(spark: SparkSession, path: str, parallelism: int | None = None) -> DataFrame:
     """The same rows straight from ZIP archives; unreadable archives and members have a reject reason."""
     members = list_members(spark, path)
     wanted = members.where(F.col("member").isNull() | is_register_file(F.col("member")))
-    return spread(expand_members(wanted, record_chunks, parallelism), parallelism)
+    chunks = expand_members(wanted, record_chunks, parallelism)
+    even = _is_even(wanted.select(F.col("member_bytes").alias("size")), parallelism)
+    return chunks if even else spread(chunks, parallelism)
