@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from .text import CACHE_WORDS, map_texts, name, ragged, worker_held
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+_PIECE = 1 << 19  # bytes of text whose words are encoded together (a matter of memory, not of results)
 # White space of the library's patterns; Python's own \s has four more control characters.
 SPACE = "\\t\\n\\v\\f\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -50,7 +51,9 @@ class Bpe:
         self.cut = regex.compile("|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) or "(?!)")
         from tokenizers import Tokenizer
 
-        self.library, self.differing = Tokenizer.from_file(path), {}
+        # The library normalises and splits only: it gets the file without the vocabulary, which would take it 30 MB a worker.
+        bare = spec | {"added_tokens": [], "post_processor": None, "model": model | {"vocab": {}, "merges": []}}
+        self.library, self.differing = Tokenizer.from_str(json.dumps(bare)), {}
         splits = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.word = regex.compile(splits[0].replace(r"\s", SPACE))
         self.space = regex.compile(f"[{SPACE}]+")
@@ -210,7 +213,7 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text: str = "text", vocab
         return one_piece
 
     schema = f"doc_id {dict(docs.dtypes)[id_column]}, ids array<int>"
-    return map_texts(docs, {"doc_id": name(id_column)}, name(text), make, schema)
+    return map_texts(docs, {"doc_id": name(id_column)}, name(text), make, schema, _PIECE)
 
 
 def digests(docs: DataFrame, id_column: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -239,4 +242,4 @@ def digests(docs: DataFrame, id_column: str = "doc_id", text: str = "text", voca
         return one_piece
 
     schema = f"doc_id {dict(docs.dtypes)[id_column]}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_texts(docs, {"doc_id": name(id_column)}, name(text), make, schema)
+    return map_texts(docs, {"doc_id": name(id_column)}, name(text), make, schema, _PIECE)

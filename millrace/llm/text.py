@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
@@ -28,12 +29,20 @@ def worker_held(key: tuple, make: Callable):
     stages holds the tables of the last only."""
     if key not in _held:
         _held.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        give_back()
         _held[key] = make()
     return _held[key]
 
 
+def give_back() -> None:
+    """Hand memory that is free back to the system: a worker that waits, or serves another stage, would keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU library alone has it
+    if trim:
+        trim(0)
+
+
 def name(column: str) -> Column:
     """A column by its exact name, dots and all."""
     return F.col("`" + column.replace("`", "``") + "`")
@@ -71,10 +80,11 @@ def with_row(rows: DataFrame, more: str) -> StructType:
 
 
 def map_texts(
-    df: DataFrame, columns: dict[str, Column], text: Column, make: Callable[[], Callable], schema: str | StructType
+    df: DataFrame, columns: dict[str, Column], text: Column, make: Callable[[], Callable], schema: str | StructType,
+    most: int = 2 << 20,
 ) -> DataFrame:
     """A narrow pass over whole texts. ``make()`` runs once a task and gives ``f(piece, texts) -> columns`` where
-    ``piece`` holds ``columns`` and ``texts`` the UTF-8 bytes (null: empty); rows keep their order."""
+    ``piece`` holds ``columns`` and ``texts`` the UTF-8 bytes (null: empty), about ``most`` of them; rows keep their order."""
     out = schema_of(df, schema)
     narrow = df.select(*(c.alias(n) for n, c in columns.items()), F.coalesce(text, F.lit("")).cast("binary").alias("text"))
 
@@ -83,11 +93,14 @@ def map_texts(
 
         f, arrow = make(), to_arrow_schema(out)
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", most):
                 made = f(piece, piece.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [x if isinstance(x, pa.Array) else pa.array(x, t.type) for x, t in zip(made, arrow)], schema=arrow
                 )
+                del made
+            batch = piece = None
+        give_back()
 
     return narrow.mapInArrow(run, out)
 

@@ -189,3 +189,11 @@ def test_list_intervals_and_hosts(spark):
 @pytest.mark.parametrize("scan", [quality.quality, unigram.token_counts, bpe.digests, licenses.scan])
 def test_empty_tables(spark, scan):
     assert scan(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_bpe_workers_hold_the_vocabulary_once():
+    model, full = bpe.Bpe(bpe.VOCABULARY), Tokenizer.from_file(bpe.VOCABULARY)
+    assert model.library.get_vocab_size() == 0  # it normalises and splits only
+    text = "Ab \u03a3\u0130 x<|endoftext|>\u01c5\U0001f600 e\u0301\u3000 it's 12"
+    assert model.library.normalizer.normalize_str(text) == full.normalizer.normalize_str(text)
+    assert model.library.pre_tokenizer.pre_tokenize_str(text) == full.pre_tokenizer.pre_tokenize_str(text)
