@@ -30,6 +30,12 @@ STATES, ROUNDS, HEAD = 8, 4, 131_072  # the head says what is broadcast, not wha
 END = b"\n"  # no word holds a line feed
 COUNTED_AT_ONCE = 400_000  # distinct words a task counts before it hands them on
 _GROUP = 400_000  # tokens that run through the recursion together (one longer text may be more)
+_SUMMED_AT_ONCE = 200_000  # uses of tail words whose sums a task holds before it hands them on
+
+# Shuffled and stored numbers of a tail word's states: logarithms to base 2 of 21 bits, three in a long, right to some 0.001 %.
+_BITS, _PER, _STEP = 21, 3, float(1 << 15)
+_MASK = (1 << _BITS) - 1
+_SUMS, _SHARES = -32, -63  # the least power of two that is kept, of expected counts and of probabilities; less is 0
 
 
 @dataclass
@@ -100,16 +106,59 @@ class Lockstep:
         return start, move, emitted
 
 
-def numbers(ids: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers of all rows end to end (4 bytes each), and the bounds of each row; nothing is copied."""
-    _, offsets, data = ids.buffers()
-    bounds = np.frombuffer(offsets, np.int32)[ids.offset : ids.offset + len(ids) + 1].astype(np.int64) // 4
-    return np.frombuffer(data, np.int32, data.size // 4) if data else np.zeros(0, np.int32), bounds
+def _longs(states: int) -> list[str]:
+    return [f"p{j}" for j in range(-(-states // _PER))]
+
+
+def packed(table: np.ndarray, least: int) -> list[np.ndarray]:
+    """A row of states as longs; values are rounded down."""
+    with np.errstate(divide="ignore"):
+        q = np.floor((np.log2(table) - least) * _STEP) + 1
+    q = np.clip(q, 0, _MASK).astype(np.int64)
+    return [sum(q[:, k] << _BITS * (k % _PER) for k in range(j, min(j + _PER, q.shape[1]))) for j in range(0, q.shape[1], _PER)]
+
+
+def unpacked(longs: list[np.ndarray], states: int, least: int, add: float = 0.0) -> np.ndarray:
+    """``add`` steps more: half a step where rounding down would add up."""
+    q = np.stack([longs[k // _PER] >> _BITS * (k % _PER) & _MASK for k in range(states)], 1)
+    return np.where(q > 0, np.exp2((q - 1 + add) / _STEP + least), 0.0)
+
 
+def _packed(values: list[Column], least: int) -> list[Column]:
+    """The same in Spark."""
+    q = [
+        F.least(F.greatest(F.coalesce(F.floor((F.log2(v) - least) * _STEP) + 1, F.lit(0)), F.lit(0)), F.lit(_MASK)).cast("long")
+        for v in values
+    ]
+    groups = [q[j : j + _PER] for j in range(0, len(q), _PER)]
+    return [sum((F.shiftleft(v, _BITS * k) for k, v in enumerate(g[1:], 1)), g[0]).alias(f"p{j}") for j, g in enumerate(groups)]
 
-def _groups(ids: pa.BinaryArray) -> Iterator[tuple[np.ndarray, Lockstep]]:
+
+def _unpacked(states: int, least: int, add: float = 0.0) -> list[Column]:
+    q = [F.shiftrightunsigned(F.col(f"p{k // _PER}"), _BITS * (k % _PER)).bitwiseAND(F.lit(_MASK).cast("long")) for k in range(states)]
+    return [F.when(v > 0, F.exp((v - 1 + add) * float(np.log(2) / _STEP) + float(np.log(2) * least))).otherwise(0.0) for v in q]
+
+
+def shrunk(ids: np.ndarray) -> bytes:
+    """Word numbers of a text: how many, then their lowest bytes, the next ones and so on, compressed."""
+    planes = np.ascontiguousarray(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return len(ids).to_bytes(4, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def numbers(ids: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers of all rows end to end, and the bounds of each row."""
+    texts, bounds = [np.zeros(0, np.int32)], np.zeros(len(ids) + 1, np.int64)
+    for i, text in enumerate(ids):
+        raw = memoryview(text.as_buffer())
+        n = int.from_bytes(raw[:4], "little")
+        planes = np.frombuffer(pa.decompress(raw[4:], 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n)
+        texts.append(np.ascontiguousarray(planes.T).view("<i4").ravel())
+        bounds[i + 1] = bounds[i] + n
+    return np.concatenate(texts), bounds
+
+
+def _groups(flat: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, Lockstep]]:
     """Rows of like length, about _GROUP tokens together."""
-    flat, bounds = numbers(ids)
     length = np.diff(bounds)
     order = np.argsort(length, kind="stable")
     total = np.cumsum(length[order])
@@ -160,7 +209,7 @@ def _encode(head: list[bytes]):
                 words = text.lower().split()
                 found = Counter(w for w in words if w not in number)
                 own = dict(zip(found, range(rare + 1, rare + 1 + len(found))))  # the text's tail, after the unseen class
-                ids.append(np.array([*(number[w] if w in number else own[w] for w in words), number[END]], np.int32).tobytes())
+                ids.append(shrunk(np.array([*(number[w] if w in number else own[w] for w in words), number[END]], np.int32)))
                 others.append(list(found.keys()))
                 times.append(list(found.values()))
             return [*(piece.column(c) for c in ("rid", "doc_id", "held_out")), ids, others, times]
@@ -170,51 +219,60 @@ def _encode(head: list[bytes]):
     return make
 
 
-def _with_tail(batch: pa.RecordBatch, model: Hmm) -> tuple[pa.BinaryArray, Hmm, np.ndarray]:
-    """Word numbers that hold for the batch, the model with the rows of its tail words, and the keys of these (-1: unseen)."""
-    ids, head = batch.column("ids"), len(model.emit)
-    flat, bounds = numbers(ids)
-    flat = flat[: bounds[-1]]
-    if "wids" in batch.schema.names:
-        keys = np.asarray(batch.column("wids").flatten())
-        rows = np.asarray(batch.column("emits").flatten().flatten()).reshape(len(keys), -1)
-        if not len(keys):
-            return ids, model, keys
-        size = np.diff(np.asarray(batch.column("wids").offsets))
-        first = np.cumsum(size) - size
-        own = np.zeros(len(flat), np.int32)
-        own[bounds[0] :] = np.repeat(first, np.diff(bounds))
-        flat = np.where(flat >= head, flat + own, flat)
-        model = Hmm(model.start, model.move, np.concatenate([model.emit, rows]))
-    else:  # all words of the training texts are in the head
-        flat, keys = np.minimum(flat, np.int32(head - 1)), np.zeros(0, np.int64)
-    offsets = pa.py_buffer((bounds * 4).astype(np.int32).tobytes())
-    return pa.Array.from_buffers(pa.binary(), len(ids), [None, offsets, pa.py_buffer(flat.astype(np.int32).tobytes())]), model, keys
-
-
-def _expect(model, states: int):
-    """One row for each word of a batch's tail and of a task's head (32-bit, summed in 64): its key is the number in the head,
-    or beyond these that of the tail; rows -1 - k are for moves from k, -1 - states for starts."""
+def _with_tail(batch: pa.RecordBatch, model: Hmm) -> tuple[np.ndarray, np.ndarray, Hmm, np.ndarray]:
+    """Word numbers that hold for the batch and the bounds of its texts, the model with the rows of its tail words, and the
+    keys of these (-1: unseen)."""
+    head, states = len(model.emit), len(model.start)
+    flat, bounds = numbers(batch.column("ids"))
+    if "wids" not in batch.schema.names:  # all words of the training texts are in the head
+        return np.minimum(flat, np.int32(head - 1)), bounds, model, np.zeros(0, np.int64)
+    keys = np.asarray(batch.column("wids").flatten())
+    if not len(keys):
+        return flat, bounds, model, keys
+    rows = unpacked([np.asarray(batch.column(p).flatten()) for p in _longs(states)], states, _SHARES)
+    size = np.diff(np.asarray(batch.column("wids").offsets))
+    first = np.cumsum(size) - size
+    flat = np.where(flat >= head, flat + np.repeat(first, np.diff(bounds)), flat)
+    return flat, bounds, Hmm(model.start, model.move, np.concatenate([model.emit, rows])), keys
+
+
+def _expect(model, states: int, tails: bool):
+    """One row for each word of a task's tail and head (packed, 32-bit without a tail): its key is the number in the head, or
+    beyond these that of the tail; rows -1 - k are for moves from k, -1 - states for starts."""
+    names = ["word", *(_longs(states) if tails else [f"s{k}" for k in range(states)])]
 
     def rows(key: np.ndarray, table: np.ndarray) -> pa.RecordBatch:
-        columns = [pa.array(key, pa.int64()), *(pa.array(table[:, k].astype(np.float32)) for k in range(states))]
-        return pa.RecordBatch.from_arrays(columns, ["word", *(f"s{k}" for k in range(states))])
+        values = packed(table, _SUMS) if tails else [table[:, k].astype(np.float32) for k in range(states)]
+        return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), *map(pa.array, values)], names)
+
+    def summed(keys: list[np.ndarray], tables: list[np.ndarray]) -> pa.RecordBatch:
+        key, at = np.unique(np.concatenate(keys), return_inverse=True)
+        table = np.concatenate(tables)
+        return rows(key, np.stack([np.bincount(at, table[:, k], len(key)) for k in range(states)], 1))
 
     def expect(batches):
         head = len(model.value.emit)
         start, move, emitted = np.zeros(states), np.zeros((states, states)), np.zeros((head, states))
+        held: tuple[list, list] = [], []
         for batch in batches:
-            ids, own, keys = _with_tail(batch, model.value)
+            flat, bounds, own, keys = _with_tail(batch, model.value)
             tail = np.zeros((len(own.emit) - head, states))
-            for _, group in _groups(ids):
+            for _, group in _groups(flat, bounds):
                 more = group.expected(own)
                 start, move, emitted = start + more[0], move + more[1], emitted + more[2][:head]
                 tail += more[2][head:]
             if len(tail):
-                yield rows(head + keys, tail)
+                held[0].append(head + keys)
+                held[1].append(tail)
+                if sum(map(len, held[0])) > _SUMMED_AT_ONCE:
+                    yield summed(*held)
+                    held = [], []
+        if held[0]:
+            yield summed(*held)
         seen = np.flatnonzero(emitted.sum(1))
         if len(seen):
-            yield rows(np.concatenate([seen, -1 - np.arange(states + 1)]), np.concatenate([emitted[seen], move, start[None]]))
+            key = np.concatenate([seen, -1 - np.arange(states + 1)])
+            yield rows(key, np.concatenate([emitted[seen], move, start[None]]))
 
     return expect
 
@@ -226,15 +284,19 @@ def _noise(states: int, seed: int = 1) -> list[Column]:
 
 
 def _joined(encoded: DataFrame, uses: DataFrame | None, tail: DataFrame | None, unseen: np.ndarray) -> DataFrame:
-    """With (wids, emits) of each text's tail words, in their order; unseen ones (wid -1) have the class's emissions."""
+    """With the keys (wids) and packed emissions of each text's tail words, in their order; unseen ones (wid -1) have the
+    class's emissions."""
     if tail is None:
         return encoded
-    of_class = F.array(*(F.lit(float(x)).cast("float") for x in unseen))
-    used = uses.join(tail.select("wid", "e"), "wid", "left").select("rid", F.struct("pos", "wid", F.coalesce("e", of_class).alias("e")).alias("t"))
-    lists = used.groupBy("rid").agg(F.sort_array(F.collect_list("t")).alias("t"))
-    none = F.array().cast("array<long>"), F.array().cast("array<array<float>>")
+    longs = _longs(len(unseen))
+    of_class = [F.lit(int(x[0])).cast("long") for x in packed(unseen[None], _SHARES)]
+    emits = [F.coalesce(p, c).alias(p) for p, c in zip(longs, of_class)]
+    # a use goes to its text as a narrow row: lists are made behind the shuffle
+    used = uses.join(tail, "wid", "left").select("rid", "pos", "wid", *emits).repartition("rid")
+    lists = used.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("pos", "wid", *longs))).alias("t"))
+    none = F.array().cast("array<long>")
     return encoded.join(lists, "rid", "left").withColumns(
-        {"wids": F.coalesce("t.wid", none[0]), "emits": F.coalesce("t.e", none[1])}
+        {"wids": F.coalesce("t.wid", none), **{p: F.coalesce(f"t.{p}", none) for p in longs}}
     ).drop("t")
 
 
@@ -242,7 +304,7 @@ def train(
     encoded: DataFrame, top: np.ndarray, noise: np.ndarray, every: int, uses: DataFrame | None, tail: DataFrame | None,
     rounds: int = ROUNDS,
 ) -> tuple[Hmm, DataFrame | None]:
-    """Baum-Welch over all rows of ``ids``: the model and the tail's emissions (wid, e; 32 bits). ``top`` and ``noise`` are for the
+    """Baum-Welch over all rows of ``ids``: the model and the tail's emissions (wid, packed). ``top`` and ``noise`` are for the
     head and the class of unseen words. The driver sees the summed head: at most len(top) + states + 1 rows."""
     states = noise.shape[1]
     names = [f"s{k}" for k in range(states)]
@@ -254,41 +316,51 @@ def train(
         shaken = F.array(*((F.col("c") + 1) / float(every) * F.exp(z) for z in _noise(states)))
         tail = tail.select("wid", shaken.alias("e"))
         weight = weight + np.array(tail.agg(*(F.sum(F.col("e")[k]) for k in range(states))).first())
-        tail = tail.select("wid", F.array(*((F.col("e")[k] / float(weight[k])).cast("float") for k in range(states))).alias("e"))
+        tail = tail.select("wid", *_packed([F.col("e")[k] / float(weight[k]) for k in range(states)], _SHARES))
     move = np.full((states, states), 0.1 / max(1, states - 1))
     np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
     model = Hmm(np.full(states, 1 / states), move, emit / weight)
 
-    schema = ", ".join(["word long", *(f"{s} float" for s in names)])
+    longs = [] if tail is None else _longs(states)
+    schema = ", ".join(["word long", *(f"{p} long" for p in longs)] if longs else ["word long", *(f"{s} float" for s in names)])
     context = encoded.sparkSession.sparkContext
-    columns = ["ids"] if tail is None else ["ids", "wids", "emits"]
+    columns = ["ids"] if tail is None else ["ids", "wids", *longs]
+    is_head = F.col("word") < len(top)
     before = None
     for _ in range(rounds):
         sent = context.broadcast(model)
-        parts = _joined(encoded, uses, tail, model.emit[-1]).select(*columns).mapInArrow(_expect(sent, states), schema)
-        summed = parts.groupBy("word").agg(*(F.sum(s).alias(s) for s in names))
-        if tail is not None:  # with the counts of its words this is what the next round's tail is made of
+        parts = _joined(encoded, uses, tail, model.emit[-1]).select(*columns).mapInArrow(_expect(sent, states, bool(longs)), schema)
+        if tail is None:
+            summed = parts.groupBy("word").agg(*(F.sum(s).alias(s) for s in names))
+        else:  # with the counts of its words this is what the next round's tail is made of
             of_tail = words.select((F.col("wid") + len(top)).alias("word"), "c")
-            summed = stage(summed.join(of_tail, "word", "left").select("word", "c", *(F.col(s).cast("float") for s in names)), "summed")
+            values = _unpacked(states, _SUMS, 0.5)
+            # tasks have summed their words: what is shuffled are packed rows, not sums of 64 bits
+            summed = parts.repartition("word").groupBy("word").agg(*(F.sum(v).alias(s) for s, v in zip(names, values)))
+            kept = _packed([F.col(s) for s in names], _SUMS)
+            summed = stage(summed.join(of_tail, "word", "left").select("word", "c", *kept), "summed")
             if before is not None:
                 drop_staged(before)
             before = summed
-        table = summed.where(F.col("word") < len(top)).toArrow()
+        table = summed.where(is_head).toArrow()
         word = np.asarray(table.column("word"))
-        values = np.stack([np.asarray(table.column(s), float) for s in names], 1)
+        if longs:
+            values = unpacked([np.asarray(table.column(p)) for p in longs], states, _SUMS, 0.5)
+        else:
+            values = np.stack([np.asarray(table.column(s), float) for s in names], 1)
         emit = np.zeros((len(top), states))
         emit[word[word >= 0]] = values[word >= 0]
         rest = dict(zip(word[word < 0].tolist(), values[word < 0]))
         if rest:
             weight = emit.sum(0)
             if tail is not None:
-                learnt = summed.where(F.col("word") >= len(top))
+                learnt = summed.where(~is_head).select("word", "c", *(v.alias(s) for s, v in zip(names, _unpacked(states, _SUMS, 0.5))))
                 weight = weight + np.array(learnt.agg(*(F.coalesce(F.sum(s), F.lit(0.0)) for s in names)).first())
                 of = [
-                    ((F.col(s) + (F.col("c") + 1) / float(every) * float(0.001 * w + 1e-9)) / float(1.001 * w + 1e-9)).cast("float")
+                    (F.col(s) + (F.col("c") + 1) / float(every) * float(0.001 * w + 1e-9)) / float(1.001 * w + 1e-9)
                     for s, w in zip(names, weight)
                 ]
-                tail = learnt.select((F.col("word") - len(top)).alias("wid"), F.array(*of).alias("e"))
+                tail = learnt.select((F.col("word") - len(top)).alias("wid"), *_packed(of, _SHARES))
             # every state keeps a little of the corpus' word shares, so that nothing is impossible
             start, move = rest[-1 - states], np.stack([rest[-1 - k] for k in range(states)])
             model = Hmm(
@@ -296,7 +368,7 @@ def train(
                 (move + 1) / (move + 1).sum(1, keepdims=True),
                 (emit + (0.001 * weight + 1e-9) * share[:, None]) / (1.001 * weight + 1e-9),
             )
-        sent.unpersist()
+        sent.destroy()
     return model, tail
 
 
@@ -304,12 +376,11 @@ def _score(model, head_logs):
     def score(batches):
         for batch in batches:
             log = np.zeros(batch.num_rows)
-            ids, own, _ = _with_tail(batch, model.value)
-            for rows, group in _groups(ids):
+            flat, bounds, own, _ = _with_tail(batch, model.value)
+            for rows, group in _groups(flat, bounds):
                 log[rows] = group.log10(own)
-            flat, bounds = numbers(batch.column("ids"))
             logs, known = head_logs.value
-            flat = np.minimum(flat[: bounds[-1]], len(logs) - 1)
+            flat = np.minimum(flat, len(logs) - 1)
             total = lambda v: sums(v[flat], bounds)
             made = [np.diff(bounds).astype(np.int64), total(known).astype(np.int64), total(logs), log]
             yield pa.RecordBatch.from_arrays(
@@ -350,25 +421,28 @@ def score(
         "rare array<binary>, times array<int>"
     )
     encoded = stage(map_texts(docs, columns, name(text), _encode(sent), schema), "encoded")
+    sent.destroy()
     rare = encoded.select("rid", "held_out", F.posexplode(F.arrays_zip("rare", "times")).alias("pos", "w"))
     rare = rare.select("rid", "held_out", "pos", "w.rare", "w.times")
-    encoded = encoded.drop("rare", "times")
+    ids = encoded.drop("rare", "times")
     if kinds > len(top):
         heads = spark.createDataFrame(top, "word binary, c long").select("word")
         tail = counts.join(F.broadcast(heads), "word", "left_anti")
         tail = stage(tail.withColumn("wid", F.monotonically_increasing_id()), "words")
         uses = rare.join(tail.withColumnRenamed("word", "rare"), "rare", "left")
         uses = stage(uses.select("rid", "held_out", "pos", F.coalesce("wid", F.lit(-1)).alias("wid"), "c", "times"), "uses")
+        ids = stage(ids, "ids")  # the rare words of the texts are not needed any more
+        drop_staged(encoded)
     else:
         tail, uses = None, None
     drop_staged(counts)
     learn = None if uses is None else uses.where("NOT held_out")
-    model, learnt = train(encoded.where("NOT held_out"), np.append(in_head, 0), noise, every, learn, tail, rounds)
+    model, learnt = train(ids.where("NOT held_out"), np.append(in_head, 0), noise, every, learn, tail, rounds)
 
     logs = np.append(np.log10((in_head + 1) / every), 0.0)
     known = np.append((in_head > 0).astype(np.int64), 0)
     of_head = spark.sparkContext.broadcast((logs, known))
-    rows = _joined(encoded, uses, learnt, model.emit[-1]).mapInArrow(
+    rows = _joined(ids, uses, learnt, model.emit[-1]).mapInArrow(
         _score(spark.sparkContext.broadcast(model), of_head),
         f"rid long, doc_id {dict(docs.dtypes)[id_column]}, held_out boolean, "
         "n_tokens long, n_known long, base double, log double",

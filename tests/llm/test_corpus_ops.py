@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -298,6 +299,27 @@ def test_hmm_scores(spark):
     assert hmm.score(table.limit(0), states=2, rounds=1).count() == 0
 
 
+def test_hmm_shuffles_packed_numbers(spark):
+    rng = np.random.default_rng(4)
+    for states in (1, 3, 8):
+        table = np.exp(rng.normal(0, 6, (50, states)))
+        table[3] = 0
+        longs = hmm.packed(table, -32)
+        assert len(longs) == -(-states // 3)
+        back = hmm.unpacked(longs, states, -32, 0.5)
+        assert np.allclose(back, table, rtol=2e-5, atol=0) and not back[3].any()
+        names = [f"s{k}" for k in range(states)]
+        rows = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(table)], ["i", *names])
+        rows = rows.select("i", *hmm._packed([F.col(s) for s in names], -32))
+        rows = rows.select("*", *(v.alias(s) for s, v in zip(names, hmm._unpacked(states, -32, 0.5)))).orderBy("i").collect()
+        assert np.allclose([[r[s] for s in names] for r in rows], table, rtol=2e-5, atol=0)
+    texts = [rng.integers(0, 200_000, n).astype(np.int32) for n in (1, 0, 2000)]
+    small = [hmm.shrunk(t) for t in texts]
+    assert len(small[2]) < 4 * 2000 * 0.7
+    flat, bounds = hmm.numbers(pa.array(small, pa.binary()).slice(1))
+    assert bounds.tolist() == [0, 0, 2000] and (flat == texts[2]).all()
+
+
 def test_hmm_is_the_same_for_any_head(spark):
     draw = random.Random(16)
     rows = [(i, " ".join(f"{'ab'[i % 2]}{int(draw.paretovariate(0.6))}" for _ in range(30))) for i in range(200)]
