@@ -332,6 +332,52 @@ def test_hmm_is_the_same_for_any_head(spark):
         assert (runs[0][i].base_score, runs[0][i].score) == pytest.approx((r.base_score, r.score), rel=1e-5)
 
 
+def test_hmm_rows_grow_with_chunks_and_not_with_words(spark, monkeypatch):
+    """Chunks and blocks, however many, give the model of one; what a round stages has far fewer rows than there are words."""
+    draw = random.Random(26)
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{int(draw.paretovariate(0.4))}" for _ in range(40))) for i in range(300)]
+    rows += [(1000, None), (1001, "never seen words"), (None, "a1 b1"), (3, rows[3][1])]
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    staged, stage = [], hmm.stage
+
+    def counted(df, name):
+        made = stage(df, name)
+        staged.append((name, made.count()))
+        return made
+
+    monkeypatch.setattr(hmm, "stage", counted)
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.score)
+    whole = sorted(hmm.score(table, states=3, rounds=3, head=20).collect(), key=key)
+    words = dict(staged)["counts"]
+    rounds = [n for name, n in staged if name == "summed"]
+    assert len(rounds) == 3 and words > 1000 and max(rounds) < words / 20
+    for chunk, block in ((3000, 10**6), (10**6, 300), (1000, 1000)):
+        monkeypatch.setattr(hmm, "_CHUNK", chunk)
+        monkeypatch.setattr(hmm, "_BLOCK", block)
+        cut = sorted(hmm.score(table, states=3, rounds=3, head=20).collect(), key=key)
+        assert [r[:5] for r in cut] == [r[:5] for r in whole]
+        for a, b in zip(cut, whole):
+            assert (a.base_score, a.score) == pytest.approx((b.base_score, b.score), rel=2e-5)
+
+
+def test_hmm_messages_and_words():
+    rng = np.random.default_rng(5)
+    tables = [np.exp(rng.normal(0, 12, (n, 8))) for n in (3, 0, 50)]
+    tables[0][1] = 0
+    small = [hmm.shortened(t) for t in tables]
+    assert [len(x) for x in small] == [24 * len(t) for t in tables]
+    assert np.allclose(hmm.lengthened(small, 8), np.concatenate(tables), rtol=1.6e-5, atol=0)
+    assert hmm.lengthened([], 8).shape == (0, 8)
+    draw = random.Random(3)
+    odd = b" \t\n\x0b\x0c\r\x1c\x1f\x85\xa0\xc2\xc3ABab\x00"
+    texts = [b"", b" ", b" A b ", *(bytes(draw.choices(odd, k=draw.randint(0, 40))) for _ in range(200))]
+    for part in (texts, texts[2:], []):
+        flat, words, sizes = hmm.tokens(pa.array(texts, pa.binary()).slice(len(texts) - len(part)))
+        words = words.to_pylist()
+        assert [words[i] for i in flat] == [w for t in part for w in t.lower().split()]
+        assert sizes.tolist() == [len(t.split()) for t in part]
+
+
 def test_pipeline_stages(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("extra", F.lit(1))
