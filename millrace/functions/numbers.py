@@ -7,6 +7,10 @@ from .rare import rarely
 
 _NUMBER = r"^\s*([+-]?)(?:([0-9]+)\.?([0-9]*)|\.([0-9]+))(?:[eE]([+-]?[0-9]+))?\s*\z"
 _PARTS = "$1;$2;$3$4;$5"
+# Integers that a cast takes, with blanks and control characters around them: those that surely fit, and all. A cast that fails
+# makes an exception with its message, which costs far more than the pattern.
+_SHORT = r"^[\x00-\x20\x7f]*[+-]?[0-9]{1,18}[\x00-\x20\x7f]*\z"
+_PLAIN = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*\z"
 _INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*\z"
 # Digits of the largest 64-bit integer.
 _DIGITS = 19
@@ -32,26 +36,26 @@ def _judged(value: Column, unusable: Column) -> Column:
 
 
 def _judge(text: Column) -> Column:
-    """The same of a text that is no plain integer."""
+    """The same of a text that is no short integer."""
+    plain = F.when(text.rlike(_PLAIN), text.try_cast("bigint"))
     parts = F.split(F.regexp_replace(text, _NUMBER, _PARTS), ";")
     number = rarely(rarely(parts, _whole), lambda value: _judged(value, value.isNull()))
     other = _judged(F.lit(None).cast("bigint"), text.rlike(_INFINITE))
-    return F.when(text.rlike(_NUMBER), number).otherwise(other)
+    return F.when(plain.isNotNull(), _judged(plain, F.lit(False))).when(text.rlike(_NUMBER), number).otherwise(other)
 
 
 def judge_number(text: Column) -> Column:
     """Struct of the value of a lenient 64-bit integer and whether the text is a number that no such integer holds."""
-    plain = text.try_cast("bigint")
-    settled = _judged(plain, F.lit(False))
-    return F.when(plain.isNotNull() | text.isNull(), settled).otherwise(rarely(text, _judge))
+    settled = _judged(text.try_cast("bigint"), F.lit(False))
+    return F.when(text.isNull() | text.rlike(_SHORT), settled).otherwise(rarely(text, _judge))
 
 
 def to_bigint(text: Column) -> Column:
     """Lenient 64-bit integer: ``' 200 '``, ``'200.0'`` and ``'1e3'`` count, anything else is NULL."""
-    return F.coalesce(text.try_cast("bigint"), F.when(text.isNotNull(), rarely(text, _judge)["value"]))
+    short = F.when(text.rlike(_SHORT), text.try_cast("bigint"))
+    return short.when(text.isNotNull(), rarely(text, _judge)["value"])
 
 
 def is_unusable_number(text: Column) -> Column:
     """True for text that is a number but no 64-bit integer: a fraction, infinity, or out of range."""
-    plain = text.isNull() | text.try_cast("bigint").isNotNull()
-    return F.when(plain, False).otherwise(rarely(text, _judge)["unusable"])
+    return F.when(text.isNull() | text.rlike(_SHORT), False).otherwise(rarely(text, _judge)["unusable"])

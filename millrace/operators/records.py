@@ -45,11 +45,14 @@ def clean_index_lines(lines: DataFrame) -> DataFrame:
     numbers = {"status": "status", "length": "length", "offset": "file_offset"}
     kept = [c for c in lines.columns if c not in {*INDEX_COLUMNS, *PAGE_KEYS, "reject_reason", "raw"}]
     # Judged once for each row in an operator of its own, below which no filter on the results is pushed: written out in the
-    # main projection, the rare long cases would outgrow the method that is compiled, and a filter would do them again.
+    # main projection, the rare long cases would outgrow the method that is compiled, and a filter would do them again. The
+    # array is made in a projection, whose code is generated: within ``inline`` it would be interpreted. It has one item, but
+    # only the outer form infers no filter on the array, which would make it twice.
     stamp = F.col("timestamp")
     when = F.when(is_full_digits(stamp), digits_timestamp(stamp)).otherwise(rarely(stamp, general_timestamp))
     fields = [judge_number(F.col(key)).alias(f"_{name}") for key, name in numbers.items()]
-    lines = lines.select("*", F.inline(F.array(F.struct(*fields, when.alias("_time")))))
+    lines = lines.select("*", F.array(F.struct(*fields, when.alias("_time"))).alias("_judged"))
+    lines = lines.select("*", F.inline_outer("_judged"))
     reasons = [F.col("reject_reason")] if "reject_reason" in lines.columns else []
     reasons += [F.when(F.col(f"_{name}.unusable"), f"{key} is no integer") for key, name in numbers.items()]
     cleaned = {

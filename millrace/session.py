@@ -25,6 +25,8 @@ _SETTINGS = {
     # Shuffle files go when their query has ended, not when the driver next collects garbage: a job of many rounds would keep
     # those of all its rounds. A result that is run again is computed again.
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # A file stream hands over the paths of its files one by one, and Spark lists them in as many tasks, 10,000 at most.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
     # A row of a blob table is a whole file, and 10,000 texts are tens of MB: hand few of them to Python at once. A batch is
     # held by the executor and by the worker, each with what it needs to make it.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),

@@ -89,6 +89,14 @@ def land_changed(spark: SparkSession, landing: str, target: str) -> int | None:
     return number
 
 
+def _gathered(batch: DataFrame) -> DataFrame:
+    """The rows of a batch in a quarter of the tasks, as long as there are some for every core: a task of the stream reads some
+    thirty small files and starts files of its own for every segment, which takes longer than reading those."""
+    tasks = batch.rdd.getNumPartitions()
+    enough = max(tasks // 4, 4 * batch.sparkSession.sparkContext.defaultParallelism)
+    return batch.coalesce(enough) if enough < tasks else batch
+
+
 def land_pages(spark: SparkSession, landing: str, target: str, max_files: int | None = None) -> StreamingQuery:
     """Land every page file not landed before, ``max_files`` per batch, then stop.
 
@@ -111,6 +119,8 @@ def land_pages(spark: SparkSession, landing: str, target: str, max_files: int |
             )
         if batch_id in run["done"]:
             return
+        if max_files is None:
+            batch = _gathered(batch)
         if run["others"] is not None:
             others = batch.sparkSession.read.schema(run["others"].schema).parquet(*run["others"].inputFiles())
             batch = batch.join(checked_broadcast(others), ["source_path", "landed_at"], "left_anti")

@@ -79,6 +79,19 @@ def test_numbers(spark):
     assert dict(zip(NUMBERS, got)) == NUMBERS
 
 
+def test_integers_at_the_limits(spark):
+    """Short integers, those a cast takes beyond them, and texts that are none: no cast that must fail is tried."""
+    values = {
+        "\x007\x1f": (7, False), "\x7f-007 ": (-7, False), "9" * 18: (10**18 - 1, False), str(2**63 - 1): (2**63 - 1, False),
+        "\x01" + str(2**63 - 1): (2**63 - 1, False), "-" + str(2**63): (-(2**63), False), str(2**63): (None, True),
+        "0" * 25 + "3": (3, False), "+" + "0" * 20 + "3\x02": (3, False), "\x01" + str(2**63): (None, False), "1_0": (None, False),
+        "\u00a07": (None, False), "\u06617": (None, False), "+": (None, False), "": (None, False), "7\n": (7, False), "5.": (5, False),
+    }
+    number = fn.judge_number(F.col(S))
+    got = apply(spark, values, fn.to_bigint(F.col(S)), fn.is_unusable_number(F.col(S)), number["value"], number["unusable"])
+    assert dict(zip(values, got)) == {text: (*want, *want) for text, want in values.items()}
+
+
 def test_dates(spark):
     date = fn.iso_date(F.col(S))
     assert dict(zip(DATES, apply(spark, DATES, date, fn.typed_date(date)))) == DATES

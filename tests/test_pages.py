@@ -172,6 +172,32 @@ def test_incremental_landing_dedup_and_flatten(spark, tmp_path):
     assert counts["S-0.parquet.gz"] == (3, 1) and counts["S-4.parquet.gz"] == (4, 1)
 
 
+def test_many_small_pages_are_landed_in_few_files(spark, tmp_path):
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 256  # tasks that list them
+    target = tmp_path / "out"
+    for page in range(40):
+        write_page(tmp_path / "in", "S", page, [line(page), line(page + 100)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # a task for every file
+    try:
+        page_stream.land_pages(spark, str(tmp_path / "in"), str(target)).awaitTermination(120)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert 1 < len(list(target.glob("pages/*/*/*.parquet"))) <= 4 * spark.sparkContext.defaultParallelism
+    assert page_stream.landed_pages(spark, str(target)).distinct().count() == 80
+    assert page_stream.ledger(spark, str(target)).where("records = 2").count() == 40
+
+
+def test_numbers_and_times_are_judged_in_generated_code(spark, tmp_path):
+    write_page(tmp_path, "S", 1, [line(1), line(2, status="2e2", timestamp=""), line(3, length="1.5")])
+    cleaned = clean_index_lines(read_index_pages(spark, str(tmp_path)))
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert "Generate inline_outer(_judged" in plan.replace("inline(", "inline_outer(") and "size(" not in plan
+    assert {(r.url[-1], r.status, r.reject_reason) for r in cleaned.collect()} == {
+        ("1", 200, None), ("2", 200, None), ("3", 200, "length is no integer")
+    }
+
+
 def test_landing_a_batch_again_replaces_it(spark, tmp_path):
     write_page(tmp_path / "in", "S", 1, [line(1), line(2)])
     lines, target = read_index_pages(spark, str(tmp_path / "in")), str(tmp_path / "out")
