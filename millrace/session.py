@@ -64,6 +64,22 @@ def shared_dir(spark: SparkSession) -> str:
 _stages: ContextVar[str | None] = ContextVar("stages", default=None)
 
 
+# Bytes that opening a file counts for while many small ones are read.
+_OPENING = "1m"
+
+
+@contextmanager
+def small_files(spark: SparkSession) -> Iterator[None]:
+    """Loads planned inside read some hundred small files in a task and not thirty, and so write fewer and larger ones."""
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, _OPENING)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder."""
     return f"{_stages.get() or f'{shared_dir(spark)}/millrace'}/{uuid.uuid4().hex}/{name}"

@@ -19,7 +19,7 @@ from millrace.operators.upsert import unprocessed
 from millrace.plans.index_flatten import flatten_blobs_once, flatten_pages, page_records
 from millrace.plans.register_load import load_register, read_register_rejects
 from millrace.schemas import PAGE_KEYS
-from millrace.session import scratch_path, stage
+from millrace.session import scratch_path, small_files, stage
 from millrace.sinks.blobs import pack_blobs
 from millrace.sources.blobs import decode_blobs, oldest_blobs, parquet_blobs, read_raw_pages
 from millrace.sources.pages import read_index_pages
@@ -354,7 +354,8 @@ def blob_refetch(spark, folder):
     lines = read_index_pages(spark, fx.index_pages(spark, folder))
     for later, some in enumerate((lines, lines.where("page % 3 = 0 AND try_cast(offset AS bigint) % 3 = 0"))):
         stamp = F.lit(f"2025-01-0{later + 1} 00:00:00")
-        pack_blobs(some, page_file_name(F.col("segment"), F.col("page")), stamp).write.mode("append").parquet(raw)
+        with small_files(spark):
+            pack_blobs(some, page_file_name(F.col("segment"), F.col("page")), stamp).write.mode("append").parquet(raw)
         flatten_blobs_once(spark, raw, target)
     return good(blob_stream.latest_cleaned(spark, target)).groupBy("source_file").agg(
         F.count("*").alias("n"), F.sum("file_offset").cast("bigint").alias("offsets")
