@@ -17,6 +17,7 @@ from millrace.operators.records import (
 )
 from millrace.operators.upsert import unprocessed
 from millrace.plans.index_flatten import flatten_blobs_once, flatten_pages, page_records
+from millrace.session import small_files
 from millrace.sinks.blobs import pack_blobs
 from millrace.sources.blobs import decode_blobs, oldest_blobs, parquet_blobs, read_raw_pages
 from millrace.sources.listing import snapshot
@@ -188,6 +189,25 @@ def test_many_small_pages_are_landed_in_few_files(spark, tmp_path):
     assert page_stream.ledger(spark, str(target)).where("records = 2").count() == 40
 
 
+def test_many_small_pages_are_packed_in_few_files(spark, tmp_path):
+    for page in range(40):
+        write_page(tmp_path / "in", "S", page, [line(page), line(page + 100)])
+    cost, most = "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(cost), spark.conf.get(most)
+    spark.conf.set(most, "8m")
+    try:
+        with pytest.raises(ValueError), small_files(spark):
+            lines = read_index_pages(spark, str(tmp_path / "in"))
+            pack_blobs(lines, F.col("source_file"), F.lit("2025-01-01 00:00:00")).write.parquet(str(tmp_path / "raw"))
+            raise ValueError
+    finally:
+        spark.conf.set(most, before[1])
+    assert (spark.conf.get(cost), spark.conf.get(most)) == before
+    assert 1 < len(list((tmp_path / "raw").glob("*.parquet"))) <= 8  # 20 with the usual cost
+    raw = read_raw_pages(spark, str(tmp_path / "raw"))
+    assert raw.select("id").distinct().count() == raw.count() == 40 and good(decode_blobs(raw)).count() == 80
+
+
 def test_numbers_and_times_are_judged_in_generated_code(spark, tmp_path):
     write_page(tmp_path, "S", 1, [line(1), line(2, status="2e2", timestamp=""), line(3, length="1.5")])
     cleaned = clean_index_lines(read_index_pages(spark, str(tmp_path)))
