@@ -25,10 +25,10 @@ def write_batch(df: DataFrame, path: str, load_batch: int, *by: str) -> None:
     write_partitions(df.withColumn("load_batch", F.lit(load_batch).cast("bigint")), path, "load_batch", *by)
 
 
-def read_landed(spark: SparkSession, path: str, schema: T.StructType, part: str | None = None) -> DataFrame:
-    """The table, or what lies in the folder ``part`` of it, with its declared types; an empty one before the first load."""
+def read_landed(spark: SparkSession, path: str, schema: T.StructType, *parts: str) -> DataFrame:
+    """The table, or what lies in the folders ``parts`` of it, with its declared types; an empty one before the first load."""
     try:
-        return spark.read.schema(schema).option("basePath", path).parquet(part or path)
+        return spark.read.schema(schema).option("basePath", path).parquet(*(parts or (path,)))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -40,6 +40,11 @@ def read_batch(spark: SparkSession, path: str, schema: T.StructType, load_batch:
     return read_landed(spark, path, schema, f"{path}/load_batch={load_batch}").where(F.col("load_batch") == load_batch)
 
 
+def read_batches(spark: SparkSession, path: str, schema: T.StructType, load_batches: list[int]) -> DataFrame:
+    """Rows of several batches that are there; only their folders are listed and read."""
+    return read_landed(spark, path, schema, *(f"{path}/load_batch={n}" for n in load_batches))
+
+
 def next_batch(spark: SparkSession, target: str, count: int = 1) -> int:
     """A batch number never given before, whichever route asks, the first of ``count``; they are spent even if the batch fails.
     One writer a table."""

@@ -10,7 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.pages import page_ledger
 from ..schemas import PAGE_KEYS
 from ..session import checked_broadcast, stage
-from ..sinks.landing import batch_numbers, committed, next_batch, read_batch, read_landed, stream_id, write_batch, write_partitions
+from ..sinks.landing import (
+    batch_numbers, committed, next_batch, read_batch, read_batches, read_landed, stream_id, write_batch, write_partitions,
+)
 from ..sources.listing import snapshot
 from ..sources.pages import read_index_pages, stream_index_pages
 
@@ -44,6 +46,10 @@ LEDGER = T.StructType([
 
 # Changed files named one by one in the filter of the scan; more are joined.
 LISTED = 1000
+# Files that one trigger of a stream takes, as whole batches; one batch at least.
+TRIGGERED = 1024
+# Files that a task reads, from which on they count as small.
+_SMALL = 8
 
 
 def land_batch(
@@ -64,6 +70,45 @@ def land_batch(
     write_partitions(entries.withColumn("route", F.lit(route)), f"{target}/ledger", "load_batch")
 
 
+def _batches(lines: DataFrame, max_files: int) -> list[list[list[str]]]:
+    """Files of one trigger that have lines, oldest first, in batches of at most ``max_files`` plain and as many packed ones, and
+    these in runs that have no page in two batches: whatever part of a run has been entered when a driver is lost, the rest can
+    be landed later without an older copy of a page coming after a newer one."""
+    named = F.col("segment").isNotNull() & F.col("page").isNotNull()
+    file = F.struct(
+        "landed_at", "source_path", F.lower("source_path").endswith(".gz").alias("packed"),
+        F.when(named, F.concat_ws("-", "segment", "page")).otherwise(F.col("source_path")).alias("page"),
+    )
+    batches, taken = {}, {False: 0, True: 0}
+    for found in sorted(lines.agg(F.collect_set(file).alias("files")).first().files):
+        batches.setdefault(taken[found.packed] // max_files, []).append(found)
+        taken[found.packed] += 1
+    runs, pages = [], set()
+    for _, files in sorted(batches.items()):
+        if not runs or not pages.isdisjoint(f.page for f in files):
+            runs.append([])
+            pages = set()
+        runs[-1].append([f.source_path for f in files])
+        pages.update(f.page for f in files)
+    return runs
+
+
+def land_batches(
+    lines: DataFrame, target: str, batches: dict[int, list[str]], route: str, spark: SparkSession | None = None
+) -> None:
+    """Store several batches, given as the files of each number, and their ledger rows: what ``land_batch`` stores of each, but
+    in one job for all, as jobs for a few files take longer than their work."""
+    numbers = [(path, number) for number, paths in batches.items() for path in paths]
+    given = lines.sparkSession.createDataFrame(numbers, "source_path string, load_batch long")
+    tasks = lines.rdd.getNumPartitions()
+    lines = lines.join(F.broadcast(given), "source_path").select(*LANDED.fieldNames())
+    if len(numbers) >= _SMALL * tasks:  # a task reads files of many batches, and would start files of its own for each
+        lines = lines.repartition(tasks, "load_batch", "segment", "part")
+    write_partitions(lines, f"{target}/pages", "load_batch", "segment")
+    landed = read_batches(spark or lines.sparkSession, f"{target}/pages", LANDED, list(batches))
+    write_partitions(page_ledger(landed).withColumn("route", F.lit(route)), f"{target}/ledger", "load_batch")
+
+
 def land_changed(spark: SparkSession, landing: str, target: str) -> int | None:
     """Land files anew that were overwritten in place since: their path is in the ledger with another time. The file
     stream knows files by path and passes these over. The folders are listed by tasks; a file that has no bytes any more is
@@ -97,37 +142,55 @@ def _gathered(batch: DataFrame) -> DataFrame:
     return batch.coalesce(enough) if enough < tasks else batch
 
 
+def _without(batch: DataFrame, staged: DataFrame | None, *keys: str) -> DataFrame:
+    if staged is None:
+        return batch
+    left_out = batch.sparkSession.read.schema(staged.schema).parquet(*staged.inputFiles())
+    return batch.join(checked_broadcast(left_out), list(keys), "left_anti")
+
+
 def land_pages(spark: SparkSession, landing: str, target: str, max_files: int | None = None) -> StreamingQuery:
     """Land every page file not landed before, ``max_files`` per batch, then stop.
 
-    The checkpoint lies beside the data it describes. The ledger is written last and names the stream's batch, so a
-    batch repeated after a failure counts once; a stream whose checkpoint was lost leaves out what another has landed. The
-    ledger is read in the first batch of a run only: with one writer a table, the run itself makes all later entries, and what
-    a batch costs does not grow with those before it.
+    A batch has its own number, folders and ledger rows. Every trigger of a stream writes its logs and plans its jobs, which
+    takes longer than landing a few files: it takes as many whole batches as have some ``TRIGGERED`` files, and lands them by
+    the same jobs, the oldest files in the first.
+
+    The checkpoint lies beside the data it describes. The ledger is written last and names the stream's trigger: when this is
+    repeated after a failure, files that have been entered are left out. A stream whose checkpoint was lost leaves out what
+    another has landed. The ledger is read in the first trigger of a run only: with one writer a table, the run itself makes
+    all later entries, and what a batch costs does not grow with those before it.
     """
     run = {}
+    several = bool(max_files) and 2 * max_files <= TRIGGERED
 
     def land(batch: DataFrame, batch_id: int) -> None:
         if not run:
             own, done = stream_id(spark, target), ledger(spark, target)
-            mine = done.where(F.col("route").startswith(f"{own}/")).select(F.substring_index("route", "/", -1).cast("long").alias("id"))
             others = done.where(~F.col("route").startswith(f"{own}/")).select("source_path", "landed_at").distinct()
-            others = stage(others, "others")
+            again = done.where(F.col("route") == f"{own}/{batch_id}").select("source_path").distinct()
+            others, again = stage(others, "others"), stage(again, "again")
             run.update(
                 own=own, numbers=batch_numbers(spark, target), others=None if others.isEmpty() else others,
-                done={row.id for row in mine.where(F.col("id") >= batch_id).distinct().collect()},
+                again=None if again.isEmpty() else again,
             )
-        if batch_id in run["done"]:
-            return
         if max_files is None:
             batch = _gathered(batch)
-        if run["others"] is not None:
-            others = batch.sparkSession.read.schema(run["others"].schema).parquet(*run["others"].inputFiles())
-            batch = batch.join(checked_broadcast(others), ["source_path", "landed_at"], "left_anti")
-        land_batch(batch, target, next(run["numbers"]), f"{run['own']}/{batch_id}", spark=spark)
+        batch = _without(batch, run["others"], "source_path", "landed_at")
+        again = run.pop("again", None)  # only the first trigger of a run can be a repeated one
+        batch = _without(batch, again, "source_path")
+        route = f"{run['own']}/{batch_id}"
+        if several:
+            runs = _batches(batch, max_files)
+            number = next_batch(spark, target, sum(map(len, runs))) if runs else None
+            for batches in runs:
+                land_batches(batch, target, dict(enumerate(batches, number)), route, spark)
+                number += len(batches)
+        elif again is None or not batch.isEmpty():
+            land_batch(batch, target, next(run["numbers"]), route, spark=spark)
 
     return (
-        stream_index_pages(spark, landing, max_files)
+        stream_index_pages(spark, landing, TRIGGERED // max_files * max_files if several else max_files)
         .writeStream.foreachBatch(land)
         .option("checkpointLocation", f"{target}/_checkpoint")
         .trigger(availableNow=True)

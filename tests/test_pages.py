@@ -364,3 +364,52 @@ def test_a_run_of_many_batches_reads_the_ledger_once(spark, tmp_path, monkeypatc
     entries = known(spark, target).collect()
     assert sorted(r.page for r in entries) == list(range(8)) and len({r.load_batch for r in entries}) == 8
     assert page_stream.landed_pages(spark, target).count() == 8
+
+
+def test_one_trigger_lands_many_batches_and_repeats_what_was_not_entered(spark, tmp_path):
+    landing, target = tmp_path / "landing", tmp_path / "target"
+    for n in range(21):  # the later a page's number the older its file, but for page 0, which is fetched again last
+        write_page(landing / f"day {n}", "S", n % 20, [line(n), line(n + 100)])
+        os.utime(landing / f"day {n}" / f"S-{n % 20}.jsonl", (10_000 - n % 20 + n // 20,) * 2)
+    for n in range(3):
+        (landing / f"T-{n}.jsonl.gz").write_bytes(gzip.compress(line(n + 50).encode()))
+    page_stream.land_pages(spark, str(landing), str(target), max_files=2).awaitTermination(120)
+    assert [p.name for p in (target / "_checkpoint" / "commits").glob("[0-9]*")] == ["0"]
+
+    def entered():
+        batches = {}
+        for row in page_stream.ledger(spark, str(target)).collect():
+            batches.setdefault(row.load_batch, []).append((row.segment, row.landed_at))
+        return batches
+
+    def lines():
+        latest = latest_pages(page_stream.landed_pages(spark, str(target)), page_stream.ledger(spark, str(target)))
+        return sorted(r.url for r in latest.collect())
+
+    batches = entered()
+    plain = [sorted(at for s, at in batches[n] if s == "S") for n in sorted(batches)]
+    assert [len(p) for p in plain] == [2] * 10 + [1] and sum(plain, []) == sorted(sum(plain, []))
+    assert [sum(s == "T" for s, _ in batches[n]) for n in sorted(batches)] == [2, 1] + [0] * 9
+    expected = sorted(f"https://a.au/{i}" for i in [*range(1, 21), *range(101, 121), 50, 51, 52])
+    assert lines() == expected
+    # The driver is lost while the ledger is written: some batches have been entered, and the trigger is repeated.
+    lost = {min(batches), max(batches)}
+    for n in lost:
+        os.rename(target / "ledger" / f"load_batch={n}", tmp_path / f"lost-{n}")
+    for name in ("0", ".0.crc"):
+        os.rename(target / "_checkpoint" / "commits" / name, tmp_path / f"lost-commit-{name}")
+    assert len(lines()) < len(expected)
+    page_stream.land_pages(spark, str(landing), str(target), max_files=2).awaitTermination(120)
+    assert lines() == expected and page_stream.landed_pages(spark, str(target)).count() == 21 * 2 + 3
+    assert set(batches) - set(entered()) == lost and sum(map(len, entered().values())) == 24
+
+
+def test_batches_run_together_until_a_page_comes_again(spark):
+    rows = [(n, f"f{n}.{'GZ' if n % 5 == 4 else 'json'}", "S" if n else None, n % 7) for n in range(10)]
+    lines = spark.createDataFrame([r for r in rows for _ in range(3)], "landed_at int, source_path string, segment string, page long")
+    runs = page_stream._batches(lines, 2)
+    # Plain files 0 1 | 2 3 | 5 6 | 7 8 with packed ones 4 9 | beside them: page 1 of file 8 and page 2 of file 9 come twice.
+    assert [[sorted(p[1] for p in files) for files in run] for run in runs] == [
+        [["0", "1", "4", "9"]], [["2", "3"], ["5", "6"], ["7", "8"]],
+    ]
+    assert page_stream._batches(lines.limit(0), 2) == []
