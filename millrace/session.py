@@ -108,10 +108,10 @@ def _delete(folder: str) -> None:
         pass
 
 
-def stage(df: DataFrame, name: str, *by: str) -> DataFrame:
+def stage(df: DataFrame, name: str, *by: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder, in partitions by ``by``, and read it back: cuts the lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*(F.col(f"`{c}`") for c in df.columns))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,10 +32,10 @@ def _chunks(spark: SparkSession, folder: str) -> DataFrame:
     return read_register_chunks(spark, fx.register_files(spark, folder))
 
 
-def _projected(spark: SparkSession, folder: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, folder)
+def _projected(spark: SparkSession, folder: str, files: Callable[[SparkSession, str], str] = fx.register_files) -> DataFrame:
+    key = (spark.sparkContext.applicationId, folder, files.__name__)
     if key not in _parsed:
-        _parsed[key] = parse(_chunks(spark, folder))
+        _parsed[key] = parse(read_register_chunks(spark, files(spark, folder)))
     return _parsed[key]
 
 
@@ -126,9 +128,9 @@ def register_from_zip(spark, folder):
 
 
 def csv_export(spark, folder):
-    """Flat register written as CSV and read back: empty text and NULL stay apart."""
+    """Flat register of gzipped files written as gzipped CSV and read back: empty text and NULL stay apart."""
     path = scratch_path(spark, "csv")
-    write_csv(flatten_register(_projected(spark, folder)).select(*REGISTER_COLUMNS), path)
+    write_csv(flatten_register(_projected(spark, folder, fx.register_gz)).select(*REGISTER_COLUMNS), path, "gzip")
     return read_csv(spark, path, REGISTER_FLAT)
 
 

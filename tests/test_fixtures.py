@@ -1,12 +1,14 @@
 """Inputs made from the tables: tasks that grow with the rows, pages parsed once."""
 
+import gzip
+import os
 import zipfile
 
 import pytest
 
 from millrace.session import tune
 from queries import fixtures as fx
-from queries import index
+from queries import index, register
 
 
 @pytest.fixture
@@ -39,3 +41,24 @@ def test_tasks_grow_with_the_rows_and_archives_stay_whole(spark, folder, monkeyp
 def test_pages_are_parsed_once_for_all_constraints(spark, folder):
     read = index.constraint_rejects(spark, folder).inputFiles()
     assert read and all(".jsonl" not in file for file in read)
+
+
+def test_csv_hand_off_and_what_it_is_made_of_are_packed(spark, folder, tmp_path, monkeypatch):
+    paths = []
+
+    def scratch_path(spark, name):
+        paths.append(f"{tmp_path}/scratch/{len(paths)}/{name}")
+        return paths[-1]
+
+    for module in (register, fx):
+        monkeypatch.setattr(module, "scratch_path", scratch_path)
+    exported = register.csv_export(spark, folder)
+    made = [os.path.join(at, file) for path in paths for at, _, files in os.walk(path) for file in files]
+    held = [file for file in made if not os.path.basename(file).startswith((".", "_"))]
+    assert held and all(file.lower().endswith(".gz") for file in held)
+    texts = [gzip.open(file, "rt").read() for file in held if file.endswith(".csv.gz")]
+    assert texts and all(text.startswith("file_sequence_number,") for text in texts)
+    staged = register._projected(spark, folder, fx.register_gz)
+    assert all(".zstd." in file for file in staged.inputFiles())
+    assert exported.count() == exported.select("abn").distinct().count() == staged.where("is_record").count() == 6000
+    assert exported.where("replaced = ''").count() and exported.where("replaced IS NULL").count()
