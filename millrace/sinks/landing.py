@@ -58,14 +58,13 @@ def next_batch(spark: SparkSession, target: str, count: int = 1) -> int:
 _CLAIMED = 256
 
 
-def batch_numbers(spark: SparkSession, target: str) -> Iterator[int]:
-    """Numbers of ``next_batch`` for a run of batches: one, then twice as many at a time, so that the table of numbers is not
-    read for every batch. Those left over are spent."""
-    count = 1
+def batch_numbers(spark: SparkSession, target: str, count: int = 1) -> Iterator[int]:
+    """Numbers of ``next_batch`` for a run of batches: ``count``, then twice as many at a time, so that the table of numbers is
+    not read for every batch. Those left over are spent."""
     while True:
         first = next_batch(spark, target, count)
         yield from range(first, first + count)
-        count = min(2 * count, _CLAIMED)
+        count = max(count, min(2 * count, _CLAIMED))
 
 
 def stream_id(spark: SparkSession, target: str) -> str:

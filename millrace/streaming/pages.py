@@ -106,7 +106,9 @@ def land_batches(
         lines = lines.repartition(tasks, "load_batch", "segment", "part")
     write_partitions(lines, f"{target}/pages", "load_batch", "segment")
     landed = read_batches(spark or lines.sparkSession, f"{target}/pages", LANDED, list(batches))
-    write_partitions(page_ledger(landed).withColumn("route", F.lit(route)), f"{target}/ledger", "load_batch")
+    entries = page_ledger(landed).withColumn("route", F.lit(route))
+    writers = min(len(batches), lines.sparkSession.sparkContext.defaultParallelism)
+    write_partitions(entries.repartition(writers, "load_batch"), f"{target}/ledger", "load_batch")
 
 
 def land_changed(spark: SparkSession, landing: str, target: str) -> int | None:
@@ -170,10 +172,7 @@ def land_pages(spark: SparkSession, landing: str, target: str, max_files: int |
             others = done.where(~F.col("route").startswith(f"{own}/")).select("source_path", "landed_at").distinct()
             again = done.where(F.col("route") == f"{own}/{batch_id}").select("source_path").distinct()
             others, again = stage(others, "others"), stage(again, "again")
-            run.update(
-                own=own, numbers=batch_numbers(spark, target), others=None if others.isEmpty() else others,
-                again=None if again.isEmpty() else again,
-            )
+            run.update(own=own, others=None if others.isEmpty() else others, again=None if again.isEmpty() else again)
         if max_files is None:
             batch = _gathered(batch)
         batch = _without(batch, run["others"], "source_path", "landed_at")
@@ -182,12 +181,11 @@ def land_pages(spark: SparkSession, landing: str, target: str, max_files: int |
         route = f"{run['own']}/{batch_id}"
         if several:
             runs = _batches(batch, max_files)
-            number = next_batch(spark, target, sum(map(len, runs))) if runs else None
+            numbers = run.setdefault("numbers", batch_numbers(spark, target, max(1, sum(map(len, runs)))))
             for batches in runs:
-                land_batches(batch, target, dict(enumerate(batches, number)), route, spark)
-                number += len(batches)
+                land_batches(batch, target, {next(numbers): files for files in batches}, route, spark)
         elif again is None or not batch.isEmpty():
-            land_batch(batch, target, next(run["numbers"]), route, spark=spark)
+            land_batch(batch, target, next(run.setdefault("numbers", batch_numbers(spark, target))), route, spark=spark)
 
     return (
         stream_index_pages(spark, landing, TRIGGERED // max_files * max_files if several else max_files)

@@ -387,6 +387,7 @@ def test_one_trigger_lands_many_batches_and_repeats_what_was_not_entered(spark,
         return sorted(r.url for r in latest.collect())
 
     batches = entered()
+    assert sorted(batches) == list(range(1, 12))
     plain = [sorted(at for s, at in batches[n] if s == "S") for n in sorted(batches)]
     assert [len(p) for p in plain] == [2] * 10 + [1] and sum(plain, []) == sorted(sum(plain, []))
     assert [sum(s == "T" for s, _ in batches[n]) for n in sorted(batches)] == [2, 1] + [0] * 9
@@ -413,3 +414,11 @@ def test_batches_run_together_until_a_page_comes_again(spark):
         [["0", "1", "4", "9"]], [["2", "3"], ["5", "6"], ["7", "8"]],
     ]
     assert page_stream._batches(lines.limit(0), 2) == []
+
+
+def test_a_first_trigger_without_any_line_lands_nothing(spark, tmp_path):
+    write_page(tmp_path / "in", "S", 0, [""])
+    for page in (0, 1):
+        page_stream.land_pages(spark, str(tmp_path / "in"), str(tmp_path / "out"), max_files=1).awaitTermination(120)
+        assert page_stream.ledger(spark, str(tmp_path / "out")).count() == page
+        write_page(tmp_path / "in", "S", 1, [line(1)])
